@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,7 +66,7 @@ def text_slices(batch: pa.RecordBatch, column: str = "text", limit: int = SLICE_
     n = batch.num_rows
     if not n:
         return
-    sizes = batch.column(column).cast(pa.binary()).value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
     part = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), n]
     for a, b in zip(cuts, cuts[1:]):
