@@ -51,6 +51,7 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
+        batch = pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)
         if held is not None:
             batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         key = np.frombuffer(b"".join(batch.column("digest").to_pylist()), dtype="<u8").reshape(-1, 4)
