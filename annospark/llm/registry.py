@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, packing, token_files
+from annospark.llm import bpe, exact_dedup, language_id, packing, token_files
 
 QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
+    "op5_language_id": language_id.op5_language_id,
     "op8_bpe": bpe.op8_bpe,
     "op9_token_files": token_files.op9_token_files,
     "op10_packing": packing.op10_packing,
