@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, language_id, packing, token_files
+from annospark.llm import bpe, exact_dedup, language_id, packing, token_counts, token_files, toxicity
 
 QUERIES = {
+    "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": language_id.op5_language_id,
+    "op6_token_counts": token_counts.op6_token_counts,
     "op8_bpe": bpe.op8_bpe,
     "op9_token_files": token_files.op9_token_files,
     "op10_packing": packing.op10_packing,
