@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, language_id, packing, token_counts, token_files, toxicity
+from annospark.llm import bpe, exact_dedup, language_id, packing, quality, token_counts, token_files, toxicity
 
 QUERIES = {
+    "op1_quality": quality.op1_quality,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": language_id.op5_language_id,
@@ -15,5 +16,6 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_quality": quality.OP1_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
 }
