@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, language_id, packing, quality, token_counts, token_files, toxicity
+from annospark.llm import bpe, exact_dedup, language_id, packing, quality, substring_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
+    "op2_substring_dedup": substring_dedup.op2_substring_dedup,
     "op3_toxicity": toxicity.op3_toxicity,
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": language_id.op5_language_id,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_quality": quality.OP1_SQL,
+    "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
 }
