@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, language_id, packing, quality, substring_dedup, token_counts, token_files, toxicity
+from annospark.llm import bpe, exact_dedup, jaccard_join, language_id, packing, quality, substring_dedup, token_counts, token_files, toxicity
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_exact_dedup": exact_dedup.op4_exact_dedup,
     "op5_language_id": language_id.op5_language_id,
     "op6_token_counts": token_counts.op6_token_counts,
+    "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_bpe": bpe.op8_bpe,
     "op9_token_files": token_files.op9_token_files,
     "op10_packing": packing.op10_packing,
