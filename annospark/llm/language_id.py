@@ -167,50 +167,76 @@ def _spans(text: str, labels: np.ndarray, languages: list[str]) -> list[dict]:
     return [{"start": places[a][0], "end": places[b - 1][1], "lang": languages[labels[a]]} for a, b in zip(cuts, cuts[1:])]
 
 
-def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH_PENALTY, with_spans: bool = True) -> DataFrame:
-    """For each row of ``docs``: doc_id, lang_pred, score, and spans (start, end, lang) over code points of the text.
+def _label(spark: SparkSession, model: LanguageModel, penalty: float):
+    """A function over batches: slices of rows, each text's words' labels, languages and scores. The model's tables (at most
+    ``MAX_LANGUAGES`` times ``BUCKETS`` floats) are broadcast; a task scores each distinct word once."""
+    shared = spark.sparkContext.broadcast(model)
 
-    Words are runs of letters. The language with most letters in the spans is ``lang_pred`` and ``score`` its share of all
-    letters; ties take the first language. A text that is null or has no letters, or a model without languages, gives ``und``,
-    score 0 and no spans. Repeated rows are labelled each. The model's tables (at most ``MAX_LANGUAGES`` times
-    ``BUCKETS`` floats) are broadcast.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def label(batches: Iterator[pa.RecordBatch], text_col: str):
         model = shared.value
         n_lang = len(model.languages)
         rows: dict[str, int] = {}
         table = np.empty((0, n_lang), np.float32)
         for batch in batches:
-            for part in text_slices(batch, limit=_SLICE):
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                words = [WORD.findall(t) if n_lang else [] for t in texts]
+            for part in text_slices(batch, text_col, _SLICE):
+                words = [WORD.findall(t or "") if n_lang else [] for t in part.column(text_col).to_pylist()]
                 flat = [w for ws in words for w in ws]
                 lengths = np.fromiter(map(len, words), np.int64, len(words))
                 if len(rows) > _MAX_WORDS:
                     rows, table = {}, table[:0]
                 if new := [w for w in set(flat) if w not in rows]:
                     rows.update(zip(new, range(len(rows), len(rows) + len(new))))
-                    table = np.concatenate([table, model.score(new)])
+                    table = np.concatenate([table, *(model.score(new[k : k + 20_000]) for k in range(0, len(new), 20_000))])
+                edge = bounds(lengths)
+                if not n_lang:
+                    yield part, [edge[:0]] * len(words), ["und"] * len(words), np.zeros(len(words))
+                    continue
                 labels = viterbi(table[np.fromiter(map(rows.__getitem__, flat), np.int64, len(flat))], lengths, penalty)
                 letters = np.fromiter(map(len, flat), np.int64, len(flat))
-                owner = np.repeat(np.arange(len(texts)), lengths)
-                share = np.bincount(owner * n_lang + labels, letters, len(texts) * n_lang).reshape(len(texts), max(n_lang, 1) if n_lang else 0)
-                best = share.argmax(axis=1) if n_lang else np.zeros(len(texts), int)
-                total = share.sum(axis=1)
-                score = np.divide(share[np.arange(len(texts)), best], total, out=np.zeros(len(texts)), where=total > 0) if n_lang else total
-                names = [model.languages[b] if t else "und" for b, t in zip(best, total)]
-                edge = bounds(lengths)
-                spans = [_spans(t, labels[a:b], model.languages) if with_spans and b > a else [] for t, a, b in zip(texts, edge, edge[1:])]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(spans, pa.list_(span))], ["doc_id", "lang_pred", "score", "spans"])
+                owner = np.repeat(np.arange(len(words)), lengths)
+                share = np.bincount(owner * n_lang + labels, letters, len(words) * n_lang).reshape(len(words), n_lang)
+                best, total = share.argmax(axis=1), share.sum(axis=1)
+                score = np.divide(share[np.arange(len(words)), best], total, out=np.zeros(len(words)), where=total > 0)
+                yield part, [labels[a:b] for a, b in zip(edge, edge[1:])], [model.languages[b] if t else "und" for b, t in zip(best, total)], score
+
+    return label
+
+
+def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH_PENALTY, with_spans: bool = True) -> DataFrame:
+    """For each row of ``docs``: doc_id, lang_pred, score, and spans (start, end, lang) over code points of the text.
+
+    Words are runs of letters. The language with most letters in the spans is ``lang_pred`` and ``score`` its share of all
+    letters; ties take the first language. A text that is null or has no letters, or a model without languages, gives ``und``,
+    score 0 and no spans. Repeated rows are labelled each; a null id stays null. An empty input gives no rows.
+    """
+    label, languages = _label(docs.sparkSession, model, penalty), model.languages
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, labels, names, score in label(batches, "text"):
+            texts = part.column("text").to_pylist() if with_spans else []
+            spans = [_spans(t, own, languages) if len(own) else [] for t, own in zip(texts, labels)] if with_spans else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(spans, span)], ["doc_id", "lang_pred", "score", "spans"])
 
     found = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     found = found.mapInArrow(run, "doc_id long, lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>")
     return found if with_spans else found.drop("spans")
 
 
+def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose main language has ``min_share`` of their letters, all columns kept. Texts that are null or
+    have no letters go. With a model that knows no language all others stay."""
+    if not model.languages:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
+    label = _label(docs.sparkSession, model, SWITCH_PENALTY)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, _, names, score in label(batches, text_col):
+            yield part.filter(pa.array([n != "und" and s >= min_share for n, s in zip(names, score)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, by a model of the rows that are not held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
