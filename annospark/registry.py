@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from annospark.queries import geometry
+from annospark.queries import geometry, stats, validation
 
-_MODULES = (geometry,)
+_MODULES = (geometry, stats, validation)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
