@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,6 +11,11 @@ NORMS = ("raw", "norm_1", "norm_100", "norm_1000")
 LAYOUTS = ("xyxy", "yxyx", "xywh", "cxcywh")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
     """A box with ordered corners; null if a corner is null."""
     made = F.struct(F.least(x1, x2).alias("x_min"), F.least(y1, y2).alias("y_min"), F.greatest(x1, x2).alias("x_max"), F.greatest(y1, y2).alias("y_max"))
@@ -18,8 +25,8 @@ def box(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
 def points_box(points: Column) -> Column:
     """The bounding box of polygon or line points; null with fewer than two points or no extent in x or y."""
     xs, ys = F.transform(points, lambda p: F.get(p, 0)), F.transform(points, lambda p: F.get(p, 1))
-    found = box(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys))
-    return F.when((F.size(points) >= 2) & (F.array_max(xs) > F.array_min(xs)) & (F.array_max(ys) > F.array_min(ys)), found)
+    found = F.struct(F.array_min(xs).alias("x_min"), F.array_min(ys).alias("y_min"), F.array_max(xs).alias("x_max"), F.array_max(ys).alias("y_max"))
+    return F.when(F.size(points) >= 2, let(found, lambda b: F.when((b["x_max"] > b["x_min"]) & (b["y_max"] > b["y_min"]), b)))
 
 
 def rectangle_box(points: Column) -> Column:
