@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array
-from annospark.llm.word_table import encoded, tokenizer
+from annospark.llm.word_table import byte_of, encoded, tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -35,14 +35,11 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
 
 @lru_cache(maxsize=2)
 def _piece_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all pieces, and each id's start and length. Visible characters stand for the bytes of a piece: a
-    printable byte for itself, the n-th of the others as the character 256 + n."""
-    shown = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAC + 1), *range(0xAE, 0xFF + 1)]
-    hidden = [b for b in range(256) if b not in set(shown)]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
+    """Bytes of all pieces, and each id's start and length."""
     found = tokenizer(path)
     pieces = [found.id_to_token(i) or "" for i in range(found.get_vocab_size())]
-    raw = [bytes(byte_of[c] for c in p) if all(c in byte_of for c in p) else p.encode() for p in pieces]
+    known = byte_of()
+    raw = [bytes(known[c] for c in p) if all(c in known for c in p) else p.encode() for p in pieces]
     lengths = np.fromiter(map(len, raw), np.int64, len(raw))
     return np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lengths) - lengths, lengths
 
@@ -78,22 +75,22 @@ def decode(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     return encoded_docs.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
-def with_ids_sha256(rows: DataFrame) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, text): SHA-256 of each row's ids as little-endian unsigned 32-bit integers."""
+def round_trip_digests(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): SHA-256 of each row's ids as little-endian unsigned 32-bit integers,
+    and of the text that ``decode`` gives for them. One pass, so that decoded texts don't leave the task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, ids, counts in _id_slices(batch):
+            for rows, ids, counts in _id_slices(batch):
                 raw, ends = ids.astype("<u4").tobytes(), (4 * bounds(counts)).tolist()
-                sums = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(sums, pa.string()), part.column("text")], ["doc_id", "n_tokens", "ids_sha256", "text"]
-                )
+                of_ids = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
+                of_text = [hashlib.sha256(t.encode()).hexdigest() for t in _decoded(ids, counts, path)]
+                columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string")
+    return encoded_docs.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document; digests of both."""
-    rows = with_ids_sha256(decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))))
-    return rows.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    return round_trip_digests(encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))
