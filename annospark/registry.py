@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from annospark.queries import geometry, records, stats, validation
+from annospark.queries import evaluation, geometry, records, stats, validation, work
 
-_MODULES = (geometry, stats, validation, records)
+_MODULES = (geometry, stats, validation, records, evaluation, work)
 QUERIES = {name: query for module in _MODULES for name, query in module.QUERIES.items()}
 ORACLE_SQL = {name: sql for module in _MODULES for name, sql in module.ORACLE_SQL.items()}
