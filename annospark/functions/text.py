@@ -190,3 +190,30 @@ def sharegpt(record_id: Column, image: Column, messages: Column) -> Column:
     first = F.array_position(F.transform(messages, lambda m: m["role"]), F.lit("user")) - 1
     turns = F.transform(messages, lambda m, i: F.struct(who(m).alias("from"), F.concat(F.when(i == first, F.lit("<image>\n")).otherwise(""), text(m)).alias("value")))
     return F.struct(record_id.alias("id"), image.alias("image"), turns.alias("conversations"))
+
+
+def training_message(query: Column, answer: Column, image: Column) -> Column:
+    """One record: a user message with an image and the query, and the assistant's answer."""
+    item = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
+    user = F.struct(F.lit("user").alias("role"), F.array(item("image", image), item("text", query)).alias("content"))
+    return F.array(user, F.struct(F.lit("assistant").alias("role"), F.array(item("text", answer)).alias("content")))
+
+
+def first_text(*columns: str) -> Column:
+    """The first column that is not null, as in text, content, input."""
+    return F.coalesce(*[F.col(c) for c in columns])
+
+
+def image_reference(path: Column, base: str, mode: str = "relative", content: Column | None = None) -> Column:
+    """How a record names its image: relative, absolute, copy (below images/), or its content in base64."""
+    name = F.regexp_extract(path, r"([^/]*)$", 1)
+    if mode == "relative":
+        folder = base.rstrip("/") + "/"
+        return F.when(path.startswith(folder), F.substr(path, F.lit(len(folder) + 1))).otherwise(name)
+    if mode == "absolute":
+        return F.when(path.startswith("/"), path).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), path))
+    if mode == "copy":
+        return F.concat(F.lit("images/"), name)
+    if mode == "base64" and content is not None:
+        return F.base64(content)
+    raise ValueError(f"unknown image mode: {mode}")

@@ -5,22 +5,12 @@ The stream's state and result live in the shared folder (``spark.checkpoint.dir`
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from annospark.sources.shared import shared_folder
 from annospark.streaming import stream as s
 
-EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-
-
-def _shared(spark) -> str:
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir() or tempfile.mkdtemp(prefix="annospark-")
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
 
 def _events(spark, sf):
     rows = spark.readStream.schema(spark.read.parquet(f"{sf}/events.parquet").schema).parquet(f"{sf}/events.parque[t]")
@@ -30,7 +20,7 @@ def _events(spark, sf):
 
 def _run(spark, df: DataFrame, mode: str, keys: list[str]) -> DataFrame:
     """Run the stream to its end; each batch's rows are written with its number, and the last of each key counts."""
-    folder = _shared(spark)
+    folder = shared_folder(spark, "stream")
     schema = df.schema
 
     def keep(batch: DataFrame, number: int) -> None:
