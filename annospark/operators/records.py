@@ -74,4 +74,4 @@ def export_payload(results: DataFrame) -> DataFrame:
     )
     payload = F.to_json(F.struct(F.lit("5.0").alias("version"), F.transform("detections", shape).alias("shapes"), F.col("image_path").alias("imagePath"), size("width").alias("imageWidth"), size("height").alias("imageHeight")))
     name = F.regexp_extract("image_path", r"([^/]*?)(\.[^./]*)?$", 1)
-    return results.select("index", F.format_string("%06d_%s.json", F.col("index"), name).alias("file"), F.when(F.col("image_path").isNotNull(), payload).alias("payload"))
+    return results.select("index", F.when(F.col("image_path").isNotNull(), F.format_string("%06d_%s.json", F.col("index"), name)).alias("file"), F.when(F.col("image_path").isNotNull(), payload).alias("payload"))
