@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array
-from annospark.llm.word_table import byte_of, encoded, tokenizer
+from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, text_slices
+from annospark.llm.word_table import byte_of, encoded, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +33,36 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
 
+def encode_by_join(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode`` with one table of distinct words for all documents, and a shuffle join on the word.
+
+    Words and places are exploded, each distinct word of the corpus is encoded once, and ids come back by a join and a grouping
+    by document. It shuffles a row per word twice (figures in the README), so ``encode`` is what the queries use; where all
+    distinct words are wanted as a table, this is the way. Ids are taken to be unique, for a document is grouped by its id.
+    """
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = vocabulary(path)
+        for batch in batches:
+            for rows in text_slices(batch):
+                found = [words.split(t or "") for t in rows.column("text").to_pylist()]
+                lengths = np.fromiter(map(len, found), np.int64, len(found))
+                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), list_array([w for ws in found for w in ws], lengths, pa.string())], ["doc_id", "words"])
+
+    def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, ids, lengths = vocabulary(path).encode(batch.column("word").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), list_array(ids, lengths, pa.int32())], ["word", "piece_ids"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    split_rows = rows.mapInArrow(split, "doc_id long, words array<string>")
+    places = split_rows.select("doc_id", F.posexplode("words").alias("pos", "word"))
+    distinct = places.select("word").distinct().mapInArrow(table, "word string, piece_ids array<int>")
+    joined = places.join(distinct, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "piece_ids"))).alias("p"))
+    ids = joined.select("doc_id", F.flatten("p.piece_ids").alias("found"))
+    return rows.select("doc_id").join(ids, "doc_id", "left").select("doc_id", F.coalesce("found", F.array().cast("array<int>")).alias("ids"))
+
+
 @lru_cache(maxsize=2)
 def _piece_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all pieces, and each id's start and length."""
