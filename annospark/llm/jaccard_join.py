@@ -369,3 +369,23 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+OP7_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)
+), n AS MATERIALIZED (SELECT doc_id, count(*) AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS digest FROM s GROUP BY doc_id
+), c AS MATERIALIZED (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY digest) AS rep FROM n
+), r AS MATERIALIZED (SELECT s.doc_id, c.n, s.g FROM s JOIN c ON s.doc_id = c.doc_id AND c.rep = c.doc_id
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM r a JOIN r b ON a.g = b.g AND a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), e AS MATERIALIZED (SELECT a, b FROM p UNION ALL SELECT b, a FROM p
+), reach(a, b) AS (SELECT rep, rep FROM c UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a
+), m AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m.component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN m ON c.rep = m.rep
+"""

@@ -21,4 +21,5 @@ ORACLE_SQL = {
     "op1_quality": quality.OP1_SQL,
     "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
+    "op7_jaccard_join": jaccard_join.OP7_SQL,
 }
