@@ -13,12 +13,12 @@ from annospark.llm import exact_dedup, jaccard_join, language_id, packing, subst
 from annospark.llm.common import staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A text whose main language has a smaller share of its letters is no text of one language.
-MIN_LANGUAGE_SHARE = 0.5
+#: A text in which no language has this share of the letters goes. Short clean texts with names and addresses stay above it.
+MIN_LANGUAGE_SHARE = 1 / 3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language: not ``und``, and most letters in one language."""
+    """Documents of a known language: not ``und``, and a third of the letters or more in one language."""
     return language_id.keep_known(docs, language_id.train(docs), MIN_LANGUAGE_SHARE).select(COLUMNS)
 
 
