@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.functions import geometry as g
+
 IMAGE_EXTENSIONS = (".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp")
 SHAPE = "struct<label:string,shape_type:string,type:string,points:array<array<double>>,radius:double>"
 ANNOTATION = f"struct<version:string,imagePath:string,imageUrl:string,imageWidth:double,imageHeight:double,shapes:array<{SHAPE}>>"
@@ -25,21 +27,31 @@ def parse(raw: Column) -> Column:
     return F.from_json(raw, ANNOTATION)
 
 
+def structure(raw: Column) -> Column:
+    """(status, shapes_count) of a JSON text, parsed once. Status: invalid_json, missing_shapes (absent or no list),
+    empty_shapes, invalid_image_path, or valid; the first that holds. The count is null unless valid."""
+
+    def judged(v: Column) -> Column:
+        shapes = F.schema_of_variant(F.try_variant_get(v, "$.shapes", "variant"))
+        n = F.size(F.try_variant_get(v, "$.shapes", "array<variant>"))
+        status = (
+            F.when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), "invalid_json")
+            .when(shapes.isNull() | ~shapes.startswith("ARRAY"), "missing_shapes")
+            .when(n == 0, "empty_shapes")
+            .when(F.coalesce(F.try_variant_get(v, "$.imagePath", "string"), F.lit("")) == "", "invalid_image_path")
+            .otherwise("valid")
+        )
+        return g.let(status, lambda s: F.struct(s.alias("status"), F.when(s == "valid", n).alias("shapes_count")))
+
+    return g.let(F.try_parse_json(raw), judged)
+
+
 def structure_status(raw: Column) -> Column:
-    """invalid_json, missing_shapes (absent or no list), empty_shapes, invalid_image_path, or valid; the first that holds."""
-    shapes = _kind(raw, "$.shapes")
-    path = F.try_variant_get(F.try_parse_json(raw), "$.imagePath", "string")
-    return (
-        F.when(~is_object(raw), "invalid_json")
-        .when(shapes.isNull() | ~shapes.startswith("ARRAY"), "missing_shapes")
-        .when(F.size(F.try_variant_get(F.try_parse_json(raw), "$.shapes", "array<variant>")) == 0, "empty_shapes")
-        .when(F.coalesce(path, F.lit("")) == "", "invalid_image_path")
-        .otherwise("valid")
-    )
+    return structure(raw)["status"]
 
 
 def shapes_count(raw: Column) -> Column:
-    return F.when(structure_status(raw) == "valid", F.size(F.try_variant_get(F.try_parse_json(raw), "$.shapes", "array<variant>")))
+    return structure(raw)["shapes_count"]
 
 
 def image_source(a: Column) -> Column:

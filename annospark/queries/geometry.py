@@ -51,7 +51,7 @@ def box_norms(spark, sf):
     out = []
     for norm in ("norm_1", "norm_100", "norm_1000"):
         n = g.normalize(F.col("b"), w, h, norm)
-        out += [F.round(F.sum(n["x_min"]), 3).alias(f"{norm}_x"), F.round(F.sum(n["y_max"]), 3).alias(f"{norm}_y")]
+        out += [F.round(F.sum(n["x_min"]), 4).alias(f"{norm}_x"), F.round(F.sum(n["y_max"]), 4).alias(f"{norm}_y")]
     return rows.groupBy(F.col("s.label").alias("label")).agg(*out)
 
 
@@ -101,7 +101,7 @@ ORACLE_SQL = {
     "box_validity": f"""WITH {BOXES_SQL} SELECT label, CASE WHEN NOT has_box THEN 'no_box' WHEN x_min < 0 OR y_min < 0 THEN 'negative'
       WHEN x_max > width OR y_max > height THEN 'out_of_bounds' WHEN x_max <= x_min OR y_max <= y_min THEN 'zero_area'
       WHEN x_max - x_min < 5 OR y_max - y_min < 5 THEN 'too_small' ELSE 'valid' END AS reason, count(*) AS n FROM boxes GROUP BY ALL""",
-    "box_norms": f"WITH {VALID_SQL} SELECT label, " + ", ".join(f"round(sum(round_even(x_min / width * {t}, {p})), 3) AS norm_{t}_x, round(sum(round_even(y_max / height * {t}, {p})), 3) AS norm_{t}_y" for t, p in ((1, 4), (100, 0), (1000, 0))) + " FROM valid GROUP BY label",
+    "box_norms": f"WITH {VALID_SQL} SELECT label, " + ", ".join(f"round(sum(round_even(x_min / width * {t}, {p})), 4) AS norm_{t}_x, round(sum(round_even(y_max / height * {t}, {p})), 4) AS norm_{t}_y" for t, p in ((1, 4), (100, 0), (1000, 0))) + " FROM valid GROUP BY label",
     "box_layouts": f"WITH {VALID_SQL} SELECT image_id, label, x_min AS x1, y_min AS y1, x_max - x_min AS w, y_max - y_min AS h, (x_min + x_max) / 2 AS cx, (y_min + y_max) / 2 AS cy, x_max AS x2 FROM valid",
     "box_2d_round_trip": f"WITH {VALID_SQL}, c AS (SELECT image_id, label, width, height, {_c2} FROM valid) SELECT image_id, label, c0, c1, c2, c3, round_even(c1 / 1000 * width, 0)::INT AS p0, round_even(c0 / 1000 * height, 0)::INT AS p1, round_even(c3 / 1000 * width, 0)::INT AS p2, round_even(c2 / 1000 * height, 0)::INT AS p3 FROM c",
     "coords_text": f"""WITH {VALID_SQL} SELECT image_id, '[' || concat_ws(', ', round_even(x_min / width * 1000, 0)::BIGINT, round_even(y_min / height * 1000, 0)::BIGINT, round_even(x_max / width * 1000, 0)::BIGINT, round_even(y_max / height * 1000, 0)::BIGINT) || ']' AS thousandths,

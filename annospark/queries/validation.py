@@ -41,8 +41,7 @@ STATUSES = ("valid", "invalid_json", "missing_shapes", "empty_shapes", "invalid_
 
 
 def structure_status(spark, sf):
-    raw = F.col("raw")
-    return _raw(spark, sf).select("image_id", v.structure_status(raw).alias("status"), v.shapes_count(raw).alias("shapes_count"))
+    return _raw(spark, sf).select("image_id", v.structure(F.col("raw")).alias("s")).select("image_id", "s.status", "s.shapes_count")
 
 
 def cleaning_summary(spark, sf):
@@ -107,8 +106,8 @@ def integrity(spark, sf):
 
 def primary_annotation(spark, sf):
     """Annotations that share an image key compete for its image."""
-    s = structure_status(spark, sf).filter("status = 'valid'").select("image_id", "shapes_count")
-    rows = _raw(spark, sf).join(s, "image_id").withColumn("image", F.concat(F.lit("/data/img_"), F.col("image_key").cast("string"), F.lit(".jpg")))
+    rows = _raw(spark, sf).withColumn("s", v.structure(F.col("raw"))).filter("s.status = 'valid'").withColumn("shapes_count", F.col("s.shapes_count"))
+    rows = rows.withColumn("image", F.concat(F.lit("/data/img_"), F.col("image_key").cast("string"), F.lit(".jpg")))
     return v.primary_annotation(rows.select("image_id", "path", "stem", "image", "shapes_count")).select("image_id", "image", "rank", "status")
 
 
