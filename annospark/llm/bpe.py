@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -12,55 +14,102 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, text_slices
-from annospark.llm.word_table import byte_of, encoded, tokenizer, vocabulary
+from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, shuffle_partitions, text_slices
+from annospark.llm.word_table import WordTable, byte_of, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>) for each row of ``docs``, as the tokenizers library encodes its whole text.
+#: Bytes of text that share one list of distinct words.
+BLOCK_BYTES = 16 << 20
 
-    Words are split off, each distinct word of a task's rows is encoded once, and ids are joined back by position.
-    Null and empty texts have no ids; repeated rows are encoded each; a null id stays null. Strings of special tokens
-    inside a text become their ids, as in the library.
-    """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, ids, lengths in encoded(batches, path):
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), list_array(ids, lengths, pa.int32())], ["doc_id", "ids"])
+def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[bytes, pa.RecordBatch, dict[str, int], list[np.ndarray]]]:
+    """Per block of rows: its key, the rows, its distinct words numbered as they come, and each text's words as such numbers.
+
+    The key is a digest of ids and texts: a second reading of the same rows finds the same key, and equal blocks have equal words.
+    """
+    split = vocabulary(path).split
+    for batch in batches:
+        for rows in text_slices(batch, limit=BLOCK_BYTES):
+            words: defaultdict[str, int] = defaultdict()
+            words.default_factory = words.__len__
+            key, places = hashlib.blake2b(digest_size=16), []
+            for doc_id, text in zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist()):
+                key.update(f"{doc_id} {-1 if text is None else len(text)} ".encode() + (text or "").encode())
+                found = split(text or "")
+                places.append(np.fromiter(map(words.__getitem__, found), np.int32, len(found)))
+            yield key.digest(), rows, words, places
+
+
+def _by_bucket(words: dict[str, int], buckets: int) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Words in the order of their buckets, each one's bucket, and the new number of each old one."""
+    flat = list(words)
+    bucket = np.fromiter((zlib.crc32(w.encode()) for w in flat), np.int64, len(flat)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(flat), np.int32)
+    number[order] = np.arange(len(flat), dtype=np.int32)
+    return [flat[i] for i in order.tolist()], bucket[order], number
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
 
+def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids array<int>) for each row of ``docs``, as the tokenizers library encodes its whole text.
 
-def encode_by_join(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``encode`` with one table of distinct words for all documents, and a shuffle join on the word.
+    Texts are split into words, and each block of rows keeps its distinct words and where they stand. The words of all blocks meet by
+    hash, where each distinct word is encoded once; a join on the block puts ids back by position. What moves is a block's distinct words
+    and one number per word, not the words of every place.
 
-    Words and places are exploded, each distinct word of the corpus is encoded once, and ids come back by a join and a grouping
-    by document. It shuffles a row per word twice (figures in the README), so ``encode`` is what the queries use; where all
-    distinct words are wanted as a table, this is the way. Ids are taken to be unique, for a document is grouped by its id.
+    ``docs`` is read twice and has to give the same rows in the same order, as a stored table does; if it doesn't, the query fails.
+    Null and empty texts have no ids; repeated rows are encoded each; a null id stays null. Strings of special tokens
+    inside a text become their ids, as in the library.
     """
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = vocabulary(path)
-        for batch in batches:
-            for rows in text_slices(batch):
-                found = [words.split(t or "") for t in rows.column("text").to_pylist()]
-                lengths = np.fromiter(map(len, found), np.int64, len(found))
-                yield pa.RecordBatch.from_arrays([rows.column("doc_id"), list_array([w for ws in found for w in ws], lengths, pa.string())], ["doc_id", "words"])
+    buckets = shuffle_partitions(docs.sparkSession)
+
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, _, words, _ in _blocks(batches, path):
+            flat, bucket, _ = _by_bucket(words, buckets)
+            found, counts = np.unique(bucket, return_counts=True)
+            columns = [pa.array([key] * len(found), pa.binary()), pa.array(found, pa.int32()), list_array(flat, counts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "words"])
+
+    def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, rows, words, places in _blocks(batches, path):
+            _, _, number = _by_bucket(words, buckets)
+            flat, counts = number[np.concatenate(places)], np.fromiter(map(len, places), np.int64, len(places))
+            whole = [list_array(v, np.array([len(v)]), kind) for v, kind in ((rows.column("doc_id"), pa.int64()), (counts, pa.int64()), (flat, pa.int32()))]
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), *whole], ["block", "doc_ids", "counts", "places"])
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distinct = WordTable(vocabulary(path))
         for batch in batches:
-            words, ids, lengths = vocabulary(path).encode(batch.column("word").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), list_array(ids, lengths, pa.int32())], ["word", "piece_ids"])
+            words = batch.column("words")
+            ids, lengths = distinct.encode_words(words.flatten().to_pylist())
+            per_row = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            per_row_ids = np.diff(bounds(lengths)[bounds(per_row)])
+            columns = [batch.column("block"), batch.column("bucket"), list_array(ids, per_row_ids, pa.int32()), list_array(lengths, per_row, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "ids", "lengths"])
+
+    def put_back(places: pa.Table, words: pa.Table) -> pa.Table:
+        _, first = np.unique(words.column("bucket").to_numpy(), return_index=True)  # equal blocks bring equal rows
+        words = words.take(first)
+        ids, lengths = (words.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("ids", "lengths"))
+        lengths = lengths.astype(np.int64)
+        starts = bounds(lengths)[:-1]
+        parts = []
+        for block in places.to_batches(max_chunksize=1):
+            doc_ids, counts, at = (block.column(c).flatten() for c in ("doc_ids", "counts", "places"))
+            at = at.to_numpy(zero_copy_only=False)
+            if len(at) and at.max() >= len(lengths):
+                raise ValueError("documents were read twice and differed")
+            per_text = np.diff(bounds(lengths[at])[bounds(counts.to_numpy(zero_copy_only=False))])
+            parts.append(pa.table([doc_ids, list_array(gather(ids, starts[at], lengths[at]), per_text, pa.int32())], ["doc_id", "ids"]))
+        return pa.concat_tables(parts) if parts else pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    split_rows = rows.mapInArrow(split, "doc_id long, words array<string>")
-    places = split_rows.select("doc_id", F.posexplode("words").alias("pos", "word"))
-    distinct = places.select("word").distinct().mapInArrow(table, "word string, piece_ids array<int>")
-    joined = places.join(distinct, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("pos", "piece_ids"))).alias("p"))
-    ids = joined.select("doc_id", F.flatten("p.piece_ids").alias("found"))
-    return rows.select("doc_id").join(ids, "doc_id", "left").select("doc_id", F.coalesce("found", F.array().cast("array<int>")).alias("ids"))
+    places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts array<long>, places array<int>")
+    words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
+    encoded = words.mapInArrow(table, "block binary, bucket int, ids array<int>, lengths array<int>")
+    return places.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 
 @lru_cache(maxsize=2)

@@ -193,18 +193,26 @@ class WordTable:
         self.lengths, self.ids = np.concatenate([self.lengths, lengths]), np.concatenate([self.ids, ids])
         return moved
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, and how many each has."""
+    def look_up(self, words: list[str]) -> np.ndarray:
+        """The row of each word; words not seen before are encoded."""
         if len(self.rows) > MAX_WORDS:
             self.clear()
+        at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        if self.rows.waiting and self._add():
+            at = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        return at
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has."""
+        at = self.look_up(words)
+        return gather(self.ids, self.starts[at], self.lengths[at]), self.lengths[at]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and how many each has."""
         words = [self.vocabulary.split(t) for t in texts]
         per_text = np.fromiter(map(len, words), np.int64, len(words))
-        flat = [w for ws in words for w in ws]
-        at = np.fromiter(map(self.rows.__getitem__, flat), np.int64, len(flat))
-        if self.rows.waiting and self._add():
-            at = np.fromiter(map(self.rows.__getitem__, flat), np.int64, len(flat))
-        lengths = self.lengths[at]
-        return gather(self.ids, self.starts[at], lengths), np.diff(bounds(lengths)[bounds(per_text)])
+        ids, lengths = self.encode_words([w for ws in words for w in ws])
+        return ids, np.diff(bounds(lengths)[bounds(per_text)])
 
 
 @lru_cache(maxsize=2)

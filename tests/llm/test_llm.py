@@ -56,7 +56,11 @@ def test_bpe_round_trip(spark):
         assert list(found[i].ids) == ids and found[i].text == (text or "")
         assert sums[i].ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert sums[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
-    assert {r.doc_id: list(r.ids) for r in bpe.encode_by_join(df).collect()} == {i: list(r.ids) for i, r in found.items()}
+    twice = bpe.encode(df.unionAll(df).repartition(1).sortWithinPartitions("doc_id")).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in twice) == sorted((i, list(r.ids)) for i, r in found.items() for _ in "ab")
+    equal_blocks = bpe.encode(df.unionAll(df)).collect()
+    assert sorted((r.doc_id, list(r.ids)) for r in equal_blocks) == sorted((i, list(r.ids)) for i, r in found.items() for _ in "ab")
+    assert [(r.doc_id, list(r.ids)) for r in bpe.encode(df.filter("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long"))).collect()] == [(None, [])]
     assert bpe.encode(df.limit(0)).count() == 0
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().text == ""
 
