@@ -14,14 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, shuffle_partitions, text_slices
+from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, packed, shuffle_partitions, text_slices, unpacked
 from annospark.llm.word_table import WordTable, byte_of, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
 #: Bytes of text that share one list of distinct words.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 12 << 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[bytes, pa.RecordBatch, dict[str, int], list[np.ndarray]]]:
@@ -42,14 +42,8 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[byte
             yield key.digest(), rows, words, places
 
 
-def _by_bucket(words: dict[str, int], buckets: int) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Words in the order of their buckets, each one's bucket, and the new number of each old one."""
-    flat = list(words)
-    bucket = np.fromiter((zlib.crc32(w.encode()) for w in flat), np.int64, len(flat)) % buckets
-    order = np.argsort(bucket, kind="stable")
-    number = np.empty(len(flat), np.int32)
-    number[order] = np.arange(len(flat), dtype=np.int32)
-    return [flat[i] for i in order.tolist()], bucket[order], number
+def _buckets(words: dict[str, int], buckets: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w.encode()) for w in words), np.int64, len(words)) % buckets
 
 
 def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -67,48 +61,46 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, words, _ in _blocks(batches, path):
-            flat, bucket, _ = _by_bucket(words, buckets)
+            flat, bucket = list(words), _buckets(words, buckets)
             found, counts = np.unique(bucket, return_counts=True)
-            columns = [pa.array([key] * len(found), pa.binary()), pa.array(found, pa.int32()), list_array(flat, counts, pa.string())]
+            in_order = [flat[i] for i in np.argsort(bucket, kind="stable").tolist()]
+            columns = [pa.array([key] * len(found), pa.binary()), pa.array(found, pa.int32()), list_array(in_order, counts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "words"])
 
     def places_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, rows, words, places in _blocks(batches, path):
-            _, _, number = _by_bucket(words, buckets)
-            flat, counts = number[np.concatenate(places)], np.fromiter(map(len, places), np.int64, len(places))
-            whole = [list_array(v, np.array([len(v)]), kind) for v, kind in ((rows.column("doc_id"), pa.int64()), (counts, pa.int64()), (flat, pa.int32()))]
-            yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), *whole], ["block", "doc_ids", "counts", "places"])
+            counts = np.fromiter(map(len, places), np.int64, len(places))
+            ids = list_array(rows.column("doc_id"), np.array([rows.num_rows]), pa.int64())
+            numbers = (packed(counts), packed(_buckets(words, buckets)), packed(np.concatenate(places)))
+            yield pa.RecordBatch.from_arrays([pa.array([key], pa.binary()), ids, *(pa.array([n], pa.binary()) for n in numbers)], ["block", "doc_ids", "counts", "buckets", "places"])
 
     def table(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distinct = WordTable(vocabulary(path))
         for batch in batches:
-            words = batch.column("words")
-            ids, lengths = distinct.encode_words(words.flatten().to_pylist())
-            per_row = words.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            per_row_ids = np.diff(bounds(lengths)[bounds(per_row)])
-            columns = [batch.column("block"), batch.column("bucket"), list_array(ids, per_row_ids, pa.int32()), list_array(lengths, per_row, pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, ["block", "bucket", "ids", "lengths"])
+            encoded = [distinct.encode_words(words.as_py()) for words in batch.column("words")]
+            columns = [pa.array([packed(numbers[k]) for numbers in encoded], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("bucket"), *columns], ["block", "bucket", "ids", "lengths"])
 
     def put_back(places: pa.Table, words: pa.Table) -> pa.Table:
-        _, first = np.unique(words.column("bucket").to_numpy(), return_index=True)  # equal blocks bring equal rows
+        found, first = np.unique(words.column("bucket").to_numpy(), return_index=True)  # equal blocks bring equal rows
         words = words.take(first)
-        ids, lengths = (words.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("ids", "lengths"))
-        lengths = lengths.astype(np.int64)
-        starts = bounds(lengths)[:-1]
+        ids, lengths = (np.concatenate([np.empty(0, np.int64), *map(unpacked, words.column(c).to_pylist())]) for c in ("ids", "lengths"))
         parts = []
         for block in places.to_batches(max_chunksize=1):
-            doc_ids, counts, at = (block.column(c).flatten() for c in ("doc_ids", "counts", "places"))
-            at = at.to_numpy(zero_copy_only=False)
-            if len(at) and at.max() >= len(lengths):
+            counts, bucket, at = (unpacked(block.column(c)[0].as_py()) for c in ("counts", "buckets", "places"))
+            if len(bucket) != len(lengths) or not np.array_equal(np.unique(bucket), found):
                 raise ValueError("documents were read twice and differed")
-            per_text = np.diff(bounds(lengths[at])[bounds(counts.to_numpy(zero_copy_only=False))])
-            parts.append(pa.table([doc_ids, list_array(gather(ids, starts[at], lengths[at]), per_text, pa.int32())], ["doc_id", "ids"]))
+            number = np.empty(len(bucket), np.int64)
+            number[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))  # a word's place among those of all buckets
+            at = number[at]
+            per_text = np.diff(bounds(lengths[at])[bounds(counts)])
+            parts.append(pa.table([block.column("doc_ids").flatten(), list_array(gather(ids, bounds(lengths)[at], lengths[at]), per_text, pa.int32())], ["doc_id", "ids"]))
         return pa.concat_tables(parts) if parts else pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts array<long>, places array<int>")
+    places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts binary, buckets binary, places binary")
     words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
-    encoded = words.mapInArrow(table, "block binary, bucket int, ids array<int>, lengths array<int>")
+    encoded = words.mapInArrow(table, "block binary, bucket int, ids binary, lengths binary")
     return places.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 

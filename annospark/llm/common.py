@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -92,3 +93,14 @@ def bounds(lengths: np.ndarray) -> np.ndarray:
 
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(bounds(lengths).astype(np.int32)), pa.array(values, type=kind))
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers below 2^32 in few bytes: the lowest bytes of all of them, then the next ones, compressed."""
+    return zstandard.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    """The numbers that ``packed`` was given."""
+    planes = np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -93,10 +93,10 @@ class Vocabulary:
 class ByteVocabulary(Vocabulary):
     """Byte-level BPE. Latin words go through tiktoken, which has the same merges as ranks and is some times as fast."""
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
         ranks = {bytes(map(byte_of().__getitem__, piece)): i for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
-        self.fast = tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+        return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
 
     def split(self, text: str) -> list[str]:
         return WORD.findall(text)
@@ -122,14 +122,14 @@ class WordVocabulary(Vocabulary):
 
     END = b"\xff"
 
-    def __init__(self, path: str):
-        super().__init__(path)
+    @cached_property
+    def fast(self) -> tiktoken.Encoding:
         ranks = {}
         for piece, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             ends = piece.endswith("</w>")
             ranks[bytes(map(byte_of().__getitem__, piece.removesuffix("</w>"))) + self.END * ends] = i
         ranks[self.END] = max(ranks.values()) + 1  # never left alone: the last byte and the end merge first
-        self.fast = tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        return tiktoken.Encoding("pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def split(self, text: str) -> list[str]:
         if "<|" not in text:
