@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annospark.llm.common import byte_texts, text_slices
+from annospark.llm.common import bounds, byte_texts, text_slices
 
 #: A unit is a run of characters up to full stops, question marks and line ends, with the blanks behind them.
 UNIT = rb"[^.?\n]+[.?\n ]*|[.?\n ]+"
 #: A unit of fewer words is compared together with its neighbours.
 MIN_WORDS = 8
 _UNIT = re.compile(UNIT)
+#: Passages: runs of so many words are compared wherever they start. Of any ``WINDOW`` neighbouring runs one at least is
+#: picked, by its hash, so that a repeated passage of ``RUN + WINDOW - 1`` words is always found.
+RUN = WINDOW = 10
+#: The same for scripts without blanks (Thai to Khmer, CJK with its stops), where each code point counts like a word.
+POINT_RUN = POINT_WINDOW = 20
+_POINTS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3001-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff00-\uffef\U00020000-\U0003ffff"
+_POINT = re.compile(f"[{_POINTS}]")
+_TOKEN = re.compile(f"[{_POINTS}]|[^ \t-\r{_POINTS}]+")
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_MAX_WORDS = 300_000
 
 
 def _keys(text: bytes, min_words: int) -> list[tuple[int, bytes]]:
@@ -36,16 +47,77 @@ def _keys(text: bytes, min_words: int) -> list[tuple[int, bytes]]:
     return found
 
 
-def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+class _Hashes(dict):
+    """The hash of each word, computed once."""
+
+    def __missing__(self, word):
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def _sliding(values: np.ndarray, width: int, pick: np.ufunc) -> np.ndarray:
+    """``pick`` over each ``width`` neighbouring values."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        values, have = pick(values[:-step], values[step:]), have + step
+    return values
+
+
+def _picked_runs(texts: list[list], hashes: _Hashes, run: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first word, 64-bit hash and ``again`` of the picked runs of ``run`` words. A run counts as ``again`` if the
+    first equal one of its text ends before it."""
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    n = int(lengths.sum())
+    if n < run:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, bool))
+    if len(hashes) > _MAX_WORDS:
+        hashes.clear()
+    word = np.fromiter(map(hashes.__getitem__, chain.from_iterable(texts)), np.uint64, n)
+    h = np.zeros(n - run + 1, np.uint64)
+    for k in range(run):
+        h = h * np.uint64(0x9E3779B97F4A7C15) + word[k : len(h) + k]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(32)
+    owner = np.repeat(np.arange(len(texts)), lengths)
+    whole = owner[: len(h)] == owner[run - 1 :]
+    most = np.iinfo(np.uint64).max
+    edge = np.full(window - 1, most)
+    least = _sliding(np.concatenate([edge, np.where(whole, h, most), edge]), window, np.minimum)
+    at = np.flatnonzero(whole & (h == _sliding(least, window, np.maximum)))
+    own, first, h = owner[at], at - bounds(lengths)[owner[at]], h[at]
+    order = np.lexsort((first, h, own))
+    own, first, h = own[order], first[order], h[order]
+    new = np.append(True, (own[1:] != own[:-1]) | (h[1:] != h[:-1]))[: len(h)]
+    again = first >= first[np.flatnonzero(new)][np.cumsum(new) - 1] + run
+    return own, first, h, again
+
+
+def _words(texts: list[bytes]) -> list[list[bytes]]:
+    return [t.lower().split() for t in texts]
+
+
+def _tokens(texts: list[bytes]) -> list[list[str]]:
+    """Code points of scripts without blanks and the words between them; none for texts without such scripts."""
+    decoded = ["" if t.isascii() else t.lower().decode() for t in texts]
+    return [_TOKEN.findall(t) if _POINT.search(t) else [] for t in decoded]
+
+
+def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = False) -> DataFrame:
     """One row per compared unit: doc_id, unit (its number in the text), a 128-bit digest in two halves, and ``again`` if
     the same digest stands earlier in that text. A short unit's digest spans its neighbours, so that it counts as repeated
-    only where they repeat with it."""
+    only where they repeat with it.
+
+    With ``passages`` also one row per picked run of words: unit is -1 - 2 w for the run from word w, -2 - 2 w in texts of
+    scripts without blanks, hi its 64-bit hash and lo the kind (0 or 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _Hashes()
         for batch in batches:
             for part in text_slices(batch):
                 units, digests, again, per_text = [], [], [], []
-                for text in byte_texts(part):
+                texts = byte_texts(part)
+                for text in texts:
                     seen = set()
                     keys = _keys(text, min_words)
                     for i, key in keys:
@@ -57,8 +129,14 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     per_text.append(len(keys))
                 halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
                 ids = part.column("doc_id").take(pa.array(np.repeat(np.arange(len(per_text)), per_text)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(units, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())], ["doc_id", "unit", "hi", "lo", "again"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(units, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())], names)
+                for kind, cut, size, window in kinds:
+                    own, first, h, repeated = _picked_runs(cut(texts), hashes, size, window)
+                    ids = part.column("doc_id").take(pa.array(own))
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(-1 - kind - 2 * first).cast(pa.int32()), pa.array(h.view(np.int64)), pa.array(np.full(len(h), kind)), pa.array(repeated)], names)
 
+    names = ["doc_id", "unit", "hi", "lo", "again"]
+    kinds = [(0, _words, RUN, WINDOW), (1, _tokens, POINT_RUN, POINT_WINDOW)] if passages else []
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return rows.mapInArrow(run, "doc_id long, unit int, hi long, lo long, again boolean")
 
@@ -75,15 +153,20 @@ def repeated_units(units: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("unit")).alias("units"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = True) -> DataFrame:
     """``docs`` with repeated units taken out of the text, and ``removed``: array of (start, end) in code points of the
     original text, adjacent units joined.
 
+    With ``passages`` also repeated runs of words that start or end inside a unit, runs of short units, and runs of code
+    points of scripts without blanks: all of ``RUN + WINDOW - 1`` words (``POINT_RUN + POINT_WINDOW - 1`` code points) are
+    found, but for less than a window at either end. Of a unit cut by the end of a passage a part of up to ``RUN`` words
+    stays, and so does a unit under ``MIN_WORDS`` words there.
+
     Of equal units the one in the smallest doc_id stays, and in that document the first; null ids rank last. Rows that
     repeat an id are taken as one document, each treated alike. Null texts stay null, and they and empty ones have nothing
     removed. All other columns are kept; a column named ``removed`` is replaced.
     """
-    plan = repeated_units(unit_digests(docs, id_col, text_col, min_words)).withColumnsRenamed({"doc_id": "__id", "units": "__units"})
+    plan = repeated_units(unit_digests(docs, id_col, text_col, min_words, passages)).withColumnsRenamed({"doc_id": "__id", "units": "__units"})
     docs = docs.drop("removed") if id_col != "removed" and text_col != "removed" else docs
     joined = docs.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -105,20 +188,61 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return joined.mapInArrow(run, schema)
 
 
+def _starts(text: bytes, kind: int) -> np.ndarray:
+    """First byte of each word or token, and the end of the text."""
+    if kind:
+        first = np.fromiter((m.start() for m in _TOKEN.finditer(text.decode())), np.int64)
+        return np.append(np.flatnonzero((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)[first], len(text))
+    blank = _BLANK[np.frombuffer(text, np.uint8)]
+    return np.append(np.flatnonzero(~blank & np.append(True, blank[:-1])), len(text))
+
+
+def _parts(starts: np.ndarray, edges: np.ndarray, whole: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last byte of what goes of the words in ``runs``: a part of a unit if it is more than one run, a whole unit
+    of ``MIN_WORDS`` words, and a shorter one if both neighbours are in runs or in the units ``whole`` too."""
+    unit = np.searchsorted(edges, starts[:-1], "right") - 1
+    marks = np.zeros(len(starts) + RUN, np.int64)
+    np.add.at(marks, runs, 1)
+    np.add.at(marks, runs + RUN, -1)
+    gone = (np.cumsum(marks)[: len(unit)] > 0) | np.isin(unit, whole)
+    n = len(edges) - 1
+    full = np.bincount(unit, minlength=n) > 0
+    full &= np.bincount(unit, gone, n) == np.bincount(unit, minlength=n)
+    inside = full & np.append(False, full[:-1]) & np.append(full[1:], False)
+    at = np.flatnonzero(gone)
+    new = np.append(True, (np.diff(at) > 1) | (np.diff(unit[at]) > 0))
+    first, behind = at[new], at[np.append(new[1:], True)] + 1
+    goes = (behind - first > RUN) | (full[unit[first]] & (behind - first >= MIN_WORDS)) | inside[unit[first]]
+    return starts[first[goes]], starts[behind[goes]]
+
+
 def _cut(text: bytes, units: list[int]) -> tuple[bytes, list[tuple[int, int]]]:
-    """The text without these units, and their spans in code points."""
+    """The text without these units and runs, and their spans in code points."""
+    found = np.array(units)
     edges = np.array([0, *(m.end() for m in _UNIT.finditer(text))])
-    gone = np.zeros(len(edges) - 1, bool)
-    gone[units] = True
-    kept = b"".join(text[a:b] for a, b in zip(edges[:-1][~gone].tolist(), edges[1:][~gone].tolist()))
-    first, last = np.flatnonzero(gone & ~np.append(False, gone[:-1])), np.flatnonzero(gone & ~np.append(gone[1:], False))
+    own = found[found >= 0]
+    first, last = [edges[own]], [edges[own + 1]]
+    for kind in (0, 1):
+        if len(runs := (-1 - kind - found[(found < 0) & ((-1 - found) % 2 == kind)]) // 2):
+            starts = _starts(text, kind)
+            a, b = (starts[runs], starts[runs + POINT_RUN]) if kind else _parts(starts, edges, own, runs)
+            first.append(a)
+            last.append(b)
+    first, last = np.concatenate(first), np.concatenate(last)
+    if not len(first):
+        return text, []
+    order = np.argsort(first, kind="stable")
+    first, last = first[order], np.maximum.accumulate(last[order])
+    new = np.append(True, first[1:] > last[:-1])
+    first, last = first[new], last[np.append(new[1:], True)]
+    kept = b"".join(text[a:b] for a, b in zip([0, *last.tolist()], [*first.tolist(), len(text)]))
     points = np.append(0, np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80))
-    return kept, list(zip(points[edges[first]].tolist(), points[edges[last + 1]].tolist()))
+    return kept, list(zip(points[first].tolist(), points[last].tolist()))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without repeated units: its length and digest, and what was removed."""
-    found = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))
+    """Every document's text without repeated units, as ``OP2_SQL`` has them, and what was removed."""
+    found = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), passages=False)
     return found.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.to_json("removed").alias("removed"))
 
 

@@ -218,6 +218,29 @@ def test_substring_dedup(spark):
     assert substring_dedup.substring_dedup(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_substring_dedup_of_passages(spark):
+    words = [f"w{k}x" for k in range(400)]
+    mid = " ".join(words[:60])
+    lines = "\n".join(" ".join(words[100 + k : 102 + k]) for k in range(0, 60, 2))
+    han = "".join(chr(0x4E00 + 37 * k) for k in range(120))
+    texts = [
+        f"Some start {mid} and an end of it.", f"Another beginning goes {mid} with some other words behind.",
+        f"Menu\n{lines}\nEnd", f"Other head\n{lines}\nOther tail",
+        f"甲乙{han}丙丁", f"子丑寅{han}卯辰巳", "word " * 3000,
+    ]
+    found = {r.doc_id: r for r in substring_dedup.substring_dedup(docs(spark, texts)).collect()}
+    assert all(found[i].text == texts[i] for i in (0, 2, 4))
+    for i, passage, own in ((1, mid.split(), ["Another beginning goes", "with some other words behind."]), (3, lines.split(), ["Other head", "Other tail"]), (5, list(han), ["子丑寅", "卯辰巳"])):
+        edge = substring_dedup.POINT_WINDOW if i == 5 else substring_dedup.WINDOW + 2  # a line of two words
+        assert sum(w in found[i].text for w in passage) < 2 * edge and not any(w in found[i].text for w in passage[edge:-edge])
+        assert all(o in found[i].text for o in own)
+        (span,) = found[i].removed
+        assert texts[i][: span.start] + texts[i][span.end :] == found[i].text
+    assert found[6].text == "word " * substring_dedup.RUN
+    units = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, texts), passages=False).collect()}
+    assert all(units[i] == texts[i] for i in (1, 3, 5))
+
+
 def test_token_counts(spark):
     scores = token_counts.unigram_scores()
 
