@@ -68,20 +68,33 @@ def _scripts(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """log P(n-gram bucket | language), and which languages a script allows."""
+    """log P(n-gram bucket | language), which languages a script allows, and what counts as evidence for one: a script that
+    some language uses, and a mean log-likelihood of the n-grams above the language's bound."""
 
     languages: list[str]
     log_p: np.ndarray  # buckets x languages
     allowed: np.ndarray  # scripts x languages
+    known: np.ndarray  # scripts
+    bound: np.ndarray  # languages
 
     def score(self, words: list[str]) -> np.ndarray:
+        return self.score_and_evidence(words)[0]
+
+    def score_and_evidence(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores for the best path; and what each word's log-likelihood has above the bounds, then 1 if its script is known.
+        A word of an unknown script has 0 in all of the latter."""
         codes, lengths = _codes([w.lower() for w in words])
         total = np.zeros((len(words), len(self.languages)), np.float32)
+        grams = np.zeros(len(words), np.float32)
         for bucket, owner in _grams(codes, lengths):
             first = np.flatnonzero(np.diff(owner, prepend=-1))
             total[owner[first]] += np.add.reduceat(self.log_p[bucket], first, axis=0)
+            grams += np.bincount(owner, minlength=len(words)).astype(np.float32)
+        scripts = _scripts(codes, lengths)
+        known = self.known[scripts][:, None].astype(np.float32)
+        evidence = np.concatenate([(total - grams[:, None] * self.bound) * known, known], axis=1)
         total -= total.max(axis=1, keepdims=True)
-        return total + np.where(self.allowed[_scripts(codes, lengths)], 0, _NOT_CANDIDATE).astype(np.float32)
+        return total + np.where(self.allowed[scripts], 0, _NOT_CANDIDATE).astype(np.float32), evidence
 
 
 def train(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN_ROWS) -> LanguageModel:
@@ -128,8 +141,11 @@ def train(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id
     grams, letters = table[:BUCKETS], table[BUCKETS:]
     log_p = np.log((grams + 0.5) / (grams.sum(axis=0) + 0.5 * BUCKETS))
     allowed = letters >= MIN_SCRIPT_SHARE * np.maximum(letters.sum(axis=0), 1)
-    allowed[~allowed.any(axis=1)] = True  # a script no language uses rules none out
-    return LanguageModel(languages, log_p.astype(np.float32), allowed)
+    known = allowed.any(axis=1)
+    allowed[~known] = True  # a script no language uses rules none out
+    own = (grams * log_p).sum(axis=0) / np.maximum(grams.sum(axis=0), 1)
+    bound = own + (log_p.mean(axis=0) - own) / 3  # a third of the way from the training rows' own n-grams to n-grams by chance
+    return LanguageModel(languages, log_p.astype(np.float32), allowed, known, bound.astype(np.float32))
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarray:
@@ -224,15 +240,41 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
 
 
 def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose main language has ``min_share`` of their letters, all columns kept. Texts that are null or
-    have no letters go. With a model that knows no language all others stay."""
+    """The rows of ``docs`` whose main language has ``min_share`` of their letters, all columns kept. Letters of scripts that
+    no language of the model uses count for none, and the words of the main language must be likelier under it, on average
+    over their n-grams, than its bound: other scripts and random letters go. Texts that are null or have no letters go too.
+    With a model that knows no language all others stay."""
     if not model.languages:
         return docs.filter(F.col(text_col).rlike(r"\p{L}"))
-    label = _label(docs.sparkSession, model, SWITCH_PENALTY)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    n_lang = len(model.languages)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, _, names, score in label(batches, text_col):
-            yield part.filter(pa.array([n != "und" and s >= min_share for n, s in zip(names, score)], pa.bool_()))
+        model = shared.value
+        rows: dict[str, int] = {}
+        scores, evidence = np.empty((0, n_lang), np.float32), np.empty((0, n_lang + 1), np.float32)
+        for batch in batches:
+            for part in text_slices(batch, text_col, _SLICE):
+                words = [WORD.findall(t or "") for t in part.column(text_col).to_pylist()]
+                flat = [w for ws in words for w in ws]
+                lengths = np.fromiter(map(len, words), np.int64, len(words))
+                if len(rows) > _MAX_WORDS:
+                    rows, scores, evidence = {}, scores[:0], evidence[:0]
+                if new := [w for w in set(flat) if w not in rows]:
+                    rows.update(zip(new, range(len(rows), len(rows) + len(new))))
+                    found = [model.score_and_evidence(new[k : k + 20_000]) for k in range(0, len(new), 20_000)]
+                    scores = np.concatenate([scores, *(f[0] for f in found)])
+                    evidence = np.concatenate([evidence, *(f[1] for f in found)])
+                at = np.fromiter(map(rows.__getitem__, flat), np.int64, len(flat))
+                labels = viterbi(scores[at], lengths, SWITCH_PENALTY)
+                letters = np.fromiter(map(len, flat), np.int64, len(flat))
+                key = np.repeat(np.arange(len(words)), lengths) * n_lang + labels
+                sums = lambda x: np.bincount(key, x, len(words) * n_lang).reshape(len(words), n_lang)  # noqa: B023, E731
+                share, above = sums(letters * evidence[at, n_lang]), sums(evidence[at, labels])
+                own, best = np.arange(len(words)), share.argmax(axis=1)
+                total = sums(letters).sum(axis=1)
+                keep = (share[own, best] > 0) & (share[own, best] >= min_share * total) & (above[own, best] >= 0)
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -18,7 +18,7 @@ MIN_LANGUAGE_SHARE = 1 / 3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of a known language: not ``und``, and a third of the letters or more in one language."""
+    """Documents of a known language: a third of the letters or more in one language, in its script and likely under it."""
     return language_id.keep_known(docs, language_id.train(docs), MIN_LANGUAGE_SHARE).select(COLUMNS)
 
 

@@ -276,6 +276,21 @@ def test_language_id(spark):
     assert language_id.keep_known(docs(spark, [mixed, None, "--"]), model).count() == 1 and language_id.keep_known(docs(spark, ["a", "1"]), none).count() == 1
 
 
+def test_keep_known_by_evidence(spark):
+    rng = random.Random(5)
+    words = {
+        "en": "the house of people and that was with this they went home again when evening came over small town".split(),
+        "de": "der die das und nicht mit einer schönen straße haus leute gehen wieder nach hause abend kleine stadt".split(),
+    }
+    rows = [(k, " ".join(rng.choices(words[lang], k=20)), lang) for k in range(200) for lang in ("en", "de")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    letters = lambda n: " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8)) for _ in range(n))
+    keep = ["the people went home", "Haus und Straße", "evening", "the people went home. Это русский текст", "they went home " + letters(1)]
+    drop = ["Это русский текст для проверки", "这是一个中文句子", "ελληνικό κείμενο", letters(6), letters(40), "home: Это русский текст для проверки языка", None, "12 --"]
+    found = {r.doc_id for r in language_id.keep_known(docs(spark, keep + drop), model, 1 / 3).collect()}
+    assert found == set(range(len(keep)))
+
+
 def test_viterbi_is_the_best_path():
     rng = np.random.default_rng(4)
     lengths = np.array([0, 3, 1, 5, 2])
