@@ -225,7 +225,8 @@ def expand_archives(archives: DataFrame) -> DataFrame:
 
 
 def image_sizes(files: DataFrame) -> DataFrame:
-    """(path, width, height) from the first bytes of PNG, GIF, BMP and JPEG files (path, content); null where unknown."""
+    """(path, width, height) from the headers of PNG, GIF, BMP and JPEG files (path, content); null where unknown. A JPEG is
+    walked through to its size marker, however much metadata stands before it."""
 
     def size(b: bytes) -> tuple[int, int] | None:
         if b[:8] == b"\x89PNG\r\n\x1a\n":
@@ -249,7 +250,9 @@ def image_sizes(files: DataFrame) -> DataFrame:
             found = [size(bytes(b)) or (None, None) for b in frame["content"]]
             yield pd.DataFrame({"path": frame["path"], "width": pd.array([w for w, _ in found], dtype="Int32"), "height": pd.array([h for _, h in found], dtype="Int32")})
 
-    return files.select("path", F.substring("content", 1, 1 << 16).alias("content")).mapInPandas(run, "path string, width int, height int")
+    jpeg = F.hex(F.substring("content", 1, 2)) == "FFD8"
+    head = F.when(jpeg, F.col("content")).otherwise(F.substring("content", 1, 64))
+    return files.select("path", head.alias("content")).mapInPandas(run, "path string, width int, height int")
 
 
 def load_templates(path_text: str) -> dict[str, str]:

@@ -134,3 +134,11 @@ def test_annotation_stream(spark, tmp_path):
     q = counts.writeStream.format("memory").queryName("labels").outputMode("complete").option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(r.label, r.n) for r in spark.table("labels").collect()} == {("cat", 6), ("dog", 5)}
+
+
+def test_size_of_a_jpeg_behind_much_metadata(spark):
+    segment = b"\xff\xe2" + struct.pack(">H", 60002) + b"\x00" * 60000
+    frame = b"\xff\xc0" + struct.pack(">HBHHB", 17, 8, 480, 640, 3) + b"\x00" * 9
+    rows = [(str(n), b"\xff\xd8" + segment * n + frame + b"\xff\xd9") for n in (0, 1, 2, 5)] + [("cut", b"\xff\xd8" + segment * 2)]
+    found = {r.path: (r.width, r.height) for r in files.image_sizes(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    assert found == {"0": (640, 480), "1": (640, 480), "2": (640, 480), "5": (640, 480), "cut": (None, None)}
