@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,12 +21,14 @@ SLICE_BYTES = 1 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` where the session has it.
 
-    Only where neither that setting nor a checkpoint directory exists (a local session, as in tests) is a temporary
-    folder set.
+    Only in a local session (as in tests), where neither that setting nor a checkpoint directory exists, is a temporary
+    folder set; on a cluster that fails, since executors would write to their own disks.
     """
     sc = spark.sparkContext
     path = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="annospark-")
         sc.setCheckpointDir(path)
     return path
@@ -53,6 +56,31 @@ def unstage(*tables: DataFrame) -> None:
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: The column of ``row_keyed``.
+ROW = "__row"
+
+
+def row_keyed(docs: DataFrame, id_col: str = "doc_id", nulls_last: bool = True) -> tuple[DataFrame, bool]:
+    """``docs`` with ``ROW``, a long that tells rows apart and is in the order of the ids; and whether it is no id.
+
+    That is the id itself where no id repeats or is null. Else the rows are written once, in the order of their ids (null
+    ids last or first, equal ids as read), with their numbers.
+    """
+    id_ = F.col(id_col).cast("long")
+    odd = docs.groupBy(id_.alias("id")).count().filter("count > 1 or id is null").limit(1).count()
+    if not odd:
+        return docs.withColumn(ROW, id_), False
+    ordered = docs.orderBy(id_.asc_nulls_last() if nulls_last else id_.asc_nulls_first(), F.monotonically_increasing_id())
+    return staged(ordered.withColumn(ROW, F.monotonically_increasing_id()), "rows"), True
+
+
+def stored(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` if its plan reads without a shuffle, so that a second reading gives the same rows in the same order; else a staged
+    copy."""
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    return staged(docs, name) if "Exchange" in plan else docs
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -7,6 +7,7 @@ by scanning inverted lists of their rarest shingles. The boundary is the one who
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import combinations
 from math import comb
@@ -17,21 +18,38 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounds, byte_texts, staged, text_slices, unstage
+from annospark.llm.common import ROW, byte_texts, row_keyed, staged, text_slices, unstage
 
 WORDS = 5
 PERCENT = 80
 #: Counters of the sketch that orders shingles by how common they are; its size is fixed.
 SKETCH = 1 << 20
 _CHUNK = 1 << 12
-#: Bits of a set's parity signature: two sets differ in at least as many elements as their signatures in bits.
-SIGNATURE = 1024
+#: Least and most bits of a set's parity signature.
+MIN_BITS, MAX_BITS = 1 << 10, 1 << 17
 #: Largest boundary considered between light and heavy sets.
 MAX_LIGHT = 24
 SCAN_COST = 8
 #: Rows of one inverted list that are compared as a block, and members of one star that are verified in one group.
-BLOCK = 2048
+BLOCK = 1024
 STAR = 256
+#: Pairs of rows, and bytes of their signatures, that are compared at a time.
+_PAIRS = 1 << 20
+_SIGNATURE_BYTES = 16 << 20
+#: Rows of a very common key that one task gets, about.
+HOT = 1 << 12
+_MAX_SALT = (1 << 15) - 2
+#: Digests of sets by which a task knows copies among its rows.
+_SEEN = 500_000
+#: Rounds in which the lists' heads are verified, at most.
+ROUNDS = 3
+#: Bytes of text whose words are hashed at a time.
+_PIECE = 1 << 21
+_BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+_CUT = re.compile(rb"[ \t-\r]")
+#: A number for each byte, and the factor of word hashes.
+_NUMBER = np.random.default_rng(7).integers(0, 1 << 64, 256, np.uint64)
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _ROLL = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 
@@ -40,39 +58,54 @@ def needed(n: np.ndarray | int, m: np.ndarray | int, percent: int = PERCENT):
     return -(-percent * (n + m) // (100 + percent))
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        self[word] = found = xxhash.xxh3_64_intdigest(word)
-        return found
-
-
 def _mix(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
 
 
-def shingle_sets(texts: list[bytes], hashes: _WordHashes) -> list[np.ndarray]:
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First byte and 64-bit hash of each word: the sum of its bytes' numbers times powers of a fixed factor, mixed."""
+    low = np.frombuffer(raw.lower(), np.uint8)
+    at = np.flatnonzero(~_BLANK[low])
+    if not len(at):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    first = np.flatnonzero(np.append(True, np.diff(at) > 1))
+    size = np.diff(np.append(first, len(at)))
+    power = np.cumprod(np.append(np.uint64(1), np.full(size.max() - 1, _FACTOR, np.uint64)), dtype=np.uint64)
+    place = np.arange(len(at)) - np.repeat(first, size)
+    return at[first], _mix(np.add.reduceat(_NUMBER[low[at]] * power[place], first) + size.astype(np.uint64))
+
+
+def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Each text's sorted distinct 64-bit hashes of its runs of five words (A-Z lower-cased); with fewer words, of the
     whole sequence; without words, none."""
+    raw, edges = b" ".join(texts), np.cumsum([0, *(len(t) + 1 for t in texts)])
+    starts, words, a = [], [], 0
+    while a < len(raw):  # a piece ends at a blank
+        cut = _CUT.search(raw, a + _PIECE)
+        b = cut.end() if cut else len(raw)
+        at, h = _word_hashes(raw[a:b])
+        starts.append(at + a)
+        words.append(h)
+        a = b
+    if not words:
+        return [np.empty(0, np.uint64) for _ in texts]
+    h = np.concatenate(words)
+    bounds = np.searchsorted(np.concatenate(starts), edges)
+    n = max(0, len(h) - WORDS + 1)
+    runs = _mix(sum((h[k : k + n] * _ROLL[k] for k in range(WORDS)), np.zeros(n, np.uint64)))
     found = []
-    for text in texts:
-        words = text.lower().split()
-        h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-        if len(h) >= WORDS:
-            n = len(h) - WORDS + 1
-            found.append(np.unique(_mix(sum(h[k : k + n] * _ROLL[k] for k in range(WORDS)))))
+    for x, y in zip(bounds.tolist(), bounds[1:].tolist()):
+        if y - x >= WORDS:
+            found.append(np.unique(runs[x : y - WORDS + 1]))
+        elif y > x:
+            found.append(_mix((h[x:y] * _ROLL[: y - x]).sum(keepdims=True, dtype=np.uint64) + np.uint64(y - x)))
         else:
-            found.append(_mix((h * _ROLL[: len(h)]).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(h))) if len(h) else h)
+            found.append(h[:0])
     return found
 
 
-def _with_sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-
-
 def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n, hi, lo, sig) of each row: set size, a 128-bit digest of the set, its signature; and the sketch of shingle counts.
 
@@ -80,15 +113,15 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sketch = _WordHashes(), np.zeros(SKETCH, np.int64)
+        sketch = np.zeros(SKETCH, np.int64)
         names = ["doc_id", "n", "hi", "lo", "sig", "chunk", "counts"]
         for batch in batches:
             for part in text_slices(batch):
-                sets = shingle_sets(byte_texts(part), hashes)
+                sets = shingle_sets(byte_texts(part))
                 sketch += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
-                halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
+                hi, lo = _digests(sets).T
                 size = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(_signature(sets), pa.binary()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), size, pa.array(hi), pa.array(lo), pa.array(map(signature, sets), pa.binary()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
         if sketch.any():
             counts = np.minimum(sketch, (1 << 32) - 1).astype("<u4").reshape(-1, _CHUNK)
             k, long = len(counts), pa.nulls(len(counts), pa.int64())
@@ -111,6 +144,11 @@ def summaries(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     return both.filter("chunk is null").select("doc_id", "n", "hi", "lo", "sig"), np.minimum(total.ravel(), (1 << 31) - 1).astype(np.int32)
 
 
+def _digests(sets: list[np.ndarray]) -> np.ndarray:
+    """A 128-bit digest of each set, as two halves."""
+    return np.frombuffer(b"".join(xxhash.xxh3_128_digest(s.tobytes()) for s in sets), "<i8").reshape(-1, 2)
+
+
 def _prefix(n: int, percent: int) -> int:
     """How many of its rarest shingles a heavy set lists: any linked set of at most its size shares one of them."""
     return n - -(-percent * n // 100) + 1
@@ -134,85 +172,115 @@ def boundary(sizes: dict[int, int], percent: int = PERCENT, max_light: int = MAX
     return best
 
 
-def _signature(sets: list[np.ndarray]) -> list[bytes]:
-    """Of each set, for each of the bits the parity of how many elements fall on it."""
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    bit = (np.concatenate(sets) >> np.uint64(64 - 10)).astype(np.int64) if sets else owner
-    odd = (np.bincount(owner * SIGNATURE + bit, minlength=len(sets) * SIGNATURE) & 1).astype(np.uint8).reshape(-1, SIGNATURE)
-    return [row.tobytes() for row in np.packbits(odd, axis=1)]
+def signature(s: np.ndarray) -> bytes:
+    """The parity of how many elements fall on each bit; bits in proportion to the set's size, a power of two. Two sets differ
+    in at least as many elements as their signatures in bits; the one of half as many bits is the two halves' exclusive or."""
+    bits = max(MIN_BITS, min(MAX_BITS, 1 << (4 * len(s) - 1).bit_length()))
+    return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
 
+def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PERCENT) -> DataFrame:
+    """(key, doc_id, n, kind, rank, salt): the subsets of light sets (kind 1) and the listed shingles of heavy ones (kind 0).
 
-def list_rows(reps: DataFrame, sketch: np.ndarray, light: int, percent: int = PERCENT) -> DataFrame:
-    """(key, doc_id, n, kind): the subsets of light sets (kind 1) and the listed shingles of heavy ones (kind 0)."""
-    shared = reps.sparkSession.sparkContext.broadcast(sketch)  # 4 MB
+    ``rank`` is lower the more of a set's shingles are common: a text that others were copied from has a lower one than
+    those copies, whatever its id. Keys that the sketch takes for very common are dealt out by ``salt`` (1 and up, else 0). Of
+    equal sets in a task the first is listed.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 4 MB
 
-    def subsets(s: np.ndarray) -> Iterator[int]:
+    def subsets(s: np.ndarray, over: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Each subset's key, and the least of its elements' counts."""
         n = len(s)
         for m in _partners(n, percent):
             c = int(needed(n, m, percent))
             if m <= light and c <= n:
                 for k in combinations(range(n), c):
-                    yield xxhash.xxh3_64_intdigest(s[list(k)].tobytes() + bytes([min(n, m), max(n, m)]))
+                    at = list(k)
+                    yield xxhash.xxh3_64_intdigest(s[at].tobytes() + bytes([min(n, m), max(n, m)])), int(over[at].min())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _WordHashes()
+        seen = set()
+        mean = shared.value.mean()
+        noise = mean + 6 * np.sqrt(mean)
         for batch in batches:
             for part in text_slices(batch):
-                sets = shingle_sets(byte_texts(part), hashes)
+                sets = shingle_sets(byte_texts(part))
                 ids = part.column("doc_id").to_numpy()
-                keys, owner, kind = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)]
-                for i, s in enumerate(sets):
+                keys, owner, kind, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int64)]
+                rank = np.zeros(len(sets), np.int16)
+                if len(seen) > _SEEN:
+                    seen.clear()
+                for i, (s, digest) in enumerate(zip(sets, map(tuple, _digests(sets).tolist()))):
                     n = len(s)
-                    if not n:
+                    if not n or digest in seen:
                         continue
-                    if n <= light and (found := list(subsets(s))):
-                        keys.append(np.array(found, np.uint64))
+                    seen.add(digest)
+                    common = shared.value[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
+                    rank[i] = -round(1024 * np.log2(1 + np.maximum(common - mean, 0)).mean())
+                    if n <= light and (found := list(subsets(s, common))):
+                        keys.append(np.array([k for k, _ in found], np.uint64))
+                        counts.append(np.array([c for _, c in found], np.int64))
                         kind.append(np.ones(len(found), np.int8))
                         owner.append(np.full(len(found), i))
                     if 100 * n >= percent * (light + 1):
-                        common = shared.value[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
                         k = _prefix(n, percent)
                         order = np.lexsort((s, common))[:k] if k < n else np.arange(n)
                         keys.append(s[order])
+                        counts.append(common[order])
                         kind.append(np.zeros(len(order), np.int8))
                         owner.append(np.full(len(order), i))
                 owner = np.concatenate(owner)
                 size = np.array([len(s) for s in sets], np.int64)
-                columns = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(ids[owner]), pa.array(size[owner].astype(np.int32)), pa.array(np.concatenate(kind))]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "n", "kind"])
+                salts = np.clip(np.ceil((np.concatenate(counts) - noise) / HOT), 1, _MAX_SALT).astype(np.int64)
+                salt = np.where(salts > 1, 1 + _mix(ids[owner].view(np.uint64)).astype(np.uint64) % salts.astype(np.uint64), 0).astype(np.int16)
+                columns = [np.concatenate(keys).view(np.int64), ids[owner], size[owner].astype(np.int32), np.concatenate(kind), rank[owner], salt]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "n", "kind", "rank", "salt"])
 
-    return reps.mapInArrow(run, "key long, doc_id long, n int, kind byte")
+    return docs.mapInArrow(run, "key long, doc_id long, n int, kind byte, rank short, salt short")
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
-    """(key, kind, doc_id, n, head, head_n): the rows of each list but its first, with that first document, the head.
+    """(key, kind, doc_id, n, rank, head, head_n): the rows of each list but its head, the row of the lowest rank.
 
-    Rows are dealt by key and sorted in each partition; a task holds one row of a list at a time, whatever its length.
+    Rows are dealt by key and salt and sorted in each partition; a task holds one row of a list at a time, whatever its
+    length. The parts of a salted list each have a head of their own; the best of these becomes the list's.
     """
+    names = ["key", "kind", "salt", "doc_id", "n", "rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, kind, doc, n = (batch.column(c).to_numpy() for c in ("key", "kind", "doc_id", "n"))
+            rows = [batch.column(c).to_numpy() for c in names]
+            fresh = np.ones(batch.num_rows, bool)
             if last is not None:
-                key, kind, doc, n = (np.append(v, x) for v, x in zip(last, (key, kind, doc, n)))
+                rows = [np.append(v, x) for v, x in zip(last, rows)]
+                fresh = np.append(False, fresh)  # the row before was seen
+            key, kind, salt, doc, n, rank = rows
             new = np.ones(len(key), bool)
-            new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])
+            new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (salt[1:] != salt[:-1])
             head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            keep = ~new
+            keep = fresh & ((head != np.arange(len(head))) | (salt > 0))
             if keep.any():
-                columns = (key, kind, doc, n, doc[head], n[head])
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], ["key", "kind", "doc_id", "n", "head", "head_n"])
-            last = tuple(c[head[-1]] for c in (key, kind, doc, n))  # the next rows may belong to its list
-
-    dealt = rows.repartition("key").sortWithinPartitions("key", "kind", "doc_id")
-    return dealt.mapInArrow(run, "key long, kind byte, doc_id long, n int, head long, head_n int")
+                columns = (key, kind, salt, doc, n, rank, doc[head], n[head], rank[head])
+                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [*names, "head", "head_n", "head_rank"])
+            last = tuple(c[head[-1]] for c in rows)  # the next rows may belong to its list
+
+    dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "kind", "salt", "rank", "doc_id")
+    schema = "key long, kind byte, salt short, doc_id long, n int, rank short, head long, head_n int, head_rank short"
+    found = staged(dealt.mapInArrow(run, schema), "lists")
+    columns = ["key", "kind", "doc_id", "n", "rank", "head", "head_n"]
+    salted = found.filter("salt > 0")
+    if not salted.limit(1).count():
+        return found.select(columns)
+    best = salted.groupBy("key", "kind").agg(F.min(F.struct(F.col("head_rank").alias("r"), F.col("head").alias("d"), F.col("head_n").alias("n"))).alias("best"))
+    salted = salted.drop("head", "head_n").join(best, ["key", "kind"]).withColumns({"head": F.col("best.d"), "head_n": F.col("best.n")}).filter("head <> doc_id")
+    return found.filter("salt = 0").select(columns).unionAll(salted.select(columns))
 
 
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The distinct pairs (a, b) whose sets link, from their whole texts.
+    """The pairs (a, b) whose sets link, from their whole texts. Sets are compared by 64-bit hashes of their shingles.
 
     Pairs of one ``a`` form a star. A star is cut into groups of about ``STAR`` members, each with its own copy of the
     centre's text; in a sorted group the centre comes first, so a task holds one set besides the row at hand.
@@ -223,12 +291,12 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
     rows = members.unionAll(centres).join(docs, "doc_id").select("a", "g", "place", "doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, centre, own = _WordHashes(), None, None
+        centre, own = None, None
         for batch in batches:
             for part in text_slices(batch):
                 a, g, place, doc = (part.column(c).to_numpy() for c in ("a", "g", "place", "doc_id"))
                 good = []
-                for i, s in enumerate(shingle_sets(byte_texts(part), hashes)):
+                for i, s in enumerate(shingle_sets(byte_texts(part))):
                     if place[i] == 0:
                         centre, own = s, (a[i], g[i])
                     elif own == (a[i], g[i]) and len(s) and len(centre):
@@ -262,109 +330,193 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def straggler_pairs(lists: DataFrame, labels: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) that share a list, lie in different components, and can still link by size and signature.
+def _may_link(left: np.ndarray, right: np.ndarray, n: np.ndarray, sig: list[bytes], percent: int) -> np.ndarray:
+    """Whether the sets of each pair of rows can link by their sizes and signatures. Two sets whose signatures differ in more
+    bits than linked sets may differ in elements can't link, so no pair of linked sets is lost."""
+    fits = 100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right])
+    size = np.fromiter(map(len, sig), np.int64, len(sig))
+    level = np.where(fits, np.minimum(size[left], size[right]), 0)
+    for z in np.unique(level[level > 0]).tolist():
+        of_level = np.flatnonzero(level == z)
+        for at in np.split(of_level, range(_SIGNATURE_BYTES // z, len(of_level), _SIGNATURE_BYTES // z)):
+            rows, place = np.unique(np.concatenate([left[at], right[at]]), return_inverse=True)
+            bits = np.stack([_folded(sig[k], z) for k in rows.tolist()])
+            differ = np.bitwise_count(bits[place[: len(at)]] ^ bits[place[len(at) :]]).sum(axis=1, dtype=np.int64)
+            both = n[left[at]] + n[right[at]]
+            fits[at] = differ <= both - 2 * needed(both, 0, percent)
+    return fits
+
+
+def _folded(sig: bytes, size: int) -> np.ndarray:
+    bits = np.frombuffer(sig, np.uint64)
+    while bits.nbytes > size:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
+def next_heads(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of each open list's next head with its members of other components that it may link with. The head
+    is the member of the lowest rank outside the component that has most members."""
+    most = rows.groupBy("key", "kind", "comp").agg(F.count("*").alias("k")).groupBy("key", "kind").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"))
+    heads = rows.join(most, ["key", "kind"]).filter("comp <> most").groupBy("key", "kind").agg(F.min(F.struct("rank", "doc_id", "n", "comp")).alias("h"))
+    pairs = rows.join(heads, ["key", "kind"]).filter(F.col("h.comp") != F.col("comp"))
+    pairs = pairs.select(F.col("h.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("h.n").alias("n"), F.col("n").alias("m"))
+    pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+    for end in ("a", "b"):
+        pairs = pairs.join(sigs.withColumnsRenamed({"doc_id": end, "sig": f"sig_{end}"}), end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            k = np.arange(batch.num_rows)
+            n, m = (batch.column(c).to_numpy().astype(np.int64) for c in "nm")
+            good = _may_link(k, k + len(k), np.concatenate([n, m]), batch.column("sig_a").to_pylist() + batch.column("sig_b").to_pylist(), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good)) for c in "ab"], ["a", "b"])
 
-    Only lists with a member outside its head's component are read again. Lists longer than ``BLOCK`` are dealt out as
-    pairs of blocks. Two sets whose signatures differ in more bits than linked sets may differ in elements can't link, so no
-    pair of linked sets is lost.
+    return pairs.mapInArrow(run, "a long, b long")
+
+
+def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of documents that share a list, lie in different components, and can still link by size and signature.
+
+    ``rows`` (key, kind, doc_id, n, comp) are the lists with members of several components. Lists longer than ``BLOCK`` are
+    dealt out as pairs of blocks.
     """
-    comp = labels.select(F.col("v"), F.col("comp"))
-    pairs = lists.select("head", "doc_id").distinct()
-    of_doc = comp.withColumnsRenamed({"v": "doc_id", "comp": "c1"})
-    of_head = comp.withColumnsRenamed({"v": "head", "comp": "c2"})
-    apart = pairs.join(of_doc, "doc_id", "left").join(of_head, "head", "left").filter(F.coalesce("c1", "doc_id") != F.coalesce("c2", "head")).select("head", "doc_id")
-    open_lists = lists.join(apart, ["head", "doc_id"], "left_semi").select("key", "kind").distinct()
-    rows = lists.join(open_lists, ["key", "kind"], "left_semi")
-    sized = rows.groupBy("key", "kind").agg(F.count("*").alias("size"), F.min("head").alias("head")).filter("size > 1")  # of two, the pair is verified
-    rows = rows.select("key", "kind", "doc_id").join(sized.select("key", "kind", "size"), ["key", "kind"])
-    rows = rows.unionAll(sized.select("key", "kind", F.col("head").alias("doc_id"), "size"))
-    blocks = F.ceil((F.col("size") + 1) / BLOCK).cast("int")
-    rows = rows.select("key", "kind", "doc_id", blocks.alias("blocks"), F.pmod(F.xxhash64("doc_id"), blocks).cast("int").alias("own"))
-    rows = rows.join(of_doc, "doc_id", "left").withColumn("comp", F.coalesce("c1", "doc_id")).join(sigs.select("doc_id", "n", "sig"), "doc_id")
+    sized = rows.groupBy("key", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(sized, ["key", "kind"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(sigs, "doc_id")
     rows = rows.select("key", "kind", "doc_id", "comp", "n", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", "kind", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "comp", "n", "sig")
-
-    def compare(doc, comp, n, own, sig, i, j) -> pa.RecordBatch:
-        bits = np.frombuffer(b"".join(sig), np.uint64).reshape(-1, SIGNATURE // 64)
-        a_, b_ = [], []
-        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
-        for k in left.tolist():
-            others = right if i != j else right[right > k]
-            others = others[(comp[others] != comp[k]) & (100 * np.minimum(n[others], n[k]) >= percent * np.maximum(n[others], n[k]))]
-            if len(others):
-                differ = np.bitwise_count(bits[others] ^ bits[k]).sum(axis=1, dtype=np.int64)
-                both = n[others] + n[k]
-                others = others[differ <= both - 2 * needed(both, 0, percent)]
-                a_.append(np.minimum(doc[k], doc[others]))
-                b_.append(np.maximum(doc[k], doc[others]))
-        none = [np.empty(0, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a_ or none)), pa.array(np.concatenate(b_ or none))], ["a", "b"])
+    groups = ["key", "kind", "i", "j"]
+
+    def compare(table: pa.Table) -> pa.RecordBatch:
+        """The pairs of whole groups, each at most about 2 * ``BLOCK`` rows."""
+        at = np.stack([table.column(c).to_numpy().astype(np.int64) for c in groups])
+        doc, comp, n, own = (table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "comp", "n", "own"))
+        sig = table.column("sig").to_pylist()
+        cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), len(doc)]
+        found, left, right, waiting = [], [], [], 0
+        for x, y in zip(cuts, cuts[1:]):
+            if at[2, x] == at[3, x]:
+                first, second = (x + k for k in np.triu_indices(y - x, 1))
+            else:
+                i, j = x + np.flatnonzero(own[x:y] == at[2, x]), x + np.flatnonzero(own[x:y] == at[3, x])
+                first, second = np.repeat(i, len(j)), np.tile(j, len(i))
+            apart = comp[first] != comp[second]
+            left.append(first[apart])
+            right.append(second[apart])
+            waiting += len(left[-1])
+            if waiting > _PAIRS or y == len(doc):
+                first, second = np.concatenate(left), np.concatenate(right)
+                good = _may_link(first, second, n, sig, percent)
+                found.append(np.unique(np.sort(np.stack([doc[first[good]], doc[second[good]]]), axis=0), axis=1))
+                left, right, waiting = [], [], 0
+        a, b = np.concatenate(found, axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []  # of the block pair at hand: at most about 2 * BLOCK rows
-        names = ["key", "kind", "i", "j"]
-        last = None
+        held: pa.Table | None = None  # the group at hand may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            at = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in names])
-            cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
-            for x, y in zip(cuts, cuts[1:]):
-                here = tuple(at[:, x].tolist())
-                if here != last and held:
-                    yield flush(held, last)
-                    held = []
-                held.append(batch.slice(x, y - x))
-                last = here
-        if held:
-            yield flush(held, last)
-
-    def flush(held: list[pa.RecordBatch], at: tuple) -> pa.RecordBatch:
-        table = pa.Table.from_batches([pa.RecordBatch.from_arrays(b.columns, b.schema.names) for b in held])
-        doc, comp, n, own = (table.column(c).to_numpy() for c in ("doc_id", "comp", "n", "own"))
-        return compare(doc, comp, n, own, table.column("sig").to_pylist(), at[2], at[3])
-
-    dealt = rows.repartition("key", "kind", "i", "j").sortWithinPartitions("key", "kind", "i", "j", "doc_id")
+            table = pa.Table.from_batches([pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)])
+            table = table if held is None else pa.concat_tables([held, table])
+            at = np.stack([table.column(c).to_numpy().astype(np.int64) for c in groups])
+            cut = table.num_rows - int((at[:, ::-1] == at[:, -1:]).all(axis=0).cumprod().sum())
+            if cut:
+                yield compare(table.slice(0, cut))
+            held = table.slice(cut)
+        if held is not None:
+            yield compare(held)
+
+    dealt = rows.repartition(*groups).sortWithinPartitions(*groups, "doc_id")
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Of the lists with members in several components (as ``labels`` has them): key, kind, doc_id, n, rank, comp."""
+    rows = rows.select("key", "kind", "doc_id", "n", "rank").join(labels.withColumnRenamed("v", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    several = rows.groupBy("key", "kind").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key", "kind")
+    return rows.join(several, ["key", "kind"], "left_semi")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of ``docs``: set size and the smallest id reachable by links.
 
-    Equal sets form one class, stood for by its smallest id; only those go on. Candidates come from the lists that light
-    and heavy sets share. First each list's head is verified against its members, which joins a dense group by stars
-    instead of all its pairs; then the pairs of a list that are still in different components are. No candidate is capped, so
-    no link between components is lost. Null and empty texts have no shingles and stay alone. Ids are taken to be
-    unique; a null id has a null component. An empty input gives no rows. Other columns are never read.
+    Null and empty texts have no shingles and stay alone. Rows that repeat an id are compared each, as rows of their own. A
+    null id stays null, and a component of such rows alone has a null id. An empty input gives no rows. Other columns are
+    never read.
+    """
+    keyed, numbered = row_keyed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")))
+    found = _components(keyed.select(F.col(ROW).alias("doc_id"), "text"), percent)
+    if not numbered:
+        return found
+    names = keyed.select("doc_id", ROW)
+    found = found.withColumnRenamed("doc_id", ROW).join(names, ROW)
+    least = names.select(F.col(ROW).alias("component_id"), F.col("doc_id").alias("least"))
+    return found.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+
+
+def _components(docs: DataFrame, percent: int) -> DataFrame:
+    """``near_duplicates`` of (doc_id, text) with distinct ids.
+
+    Equal sets form one class, stood for by its smallest id. Candidates come from the lists that light and heavy sets share.
+    First each list's head is verified against its members, which joins a dense group by stars instead of all its pairs;
+    in lists whose members are still apart the next head is one outside the component of the most members, for ``ROUNDS`` rounds
+    or until a round joins nothing. Then the pairs of a list that are still in different components are compared. No candidate
+    is capped, so no link between components is lost.
     """
-    docs = _with_sets(docs, id_col, text_col)
     sets, sketch = summaries(docs)
-    classes = sets.filter("n > 0 and doc_id is not null").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
-    classes = staged(classes.filter("rows > 1").select("hi", "lo", "rep"), "classes")
-    members = sets.join(classes, ["hi", "lo"], "left").select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"))
-    copies = members.filter("rep <> doc_id").select("doc_id")
-    reps = docs.filter("doc_id is not null").join(copies, "doc_id", "left_anti")
-    small = sets.filter(F.col("n") <= int(1.25 * MAX_LIGHT)).groupBy("n").count().collect()  # a row per small size
+    classes = sets.filter("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
+    copies = staged(sets.join(classes.filter("rows > 1"), ["hi", "lo"]).filter("rep <> doc_id").select("doc_id", "rep"), "copies")
+    small = sets.filter(F.col("n") <= int(1.25 * MAX_LIGHT)).select("n", "hi", "lo").distinct().groupBy("n").count().collect()  # a row per small size
     light = boundary({int(r["n"]): r["count"] for r in small}, percent)
-    lists = staged(shared_lists(list_rows(reps, sketch, light, percent)), "lists")
+
+    def represented(rows: DataFrame, column: str) -> DataFrame:
+        of = copies.select(F.col("doc_id").alias(column), "rep")
+        return rows.join(of, column, "left").withColumn(column, F.coalesce("rep", column)).drop("rep")
+
+    lists = represented(represented(shared_lists(list_rows(docs, sketch, light, percent)), "doc_id"), "head").filter("head <> doc_id").distinct()
+    lists = staged(lists, "lists")
     fits = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
-    first = lists.filter(fits).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = staged(verified(first, docs, percent), "links")
+    pairs = lists.filter(fits).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
+    several = lists.groupBy("key", "kind").agg(F.count("*").alias("rows")).filter("rows > 1")
+    rows = lists.join(several, ["key", "kind"], "left_semi")
+    read = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(rows.select("doc_id")).distinct()
+    texts = staged(docs.join(read, "doc_id", "left_semi"), "texts")
+    done = staged(pairs, "pairs")
+    links = staged(verified(done, texts, percent), "links")
     labels = components(links)
-    second = straggler_pairs(lists, labels, sets, percent).join(first, ["a", "b"], "left_anti")
-    more = staged(verified(staged(second, "pairs"), docs, percent), "links")
-    labels = components(links.unionAll(more))
-    unstage(lists)
-    return members.join(labels, F.col("rep") == F.col("v"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "rep", "doc_id").alias("component_id")
-    )
+    rows = staged(_open_rows(rows, labels), "rows")
+    sigs = staged(sets.select("doc_id", "sig").join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), "signatures")
+
+    def fresh(pairs: DataFrame) -> DataFrame:
+        for ends in (["a", "b"], ["b", "a"]):
+            pairs = pairs.join(done.select(F.col("a").alias(ends[0]), F.col("b").alias(ends[1])), ["a", "b"], "left_anti")
+        return pairs
+
+    for _ in range(1, ROUNDS):
+        pairs = staged(fresh(next_heads(rows, sigs, percent)), "pairs")
+        more = staged(verified(pairs, texts, percent), "links")
+        done = done.unionAll(pairs)
+        if not more.limit(1).count():
+            break
+        links = links.unionAll(more)
+        labels = components(links)
+        rows = staged(_open_rows(rows, labels), "rows")
+    more = staged(verified(staged(fresh(straggler_pairs(rows, sigs, percent)), "pairs"), texts, percent), "links")
+    if more.limit(1).count():
+        labels = components(links.unionAll(more))
+    unstage(lists, texts)
+    members = represented(sets.select("doc_id", "n", F.col("doc_id").alias("v")), "v")
+    return members.join(labels, "v", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "v").alias("component_id"))
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, all columns kept; rows with a null id stay."""
-    gone = near_duplicates(docs, id_col, text_col, percent).filter("component_id <> doc_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    """One row of each component of ``docs``, all columns kept: that of the smallest id, of rows that repeat it the first read
+    (null ids rank last). Rows without shingles stay."""
+    keyed, _ = row_keyed(docs, id_col)
+    found = _components(keyed.select(F.col(ROW).alias("doc_id"), F.col(text_col).alias("text")), percent)
+    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias(ROW))
+    return keyed.join(gone, ROW, "left_anti").select(docs.columns)
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
