@@ -5,8 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections import defaultdict
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -14,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import SLICE_BYTES, bounds, gather, list_array, packed, shuffle_partitions, text_slices, unpacked
+from annospark.llm.common import bounds, gather, list_array, packed, shuffle_partitions, stored, text_slices, unpacked
 from annospark.llm.word_table import WordTable, byte_of, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -22,6 +21,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Bytes of text that share one list of distinct words.
 BLOCK_BYTES = 12 << 20
+#: Ids that are decoded together.
+DECODE_IDS = 1 << 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[bytes, pa.RecordBatch, dict[str, int], list[np.ndarray]]]:
@@ -53,7 +54,7 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
     hash, where each distinct word is encoded once; a join on the block puts ids back by position. What moves is a block's distinct words
     and one number per word, not the words of every place.
 
-    ``docs`` is read twice and has to give the same rows in the same order, as a stored table does; if it doesn't, the query fails.
+    ``docs`` is read twice; where its plan has a shuffle, which may bring rows in another order, it is first written to the shared folder.
     Null and empty texts have no ids; repeated rows are encoded each; a null id stays null. Strings of special tokens
     inside a text become their ids, as in the library.
     """
@@ -97,69 +98,103 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
             parts.append(pa.table([block.column("doc_ids").flatten(), list_array(gather(ids, bounds(lengths)[at], lengths[at]), per_text, pa.int32())], ["doc_id", "ids"]))
         return pa.concat_tables(parts) if parts else pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "texts")
     places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts binary, buckets binary, places binary")
     words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
     encoded = words.mapInArrow(table, "block binary, bucket int, ids binary, lengths binary")
     return places.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 
-@lru_cache(maxsize=2)
-def _piece_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Bytes of all pieces, and each id's start and length."""
-    found = tokenizer(path)
-    pieces = [found.id_to_token(i) or "" for i in range(found.get_vocab_size())]
-    known = byte_of()
-    raw = [bytes(known[c] for c in p) if all(c in known for c in p) else p.encode() for p in pieces]
-    lengths = np.fromiter(map(len, raw), np.int64, len(raw))
-    return np.frombuffer(b"".join(raw), np.uint8), np.cumsum(lengths) - lengths, lengths
-
-
-def _decoded(ids: np.ndarray, counts: np.ndarray, path: str) -> list[str]:
-    """The text of each run of ids: pieces looked up by id, and joined by position."""
-    flat, starts, lengths = _piece_table(path)
-    each = lengths[ids]
-    raw = gather(flat, starts[ids], each).tobytes()
-    ends = bounds(each)[bounds(counts)].tolist()
-    return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+def piece_table(spark: SparkSession, path: str) -> DataFrame:
+    """(id, piece binary): the bytes of each id of a vocabulary file."""
+    found, known = tokenizer(path), byte_of()
+    pieces = [(i, found.id_to_token(i) or "") for i in range(found.get_vocab_size())]
+    raw = [(i, bytes(known[c] for c in p) if all(c in known for c in p) else p.encode()) for i, p in pieces]
+    return spark.createDataFrame(raw, "id int, piece binary")
 
 
 def _id_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Runs of rows with their flat ids and counts; null arrays have none."""
     ids = batch.column("ids")
     counts = ids.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-    part = np.cumsum(counts) * 4 // SLICE_BYTES
+    part = np.cumsum(counts) // DECODE_IDS
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
     for a, b in zip(cuts, cuts[1:]):
         yield batch.slice(a, b - a), ids.slice(a, b - a).flatten().to_numpy(zero_copy_only=False), counts[a:b]
 
 
-def decode(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
-    """(doc_id, ids, text): the text of each row's ids, special tokens included. Null or empty ids give an empty text;
-    bytes that are no UTF-8 become U+FFFD. An id outside the vocabulary fails."""
+def _with_pieces(encoded_docs: DataFrame, path: str, schema: str, made: Callable[[pa.Array, np.ndarray, np.ndarray, list[str]], list[pa.Array]]) -> DataFrame:
+    """Rows that ``made`` builds of doc ids, flat ids, counts and texts, by a join of ids with the vocabulary's pieces.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each slice of rows sends one row per distinct id through a broadcast join with the pieces (a vocabulary: tens of thousands of
+    rows, whatever the input), and one row, without id, with the slice itself behind them. The join streams, so each slice's rows
+    arrive together and in order: what the join found is put in place by position.
+    """
+    spark = encoded_docs.sparkSession
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, ids, counts in _id_slices(batch):
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(_decoded(ids, counts, path), pa.string())], ["doc_id", "ids", "text"])
+                found, at = np.unique(ids, return_inverse=True)
+                k = len(found)
+                doc_ids = rows.column("doc_id")
+                body = pa.StructArray.from_arrays(
+                    [list_array(doc_ids, np.array([len(doc_ids)]), pa.int64()), pa.array([packed(counts)], pa.binary()), pa.array([packed(at.ravel())], pa.binary())],
+                    ["doc_ids", "counts", "places"],
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([pa.array(found.astype(np.int32)), pa.nulls(1, pa.int32())]), pa.concat_arrays([pa.nulls(k, body.type), body])], ["id", "body"]
+                )
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, pieces = [np.empty(0, np.int64)], []
+        for batch in batches:
+            bodies = np.flatnonzero(batch.column("body").is_valid().to_numpy(zero_copy_only=False)).tolist()
+            last = 0
+            for k in [*bodies, batch.num_rows]:
+                ids.append(batch.column("id").slice(last, k - last).to_numpy(zero_copy_only=False).astype(np.int64))
+                pieces += batch.column("piece").slice(last, k - last).to_pylist()
+                if k == batch.num_rows:
+                    break
+                body = batch.column("body")[k]
+                counts, at = unpacked(body["counts"].as_py()), unpacked(body["places"].as_py())
+                ids = np.concatenate(ids)
+                if len(ids) != (at.max() + 1 if len(at) else 0) or None in pieces:
+                    raise ValueError("an id outside the vocabulary")
+                raw = [pieces[i] for i in at.tolist()]
+                edge = bounds(counts).tolist()
+                texts = [b"".join(raw[a:b]).decode("utf-8", "replace") for a, b in zip(edge, edge[1:])]
+                yield pa.RecordBatch.from_arrays(made(body["doc_ids"].values, ids[at], counts, texts), columns)
+                ids, pieces, last = [np.empty(0, np.int64)], [], k + 1
+
+    columns = [field.split()[0] for field in schema.split(", ")]
+    kind = "id int, body struct<doc_ids:array<bigint>,counts:binary,places:binary>"
+    rows = encoded_docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(distinct, kind)
+    joined = rows.join(F.broadcast(piece_table(spark, path)), "id", "left")
+    return joined.select("id", "piece", "body").mapInArrow(put, schema)
 
-    return encoded_docs.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, text string")
+
+def decode(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
+    """(doc_id, ids, text): the text of each row's ids, special tokens included. Null or empty ids give an empty text, and no
+    ids; bytes that are no UTF-8 become U+FFFD. An id outside the vocabulary fails."""
+
+    def made(doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[pa.Array]:
+        return [doc_ids, list_array(ids.astype(np.int32), counts, pa.int32()), pa.array(texts, pa.string())]
+
+    return _with_pieces(encoded_docs, path, "doc_id long, ids array<int>, text string", made)
 
 
 def round_trip_digests(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): SHA-256 of each row's ids as little-endian unsigned 32-bit integers,
     and of the text that ``decode`` gives for them. One pass, so that decoded texts don't leave the task."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for rows, ids, counts in _id_slices(batch):
-                raw, ends = ids.astype("<u4").tobytes(), (4 * bounds(counts)).tolist()
-                of_ids = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
-                of_text = [hashlib.sha256(t.encode()).hexdigest() for t in _decoded(ids, counts, path)]
-                columns = [rows.column("doc_id"), pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+    def made(doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[pa.Array]:
+        raw, ends = ids.astype("<u4").tobytes(), (4 * bounds(counts)).tolist()
+        of_ids = [hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(ends, ends[1:])]
+        of_text = [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+        return [doc_ids, pa.array(counts, pa.int64()), pa.array(of_ids, pa.string()), pa.array(of_text, pa.string())]
 
-    return encoded_docs.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _with_pieces(encoded_docs, path, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", made)
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

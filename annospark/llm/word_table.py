@@ -33,6 +33,8 @@ BARE_WORD = re.compile(f"[^{WHITE_SPACE}]+")
 LATIN = re.compile(f"[{chr(0)}-{chr(0x24F)}]*")
 #: Words that a table holds before it starts anew; bounds a worker's memory, changes no result.
 MAX_WORDS = 500_000
+#: Longest word whose pieces tiktoken's pattern is asked for; it gives up on runs of some hundred thousand blanks.
+MAX_FAST = 1 << 14
 #: Words encoded in one call.
 CALL_WORDS = 1024
 
@@ -91,7 +93,8 @@ class Vocabulary:
 
 
 class ByteVocabulary(Vocabulary):
-    """Byte-level BPE. Latin words go through tiktoken, which has the same merges as ranks and is some times as fast."""
+    """Byte-level BPE. Latin words go through tiktoken, which has the same merges as ranks and is some times as fast. Very long
+    words go through the library, each alone."""
 
     @cached_property
     def fast(self) -> tiktoken.Encoding:
@@ -102,8 +105,8 @@ class ByteVocabulary(Vocabulary):
         return WORD.findall(text)
 
     def encode(self, words):
-        odd = [w for w in words if self.mark in w]
-        rest = [w for w in words if self.mark not in w] if odd else words
+        odd = [w for w in words if len(w) > MAX_FAST or self.mark in w]
+        rest = [w for w in words if len(w) <= MAX_FAST and self.mark not in w] if odd else words
         latin = [w for w in rest if LATIN.fullmatch(w)]
         other = [w for w in rest if not LATIN.fullmatch(w)] if len(latin) < len(rest) else []
         a, n = _together(latin, lambda text: self.fast.encode(text, allowed_special="all"), self.mark, self.mark_id)
@@ -185,7 +188,11 @@ class WordTable:
     def _add(self) -> bool:
         """Encode the waiting words; whether rows had to follow another order of encoding."""
         waiting, self.rows.waiting = self.rows.waiting, []
-        words, ids, lengths = self.vocabulary.encode(waiting)
+        try:
+            words, ids, lengths = self.vocabulary.encode(waiting)
+        except BaseException:
+            self.clear()  # no row without ids stays
+            raise
         moved = words != waiting
         if moved:
             self.rows.update(zip(words, range(len(self.lengths), len(self.rows))))
