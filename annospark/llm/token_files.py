@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import public_tokenizers
@@ -148,7 +149,8 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = WORD_BPE, en
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Per document of the files: doc_id, start (ids of all documents before it), ids."""
+    """Per document of the files: doc_id, start (ids of all documents before it), ids. Where a document lies in its shard, the
+    select structure of the shard's ends tells."""
     shards = spark.read.schema(_SHARD).parquet(f"{path}/shards")
     parts = spark.read.schema("part int, part_before long").parquet(f"{path}/parts")
 
@@ -157,11 +159,11 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1).to_pylist()[0]
                 ids = np.frombuffer(row["ids"], "<u4" if row["id_bytes"] == 4 else "<u2")
-                ends = EliasFano.from_bytes(row["ends"]).values()
-                names = np.zeros(len(ends), np.int64)
-                null = np.unpackbits(np.frombuffer(row["null_ids"], np.uint8), bitorder="little")[: len(ends)].astype(bool) if row["null_ids"] else np.zeros(len(ends), bool)
+                ends = EliasFano.from_bytes(row["ends"])
+                names = np.zeros(ends.n, np.int64)
+                null = np.unpackbits(np.frombuffer(row["null_ids"], np.uint8), bitorder="little")[: ends.n].astype(bool) if row["null_ids"] else np.zeros(ends.n, bool)
                 names[~null] = EliasFano.from_bytes(row["doc_ids"]).values()
-                edge = np.concatenate([[0], ends])
+                edge = np.fromiter(chain([0], map(ends.select, range(ends.n))), np.int64, ends.n + 1)
                 lists = pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), pa.array(ids.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([pa.array(names, mask=null), pa.array(row["before"] + row["part_before"] + edge[:-1], pa.int64()), lists], ["doc_id", "start", "ids"])
 
@@ -169,6 +171,44 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return placed.mapInArrow(run, "doc_id long, start long, ids array<int>")
 
 
+def read_documents(spark: SparkSession, path: str, doc_ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, start, ids) of the documents of these ids alone: shards of other id ranges are skipped, and of the rest only
+    these documents' ids are cut out, at the places that ``select`` gives. Ids without a document have no row; an id's
+    repeated documents come each. Of ``doc_ids``, null ids and repeats don't count."""
+    shards = spark.read.schema(_SHARD).parquet(f"{path}/shards")
+    parts = spark.read.schema("part int, part_before long").parquet(f"{path}/parts")
+
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [EliasFano.from_bytes(raw) for raw in batch.column("doc_ids").to_pylist()]
+            first, last = ([ef.select(k) if ef.n else None for ef, k in ((ef, k % max(ef.n, 1)) for ef in found)] for k in (0, -1))
+            yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("seq"), pa.array(first, pa.int64()), pa.array(last, pa.int64())], ["part", "seq", "first", "last"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                known, ends = EliasFano.from_bytes(row["doc_ids"]), EliasFano.from_bytes(row["ends"])
+                ids = np.frombuffer(row["ids"], "<u4" if row["id_bytes"] == 4 else "<u2")
+                nulls = ends.n - known.n  # null ids come first
+                names, starts, parts_ = [], [], []
+                for want in row["wanted"]:
+                    k = bisect_left(range(known.n), want, key=known.select)
+                    while k < known.n and known.select(k) == want:
+                        a, b = (ends.select(nulls + k - 1) if nulls + k else 0), ends.select(nulls + k)
+                        names.append(want)
+                        starts.append(row["before"] + row["part_before"] + a)
+                        parts_.append(ids[a:b].astype(np.int32))
+                        k += 1
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(starts, pa.int64()), pa.array(parts_, pa.list_(pa.int32()))], ["doc_id", "start", "ids"])
+
+    ranges = shards.select("part", "seq", "doc_ids").mapInArrow(spans, "part int, seq int, first long, last long")
+    wanted = doc_ids.select(F.col(id_col).cast("long").alias("want")).filter("want is not null").distinct()
+    hits = wanted.join(F.broadcast(ranges), F.col("want").between(F.col("first"), F.col("last")))  # one small row per shard
+    hits = hits.groupBy("part", "seq").agg(F.sort_array(F.collect_list("want")).alias("wanted"))
+    placed = shards.join(hits, ["part", "seq"]).join(F.broadcast(parts), "part")
+    return placed.mapInArrow(cut, "doc_id long, start long, ids array<int>")
+
+
 def with_ids_crc32(rows: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32): CRC-32 of each row's ids as little-endian unsigned 32-bit integers."""
 
