@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.llm import exact_dedup, jaccard_join, language_id, packing, substring_dedup
-from annospark.llm.common import staged
+from annospark.llm.common import staged, unstage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A text in which no language has this share of the letters goes. Short clean texts with names and addresses stay above it.
@@ -39,8 +39,8 @@ def substring(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens."""
-    return packing.pack(docs, with_ids=False)
+    """Sequences of at most 1024 tokens, with their ids."""
+    return packing.pack(docs)
 
 
 STAGES = [
@@ -58,8 +58,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = staged(docs, f"stage{k}")
-    return docs
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        before, docs = docs, staged(stage(spark, docs, sf_dir), f"stage{k}")
+        if k:
+            unstage(before)
+    return STAGES[-1][1](spark, docs, sf_dir)
