@@ -10,9 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import byte_texts, shuffle_partitions, staged
+from annospark.llm.common import ROW, byte_texts, row_keyed, shuffle_partitions, staged
 
-#: Bits of the digest that one merge round resolves: 2^4 partitions exchange runs in a round.
+#: Bits of the digest that one merge round resolves at most: 2^4 partitions exchange runs in a round.
 ROUND_BITS = 4
 _NO_ID = -(1 << 63)
 _RUN = "digest binary, n_bytes long, rank long, row_no long, n long, at int"
@@ -72,14 +72,15 @@ def _merge_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def merge_tree(rows: DataFrame, partitions: int | None = None, round_bits: int = ROUND_BITS) -> DataFrame:
     """Groups of equal digests: (digest, n_bytes, rank, row_no, n).
 
-    Each partition sorts its rows into a run and folds it. In every round 2^``round_bits`` partitions whose numbers
-    differ in the same bits exchange parts of their runs, so that afterwards those bits of a row's partition number
+    Each partition sorts its rows into a run and folds it. In every round up to 2^``round_bits`` partitions whose numbers
+    differ in the same bits exchange parts of their runs (there are two rounds at least), so that afterwards those bits of a row's partition number
     equal those of its digest; each merges the runs it got (Spark's external sort) and folds again. The bits of all rounds
     together name one partition for each digest. A group has one row per partition from the first fold on, whatever its
     size, and no partition ever holds more than its share of the distinct digests.
     """
     bits = max(1, ((partitions or shuffle_partitions(rows.sparkSession)) - 1).bit_length())
     mine = F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long").bitwiseAND((1 << bits) - 1).cast("int")
+    round_bits = max(1, min(round_bits, -(-bits // 2)))
     runs = rows.select("digest", "n_bytes", "rank", "row_no", F.lit(1).cast("long").alias("n"), F.spark_partition_id().alias("at"))
     order = ("digest", "n_bytes", "rank", "row_no")
     runs = runs.sortWithinPartitions(*order).mapInArrow(_merge_runs, _RUN)
@@ -113,10 +114,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", prefer: str = "largest") -> DataFrame:
-    """The rows of ``docs`` whose document stays, all columns kept. Rows that repeat an id share its document's verdict."""
-    verdict = exact_dedup(docs, id_col, text_col, prefer)
-    dropped = verdict.groupBy("doc_id").agg(F.max("kept").alias("any_kept")).filter("not any_kept")
-    return docs.join(dropped.select(F.col("doc_id").alias("__dropped")), F.col(id_col).cast("long").eqNullSafe(F.col("__dropped")), "left_anti")
+    """One row of each group of equal texts, all columns kept: that of the preferred id. Of rows that repeat that id the last read
+    stays (with ``prefer="smallest"`` the first), and a null id stays only if its group has no other."""
+    keyed, _ = row_keyed(docs, id_col, nulls_last=prefer != "largest")
+    gone = exact_dedup(keyed, ROW, text_col, prefer).filter("not kept").select(F.col("doc_id").alias(ROW))
+    return keyed.join(gone, ROW, "left_anti").select(docs.columns)
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
