@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -14,8 +17,31 @@ from pyspark.sql import functions as F
 
 from annospark.llm.common import bounds, crc_bucket, text_slices
 
-#: A word is a run of letters.
-WORD = re.compile(r"[^\W\d_]+")
+
+
+def _ranges(kinds: str, last: int) -> str:
+    """The code points up to ``last`` of these general categories, as ranges of a character class."""
+    member = np.fromiter((unicodedata.category(chr(c))[0] in kinds for c in range(last + 1)), bool, last + 1)
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], member, [False]]).astype(np.int8))).reshape(-1, 2)
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.tolist())
+
+
+@lru_cache(maxsize=2)
+def _pattern(last: int) -> re.Pattern:
+    return re.compile(f"[{_ranges('L', last)}][{_ranges('LM', last)}]*")
+
+
+def word_pattern(text: str) -> re.Pattern:
+    """Finds the words of ``text``: runs of letters (general category L), with the combining marks (M) behind a first one. Numbers
+    such as fractions, circled digits and Roman numerals are none. Text within the first 65,536 code points, where each
+    character is two bytes of UTF-16, has a smaller and faster class."""
+    return _pattern(0xFFFF if len(text.encode("utf-16-le")) == 2 * len(text) else sys.maxunicode)
+
+
+def find_words(text: str) -> list[str]:
+    return word_pattern(text).findall(text)
+
+
 #: First code points of Unicode ranges and the script that a range holds.
 SCRIPT_RANGES = [
     (0x0000, "latin"), (0x0370, "greek"), (0x0400, "cyrillic"), (0x0530, "armenian"), (0x0590, "hebrew"), (0x0600, "arabic"),
@@ -98,7 +124,8 @@ class LanguageModel:
 
 
 def train(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_TRAIN_ROWS) -> LanguageModel:
-    """Fit n-gram tables on rows with text and language; at most about ``max_rows`` of them, picked by a hash of the id.
+    """Fit n-gram tables on rows with text and language; at most about ``max_rows`` of them, picked by a hash of the id: of each
+    language its equal part of ``max_rows``, or all rows where it has fewer. Rows with a null id are picked together or not.
 
     Tasks count hashed n-grams of their rows and Spark adds the counts; the driver gets at most ``BUCKETS`` numbers for each
     language. Without any labelled row the model knows no language.
@@ -110,9 +137,10 @@ def train(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     languages = sorted(found)
-    share = min(1.0, max_rows / max(1, sum(found.values())))
-    if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < int(share * 1_000_000))
+    part = {lang: int(1_000_000 * max_rows / len(found) / n) for lang, n in found.items() if n * len(found) > max_rows}
+    if part:
+        table = F.create_map(*[F.lit(x) for kv in part.items() for x in kv])
+        rows = rows.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1_000_000)) < F.coalesce(F.try_element_at(table, F.col(lang_col).cast("string")), F.lit(1_000_000)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = {}
@@ -120,7 +148,7 @@ def train(docs: DataFrame, is_train: Column | None = None, id_col: str = "doc_id
             for part in text_slices(batch, limit=_SLICE):
                 seen: dict[str, Counter] = {}
                 for text, lang in zip(part.column("text").to_pylist(), part.column("lang").to_pylist()):
-                    seen.setdefault(lang, Counter()).update(WORD.findall(text.lower()))
+                    seen.setdefault(lang, Counter()).update(find_words(text.lower()))
                 for lang, words in seen.items():
                     if not words:
                         continue
@@ -178,7 +206,7 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, penalty: float) -> np.ndarr
 
 def _spans(text: str, labels: np.ndarray, languages: list[str]) -> list[dict]:
     """Runs of words of one label, with the first and behind the last code point."""
-    places = [m.span() for m in WORD.finditer(text)]
+    places = [m.span() for m in word_pattern(text).finditer(text)]
     cuts = [0, *(np.flatnonzero(np.diff(labels)) + 1).tolist(), len(labels)]
     return [{"start": places[a][0], "end": places[b - 1][1], "lang": languages[labels[a]]} for a, b in zip(cuts, cuts[1:])]
 
@@ -195,7 +223,7 @@ def _label(spark: SparkSession, model: LanguageModel, penalty: float):
         table = np.empty((0, n_lang), np.float32)
         for batch in batches:
             for part in text_slices(batch, text_col, _SLICE):
-                words = [WORD.findall(t or "") if n_lang else [] for t in part.column(text_col).to_pylist()]
+                words = [find_words(t or "") if n_lang else [] for t in part.column(text_col).to_pylist()]
                 flat = [w for ws in words for w in ws]
                 lengths = np.fromiter(map(len, words), np.int64, len(words))
                 if len(rows) > _MAX_WORDS:
@@ -221,7 +249,7 @@ def _label(spark: SparkSession, model: LanguageModel, penalty: float):
 def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", penalty: float = SWITCH_PENALTY, with_spans: bool = True) -> DataFrame:
     """For each row of ``docs``: doc_id, lang_pred, score, and spans (start, end, lang) over code points of the text.
 
-    Words are runs of letters. The language with most letters in the spans is ``lang_pred`` and ``score`` its share of all
+    Words are runs of letters with their combining marks. The language with most letters in the spans is ``lang_pred`` and ``score`` its share of all
     letters; ties take the first language. A text that is null or has no letters, or a model without languages, gives ``und``,
     score 0 and no spans. Repeated rows are labelled each; a null id stays null. An empty input gives no rows.
     """
@@ -255,7 +283,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, te
         scores, evidence = np.empty((0, n_lang), np.float32), np.empty((0, n_lang + 1), np.float32)
         for batch in batches:
             for part in text_slices(batch, text_col, _SLICE):
-                words = [WORD.findall(t or "") for t in part.column(text_col).to_pylist()]
+                words = [find_words(t or "") for t in part.column(text_col).to_pylist()]
                 flat = [w for ws in words for w in ws]
                 lengths = np.fromiter(map(len, words), np.int64, len(words))
                 if len(rows) > _MAX_WORDS:
@@ -280,7 +308,7 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, te
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language of every document, by a model of the rows that are not held out."""
+    """Language of every document, by a model of the rows that are not held out. A row without id is held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs, crc_bucket("doc_id", 3) != 1)
-    return identify(docs, model).select("doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score", "spans")
+    held_out = F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(True))
+    return identify(docs, train(docs, ~held_out)).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "spans")
