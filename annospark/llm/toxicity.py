@@ -17,7 +17,8 @@ from annospark.llm.common import bounds, crc_bucket, list_array, text_slices
 WORD = re.compile(r"[^\W\d_]+")
 #: A word's feature is its hash modulo this.
 FEATURES = 1 << 18
-#: Rows a classifier is fitted on at most: confirmed positives, and unlabelled rows (samples by hash beyond that).
+#: Rows the classifiers are fitted on at most, unless a caller says otherwise: confirmed positives, and unlabelled rows (samples by
+#: hash beyond that).
 MAX_POSITIVE, MAX_UNLABELLED = 8_000, 12_000
 #: A feature is used if it is in so many positive rows, and so many times as likely there as in unlabelled rows.
 MIN_POSITIVE_ROWS, MIN_LIFT = 3, 1.3
@@ -65,21 +66,25 @@ class Toxicity:
         return (1 / (1 + np.exp(-(sums[edge[1:]] - sums[edge[:-1]] + self.intercepts)))).mean(axis=1)
 
 
+def pu_risk(z: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """The two terms of the logistic risk of margins ``z``, prior * R+(positive) and R-(unlabelled) - prior * R-(positive), and the
+    direction of a step for each margin: the gradient of their sum, or, where the second is negative (the risk takes 0 for
+    it), the gradient of the second with its sign changed, as the non-negative estimator asks."""
+    p = 1 / (1 + np.exp(-z))
+    n_p, n_u = positive.sum(), unlabelled.sum()
+    second = np.logaddexp(0, z)[unlabelled].mean() - prior * np.logaddexp(0, z)[positive].mean()
+    g_second = np.where(unlabelled, p / n_u, 0) - np.where(positive, prior * p / n_p, 0)
+    g = np.where(positive, prior * (p - 1) / n_p, 0) + g_second if second >= 0 else -g_second
+    return prior * np.logaddexp(0, -z)[positive].mean(), second, g
+
+
 def _nonnegative_pu(flat: np.ndarray, edge: np.ndarray, positive: np.ndarray, prior: float, start: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, float]:
-    """Fit weights by Adam on the logistic risk: prior * R+(positive) + max(0, R-(unlabelled) - prior * R-(positive)).
-    Where the second term is negative, the step goes against its gradient, as the non-negative estimator asks. ``keep``
-    has the unlabelled rows that this classifier sees."""
+    """Fit weights by Adam on ``pu_risk``. ``keep`` has the unlabelled rows that this classifier sees."""
     owner = np.repeat(np.arange(len(edge) - 1), np.diff(edge))
-    n_p, n_u = positive.sum(), keep.sum()
     w, b = start.copy(), float(np.log(prior / (1 - prior)))
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for step in range(1, EPOCHS + 1):
-        z = np.bincount(owner, w[flat], len(positive)) + b
-        p = 1 / (1 + np.exp(-z))
-        softplus = np.logaddexp(0, z)
-        negative_part = softplus[keep].mean() - prior * softplus[positive].mean()
-        g_minus = np.where(keep, p / n_u, 0) - np.where(positive, prior * p / n_p, 0)
-        g = np.where(positive, prior * (p - 1) / n_p, 0) + g_minus if negative_part >= 0 else -g_minus
+        _, _, g = pu_risk(np.bincount(owner, w[flat], len(positive)) + b, positive, keep, prior)
         grad = np.append(np.bincount(flat, g[owner], len(w)) + DECAY * w, g.sum())
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
         change = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -87,35 +92,34 @@ def _nonnegative_pu(flat: np.ndarray, edge: np.ndarray, positive: np.ndarray, pr
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str = "toxic") -> Toxicity:
+def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Toxicity:
     """Fit on training rows: confirmed toxic texts (label 1) against unlabelled text (all training rows, labels hidden).
 
-    The class prior is the share of label 1 among the labelled training rows. Rows beyond ``MAX_POSITIVE`` and
-    ``MAX_UNLABELLED`` are sampled by a hash of the id; the driver gets the hashed words of those rows only. With no
-    confirmed or no unlabelled row every score is the prior (0 without labels). Null labels count as none; of an id's labels the largest counts.
+    The class prior is the share of label 1 among the labelled training rows. Rows beyond ``max_positive`` and
+    ``max_unlabelled`` are sampled by a hash of the id; the driver gets the hashed words of those rows only. With no
+    confirmed or no unlabelled row every score is the prior (0 without labels). Null labels count as none; of an id's labels the
+    largest counts. Rows that repeat an id are rows of their own under its label; rows with a null id have no label.
     """
     known = labels.filter(is_train & F.col(label_col).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label_col).alias("y"))
     n, n_pos = known.agg(F.count("*"), F.coalesce(F.sum(F.when(F.col("y") == 1, 1)), F.lit(0))).first()
     prior = n_pos / n if n else 0.0
     nothing = Toxicity(np.zeros((FEATURES, 1), np.float32), np.array([np.log(max(prior, 1e-9) / (1 - min(prior, 1 - 1e-9)))]))
-    rows = docs.filter(is_train & F.col("text").isNotNull())
+    rows = docs.filter(is_train & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     n_rows = rows.select("doc_id").count()
     if not n_pos or n_pos == n or not n_rows:
         return nothing
     mille = lambda most, of: min(1_000_000, int(1_000_000 * most / of) + 1)
     lot = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1_000_000))
-    positives = known.filter((F.col("y") == 1) & (lot("p") < mille(MAX_POSITIVE, n_pos))).select("doc_id")
-    picked = rows.join(F.broadcast(positives), "doc_id", "left_semi").withColumn("p", F.lit(True))  # at most about MAX_POSITIVE ids
-    picked = picked.select("doc_id", "text").unionAll(rows.filter(lot("u") < mille(MAX_UNLABELLED, n_rows)).select("doc_id", "text"))
-    table = features(picked).join(F.broadcast(positives.withColumn("p", F.lit(True))), "doc_id", "left").select("doc_id", "features", F.col("p").isNotNull().alias("p"))
-    table = table.dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
+    positives = known.filter((F.col("y") == 1) & (lot("p") < mille(max_positive, n_pos))).select("doc_id", F.lit(True).alias("p"))
+    picked = rows.join(F.broadcast(positives), "doc_id", "left").withColumn("p", F.coalesce("p", F.lit(False)))  # about max_positive ids
+    picked = picked.withColumn("u", lot("u") < mille(max_unlabelled, n_rows)).filter("p or u")
+    flags = F.shiftleft(F.col("p").cast("int"), 1) + F.col("u").cast("int")  # in a column of the id's kind, for ``features``
+    table = features(picked.withColumn("flags", flags), "flags").withColumnRenamed("doc_id", "flags").orderBy("flags", "features").toArrow()
     column = table.column("features").combine_chunks()
     flat, edge = column.flatten().to_numpy(), column.offsets.to_numpy().astype(np.int64)
     edge = edge - edge[0]
-    doc_ids = table.column("doc_id").to_numpy()
-    positive = table.column("p").to_numpy(zero_copy_only=False).astype(bool)
-    # a positive row drawn as unlabelled too is in both samples; the unlabelled sample keeps its share of positives
-    drawn = xxhash_share(doc_ids, mille(MAX_UNLABELLED, n_rows)) | ~positive
+    flags = table.column("flags").to_numpy()
+    positive, drawn = flags >= 2, flags % 2 == 1
     if not positive.any() or not drawn.any():
         return nothing
     owner = np.repeat(np.arange(len(positive)), np.diff(edge))
@@ -130,18 +134,14 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str =
     small = np.bincount(owner[used], minlength=len(positive))
     weights, intercepts = np.zeros((FEATURES, CLASSIFIERS), np.float32), np.zeros(CLASSIFIERS)
     start = 0.1 * np.log(lift[good]) if len(good) else np.zeros(0)
+    turn = np.cumsum(drawn) % (CLASSIFIERS + 1)
     for k in range(CLASSIFIERS):
-        part = drawn & ((np.arange(len(drawn)) % (CLASSIFIERS + 1)) != k)
+        part = drawn & (turn != k)
         w, intercepts[k] = _nonnegative_pu(place[flat[used]], bounds(small), positive, prior, start, part if part.any() else drawn)
         weights[good, k] = w
     return Toxicity(weights, intercepts)
 
 
-def xxhash_share(doc_ids: np.ndarray, mille: int) -> np.ndarray:
-    """A fixed pseudo-random share of ids."""
-    return np.array([xxhash.xxh32_intdigest(str(i)) % 1_000_000 < mille for i in doc_ids.tolist()], bool)
-
-
 def score(docs: DataFrame, model: Toxicity, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, predicted) for each row of ``docs``; null and empty texts get the score of a text without words.
     Repeated rows are scored each; a null id stays null. The weights have a fixed size."""
@@ -158,7 +158,8 @@ def score(docs: DataFrame, model: Toxicity, threshold: float = 0.3, id_col: str
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every document; labels of held-out rows are never read."""
+    """Toxicity of every document; labels of held-out rows are never read. A row without id is held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), crc_bucket("doc_id", 4) != 2)
-    return score(docs, model).select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+    held_out = F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(True))
+    model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), ~held_out)
+    return score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
