@@ -5,7 +5,7 @@ Each view exists twice: as a DataFrame and, for the oracles, as SQL text of comm
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -62,16 +62,23 @@ SHAPES_SQL = (
 )
 
 
-def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per image with its array of shapes in a fixed order; images without shapes have an empty array."""
-    s = shapes(spark, sf_dir)
+def _shape() -> Column:
+    """A shape as annotation files have it."""
     corners = lambda *xy: F.array(*[F.array(F.col(x).cast("double"), F.col(y).cast("double")) for x, y in xy])
     points = F.when(F.col("shape_type") == "polygon", corners(("x1", "y1"), ("x2", "y1"), ("x2", "y2"), ("x1", "y2"))).when(F.col("shape_type") == "circle", corners(("x1", "y1"))).otherwise(corners(("x1", "y1"), ("x2", "y2")))
-    shape = F.struct("x1", "y1", "x2", "y2", "label", "shape_type", points.alias("points"), F.when(F.col("shape_type") == "circle", ((F.col("x2") - F.col("x1")) / 2)).alias("radius"))
-    grouped = s.groupBy("image_id").agg(F.sort_array(F.collect_list(shape)).alias("shapes"))
+    return F.struct("label", "shape_type", points.alias("points"), F.when(F.col("shape_type") == "circle", ((F.col("x2") - F.col("x1")) / 2)).alias("radius"))
+
+
+def shape_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each shape with its image's size, without gathering those of an image."""
+    return shapes(spark, sf_dir).select("image_id", "image_key", "width", "height", _shape().alias("s"))
+
+
+def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per image with its array of shapes in a fixed order; images without shapes have an empty array."""
+    grouped = shapes(spark, sf_dir).groupBy("image_id").agg(F.sort_array(F.collect_list(F.struct("x1", "y1", "x2", "y2", "label", "shape_type", _shape().alias("s")))).alias("shapes"))
     full = images(spark, sf_dir).join(grouped, "image_id", "left")
-    kept = F.transform("shapes", lambda x: F.struct(x["label"].alias("label"), x["shape_type"].alias("shape_type"), x["points"].alias("points"), x["radius"].alias("radius")))
-    return full.withColumn("shapes", F.coalesce(kept, F.array().cast("array<struct<label:string,shape_type:string,points:array<array<double>>,radius:double>>")))
+    return full.withColumn("shapes", F.coalesce("shapes.s", F.array().cast("array<struct<label:string,shape_type:string,points:array<array<double>>,radius:double>>")))
 
 
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,26 +4,42 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.functions import geometry as g
 
 DETECTIONS = "array<struct<bbox:array<int>,label:string,confidence:double>>"
-#: Own wording; a caller's templates come first. Keys: strategy_language.
+#: Own wording; a caller's templates come first. Keys: language, style, strategy.
 PROMPTS = {
-    "all_in_one_en": "Find every object of these classes in the image: {class_list}. Answer with a JSON list.",
-    "all_in_one_zh": "请找出图像中属于以下类别的所有目标：{class_list}。请用 JSON 列表回答。",
-    "per_class_en": "Find every {class_list} in the image. Answer with a JSON list.",
-    "per_class_zh": "请找出图像中所有的{class_list}。请用 JSON 列表回答。",
+    ("en", "simple", "all_in_one"): "Find every object of these classes in the image: {class_list}. Answer with a JSON list.",
+    ("en", "simple", "per_class"): "Find every {class_list} in the image. Answer with a JSON list.",
+    ("en", "descriptive", "all_in_one"): "The image may show objects of these classes: {class_list}. Name the class and the bounding box of each one you see, as a JSON list.",
+    ("en", "descriptive", "per_class"): "The image may show one {class_list} or several. Give the bounding box of each one you see, as a JSON list.",
+    ("en", "cot", "all_in_one"): "First describe to yourself what the image shows, part by part. Then answer with a JSON list of every object of these classes: {class_list}.",
+    ("en", "cot", "per_class"): "First describe to yourself what the image shows, part by part. Then answer with a JSON list of every {class_list}.",
+    ("zh", "simple", "all_in_one"): "请找出图像中属于以下类别的所有目标：{class_list}。请用 JSON 列表回答。",
+    ("zh", "simple", "per_class"): "请找出图像中所有的{class_list}。请用 JSON 列表回答。",
+    ("zh", "descriptive", "all_in_one"): "图像中可能有以下类别的目标：{class_list}。请用 JSON 列表给出每个目标的类别和边框。",
+    ("zh", "descriptive", "per_class"): "图像中可能有一个或多个{class_list}。请用 JSON 列表给出每一个的边框。",
+    ("zh", "cot", "all_in_one"): "请先逐部分观察图像，再用 JSON 列表给出以下类别的所有目标：{class_list}。",
+    ("zh", "cot", "per_class"): "请先逐部分观察图像，再用 JSON 列表给出所有的{class_list}。",
 }
+#: Own wording of list answers. Keys: language, strategy.
+RESPONSES = {
+    ("en", "all_in_one"): "Detected {count} objects:\n{items}",
+    ("en", "per_class"): "{count} of class {class_list}:\n{items}",
+    ("zh", "all_in_one"): "共有{count}个目标：\n{items}",
+    ("zh", "per_class"): "{class_list}共{count}个：\n{items}",
+}
+STYLES = ("simple", "descriptive", "cot")
 
 
-def detection_prompt(labels: Column, strategy: str = "all_in_one", lang: str = "en", custom: dict[str, str] | None = None) -> Column:
-    """The prompt of a strategy and language for an array of labels (sorted, distinct); custom templates come first."""
-    key = f"{strategy}_{lang}"
-    template = (custom or {}).get(key) or PROMPTS.get(key) or "Detect: {class_list}"
-    names = F.array_join(F.array_sort(F.array_distinct(labels)), ", " if lang == "en" else "、")
+def detection_prompt(labels: Column, strategy: str = "all_in_one", lang: str = "en", custom: dict[str, str] | None = None, style: str = "simple") -> Column:
+    """The prompt of a strategy, language and style for an array of labels (sorted, distinct). Custom templates, by keys like
+    ``all_in_one_en``, come first; an unknown style or language gives a plain one."""
+    template = (custom or {}).get(f"{strategy}_{lang}") or PROMPTS.get((lang, style, strategy)) or "Detect: {class_list}"
+    names = F.array_join(F.array_sort(F.array_distinct(labels)), "、" if lang == "zh" else ", ")
     return F.replace(F.lit(template), F.lit("{class_list}"), names)
 
 
@@ -32,10 +48,20 @@ def query_prompt(query: Column, lang: str = "en") -> Column:
     return F.concat(F.lit(a), F.trim(query), F.lit(b))
 
 
-def list_response(boxes: Column, with_label: bool = True, norm: str = "norm_1000") -> Column:
-    """``- label: [a, b, c, d]`` lines under a count; boxes: array<struct<coords, label>>."""
-    line = lambda b: F.concat(F.lit("- "), F.concat(b["label"], F.lit(": ")) if with_label else F.lit(""), g.coords_text(b["coords"], norm))
-    return F.when(F.size(boxes) == 0, "No objects detected.").otherwise(F.concat(F.lit("Detected "), F.size(boxes).cast("string"), F.lit(" objects:\n"), F.array_join(F.transform(boxes, line), "\n")))
+def list_response(boxes: Column, strategy: str = "all_in_one", norm: str = "norm_1000", lang: str = "en", category: Column | None = None) -> Column:
+    """``- label: [a, b, c, d]`` lines (``- [a, b, c, d]`` per class) under a count; boxes: array<struct<coords, label>>.
+    ``category`` names the class of a per-class answer, else the boxes' labels do."""
+    line = lambda b: F.concat(F.lit("- "), F.lit("") if strategy == "per_class" else F.concat(b["label"], F.lit(": ")), g.coords_text(b["coords"], norm))
+    names = F.array_join(F.array_sort(F.array_distinct(F.transform(boxes, lambda b: b["label"]))), "、" if lang == "zh" else ", ") if category is None else category
+    text = F.lit(RESPONSES.get((lang, strategy), "Objects:\n{items}"))
+    for key, value in (("{count}", F.size(boxes).cast("string")), ("{class_list}", names), ("{items}", F.array_join(F.transform(boxes, line), "\n"))):
+        text = F.replace(text, F.lit(key), value)
+    return F.when(F.size(boxes) == 0, "No objects detected.").otherwise(text)
+
+
+def _quoted(label: Column) -> Column:
+    """A label as a JSON string."""
+    return F.to_json(F.struct(label.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(label.alias("x")))) - 6)
 
 
 def _number(v: Column, norm: str) -> Column:
@@ -48,14 +74,14 @@ def json_response(boxes: Column, norm: str = "norm_1000", layout: str = "xyxy")
 
     def item(b: Column, i: Column) -> Column:
         coords = F.array_join(F.transform(b["coords"], lambda v: _number(v, norm)), ", ")
-        return F.concat(F.lit('{"box_2d": ['), coords, F.lit('], "label": "'), F.replace(F.replace(b["label"], F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"')), F.lit('"'), F.when(i == 0, head).otherwise(""), F.lit("}"))
+        return F.concat(F.lit('{"box_2d": ['), coords, F.lit('], "label": '), _quoted(b["label"]), F.when(i == 0, head).otherwise(""), F.lit("}"))
 
     return F.concat(F.lit("["), F.array_join(F.transform(boxes, item), ", "), F.lit("]"))
 
 
 def legacy_response(boxes: Column) -> Column:
     """The older form: four places and confidence 1.0."""
-    item = lambda b: F.concat(F.lit('{"bbox": ['), F.array_join(F.transform(b["coords"], lambda v: F.round(v, 4).cast("string")), ", "), F.lit('], "label": "'), b["label"], F.lit('", "confidence": 1.0}'))
+    item = lambda b: F.concat(F.lit('{"bbox": ['), F.array_join(F.transform(b["coords"], lambda v: F.round(v, 4).cast("string")), ", "), F.lit('], "label": '), _quoted(b["label"]), F.lit(', "confidence": 1.0}'))
     return F.concat(F.lit("["), F.array_join(F.transform(boxes, item), ", "), F.lit("]"))
 
 
@@ -94,13 +120,13 @@ def _pixels(c: Column, width: Column, height: Column, norm: str, auto_tiers: boo
     return (auto.when(thousand, scaled(times["norm_1000"])) if auto_tiers else auto).otherwise(c)
 
 
-def parse_detections(text: Column, width: Column, height: Column, norm: str = "auto", layout: str = "xyxy", default_confidence: float = 1.0, auto_tiers: bool = False, clamp: bool = False) -> Column:
+def parse_detections(text: Column, width: Column, height: Column, norm: str = "auto", layout: str = "xyxy", default_confidence: float = 1.0, auto_tiers: bool = False, clamp: bool = False, out_layout: str = "xyxy") -> Column:
     """Boxes of a model's or a record's text: array of (bbox int pixels, label, confidence).
 
     Items need ``box_2d`` (or ``bbox``) of four numbers; others are left out. Confidence is clamped to 0-1 and missing or no
     number gives the default; a missing label gives ``object``. ``auto`` takes 0-1 numbers as shares and, with ``auto_tiers``, other
-    numbers up to 1000 as thousandths. With ``clamp``, boxes are cut to the image and empty ones go. Text without an array
-    is searched for loose objects.
+    numbers up to 1000 as thousandths. With ``clamp``, boxes are cut to the image and empty ones go; ``out_layout`` is the
+    layout of the boxes given back. Text without an array is searched for loose objects.
     """
     size = lambda i: (width if i % 2 == 0 else height).cast("double")
     loose = F.concat(F.lit("["), F.array_join(F.regexp_extract_all(text, F.lit(r'(\{[^{}]*"(?:box_2d|bbox)"[^{}]*\})'), 1), ","), F.lit("]"))
@@ -111,7 +137,7 @@ def parse_detections(text: Column, width: Column, height: Column, norm: str = "a
     def made(v: Column) -> Callable[[Column], Column]:
         conf = g.let(F.try_variant_get(v, "$.confidence", "variant"), lambda c: F.when(has_number(c), F.try_variant_get(c, "$", "double")))
         return lambda px: F.struct(
-            F.transform(px, lambda x: x.cast("int")).alias("bbox"),
+            F.transform(px if out_layout == "xyxy" else g.layout(g.from_layout(px), out_layout), lambda x: x.cast("int")).alias("bbox"),
             F.coalesce(F.nullif(F.try_variant_get(v, "$.label", "string"), F.lit("")), F.lit("object")).alias("label"),
             F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(conf, F.lit(default_confidence)))).alias("confidence"),
         )
@@ -159,6 +185,11 @@ def first_query(messages: Column) -> Column:
     return F.get(F.transform(F.filter(F.get(own, 0)["content"], lambda c: c["type"] == "text"), lambda c: c["text"]), 0)
 
 
+def record_image(images: Column, json_path: Column) -> Column:
+    """Where a record's image is: the first of its images, else its annotation's path."""
+    return F.coalesce(F.nullif(F.get(images, 0), F.lit("")), json_path)
+
+
 def ground_truth(messages: Column, width: Column, height: Column, norm: str = "auto", layout: str = "xyxy") -> Column:
     """Boxes of a record's assistant texts: JSON first, else list lines."""
     text = role_text(messages, "assistant")
@@ -199,9 +230,9 @@ def training_message(query: Column, answer: Column, image: Column) -> Column:
     return F.array(user, F.struct(F.lit("assistant").alias("role"), F.array(item("text", answer)).alias("content")))
 
 
-def first_text(*columns: str) -> Column:
-    """The first column that is not null, as in text, content, input."""
-    return F.coalesce(*[F.col(c) for c in columns])
+def first_text(df: DataFrame, names: tuple[str, ...] = ("text", "content", "input")) -> Column:
+    """The first of these columns that ``df`` has and that is not null."""
+    return F.coalesce(*[F.col(c).cast("string") for c in names if c in df.columns], F.lit(None).cast("string"))
 
 
 def image_reference(path: Column, base: str, mode: str = "relative", content: Column | None = None) -> Column:
@@ -215,5 +246,5 @@ def image_reference(path: Column, base: str, mode: str = "relative", content: Co
     if mode == "copy":
         return F.concat(F.lit("images/"), name)
     if mode == "base64" and content is not None:
-        return F.base64(content)
+        return F.translate(F.base64(content), "\r\n", "")  # Spark breaks the lines
     raise ValueError(f"unknown image mode: {mode}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.functions import geometry as g
+from annospark.operators.validate import normalized_label
 
 METRICS = ("precision", "recall", "f1", "num_det", "num_gt", "num_match", "mean_match_iou")
 SPLITS = ("train", "valid", "test")
@@ -20,7 +21,7 @@ def greedy_match(dets: Column, gts: Column, threshold: float = 0.5, same_label:
         def candidate(b: Column, j: Column) -> Column:
             free = ~F.array_contains(acc["used"], j)
             if same_label:
-                free = free & (F.lower(F.trim(b["label"])) == F.lower(F.trim(d["label"])))
+                free = free & (normalized_label(b["label"]) == normalized_label(d["label"]))
             return F.when(free, F.struct(g.iou(d["bbox"], b["bbox"]).alias("v"), (-j).alias("nj")))
 
         best = F.array_max(F.transform(gts, candidate))
@@ -68,17 +69,52 @@ def cross_iou(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("x", F.explode(best)).filter("x.v > 0").select(*[c for c in pairs.columns if c not in ("d1", "d2")], "x.label", "x.v")
 
 
+def cross_iou_summary(overlaps: DataFrame, *keys: str) -> DataFrame:
+    """Mean, largest and least best IoU and the number of detections that have one, per ``keys`` of ``cross_iou``."""
+    v = "v"
+    return overlaps.groupBy(*keys).agg(F.round(F.avg(v), 6).alias("mean_iou"), F.round(F.max(v), 6).alias("max_iou"), F.round(F.min(v), 6).alias("min_iou"), F.count("*").alias("pairs"))
+
+
+def iou_distribution(metrics: DataFrame, *keys: str) -> DataFrame:
+    """Least, quartiles and largest mean matched IoU per group, of samples that have a match."""
+    q = F.percentile("mean_match_iou", F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
+    found = metrics.filter("mean_match_iou > 0").groupBy(*keys).agg(q.alias("q"), F.count("*").alias("n"))
+    return found.select(*keys, "n", *[F.round(F.get("q", i), 6).alias(k) for i, k in enumerate(("low", "q1", "median", "q3", "high"))])
+
+
 def join_occurrences(records: DataFrame, first: DataFrame, second: DataFrame, key: list[str], order: str) -> DataFrame:
-    """The k-th record of a key with the k-th result of each model; ``found`` tells which sides have one."""
+    """The k-th record of a key with the k-th result of each model; ``found`` tells which sides have one: both, first, second,
+    none, or leftover for results beyond a key's records."""
 
     def numbered(df: DataFrame) -> DataFrame:
         return df.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
 
     a = numbered(first).withColumnRenamed(order, "first_at").withColumn("_a", F.lit(True))
     b = numbered(second).withColumnRenamed(order, "second_at").withColumn("_b", F.lit(True))
-    rows = numbered(records).join(a, [*key, "_k"], "left").join(b, [*key, "_k"], "left")
-    found = F.when(F.col("_a") & F.col("_b"), "both").when(F.col("_a"), "first").when(F.col("_b"), "second").otherwise("none")
-    return rows.withColumn("found", found).withColumnRenamed("_k", "occurrence").drop("_a", "_b")
+    rows = numbered(records).withColumn("_r", F.lit(True)).join(a, [*key, "_k"], "full").join(b, [*key, "_k"], "full")
+    found = F.when(F.col("_r").isNull(), "leftover").when(F.col("_a") & F.col("_b"), "both").when(F.col("_a"), "first").when(F.col("_b"), "second").otherwise("none")
+    return rows.withColumn("found", found).withColumnRenamed("_k", "occurrence").drop("_a", "_b", "_r")
+
+
+def join_positions(base: DataFrame, tuned: DataFrame, columns: list[str]) -> DataFrame:
+    """Each sample of the base model with the tuned model's of the same split and index: ``columns`` as base_* and tuned_*."""
+    named = lambda df, side: df.select("split", "index", *[F.col(c).alias(f"{side}_{c}") for c in columns])
+    return named(base, "base").join(named(tuned, "tuned"), ["split", "index"], "left")
+
+
+def with_summary(table: DataFrame, summary: DataFrame | None, metrics: list[str]) -> DataFrame:
+    """``table`` (model, split, metrics) with the values of a stored summary where that has one."""
+    if summary is None:
+        return table
+    stored = summary.select("model", "split", *[F.col(m).alias(f"_{m}") for m in metrics if m in summary.columns])
+    rows = table.join(stored, ["model", "split"], "left")
+    return rows.withColumns({m: F.coalesce(f"_{m}", m) for m in metrics if m in summary.columns}).select(table.columns)
+
+
+def comparison_table(table: DataFrame, models: tuple[str, ...]) -> DataFrame:
+    """Rows of an aggregate table by split (train, valid, test, then others by name) and by the order of ``models``."""
+    place = lambda c, names: F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(n) for n in names]), F.col(c)), F.lit(0)), F.lit(len(names) + 1)).cast("int")
+    return table.withColumns({"split_rank": place("split", SPLITS), "model_rank": place("model", models)}).orderBy("split_rank", "split", "model_rank", "model")
 
 
 def compare(table: DataFrame, base: str, tuned: str, metrics=("precision", "recall", "f1", "mean_match_iou", "success_rate"), flat: float = 0.01) -> DataFrame:
@@ -89,11 +125,18 @@ def compare(table: DataFrame, base: str, tuned: str, metrics=("precision", "reca
     return rows.withColumn("verdict", F.when(F.col("diff") > flat, "improved").when(F.col("diff") < -flat, "degraded").otherwise("flat"))
 
 
-def generalisation(table: DataFrame, metric: str = "f1") -> DataFrame:
-    """(model, train, test, gap, verdict) of a metric."""
-    at = lambda s: F.max(F.when(F.col("split") == s, F.col(metric)))
-    rows = table.groupBy("model").agg(at("train").alias("train"), at("test").alias("test")).withColumn("gap", F.round(F.col("train") - F.col("test"), 6))
-    return rows.withColumn("verdict", F.when(F.col("gap") > 0.1, "overfit").when(F.col("gap") < -0.1, "underfit").otherwise("stable"))
+def generalisation(table: DataFrame, base: str, tuned: str, metric: str = "f1") -> DataFrame:
+    """One row: a metric of both models on train and test (and the tuned one's on valid), their gaps between train and test, and a
+    verdict on the tuned model against the base model: smaller_gap (it generalises better), larger_gap (it may overfit), or
+    similar. A gap is 0 where one of its values is 0 or missing."""
+    at = lambda model, split: F.coalesce(F.max(F.when((F.col("model") == model) & (F.col("split") == split), F.col(metric))), F.lit(0.0))
+    rows = table.agg(
+        at(base, "train").alias("base_train"), at(base, "test").alias("base_test"),
+        at(tuned, "train").alias("tuned_train"), at(tuned, "valid").alias("tuned_valid"), at(tuned, "test").alias("tuned_test"),
+    )
+    gap = lambda m: F.when((F.col(f"{m}_train") != 0) & (F.col(f"{m}_test") != 0), F.round(F.col(f"{m}_train") - F.col(f"{m}_test"), 6)).otherwise(0.0)
+    rows = rows.withColumns({"base_gap": gap("base"), "tuned_gap": gap("tuned")})
+    return rows.withColumn("verdict", F.when(F.col("tuned_gap") < F.col("base_gap"), "smaller_gap").when(F.col("tuned_gap") > F.col("base_gap"), "larger_gap").otherwise("similar"))
 
 
 def largest_changes(diffs: DataFrame, n: int = 3) -> DataFrame:

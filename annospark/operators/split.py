@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from annospark.sources.shared import written
+
 SPLITS = ("train", "val", "test")
 
 
@@ -21,21 +23,40 @@ def parse_ratio(text: str) -> tuple[float, float, float]:
     return tuple(p / sum(parts) for p in parts)
 
 
-def global_rank(df: DataFrame, *order: str) -> DataFrame:
-    """``df`` in this order with ``rank`` from 0 and no gap: a range sort, the partitions' sizes, and a rank in each.
-
-    The driver gets one count per partition; no task sees more than its range.
-    """
-    spark = df.sparkSession
-    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order).withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()}).persist()
-    sizes = {r["_part"]: r["count"] for r in rows.groupBy("_part").count().collect()}
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``rank``, the place in their present order from 0 without gaps. ``rows`` is read twice and must give the same
+    order again, as a stored table does. The driver gets one count per partition."""
+    marked = rows.withColumns({"_part": F.spark_partition_id(), "_at": F.monotonically_increasing_id()})
+    sizes = {r["_part"]: r["count"] for r in marked.groupBy("_part").count().collect()}
     before, start = [], 0
     for part in sorted(sizes):
         before.append((part, start))
         start += sizes[part]
-    starts = spark.createDataFrame(before, "_part int, _before long")
+    starts = rows.sparkSession.createDataFrame(before, "_part int, _before long")
     place = F.col("_before") + (F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33))
-    return rows.join(F.broadcast(starts), "_part").withColumn("rank", place).drop("_part", "_at", "_before")  # a row per partition
+    return marked.join(F.broadcast(starts), "_part").withColumn("rank", place).drop("_part", "_at", "_before")  # a row per partition
+
+
+def global_rank(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` in this order with ``rank`` from 0 and no gap: a range sort, whose partitions are written once to the shared folder, and
+    a rank in each. No task sees more than its range."""
+    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    marked = written(rows.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}), "ranked")
+    sizes = {r["_p"]: r["count"] for r in marked.groupBy("_p").count().collect()}
+    starts, start = [], 0
+    for part in sorted(sizes):
+        starts.append((part, start - (part << 33)))
+        start += sizes[part]
+    offsets = df.sparkSession.createDataFrame(starts, "_p int, _before long")
+    return marked.join(F.broadcast(offsets), "_p").withColumn("rank", F.col("_i") + F.col("_before")).drop("_p", "_i", "_before")  # a row per partition
+
+
+def group_rank(df: DataFrame, group: list[str], *order: str) -> DataFrame:
+    """``df`` with ``rank`` within each group, from 0, and ``n``, the group's size. All groups are sorted together by range, so that
+    a group that holds a third of all rows is spread over tasks."""
+    ranked = global_rank(df, *group, *order)
+    first = ranked.groupBy(*group).agg(F.min("rank").alias("_first"), F.count("*").alias("n"))
+    return ranked.join(first, group).withColumn("rank", F.col("rank") - F.col("_first")).drop("_first")
 
 
 def split_images(keys: DataFrame, ratio: str = "8:1:1", order: Column | None = None, key: str = "image_key") -> DataFrame:
@@ -60,9 +81,7 @@ def stratified_split(labels: DataFrame, ratio: str = "8:1:1", order: Column | No
     totals = labels.groupBy("label").agg(F.count("*").alias("total"))
     strata = pairs.join(totals, "label").groupBy(key).agg(F.min(F.struct("total", "label")).alias("s")).select(key, F.col("s.label").alias("stratum"))
     strata = strata.withColumn("_o", F.col(key) if order is None else order)
-    w = Window.partitionBy("stratum")
-    n = F.count("*").over(w)
-    rows = strata.withColumn("n", n).withColumn("r", F.row_number().over(w.orderBy("_o", key)) - 1)
+    rows = group_rank(strata, ["stratum"], "_o", key).withColumnRenamed("rank", "r")
     most = lambda share, least: F.greatest(F.lit(least), F.floor(F.col("n") * share)) if share > 0 else F.lit(0)
     a = F.greatest(F.lit(3), F.floor(F.col("n") * train))
     b = a + most(val, 1)
@@ -72,8 +91,18 @@ def stratified_split(labels: DataFrame, ratio: str = "8:1:1", order: Column | No
 
 
 def split_stats(records: DataFrame) -> DataFrame:
-    """Per split: records, distinct images, objects."""
-    return records.groupBy("split").agg(F.count("*").alias("records"), F.countDistinct("image_key").alias("images"), F.sum("num_objects").alias("objects"))
+    """Per split: records, distinct images, objects. With columns image_path and images, images are the distinct paths of both."""
+    if "images" not in records.columns:
+        return records.groupBy("split").agg(F.count("*").alias("records"), F.countDistinct("image_key").alias("images"), F.sum("num_objects").alias("objects"))
+    rows = records.groupBy("split").agg(F.count("*").alias("records"), F.sum("num_objects").alias("objects"))
+    paths = records.select("split", F.explode(F.array_union(F.array("image_path"), F.coalesce("images", F.array().cast("array<string>")))).alias("image"))
+    images = paths.filter("image is not null").distinct().groupBy("split").agg(F.count("*").alias("images"))
+    return rows.join(images, "split", "left").select("split", "records", F.coalesce("images", F.lit(0)).alias("images"), "objects")
+
+
+def label_records(records: DataFrame) -> DataFrame:
+    """(split, label, records): how many records of a split have a label."""
+    return records.select("split", F.explode(F.array_distinct("labels")).alias("label")).groupBy("split", "label").agg(F.count("*").alias("records"))
 
 
 def class_matrix(labels: DataFrame) -> DataFrame:

@@ -74,13 +74,16 @@ def map_labels(shapes: Column, mapping: dict[str, str]) -> Column:
     )
 
 
-def standardize(df: DataFrame, annotation: str = "a", path: str = "path") -> DataFrame:
-    """Adds source_path, cleaning_status, and shapes with label_normalized and a shape type (its own, the legacy ``type``, or rectangle)."""
+def standardize(df: DataFrame, annotation: str = "a", path: str = "path", cleaned_at: Column | None = None, status: str | None = None) -> DataFrame:
+    """Adds cleaned_at (one time for all rows), source_path, cleaning_status (that of column ``status`` where it has one), and
+    standard_shapes with label_normalized and a shape type (its own, the legacy ``type``, or rectangle)."""
     shapes = F.transform(
         F.col(annotation)["shapes"],
         lambda s: s.withField("label_normalized", F.lower(F.trim(s["label"]))).withField("shape_type", F.coalesce(s["shape_type"], s["type"], F.lit("rectangle"))),
     )
-    return df.withColumns({"source_path": F.col(path), "cleaning_status": F.lit("cleaned"), "standard_shapes": shapes})
+    when = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss") if cleaned_at is None else cleaned_at
+    own = F.coalesce(F.col(status), F.lit("cleaned")) if status else F.lit("cleaned")
+    return df.withColumns({"cleaned_at": when, "source_path": F.col(path), "cleaning_status": own, "standard_shapes": shapes})
 
 
 def normalized_label(label: Column) -> Column:
@@ -183,6 +186,49 @@ def record_status(raw: Column) -> Column:
     )
 
 
+def record_error(raw: Column) -> Column:
+    """The first fault of a training record's JSON text, or null. Chat turns (``conversations``) are looked at before ``messages``.
+
+    not_json, unknown_schema; of turns: no_turns, first_not_human, second_not_gpt (of two), no_id, no_image; of messages:
+    no_images, no_messages, first_not_user, second_not_assistant. A record without an answer is fine.
+    """
+
+    def judged(v: Column) -> Column:
+        kind = lambda path: F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+        said = lambda path: F.coalesce(F.try_variant_get(v, path, "string"), F.lit(""))
+        size = lambda path: F.coalesce(F.size(F.try_variant_get(v, path, "array<variant>")), F.lit(-1))
+        turns = (
+            F.when(size("$.conversations") < 1, "no_turns")
+            .when(said("$.conversations[0].from") != "human", "first_not_human")
+            .when((size("$.conversations") == 2) & (said("$.conversations[1].from") != "gpt"), "second_not_gpt")
+            .when(kind("$.id").isNull(), "no_id")
+            .when(kind("$.image").isNull(), "no_image")
+        )
+        messages = (
+            F.when(kind("$.images").isNull(), "no_images")
+            .when(size("$.messages") < 1, "no_messages")
+            .when(said("$.messages[0].role") != "user", "first_not_user")
+            .when((size("$.messages") > 1) & (said("$.messages[1].role") != "assistant"), "second_not_assistant")
+        )
+        return (
+            F.when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), "not_json")
+            .when(kind("$.conversations").isNotNull(), turns)
+            .when(kind("$.messages").isNotNull(), messages)
+            .otherwise("unknown_schema")
+        )
+
+    return g.let(F.try_parse_json(raw), judged)
+
+
+def verify_records(lines: DataFrame, n: int, shown: int = 3) -> DataFrame:
+    """One row on the records (index, value) whose index is below ``n``: checked, valid, passed, and the first ``shown`` errors."""
+    rows = lines.filter(F.col("index") < n).select("index", record_error(F.col("value")).alias("error"))
+    first = F.array_sort(F.collect_list(F.when(F.col("error").isNotNull(), F.struct("index", "error"))))  # of n lines at most
+    found = rows.agg(F.count("*").alias("checked"), F.count_if(F.col("error").isNull()).alias("valid"), F.slice(first, 1, shown).alias("e"))
+    errors = F.array_join(F.transform("e", lambda e: F.concat(e["index"].cast("string"), F.lit(":"), e["error"])), "; ")
+    return found.select("checked", "valid", (F.col("checked") == F.col("valid")).alias("passed"), errors.alias("errors"))
+
+
 def complete_result(raw: Column, fields: tuple[str, ...] = ("train_runtime_sec", "train_loss", "samples_per_second", "steps_per_second", "peak_vram_gb")) -> Column:
     """Whether a training result has a number in every required field."""
     v = F.try_parse_json(raw)

@@ -56,6 +56,34 @@ def completion_issues(tasks: DataFrame) -> DataFrame:
     return rows.select("worker", F.explode(F.array_compact(F.array(F.when(F.col("claimed") > 0, "in_flight"), F.when(F.col("pending") > 0, "not_started")))).alias("issue"))
 
 
+class IncompleteWork(RuntimeError):
+    """Tasks are in flight or not started; ``counts`` has the numbers."""
+
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(f"work is not complete: {counts}")
+        self.counts = counts
+
+
+def check_completion(tasks: DataFrame) -> dict[str, int]:
+    """total, done, in_flight, not_started and workers; raises ``IncompleteWork`` unless every task is done or failed."""
+    p = tasks.agg(F.count("*").alias("total"), F.count_if(F.col("status").isin("done", "failed")).alias("done"), F.count_if(F.col("status") == "claimed").alias("in_flight"), F.count_if(F.col("status") == "pending").alias("not_started"), F.countDistinct("worker").alias("workers"))
+    counts = p.first().asDict()
+    if counts["done"] < counts["total"]:
+        raise IncompleteWork(counts)
+    return counts
+
+
+def worker_maps(tasks: DataFrame) -> DataFrame:
+    """One row: busy seconds and samples by worker, as maps in the workers' order, and the mean utilisation where ``tasks`` has one."""
+    rows = worker_load(tasks)
+    by = lambda c: F.map_from_entries(F.sort_array(F.collect_list(F.struct("worker", c))))  # noqa: E731  an entry per worker
+    found = rows.agg(by("busy_seconds").alias("busy"), by("samples").alias("samples"))
+    if "utilization_pct" not in tasks.columns:
+        return found
+    mean = tasks.groupBy("worker").agg(F.avg("utilization_pct").alias("u")).agg(F.round(F.avg("u"), 4).alias("mean_utilization"))
+    return found.withColumn("_1", F.lit(1)).join(mean.withColumn("_1", F.lit(1)), "_1").drop("_1")
+
+
 def worker_load(tasks: DataFrame) -> DataFrame:
     """Per worker: samples, busy seconds, throughput."""
     rows = tasks.groupBy("worker").agg(F.count("*").alias("samples"), F.round(F.sum("cost"), 4).alias("busy_seconds"))
@@ -83,9 +111,3 @@ def layout_report(tasks: DataFrame, workers: int, order: str = "sample_index") -
 def partial_completeness(parts: DataFrame, expected_ranks: int, expected_rows: int) -> DataFrame:
     """One row: whether partial results of all ranks, and all rows, are there."""
     return parts.agg(F.countDistinct("worker").alias("ranks"), F.count("*").alias("rows")).withColumn("complete", (F.col("ranks") == expected_ranks) & (F.col("rows") == expected_rows))
-
-
-def salted_cost_partition(tasks: DataFrame, partitions: int, cost: str = "cost") -> DataFrame:
-    """``tasks`` dealt over partitions in turns of falling cost, so that no task gets the dear rows together."""
-    ranked = global_rank(tasks.withColumn("_cost", -F.col(cost)), "_cost")
-    return ranked.drop("_cost").repartition(partitions, F.col("rank") % partitions)

@@ -22,9 +22,9 @@ def _split(c):
 
 
 def _samples(spark, sf):
-    """For each image and model: detections and ground truth; either may be empty."""
+    """For each image and model: detections and ground truth; either may be empty. Some boxes have another label than was found."""
     d = fx.detections(spark, sf)
-    gt = fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1 and supp % 11 <> 0")
+    gt = fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1").withColumn("label", F.when(F.col("supp") % 11 == 0, F.concat("label", F.lit("_X"))).otherwise(F.col("label")))
     dets = _arrays(d, "image_id", "model").withColumnRenamed("boxes", "dets")
     gts = _arrays(gt, "image_id", confidence=False).withColumnRenamed("boxes", "gts")
     frame = fx.images(spark, sf).select("image_id", F.explode(F.array(F.lit("A"), F.lit("B"))).alias("model"))
@@ -61,18 +61,15 @@ def _pairs(spark, sf):
 
 
 def cross_iou_by_image(spark, sf):
-    return e.cross_iou(_pairs(spark, sf)).groupBy("image_id").agg(F.round(F.avg("v"), 6).alias("mean_iou"), F.round(F.max("v"), 6).alias("max_iou"), F.round(F.min("v"), 6).alias("min_iou"), F.count("*").alias("pairs"))
+    return e.cross_iou_summary(e.cross_iou(_pairs(spark, sf)), "image_id")
 
 
 def cross_iou_by_class(spark, sf):
-    return e.cross_iou(_pairs(spark, sf)).groupBy("label").agg(F.round(F.avg("v"), 6).alias("mean_iou"), F.round(F.max("v"), 6).alias("max_iou"), F.round(F.min("v"), 6).alias("min_iou"), F.count("*").alias("pairs"))
+    return e.cross_iou_summary(e.cross_iou(_pairs(spark, sf)), "label")
 
 
 def iou_distribution(spark, sf):
-    rows = e.sample_metrics(_samples(spark, sf)).filter("mean_match_iou > 0")
-    q = F.percentile("mean_match_iou", F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    found = rows.groupBy("model", "split").agg(q.alias("q"), F.count("*").alias("n"))
-    return found.select("model", "split", "n", *[F.round(F.get("q", i), 6).alias(k) for i, k in enumerate(("low", "q1", "median", "q3", "high"))])
+    return e.iou_distribution(e.sample_metrics(_samples(spark, sf)), "model", "split")
 
 
 def _table(spark, sf):
@@ -84,20 +81,44 @@ def model_comparison(spark, sf):
     return e.compare(_table(spark, sf), "B", "A")
 
 
+def largest_changes(spark, sf):
+    """The three largest gains and losses of model B against A."""
+    return e.largest_changes(e.compare(_table(spark, sf), "A", "B"))
+
+
+def comparison_table(spark, sf):
+    return e.comparison_table(_table(spark, sf), ("B", "A"))
+
+
 def generalisation(spark, sf):
-    return e.generalisation(_table(spark, sf))
+    return e.generalisation(_table(spark, sf), "B", "A")
+
+
+def summary_first(spark, sf):
+    """Aggregates of which a stored summary has the F1 of model A."""
+    table = _table(spark, sf)
+    summary = table.filter("model = 'A'").select("model", "split", (F.col("f1") + 1).alias("f1"))
+    return e.with_summary(table, summary, ["precision", "recall", "f1"])
+
+
+def position_pairs(spark, sf):
+    """Samples of both models by split and position; some of model A are missing."""
+    m = _rounded(e.sample_metrics(_samples(spark, sf))).withColumnRenamed("image_id", "index")
+    return e.join_positions(m.filter("model = 'B'"), m.filter("model = 'A' and num_det > 0"), ["f1", "num_match"])
 
 
 def join_occurrences(spark, sf):
-    """Records that share a key with the results of two models, by occurrence."""
-    rows = fx.shapes(spark, sf).groupBy("image_id").agg(F.min("image_key").alias("key"), F.first("width").alias("width"))
-    rec = rows.select((F.col("key") % 700).alias("key"), F.col("image_id").alias("index"))
-    a = rec.filter("index % 5 <> 0").withColumnRenamed("index", "place")
-    b = rec.filter("index % 7 <> 0").withColumnRenamed("index", "place")
-    return e.join_occurrences(rec.withColumnRenamed("index", "place"), a, b, ["key"], "place")
+    """Records that share a key with the results of two models, by occurrence; keys with results beyond their records have
+    leftovers."""
+    rows = fx.shapes(spark, sf).groupBy("image_id").agg(F.min("image_key").alias("key"))
+    rec = rows.select((F.col("key") % 700).alias("key"), F.col("image_id").alias("place"))
+    more = rec.filter("place % 11 = 0").withColumn("place", F.col("place") + 1_000_000_000)
+    a = rec.filter("place % 5 <> 0 or key % 3 = 0").unionAll(more)
+    b = rec.filter("place % 7 <> 0").unionAll(more.filter("key % 2 = 0"))
+    return e.join_occurrences(rec, a, b, ["key"], "place")
 
 
-QUERIES = {f.__name__: f for f in (sample_metrics, sample_metrics_any_label, aggregate_metrics, threshold_sweep, cross_iou_by_image, cross_iou_by_class, iou_distribution, model_comparison, generalisation, join_occurrences)}
+QUERIES = {f.__name__: f for f in (sample_metrics, sample_metrics_any_label, aggregate_metrics, threshold_sweep, cross_iou_by_image, cross_iou_by_class, iou_distribution, model_comparison, largest_changes, comparison_table, generalisation, summary_first, position_pairs, join_occurrences)}
 
 
 def _iou(a, b):
@@ -111,7 +132,7 @@ def _matched(threshold, same_label, where="true", sweep="[0.0]"):
     label = "AND g.label = d.label" if same_label else ""
     return fx.DETECTIONS_SQL + f""", fr AS (SELECT image_id, m.model, t.threshold FROM images, (VALUES ('A'), ('B')) m(model), (SELECT unnest({sweep}) AS threshold) t),
   d AS (SELECT x.*, t.threshold, row_number() OVER (PARTITION BY image_id, model, t.threshold ORDER BY x1, y1, x2, y2, label, confidence) AS i FROM detections x, (SELECT unnest({sweep}) AS threshold) t WHERE {where}),
-  g AS (SELECT image_id, label, x1, y1, x2, y2, row_number() OVER (PARTITION BY image_id ORDER BY x1, y1, x2, y2, label) AS j FROM shapes WHERE x2 > x1 AND y2 > y1 AND supp % 11 <> 0),
+  g AS (SELECT image_id, label, x1, y1, x2, y2, row_number() OVER (PARTITION BY image_id ORDER BY x1, y1, x2, y2, label) AS j FROM (SELECT * REPLACE (CASE WHEN supp % 11 = 0 THEN label || '_X' ELSE label END AS label) FROM shapes) WHERE x2 > x1 AND y2 > y1),
   c AS (SELECT d.image_id, d.model, d.threshold, i, list(struct_pack(v := v, nj := -j) ORDER BY v DESC, j) AS cand FROM (
           SELECT d.image_id, d.model, d.threshold, d.i, g.j, {_iou("d", "g")} AS v FROM d JOIN g ON d.image_id = g.image_id {label}) d WHERE v > 0 AND v >= {threshold} GROUP BY ALL),
   ord AS (SELECT *, row_number() OVER (PARTITION BY image_id, model, threshold ORDER BY i) AS s FROM c),
@@ -138,6 +159,8 @@ _CROSS = fx.DETECTIONS_SQL + f", x AS (SELECT a.image_id, a.label, a.rid, max({_
 _FOUR = "round(avg(v), 6) AS mean_iou, round(max(v), 6) AS max_iou, round(min(v), 6) AS min_iou, count(*) AS pairs FROM x WHERE v > 0"
 _R = "WITH RECURSIVE "
 _NAMES = ("precision", "recall", "f1", "mean_match_iou")
+_LONG = "l AS (" + " UNION ALL ".join(f"SELECT split, model, '{k}' AS metric, {c} AS value FROM agg" for k, c in [*((k, f"{k}_mean") for k in _NAMES), ("success_rate", "success_rate")]) + ")"
+_SHORT = ", ".join(f"{k}_mean AS {k}" for k in _NAMES)
 ORACLE_SQL = {
     "sample_metrics": f"{_R}{_ONE} SELECT image_id, model, split, num_det, num_gt, num_match, {_ROUND}, det_success FROM met",
     "sample_metrics_any_label": f"{_R}{_matched(0.3, False)} SELECT image_id, model, split, num_det, num_gt, num_match, {_ROUND}, det_success FROM met",
@@ -146,13 +169,23 @@ ORACLE_SQL = {
     "cross_iou_by_image": f"WITH {_CROSS} SELECT image_id, {_FOUR} GROUP BY image_id",
     "cross_iou_by_class": f"WITH {_CROSS} SELECT label, {_FOUR} GROUP BY label",
     "iou_distribution": f"{_R}{_ONE}, q AS (SELECT model, split, count(*) AS n, quantile_cont(mean_match_iou, [0.0, 0.25, 0.5, 0.75, 1.0]) AS q FROM met WHERE mean_match_iou > 0 GROUP BY ALL) SELECT model, split, n, " + ", ".join(f"round(q[{i + 1}], 6) AS {k}" for i, k in enumerate(("low", "q1", "median", "q3", "high"))) + " FROM q",
-    "model_comparison": f"{_R}{_ONE}, {_AGG}, l AS (" + " UNION ALL ".join(f"SELECT split, model, '{k}' AS metric, {c} AS value FROM agg" for k, c in [*((k, f"{k}_mean") for k in _NAMES), ("success_rate", "success_rate")]) + """),
+    "model_comparison": f"""{_R}{_ONE}, {_AGG}, {_LONG},
       w AS (SELECT split, metric, max(value) FILTER (model = 'B') AS base, max(value) FILTER (model = 'A') AS tuned FROM l GROUP BY ALL), z AS (SELECT *, round(tuned - base, 6) AS diff FROM w)
       SELECT *, CASE WHEN diff > 0.01 THEN 'improved' WHEN diff < -0.01 THEN 'degraded' ELSE 'flat' END AS verdict FROM z""",
-    "generalisation": f"""{_R}{_ONE}, {_AGG}, w AS (SELECT model, max(f1_mean) FILTER (split = 'train') AS train, max(f1_mean) FILTER (split = 'test') AS test FROM agg GROUP BY 1), z AS (SELECT *, round(train - test, 6) AS gap FROM w)
-      SELECT *, CASE WHEN gap > 0.1 THEN 'overfit' WHEN gap < -0.1 THEN 'underfit' ELSE 'stable' END AS verdict FROM z""",
-    "join_occurrences": f"""WITH {fx.SHAPES_SQL}, r AS (SELECT DISTINCT image_key % 700 AS key, image_id AS place FROM shapes), k AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM r),
-      a AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM r WHERE place % 5 <> 0), b AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM r WHERE place % 7 <> 0)
-      SELECT k.key, k.place, k.o::INT AS occurrence, a.place AS first_at, b.place AS second_at, CASE WHEN a.place IS NOT NULL AND b.place IS NOT NULL THEN 'both' WHEN a.place IS NOT NULL THEN 'first' WHEN b.place IS NOT NULL THEN 'second' ELSE 'none' END AS found
-      FROM k LEFT JOIN a ON k.key = a.key AND k.o = a.o LEFT JOIN b ON k.key = b.key AND k.o = b.o""",
+    "largest_changes": f"""{_R}{_ONE}, {_AGG}, {_LONG}, w AS (SELECT split, metric, max(value) FILTER (model = 'A') AS base, max(value) FILTER (model = 'B') AS tuned FROM l GROUP BY ALL), z AS (SELECT *, round(tuned - base, 6) AS diff FROM w),
+      v AS (SELECT *, CASE WHEN diff > 0.01 THEN 'improved' WHEN diff < -0.01 THEN 'degraded' ELSE 'flat' END AS verdict FROM z)
+      (SELECT * FROM v WHERE verdict = 'improved' ORDER BY diff DESC, split, metric LIMIT 3) UNION ALL (SELECT * FROM v WHERE verdict = 'degraded' ORDER BY diff, split, metric LIMIT 3)""",
+    "comparison_table": f"""{_R}{_ONE}, {_AGG} SELECT model, split, {_SHORT}, success_rate, CASE split WHEN 'train' THEN 1 WHEN 'valid' THEN 2 ELSE 3 END::INT AS split_rank, CASE model WHEN 'B' THEN 1 ELSE 2 END::INT AS model_rank FROM agg""",
+    "summary_first": f"""{_R}{_ONE}, {_AGG} SELECT model, split, {_SHORT.replace('f1_mean AS f1', "CASE WHEN model = 'A' THEN f1_mean + 1 ELSE f1_mean END AS f1")}, success_rate FROM agg""",
+    "position_pairs": f"""{_R}{_ONE} SELECT b.split, b.image_id AS index, round(b.f1, 6) AS base_f1, b.num_match AS base_num_match, round(a.f1, 6) AS tuned_f1, a.num_match AS tuned_num_match
+      FROM met b LEFT JOIN met a ON a.model = 'A' AND a.num_det > 0 AND a.image_id = b.image_id WHERE b.model = 'B'""",
+    "generalisation": f"""{_R}{_ONE}, {_AGG}, w AS (SELECT """ + ", ".join(f"coalesce(max(f1_mean) FILTER (model = '{m}' AND split = '{s}'), 0) AS {n}_{s}" for m, n, s in (("B", "base", "train"), ("B", "base", "test"), ("A", "tuned", "train"), ("A", "tuned", "valid"), ("A", "tuned", "test"))) + """ FROM agg),
+      z AS (SELECT *, CASE WHEN base_train <> 0 AND base_test <> 0 THEN round(base_train - base_test, 6) ELSE 0 END AS base_gap, CASE WHEN tuned_train <> 0 AND tuned_test <> 0 THEN round(tuned_train - tuned_test, 6) ELSE 0 END AS tuned_gap FROM w)
+      SELECT *, CASE WHEN tuned_gap < base_gap THEN 'smaller_gap' WHEN tuned_gap > base_gap THEN 'larger_gap' ELSE 'similar' END AS verdict FROM z""",
+    "join_occurrences": f"""WITH {fx.SHAPES_SQL}, r AS (SELECT DISTINCT image_key % 700 AS key, image_id AS place FROM shapes), x AS (SELECT key, place + 1000000000 AS place FROM r WHERE place % 11 = 0),
+      k AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM r),
+      a AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM (SELECT * FROM r WHERE place % 5 <> 0 OR key % 3 = 0 UNION ALL SELECT * FROM x)),
+      b AS (SELECT key, place, row_number() OVER (PARTITION BY key ORDER BY place) AS o FROM (SELECT * FROM r WHERE place % 7 <> 0 UNION ALL SELECT * FROM x WHERE key % 2 = 0)),
+      f AS (SELECT coalesce(k.key, a.key, b.key) AS key, k.place, coalesce(k.o, a.o, b.o)::INT AS occurrence, a.place AS first_at, b.place AS second_at FROM k FULL JOIN a ON k.key = a.key AND k.o = a.o FULL JOIN b ON coalesce(k.key, a.key) = b.key AND coalesce(k.o, a.o) = b.o)
+      SELECT *, CASE WHEN place IS NULL THEN 'leftover' WHEN first_at IS NOT NULL AND second_at IS NOT NULL THEN 'both' WHEN first_at IS NOT NULL THEN 'first' WHEN second_at IS NOT NULL THEN 'second' ELSE 'none' END AS found FROM f""",
 }

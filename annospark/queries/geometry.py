@@ -10,9 +10,7 @@ from annospark.functions import geometry as g
 
 def _boxes(spark, sf):
     """Each shape's box through the shape dispatch."""
-    a = fx.annotations(spark, sf)
-    rows = a.select("image_id", "width", "height", F.posexplode("shapes").alias("pos", "s"))
-    return rows.withColumn("b", g.shape_box(F.col("s")))
+    return fx.shape_rows(spark, sf).withColumn("b", g.shape_box(F.col("s")))
 
 
 BOXES_SQL = (

@@ -8,6 +8,7 @@ from annospark import fixtures as fx
 from annospark.functions import text as t
 from annospark.operators import records as r
 from annospark.queries.geometry import VALID_SQL
+from annospark.sources import files
 
 
 def record_prompts(spark, sf):
@@ -21,8 +22,8 @@ def per_class_records(spark, sf):
 
 
 def response_json(spark, sf):
-    """The response text of images with one usable box."""
-    rows = r.convert(fx.annotations(spark, sf)).filter("num_objects = 1")
+    """The response text of every image with usable boxes."""
+    rows = r.convert(fx.annotations(spark, sf))
     return rows.select("record_id", t.role_text(F.col("messages"), "assistant").alias("response"))
 
 
@@ -77,6 +78,78 @@ def parse_model_text(spark, sf):
     return rows.select("event_id", "n", F.col("d.label").alias("label"), F.array_join(F.col("d.bbox").cast("array<string>"), ",").alias("bbox"), F.col("d.confidence").alias("confidence"))
 
 
+def prompt_styles(spark, sf):
+    """Every question of every style and language about each image's labels, and one by a caller's builder."""
+    rows = r.convert(fx.annotations(spark, sf))
+    asked = [(style, lang, strategy, t.detection_prompt(F.col("labels"), strategy, lang, style=style)) for style in (*t.STYLES, "other") for lang in ("en", "zh") for strategy in ("all_in_one", "per_class")]
+    asked += [("custom", "en", "all_in_one", t.detection_prompt(F.col("labels"), custom=files.load_templates('{"all_in_one_en": "Any {class_list}?"}')))]
+    one = F.explode(F.array(*[F.struct(F.lit(a).alias("style"), F.lit(b).alias("lang"), F.lit(c).alias("strategy"), d.alias("prompt")) for a, b, c, d in asked]))
+    return rows.select("record_id", one.alias("x")).select("record_id", "x.*")
+
+
+def built_prompts(spark, sf):
+    """Records whose question a caller's function makes and whose answer is a list."""
+    rows = r.convert(fx.annotations(spark, sf), "per_class", prompt=lambda labels: F.concat(F.lit("Where is "), F.get(labels, 0), F.lit("?")), output="list", norm="raw", lang="zh")
+    text = t.role_text(F.col("messages"), "assistant")
+    return rows.select("record_id", t.first_query(F.col("messages")).alias("prompt"), F.split(text, "\n", 2)[0].alias("head"), (F.size(F.split(text, "\n")) - 1).alias("lines"))
+
+
+def list_responses(spark, sf):
+    """List answers of each language and strategy to each image: their head and how many lines follow."""
+    a = fx.annotations(spark, sf).withColumn("b", F.filter(r.usable_boxes(F.col("shapes"), F.col("width"), F.col("height"), norm="raw"), lambda b: b["reason"].isNull()))
+    made = [(lang, strategy, t.list_response(F.col("b"), strategy, "raw", lang)) for lang in ("en", "zh") for strategy in ("all_in_one", "per_class")]
+    one = F.explode(F.array(*[F.struct(F.lit(x).alias("lang"), F.lit(y).alias("strategy"), z.alias("text")) for x, y, z in made]))
+    rows = a.select("image_id", one.alias("x")).select("image_id", "x.*")
+    return rows.select("image_id", "lang", "strategy", F.split("text", "\n", 2)[0].alias("head"), F.length("text").alias("length"))
+
+
+def legacy_responses(spark, sf):
+    """The older answer for each image; labels have quotes to be escaped."""
+    shapes = F.transform("shapes", lambda s: s.withField("label", F.concat(F.lit('"'), s["label"], F.lit('"\\'))))
+    a = fx.annotations(spark, sf).withColumn("b", F.filter(r.usable_boxes(shapes, F.col("width"), F.col("height")), lambda b: b["reason"].isNull())).filter(F.size("b") > 0)
+    text = t.legacy_response(F.slice(F.array_sort("b"), 1, 1))
+    v = F.try_parse_json(text)
+    return a.select("image_id", F.try_variant_get(v, "$[0].label", "string").alias("label"), F.try_variant_get(v, "$[0].bbox[0]", "double").alias("x"), F.try_variant_get(v, "$[0].confidence", "double").alias("confidence"))
+
+
+def parsed_layouts(spark, sf):
+    """Answers in each layout, read and given back in another one."""
+    e = fx.table(spark, sf, "events").withColumn("n", (F.floor("value") % 300).cast("int"))
+    n = F.col("n")
+    rows = []
+    for given, wanted, numbers in (("xyxy", "cxcywh", (n, n + 10, n + 40, n + 70)), ("yxyx", "xywh", (n + 10, n, n + 70, n + 40)), ("xywh", "yxyx", (n, n + 10, F.lit(40), F.lit(60))), ("cxcywh", "xyxy", (n + 20, n + 40, F.lit(40), F.lit(60)))):
+        text = F.concat(F.lit('[{"box_2d": ['), F.concat_ws(", ", *[x.cast("string") for x in numbers]), F.lit("]}]"))
+        found = F.get(t.parse_detections(text, F.lit(640), F.lit(480), "raw", given, out_layout=wanted), 0)["bbox"]
+        rows.append(F.struct(F.lit(given).alias("layout"), F.array_join(found.cast("array<string>"), ",").alias("bbox")))
+    return e.select("event_id", F.explode(F.array(*rows)).alias("x")).select("event_id", "x.*")
+
+
+def image_references(spark, sf):
+    """How records name their images in each mode, and where a record without images has its own."""
+    d = fx.table(spark, sf, "pages").select("page_id", F.concat(F.lit("/data/"), F.col("page_id").cast("string"), F.lit(".png")).alias("path"), "html")
+    modes = [t.image_reference(F.col("path"), "/data", m, F.encode("html", "UTF-8")).alias(m) for m in ("relative", "absolute", "copy", "base64")]
+    own = t.record_image(F.when(F.col("page_id") % 2 == 0, F.array("path")).otherwise(F.array().cast("array<string>")), F.concat("path", F.lit(".json")))
+    found = d.select("page_id", *modes, t.image_reference(F.concat(F.lit("x"), "path"), "/data").alias("outside"), own.alias("own"))
+    return found.withColumn("base64", F.md5("base64"))
+
+
+def text_columns(spark, sf):
+    """The text of rows that have it in one of several columns."""
+    e = fx.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("content"), "props", F.col("value").alias("input"))
+    return e.select("event_id", F.when(F.col("event_id") % 3 == 0, t.first_text(e)).alias("text"), F.length(t.first_text(e, ("text", "props"))).alias("props_length"), t.first_text(e, ("text",)).alias("none"))
+
+
+def stripped_splits(spark, sf):
+    """Turns left in the records of each split, for messages and for chat turns."""
+    split = F.element_at(F.array(*[F.lit(s) for s in ("train", "val", "test")]), (F.col("conv_id") % 3 + 1).cast("int"))
+    c = fx.records(spark, sf).withColumn("split", split)
+    rows = None
+    for schema in ("openai", "sharegpt"):
+        one = r.strip_answers(c, schema).select(F.lit(schema).alias("schema"), "split", F.explode("messages.role").alias("role")).groupBy("schema", "split", "role").agg(F.count("*").alias("turns"))
+        rows = one if rows is None else rows.unionAll(one)
+    return rows
+
+
 def chat_records(spark, sf):
     c = fx.records(spark, sf)
     return c.select("conv_id", F.size("messages").alias("turns"), t.first_query(F.col("messages")).alias("query"), F.md5(t.chat_text(F.col("messages"))).alias("chat_md5"), F.size(t.user_only(F.col("messages"))).alias("user_turns"))
@@ -96,7 +169,7 @@ def message_images(spark, sf):
     return rows.select("conv_id", "pos", F.col("m.role").alias("role"), F.size("m.content").alias("items"), F.get("m.content", 0)["type"].alias("first_type"))
 
 
-QUERIES = {f.__name__: f for f in (record_prompts, per_class_records, response_json, conversion_counters, filtered_records, both_strategies, round_trip, list_round_trip, parse_model_text, chat_records, sharegpt_records, message_images)}
+QUERIES = {f.__name__: f for f in (record_prompts, per_class_records, response_json, conversion_counters, filtered_records, both_strategies, round_trip, list_round_trip, parse_model_text, prompt_styles, built_prompts, list_responses, legacy_responses, parsed_layouts, image_references, text_columns, stripped_splits, chat_records, sharegpt_records, message_images)}
 
 _USABLE = VALID_SQL + """, u AS (SELECT image_id, width, height, label, x_min, y_min, x_max, y_max,
    round_even(x_min / width * 1000, 0)::BIGINT AS a, round_even(y_min / height * 1000, 0)::BIGINT AS b, round_even(x_max / width * 1000, 0)::BIGINT AS c, round_even(y_max / height * 1000, 0)::BIGINT AS d
@@ -109,7 +182,25 @@ ORACLE_SQL = {
       'Find every object of these classes in the image: ' || string_agg(DISTINCT label, ', ' ORDER BY label) || '. Answer with a JSON list.' AS prompt,
       (sum(length({_ITEM}) + 1) + 2 * count(*) + length({_HEAD}))::INT AS response_length FROM u GROUP BY image_id""",
     "per_class_records": f"WITH {_USABLE} SELECT 'img_' || image_id || '_' || label AS record_id, count(*)::INT AS num_objects, 'Find every ' || label || ' in the image. Answer with a JSON list.' AS prompt FROM u GROUP BY image_id, label",
-    "response_json": f"WITH {_USABLE} SELECT 'img_' || image_id AS record_id, min('[' || {_ITEM} || {_HEAD} || '}}]') AS response FROM u GROUP BY image_id HAVING count(*) = 1",
+    "response_json": f"""WITH {_USABLE}, w AS (SELECT *, row_number() OVER (PARTITION BY image_id ORDER BY x_min, y_min, x_max, y_max, label) AS k FROM u)
+      SELECT 'img_' || image_id AS record_id, '[' || string_agg({_ITEM} || CASE WHEN k = 1 THEN {_HEAD} ELSE '' END || '}}', ', ' ORDER BY k) || ']' AS response FROM w GROUP BY image_id""",
+    "prompt_styles": f"""WITH {_USABLE}, n AS (SELECT image_id, string_agg(DISTINCT label, ', ' ORDER BY label) AS en, string_agg(DISTINCT label, '、' ORDER BY label) AS zh FROM u GROUP BY 1),
+      t(style, lang, strategy, text) AS (VALUES {", ".join(f"('{a}', '{b}', '{c}', '{x}')" for (b, a, c), x in t.PROMPTS.items())}, {", ".join(f"('other', '{b}', '{c}', 'Detect: {{class_list}}')" for b in ("en", "zh") for c in ("all_in_one", "per_class"))}, ('custom', 'en', 'all_in_one', 'Any {{class_list}}?'))
+      SELECT 'img_' || image_id AS record_id, style, lang, strategy, replace(text, '{{class_list}}', CASE WHEN lang = 'zh' THEN zh ELSE en END) AS prompt FROM n, t""",
+    "built_prompts": f"WITH {_USABLE} SELECT 'img_' || image_id || '_' || label AS record_id, 'Where is ' || label || '?' AS prompt, label || '共' || count(*) || '个：' AS head, count(*)::INT AS lines FROM u GROUP BY image_id, label",
+    "list_responses": f"""WITH {_USABLE}, c AS (SELECT image_id, count(*) AS n, string_agg(DISTINCT label, ', ' ORDER BY label) AS en, string_agg(DISTINCT label, '、' ORDER BY label) AS zh, sum(length('- [' || concat_ws(', ', x_min::BIGINT, y_min::BIGINT, x_max::BIGINT, y_max::BIGINT) || ']')) AS k, sum(length(label) + 2) AS l FROM u GROUP BY 1),
+      h AS (SELECT image_id, lang, strategy, n, CASE WHEN lang = 'en' THEN CASE WHEN strategy = 'all_in_one' THEN 'Detected ' || n || ' objects:' ELSE n || ' of class ' || en || ':' END ELSE CASE WHEN strategy = 'all_in_one' THEN '共有' || n || '个目标：' ELSE zh || '共' || n || '个：' END END AS head, k + CASE WHEN strategy = 'all_in_one' THEN l ELSE 0 END + n AS body
+        FROM c, (VALUES ('en'), ('zh')) a(lang), (VALUES ('all_in_one'), ('per_class')) b(strategy))
+      SELECT i.image_id, a.lang, b.strategy, coalesce(head, 'No objects detected.') AS head, coalesce(length(head) + body, 20)::INT AS length FROM images i CROSS JOIN (VALUES ('en'), ('zh')) a(lang) CROSS JOIN (VALUES ('all_in_one'), ('per_class')) b(strategy) LEFT JOIN h ON h.image_id = i.image_id AND h.lang = a.lang AND h.strategy = b.strategy""",
+    "legacy_responses": f"""WITH {_USABLE}, m AS (SELECT image_id, arg_min(label, (a, b, c, d, label)) AS label, min(a) AS x FROM u GROUP BY 1) SELECT image_id, '"' || label || '"\\' AS label, x::DOUBLE AS x, 1.0::DOUBLE AS confidence FROM m""",
+    "parsed_layouts": """WITH n AS (SELECT event_id, (floor(value)::BIGINT % 300)::INT AS n FROM events)
+      SELECT event_id, 'xyxy' AS layout, concat_ws(',', n + 20, n + 40, 40, 60) AS bbox FROM n UNION ALL SELECT event_id, 'yxyx', concat_ws(',', n, n + 10, 40, 60) FROM n
+      UNION ALL SELECT event_id, 'xywh', concat_ws(',', n + 10, n, n + 70, n + 40) FROM n UNION ALL SELECT event_id, 'cxcywh', concat_ws(',', n, n + 10, n + 40, n + 70) FROM n""",
+    "image_references": """SELECT page_id, page_id || '.png' AS relative, '/data/' || page_id || '.png' AS absolute, 'images/' || page_id || '.png' AS copy, md5(base64(encode(html))) AS base64, page_id || '.png' AS outside,
+      '/data/' || page_id || CASE WHEN page_id % 2 = 0 THEN '.png' ELSE '.png.json' END AS own FROM pages""",
+    "text_columns": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS text, length(props)::INT AS props_length, NULL::VARCHAR AS none FROM events",
+    "stripped_splits": """WITH c AS (SELECT ['train', 'val', 'test'][conv_id % 3 + 1] AS split, role FROM conversations) SELECT schema, split, role, count(*) AS turns FROM c, (VALUES ('openai'), ('sharegpt')) s(schema)
+      WHERE role = 'user' OR split = 'train' OR (schema = 'openai' AND split = 'val') GROUP BY ALL""",
     "conversion_counters": f"""WITH {_USABLE}, n AS (SELECT image_id, count(*) AS k FROM u GROUP BY 1)
       SELECT (SELECT count(*) FROM n) AS converted, (SELECT count(*) FROM images) - (SELECT count(*) FROM n) AS empty,
              (SELECT count(*) FROM shapes WHERE shape_type IN ('rectangle', 'polygon')) - (SELECT sum(k)::BIGINT FROM n) AS invalid_boxes, (SELECT sum(k)::BIGINT FROM n) AS objects""",

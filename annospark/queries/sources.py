@@ -30,17 +30,32 @@ def jsonl_records(spark, sf):
 def statistics_file(spark, sf):
     """A label statistics file of all images, read back; files that the manifest lacks are missing."""
     path = shared_folder(spark, "statistics")
-    counts = stats.label_counts(fx.shapes(spark, sf))
-    per = counts.groupBy("label", "cnt").agg(F.sort_array(F.collect_list(F.col("image_id").cast("string"))).alias("f"))
-    one = per.groupBy("label").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("cnt").cast("string").alias("k"), "f")))).alias("m"))
-    # a file per label
-    one.select(F.to_json(F.struct(F.lit("").alias("source_dir"), F.struct(F.lit("/data").alias("source_dir")).alias("statistics_info"), F.create_map("label", "m").alias("label_counts"))).alias("value")).repartition(8, "value").write.option("maxRecordsPerFile", 1).text(path)
+    stats.statistics_json(stats.label_counts(fx.shapes(spark, sf)), "/data").repartition(8, "value").write.option("maxRecordsPerFile", 1).text(path)
     listed = files.read_statistics(spark, path)
     manifest = fx.images(spark, sf).filter("image_id % 6 <> 0").select(F.col("image_id").cast("string").alias("path"))
     plan = files.filter_copy_plan(listed, manifest)
     return plan.groupBy("status").agg(F.count("*").alias("files"))
 
 
+def _listed(spark, sf):
+    """Files of a statistics table, under two folders, of which a manifest has most."""
+    name = lambda i: F.concat(F.lit("/set"), (i % 2).cast("string"), F.lit("/"), F.floor(i / 2).cast("string"), F.lit(".json"))
+    listed = fx.shapes(spark, sf).select(name(F.col("image_id")).alias("file"))
+    return files.filter_copy_plan(listed, fx.images(spark, sf).filter("image_id % 6 <> 0").select(name(F.col("image_id")).alias("path")))
+
+
+def filter_copies(spark, sf):
+    """Copies of listed files and their images under flat names; equal names of the two folders get numbers."""
+    plan = _listed(spark, sf)
+    images = plan.select("file", F.when(F.length("file") % 2 == 0, F.regexp_replace("file", "json$", "jpg")).alias("image"))
+    return files.filter_copies(plan, "/out", images)
+
+
+def missing_files(spark, sf):
+    """The first ten listed files that are missing."""
+    return stats.first_rows(_listed(spark, sf).filter("status = 'missing'"), 10, "file")
+
+
 def gpu_log_csv(spark, sf):
     path = shared_folder(spark, "gpu")
     fx.gpu_log(spark, sf).withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss")).write.option("header", True).csv(path)
@@ -77,6 +92,42 @@ def export_files(spark, sf):
     return out.select("index", "file", F.col("payload").isNotNull().alias("written"), F.size(back["shapes"]).alias("shapes"), back["imageWidth"].alias("width"))
 
 
+def _exported(spark, sf):
+    d = _arrays(fx.detections(spark, sf).filter("model = 'B'"), "image_id").join(fx.images(spark, sf), "image_id")
+    i = F.col("image_id")
+    return records.export_payload(
+        d.select(
+            F.when(i % 8 != 0, i).alias("index"), F.when(i % 9 != 0, F.concat(F.lit("/data/"), "stem", F.lit(".png"))).alias("image_path"),
+            F.when(i % 4 != 0, F.col("width")).alias("width"), "height", F.when(i % 3 == 0, F.col("width") + 1).alias("loaded_width"), (F.col("height") + 1).alias("loaded_height"),
+            F.when(i % 5 == 0, 77).alias("meta_width"), F.lit(88).alias("meta_height"), F.col("boxes").alias("detections"), (i % 4).cast("int").alias("gpu_id"), F.lit("B").alias("model_type"),
+            F.struct(F.lit(0.5).alias("precision"), F.lit(0.25).alias("recall"), F.lit(0.75).alias("f1")).alias("metrics"), F.lit("all?").alias("query"), F.concat(F.lit("r"), i.cast("string")).alias("raw_response"),
+        )
+    )
+
+
+def export_payloads(spark, sf):
+    """What the payloads of detections say of sizes, metadata, the raw answer and the first box."""
+    p = F.try_parse_json("payload")
+    at = lambda path, kind: F.try_variant_get(p, path, kind)
+    return _exported(spark, sf).filter("payload is not null").select(
+        "file", at("$.imagePath", "string").alias("image"), at("$.imageWidth", "int").alias("width"), at("$.imageHeight", "int").alias("height"), at("$.metadata.gpu_id", "int").alias("gpu"),
+        at("$.metadata.f1", "double").alias("f1"), at("$.metadata.num_detections", "int").alias("n"), at("$.raw_inference_data.raw_response", "string").alias("response"), at("$.raw_inference_data.parse_success", "boolean").alias("parsed"),
+        at("$.shapes[0].description", "string").alias("description"), at("$.shapes[0].points[1][0]", "double").alias("x2"), at("$.shapes[0].shape_type", "string").alias("kind"),
+    )
+
+
+def export_counts(spark, sf):
+    return records.export_counts(_exported(spark, sf))
+
+
+def message_export(spark, sf):
+    """Messages of chat records, written without anything else and read back."""
+    path = shared_folder(spark, "messages")
+    files.export_messages(fx.records(spark, sf), path)
+    back = spark.read.parquet(path)
+    return back.select(F.explode("messages").alias("m")).groupBy("m.role").agg(F.count("*").alias("turns"), F.sum(F.length(F.get("m.content", 0)["text"])).alias("characters"))
+
+
 def copy_plan(spark, sf):
     rows = val._located(spark, sf)
     return files.copy_plan(rows.select("path", "image"), "/data", "/out")
@@ -88,10 +139,12 @@ def fetch_plan(spark, sf):
 
 
 def preferred_split(spark, sf):
+    """The evaluation file of each customer's folder, which has a file per order."""
     o = fx.table(spark, sf, "orders")
-    stem = F.element_at(F.array(*[F.lit(s) for s in ("valid", "val", "train")]), (F.col("o_orderkey") % 3 + 1).cast("int"))
-    found = o.select(F.concat(F.lit("/d/"), stem, F.lit(".jsonl")).alias("path"), stem.alias("stem"))
-    return files.prefer_split(found.distinct())
+    stem = F.element_at(F.array(*[F.lit(s) for s in ("test", "valid", "val", "train", "extra")]), (F.floor(F.col("o_orderkey") / 3) % 5 + 1).cast("int"))
+    folder = F.concat(F.lit("/d/"), F.col("o_custkey").cast("string"))
+    found = o.select(folder.alias("dir"), F.concat(folder, F.lit("/"), F.col("o_orderkey").cast("string"), F.lit("/"), stem, F.lit(".jsonl")).alias("path"), stem.alias("stem"))
+    return files.prefer_split(found, by="dir")
 
 
 def annotation_files(spark, sf):
@@ -117,7 +170,7 @@ def split_files(spark, sf):
 
 def predicted(spark, sf):
     """A predictor that answers from the query; some batches and rows fail, and failed rows are scored as empty."""
-    gt = _arrays(fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1 and image_id % 3 = 0"), "image_id", confidence=False)
+    gt = _arrays(fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1"), "image_id", confidence=False)
     text = F.concat(F.lit("["), F.array_join(F.transform("boxes", lambda b: F.concat(F.lit('{"bbox": ['), F.array_join(b["bbox"].cast("array<string>"), ", "), F.lit('], "label": "'), b["label"], F.lit('"}'))), ", "), F.lit("]"))
     rows = gt.select(F.col("image_id").alias("index"), F.lit("all").alias("split"), F.concat(F.lit("i"), F.col("image_id").cast("string")).alias("image_path"), text.alias("query"), F.col("boxes").alias("gts"))
 
@@ -160,11 +213,11 @@ def record_stats(spark, sf):
 def selected_files(spark, sf):
     """Shapes of a chosen subset of images, by class."""
     chosen = fx.images(spark, sf).filter("width = 640").select("image_id")
-    rows = fx.shapes(spark, sf).join(chosen, "image_id", "left_semi").withColumn("split", F.when(F.col("image_key") % 2 == 0, "train").otherwise("val"))
+    rows = records.selected_files(fx.shapes(spark, sf), chosen, "image_id").withColumn("split", F.when(F.col("image_key") % 2 == 0, "train").otherwise("val"))
     return class_matrix(rows)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, gpu_log_csv, result_store, partial_results, export_files, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, size_lookup, training_messages, record_stats, selected_files)}
+QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, missing_files, gpu_log_csv, result_store, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, size_lookup, training_messages, record_stats, selected_files)}
 
 _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOIN images i USING (image_id)), recs AS (SELECT image_id, image_key, count(*) AS k FROM uk GROUP BY ALL),
   lab AS (SELECT DISTINCT image_id, image_key, label FROM uk), tot AS (SELECT label, count(*) AS total FROM lab GROUP BY 1),
@@ -175,6 +228,17 @@ _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOI
 ORACLE_SQL = {
     "jsonl_records": "SELECT event_type, count(*) AS n, round(sum(value), 2) AS value, count(*) AS places FROM events WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 GROUP BY 1",
     "statistics_file": f"WITH {fx.SHAPES_SQL} SELECT CASE WHEN image_id % 6 <> 0 THEN 'copied' ELSE 'missing' END AS status, count(DISTINCT image_id) AS files FROM shapes GROUP BY 1",
+    "filter_copies": f"""WITH {fx.SHAPES_SQL}, l AS (SELECT DISTINCT '/set' || image_id % 2 || '/' || image_id // 2 || '.json' AS file FROM shapes WHERE image_id % 6 <> 0),
+      c AS (SELECT file AS src, 'annotation' AS kind FROM l UNION ALL SELECT regexp_replace(file, 'json$', 'jpg'), 'image' FROM l WHERE length(file) % 2 = 0), n AS (SELECT *, regexp_extract(src, '[^/]*$') AS name, row_number() OVER (PARTITION BY regexp_extract(src, '[^/]*$') ORDER BY src) - 1 AS k FROM c)
+      SELECT src, '/out/' || CASE WHEN k = 0 THEN name ELSE regexp_extract(name, '^[^.]*') || '_' || k || regexp_extract(name, '\\..*$') END AS dst, kind FROM n""",
+    "missing_files": f"WITH {fx.SHAPES_SQL} SELECT DISTINCT '/set' || image_id % 2 || '/' || image_id // 2 || '.json' AS file, 'missing' AS status FROM shapes WHERE image_id % 6 = 0 ORDER BY file LIMIT 10",
+    "export_payloads": f"""WITH {fx.DETECTIONS_SQL}, d AS (SELECT image_id, count(*) AS n, arg_min(struct_pack(x2 := x2, c := confidence), (x1, y1, x2, y2, label, confidence)) AS f FROM detections WHERE model = 'B' GROUP BY 1),
+      s AS (SELECT *, image_id % 4 <> 0 AS own, image_id % 3 = 0 AS loaded FROM d JOIN images USING (image_id) WHERE image_id % 9 <> 0)
+      SELECT CASE WHEN image_id % 8 <> 0 THEN lpad(image_id::VARCHAR, greatest(6, length(image_id::VARCHAR))::INT, '0') || '_' ELSE '' END || stem || '.json' AS file, stem || '.png' AS image,
+        CASE WHEN own THEN width WHEN loaded THEN width + 1 WHEN image_id % 5 = 0 THEN 77 ELSE 1000 END::INT AS width, CASE WHEN own THEN height WHEN loaded THEN height + 1 ELSE 88 END::INT AS height, (image_id % 4)::INT AS gpu, 0.75::DOUBLE AS f1, n::INT AS n,
+        'r' || image_id AS response, true AS parsed, 'confidence=' || printf('%.4f', f.c) || ',gpu=' || image_id % 4 || ',model=B' AS description, f.x2::DOUBLE AS x2, 'rectangle' AS kind FROM s""",
+    "export_counts": f"WITH {fx.DETECTIONS_SQL}, d AS (SELECT DISTINCT image_id FROM detections WHERE model = 'B') SELECT count(*) FILTER (image_id % 9 <> 0) AS written, count(*) FILTER (image_id % 9 = 0) AS failed FROM d",
+    "message_export": "SELECT role, count(*) AS turns, sum(length(coalesce(text, '')))::BIGINT AS characters FROM conversations GROUP BY role",
     "gpu_log_csv": f"{_GPU} SELECT * FROM s",
     "result_store": f"WITH {fx.DETECTIONS_SQL}, d AS (SELECT *, CASE WHEN image_id % 10 < 6 THEN 'train' ELSE 'test' END AS split FROM detections) SELECT model, split, count(*) AS n, count(DISTINCT image_id) AS images FROM d WHERE NOT (model = 'A' AND split = 'test' AND image_id % 2 <> 0) GROUP BY ALL",
     "partial_results": f"WITH {fx.DETECTIONS_SQL} SELECT image_id AS index, '/i/' || image_id AS image_path, count(*)::INT AS n, arg_min(label, (x1, y1, x2, y2, label)) AS label FROM detections WHERE model = 'A' GROUP BY image_id",
@@ -185,10 +249,11 @@ ORACLE_SQL = {
       SELECT path AS src, '/out/' || sub || '/' || stem || '.json' AS dst, 'annotation' AS kind FROM r UNION ALL SELECT image, '/out/' || sub || '/' || regexp_extract(image, '[^/]*$'), 'image' FROM r WHERE image IS NOT NULL""",
     "fetch_plan": """WITH c AS (SELECT url, regexp_extract(regexp_extract(url, '^[^?#]*'), '[^/]*$') AS n FROM pages), e AS (SELECT *, regexp_extract(n, '\\.[A-Za-z0-9]{1,4}$') AS x FROM c)
       SELECT url, left(n, length(n) - length(x)) || '_' || left(md5(url), 8) || CASE WHEN x = '' THEN '.jpg' ELSE x END AS local_name FROM e""",
-    "preferred_split": "SELECT '/d/valid.jsonl' AS path, 'valid' AS stem FROM orders LIMIT 1",
+    "preferred_split": """WITH f AS (SELECT '/d/' || o_custkey AS dir, o_orderkey, (['test', 'valid', 'val', 'train', 'extra'])[o_orderkey // 3 % 5 + 1] AS stem FROM orders), g AS (SELECT dir, dir || '/' || o_orderkey || '/' || stem || '.jsonl' AS path, stem FROM f)
+      SELECT dir, path, stem FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY CASE stem WHEN 'test' THEN 1 WHEN 'valid' THEN 2 WHEN 'val' THEN 3 ELSE 4 END, path) AS r FROM g) WHERE r = 1""",
     "annotation_files": f"WITH {val.RAW_SQL} SELECT status, count(*) AS n FROM raw GROUP BY status",
     "split_files": f"WITH {_KEYS} SELECT split, count(*) AS records, sum(k)::BIGINT AS objects FROM recs JOIN st USING (image_key) GROUP BY split",
-    "predicted": f"WITH {fx.SHAPES_SQL}, g AS (SELECT image_id, count(*) AS n FROM shapes WHERE x2 > x1 AND y2 > y1 AND image_id % 3 = 0 GROUP BY 1), p AS (SELECT *, image_id % 10 <> 7 AS ok FROM g) SELECT image_id AS index, ok AS success, CASE WHEN ok THEN n ELSE 0 END::INT AS num_det, CASE WHEN ok THEN n ELSE 0 END::INT AS num_match, CASE WHEN ok THEN 1.0 ELSE 0.0 END::DOUBLE AS f1 FROM p",
+    "predicted": f"WITH {fx.SHAPES_SQL}, g AS (SELECT image_id, count(*) AS n FROM shapes WHERE x2 > x1 AND y2 > y1 GROUP BY 1), p AS (SELECT *, image_id % 10 <> 7 AS ok FROM g) SELECT image_id AS index, ok AS success, CASE WHEN ok THEN n ELSE 0 END::INT AS num_det, CASE WHEN ok THEN n ELSE 0 END::INT AS num_match, CASE WHEN ok THEN 1.0 ELSE 0.0 END::DOUBLE AS f1 FROM p",
     "size_lookup": f"WITH {fx.IMAGES_SQL} SELECT image_id, CASE WHEN image_id % 2 = 0 THEN width + 1 WHEN image_id % 3 = 0 THEN width ELSE 1024 END::INT AS width FROM images",
     "training_messages": "WITH q AS (SELECT page_id, 'Find in the image: ' || url || '. Answer with a JSON list.' AS query FROM pages) SELECT page_id, md5('<user>' || page_id || '.png' || query || '</user>' || chr(10) || '<assistant>[]</assistant>' || chr(10)) AS chat_md5, query FROM q",
     "record_stats": """WITH i AS (SELECT conv_id, CASE WHEN role = 'assistant' THEN 'i' || length(coalesce(text, '')) END AS i FROM conversations), c AS (SELECT conv_id, count(i) AS n FROM i GROUP BY 1)

@@ -87,13 +87,22 @@ def class_matrix(spark, sf):
 
 
 def split_audit(spark, sf):
-    """Classes whose share of the sequential split is off: labels are cut down to a few images first."""
-    few = fx.shapes(spark, sf).filter((F.col("part") % 50 == 0) | (F.col("label") != "RARE"))
-    few = few.join(split.split_images(few.select("image_key"), "5:2:3"), "image_key")
-    return split.audit(split.class_matrix(few.filter(F.col("image_key") % 3 != 0)), "8:1:1")
+    """Every shape under a sequential split of another ratio; labels of the first images are classes of their own, which no later
+    split has."""
+    label = F.when(F.col("image_key") < 200, F.concat(F.lit("EARLY_"), "label")).otherwise(F.col("label"))
+    rows = fx.shapes(spark, sf).withColumn("label", label)
+    rows = rows.join(split.split_images(rows.select("image_key"), "5:2:3"), "image_key")
+    return split.audit(split.class_matrix(rows), "8:1:1")
 
 
-QUERIES = {f.__name__: f for f in (label_counts, label_summary, label_histogram, structured_export, annotation_totals, distributions, per_file, sample_images, sample_labels, selection_totals, split_sequential, split_seeded, stratified_split, split_stats, class_matrix, split_audit)}
+def split_images_and_labels(spark, sf):
+    """Records, distinct image paths and objects of each split, with how many of its records have a label."""
+    rows = _split_labels(spark, sf).groupBy("split", "image_key", "image_id").agg(F.count("*").alias("num_objects"), F.collect_set("label").alias("labels"))
+    rows = rows.withColumns({"image_path": F.concat(F.lit("i"), F.col("image_key").cast("string")), "images": F.array(F.concat(F.lit("i"), F.col("image_id").cast("string")))})
+    return split.split_stats(rows).join(split.label_records(rows).withColumnRenamed("records", "label_records"), "split")
+
+
+QUERIES = {f.__name__: f for f in (label_counts, label_summary, label_histogram, structured_export, annotation_totals, distributions, per_file, sample_images, sample_labels, selection_totals, split_sequential, split_seeded, stratified_split, split_stats, class_matrix, split_audit, split_images_and_labels)}
 
 _RANKED = COUNTS_SQL + """, total AS (SELECT image_id, sum(cnt) AS total FROM counts GROUP BY 1), ranked AS (
   SELECT label, image_id, cnt, row_number() OVER w AS rank, count(*) OVER (PARTITION BY label) AS m,
@@ -132,8 +141,11 @@ ORACLE_SQL = {
     "stratified_split": f"WITH {_STRAT} SELECT * FROM st",
     "split_stats": f"WITH {_STRAT} SELECT split, count(DISTINCT image_id) AS records, count(DISTINCT image_key) AS images, count(*) AS objects FROM shapes JOIN st USING (image_key) GROUP BY split",
     "class_matrix": f"WITH {_STRAT} {_MATRIX} FROM shapes JOIN st USING (image_key) GROUP BY label",
-    "split_audit": f"""WITH {fx.SHAPES_SQL}, few AS (SELECT * FROM shapes WHERE part % 50 = 0 OR label <> 'RARE'), sp AS ({_sequential((5, 2, 3), "image_key").replace("FROM shapes", "FROM few")}),
-      m AS ({_MATRIX} FROM few JOIN sp USING (image_key) WHERE image_key % 3 <> 0 GROUP BY label)
+    "split_audit": f"""WITH {fx.SHAPES_SQL}, sp AS ({_sequential((5, 2, 3), "image_key")}),
+      m AS ({_MATRIX} FROM (SELECT image_key, CASE WHEN image_key < 200 THEN 'EARLY_' || label ELSE label END AS label FROM shapes) JOIN sp USING (image_key) GROUP BY label)
       SELECT label, issue FROM (SELECT label, unnest([CASE WHEN train = 0 THEN 'missing_train' END, CASE WHEN val = 0 AND total >= 9 THEN 'missing_val' END, CASE WHEN test = 0 AND total >= 9 THEN 'missing_test' END,
         CASE WHEN total >= 9 AND abs(train / total - 0.8) > 0.15 THEN 'train_share' END]) AS issue FROM m) WHERE issue IS NOT NULL""",
+    "split_images_and_labels": f"""WITH {_STRAT}, r AS (SELECT split, image_key, image_id, label, count(*) AS n FROM shapes JOIN st USING (image_key) GROUP BY ALL),
+      a AS (SELECT split, count(DISTINCT image_id) AS records, sum(n)::BIGINT AS objects FROM r GROUP BY 1), b AS (SELECT split, count(DISTINCT i) AS images FROM (SELECT split, image_key AS i FROM r UNION ALL SELECT split, image_id FROM r) GROUP BY 1),
+      c AS (SELECT split, label, count(DISTINCT image_id) AS label_records FROM r GROUP BY ALL) SELECT split, records, images, objects, label, label_records FROM a JOIN b USING (split) JOIN c USING (split)""",
 }

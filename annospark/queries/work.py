@@ -22,7 +22,8 @@ def status_counts(spark, sf):
 
 
 def completion_issues(spark, sf):
-    return w.completion_issues(_log(spark, sf).filter("worker <> 3 or status = 'done'"))
+    """All tasks; those of worker 3 count as done, so that it has no issue."""
+    return w.completion_issues(_log(spark, sf).withColumn("status", F.when(F.col("worker") == 3, "done").otherwise(F.col("status"))))
 
 
 def worker_load(spark, sf):
@@ -33,6 +34,12 @@ def load_report(spark, sf):
     return w.load_report(_log(spark, sf))
 
 
+def worker_maps(spark, sf):
+    """Samples by worker as one JSON map, and the mean of the workers' mean utilisation."""
+    found = w.worker_maps(_log(spark, sf).withColumn("utilization_pct", F.col("sample_index") % 100 + 0.5))
+    return found.select(F.to_json("samples").alias("samples"), F.size("busy").alias("workers"), "mean_utilization")
+
+
 def layout_report(spark, sf):
     return w.layout_report(_log(spark, sf), 7)
 
@@ -108,7 +115,7 @@ def learning_rates(spark, sf):
     return o.select("o_orderkey", r.effective_batch(F.lit(4), n, F.lit(2)).alias("batch"), *[F.round(r.scaled_rate(F.lit(0.001), n, s), 9).alias(s) for s in ("none", "linear", "sqrt")])
 
 
-QUERIES = {f.__name__: f for f in (task_progress, status_counts, completion_issues, worker_load, load_report, layout_report, assign_contiguous, assign_round_robin, batch_plan, complexity, partial_completeness, gpu_summary, gpu_utilisation, step_times, latest_artefact, run_comparison, filled_results, before_after, learning_rates)}
+QUERIES = {f.__name__: f for f in (task_progress, status_counts, completion_issues, worker_load, load_report, worker_maps, layout_report, assign_contiguous, assign_round_robin, batch_plan, complexity, partial_completeness, gpu_summary, gpu_utilisation, step_times, latest_artefact, run_comparison, filled_results, before_after, learning_rates)}
 
 _W = "WITH " + fx.WORKER_LOG_SQL
 _N = ", ".join(f"count(*) FILTER (status = '{s}') AS {s}" for s in w.STATUSES)
@@ -123,9 +130,11 @@ _RUNS = "WITH q AS (SELECT user_id % 20 AS grp, event_id % 5 AS run, round(sum(v
 ORACLE_SQL = {
     "task_progress": f"{_W} SELECT count(*) AS total, count(*) FILTER (status IN ('done', 'failed')) AS completed, count(*) FILTER (status = 'done') AS processed, count(*) FILTER (status = 'failed') AS failed, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'claimed') AS claimed, count(*) FILTER (status IN ('pending', 'claimed')) AS remaining FROM worker_log",
     "status_counts": f"{_W} SELECT {_N} FROM worker_log",
-    "completion_issues": f"{_W}, x AS (SELECT DISTINCT worker, status FROM worker_log WHERE worker <> 3 OR status = 'done') SELECT worker, CASE status WHEN 'claimed' THEN 'in_flight' ELSE 'not_started' END AS issue FROM x WHERE status IN ('claimed', 'pending')",
+    "completion_issues": f"{_W}, x AS (SELECT DISTINCT worker, status FROM worker_log WHERE worker <> 3) SELECT worker, CASE status WHEN 'claimed' THEN 'in_flight' ELSE 'not_started' END AS issue FROM x WHERE status IN ('claimed', 'pending')",
     "worker_load": f"{_W}, x AS ({_LOAD.format('worker_log')}) SELECT *, round(samples / busy_seconds, 6) AS per_second FROM x",
     "load_report": f"{_W} {_REPORT.format('worker_log', 'x').replace(chr(39) + 'x' + chr(39) + ' AS layout, ', '')}",
+    "worker_maps": f"""{_W}, m AS (SELECT worker, count(*) AS n, avg(sample_index % 100 + 0.5) AS u FROM worker_log GROUP BY 1)
+      SELECT '{{' || string_agg('"' || worker || '":' || n, ',' ORDER BY worker) || '}}' AS samples, count(*)::INT AS workers, round(avg(u), 4)::DOUBLE AS mean_utilization FROM m""",
     "layout_report": f"{_RANK} {_REPORT.format('worker_log', 'observed')} UNION ALL {_REPORT.format('a', 'contiguous')} UNION ALL {_REPORT.format('b', 'round_robin')}",
     "assign_contiguous": f"{_RANK} SELECT sample_index, rank, worker FROM a",
     "assign_round_robin": f"{_RANK} SELECT sample_index, worker FROM b",

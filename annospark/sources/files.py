@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from annospark.operators import validate as v
+from annospark.sources.shared import written
 
 STATISTICS = "struct<source_dir:string,statistics_info:struct<source_dir:string>,label_counts:map<string,map<string,array<string>>>>"
 MESSAGES = "array<struct<role:string,content:array<struct<type:string,text:string>>>>"
@@ -42,18 +43,23 @@ def scan(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool =
     return files.select(path.alias("path"), *parts, "length", *(["content"] if content else []))
 
 
+@F.pandas_udf(T.StringType())
+def _gbk(content: pd.Series) -> pd.Series:
+    return content.map(lambda b: None if b is None else bytes(b).decode("gbk", "replace"))
+
+
 def decode_text(content: Column) -> Column:
-    """UTF-8, else GBK (needs ``spark.sql.legacy.javaCharsets``), as text."""
-    return F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "GBK"))
+    """UTF-8, else GBK, as text. Only contents that are no UTF-8 go to Python."""
+    text = content.cast("string")
+    return F.when(F.is_valid_utf8(text), text).otherwise(_gbk(F.when(~F.is_valid_utf8(text), content)))
 
 
-def read_annotations(spark: SparkSession, folder: str, recursive: bool = True, gbk: bool = False) -> DataFrame:
-    """JSON files of a folder: path, dir, stem, raw text and parsed annotation ``a`` (null where it is no JSON object)."""
+def read_annotations(spark: SparkSession, folder: str, recursive: bool = True, gbk: bool = True) -> DataFrame:
+    """JSON files of a folder: path, dir, stem, length, raw text and parsed annotation ``a`` (null where it is no JSON object). Text that
+    is no UTF-8 is read as GBK, or without ``gbk`` has its bad bytes replaced."""
     files = scan(spark, folder, "*.json", recursive, content=True)
-    if gbk:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
     raw = decode_text(F.col("content")) if gbk else F.make_valid_utf8(F.col("content").cast("string"))
-    rows = files.select("path", "dir", "stem", raw.alias("raw"))
+    rows = files.select("path", "dir", "name", "stem", "length", raw.alias("raw"))
     return rows.withColumn("a", F.when(v.is_object(F.col("raw")), v.parse(F.col("raw"))))
 
 
@@ -65,8 +71,14 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def with_index(records: DataFrame) -> DataFrame:
     """``records`` with ``index``: the place in load order, from 0 without gaps."""
-    schema = T.StructType([*records.schema.fields, T.StructField("index", T.LongType())])
-    return records.sparkSession.createDataFrame(records.rdd.zipWithIndex().map(lambda r: (*r[0], r[1])), schema)
+    from annospark.operators.split import numbered
+
+    return numbered(records).withColumnRenamed("rank", "index")
+
+
+def indexed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value, index) of the lines of text files, blank ones too."""
+    return with_index(spark.read.text(path))
 
 
 def jsonl_preflight(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
@@ -91,9 +103,14 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_partial_results(spark: SparkSession, pattern: str) -> DataFrame:
-    """Results of all workers' files ({"results": [...]}), by index."""
+    """Results of all workers' files ({"results": [...]}); ``by_index`` orders them where that is wanted."""
     rows = spark.read.option("wholetext", True).text(pattern).select(F.explode(F.from_json("value", f"struct<results:array<{RESULT}>>")["results"]).alias("r"))
-    return rows.select("r.*").orderBy("index")
+    return rows.select("r.*")
+
+
+def by_index(results: DataFrame) -> DataFrame:
+    """Merged results in the order of their index: a range sort, for a sink."""
+    return results.orderBy("index")
 
 
 def read_gpu_log(spark: SparkSession, path: str) -> DataFrame:
@@ -109,8 +126,13 @@ def write_json(df: DataFrame, path: str, pretty: bool = False) -> None:
     df.select(F.to_json(F.struct("*"), options).alias("value")).write.mode("overwrite").text(path)
 
 
-def write_splits(records: DataFrame, path: str) -> None:
-    """JSON lines in a folder per split; ``val`` is written as ``valid``."""
+def write_splits(records: DataFrame, path: str, schema: str = "openai") -> None:
+    """JSON lines in a folder per split; ``val`` is written as ``valid``. Records with messages lose their answers in splits for
+    testing (``records.strip_answers``)."""
+    if "messages" in records.columns:
+        from annospark.operators.records import strip_answers
+
+        records = strip_answers(records, schema)
     name = F.when(F.col("split") == "val", "valid").otherwise(F.col("split"))
     body = F.to_json(F.struct(*[c for c in records.columns if c != "split"]))
     records.select(name.alias("split"), body.alias("value")).write.mode("overwrite").partitionBy("split").text(path)
@@ -141,6 +163,33 @@ def filter_copy_plan(listed: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(manifest.select(F.col("path").alias("file"), F.lit(True).alias("_there")), "file", "left").select("file", F.when(F.col("_there"), "copied").otherwise("missing").alias("status"))
 
 
+def filter_copies(plan: DataFrame, target: str, images: DataFrame | None = None) -> DataFrame:
+    """(src, dst, kind) of the plan's files that are there, and with ``images`` (file, image) of their images, under flat names in
+    ``target``. Of equal names the first source keeps it, and others get ``_1``, ``_2``, ..."""
+    there = plan.filter("status = 'copied'").select("file")
+    rows = there.select(F.col("file").alias("src"), F.lit("annotation").alias("kind"))
+    if images is not None:
+        found = there.join(images.filter("image is not null"), "file").select(F.col("image").alias("src"), F.lit("image").alias("kind")).distinct()
+        rows = rows.unionAll(found)
+    rows = rows.withColumn("_name", F.regexp_extract("src", r"([^/]*)$", 1))
+    k = F.row_number().over(Window.partitionBy("_name").orderBy("src")) - 1
+    parts = (F.regexp_extract("_name", r"^(.*?)(\.[^./]*)?$", 1), F.regexp_extract("_name", r"(\.[^./]*)?$", 1))
+    name = F.when(k == 0, F.col("_name")).otherwise(F.concat(parts[0], F.lit("_"), k.cast("string"), parts[1]))
+    return rows.select("src", F.concat(F.lit(target.rstrip("/") + "/"), name).alias("dst"), "kind")
+
+
+def write_keyed(exported: DataFrame, path: str) -> DataFrame:
+    """Write each payload of (file, payload) under its file's name (``path/file=<name>/``); returns the counts written and failed.
+    A row with a null payload fails and doesn't stop the others."""
+    exported.filter("payload is not null").select("file", "payload").write.mode("overwrite").partitionBy("file").text(path)
+    return exported.agg(F.count("payload").alias("written"), F.count_if(F.col("payload").isNull()).alias("failed"))
+
+
+def export_messages(records: DataFrame, path: str) -> None:
+    """The messages of records, without metadata, as Parquet."""
+    records.select("messages").write.mode("overwrite").parquet(path)
+
+
 def fetch_plan(urls: DataFrame) -> DataFrame:
     """(url, local_name): the stem, eight digits of the URL's MD5, and an extension of at most five characters before any "?", else .jpg."""
     clean = F.regexp_extract("url", r"^([^?#]*)", 1)
@@ -167,10 +216,12 @@ def fetch(urls: DataFrame, get: Callable[[str], bytes], least: int = 100) -> Dat
     return fetch_plan(urls).mapInPandas(run, "url string, local_name string, content binary, error string")
 
 
-def prefer_split(files: DataFrame, order=("test", "valid", "val")) -> DataFrame:
-    """The one evaluation file that comes first in this order: (path, stem)."""
+def prefer_split(files: DataFrame, order=("test", "valid", "val"), by: str | None = None) -> DataFrame:
+    """The one evaluation file (path, stem) that comes first in this order, or per value of column ``by`` (a folder); where none of
+    the names is there, the first file by path stands for itself."""
     rank = F.array_position(F.array(*[F.lit(s) for s in order]), F.col("stem"))
-    return files.filter(rank > 0).groupBy().agg(F.min_by(F.struct("path", "stem"), rank).alias("f")).select("f.*")
+    place = F.when(rank > 0, rank).otherwise(len(order) + 1)
+    return files.groupBy(*([by] if by else [])).agg(F.min_by(F.struct("path", "stem"), F.struct(place, F.col("path"))).alias("f")).filter("f is not null").select(*([by] if by else []), "f.*")
 
 
 def write_results(samples: DataFrame, path: str) -> None:
@@ -189,6 +240,45 @@ def read_results(spark: SparkSession, path: str, model: str | None = None, split
     return rows
 
 
+def _delete(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def clear_results(spark: SparkSession, path: str, model: str | None = None, split: str | None = None) -> None:
+    """Delete stored results: all of them, a model's, a split's of all models, or a model's split."""
+    stored = read_results(spark, path, model, split)
+    if stored is None:
+        return
+    if not model and not split:
+        _delete(spark, path)
+        return
+    for row in stored.select("model", "split").distinct().collect():  # a row per stored model and split
+        _delete(spark, f"{path.rstrip('/')}/model={row['model']}/split={row['split']}")
+    spark.catalog.refreshByPath(path)
+
+
+def load_or_compute(spark: SparkSession, path: str, model: str, split: str, compute: Callable[[], DataFrame]) -> DataFrame:
+    """A model's results of a split: the stored ones where there are any, else those of ``compute``, which are stored."""
+    stored = read_results(spark, path, model, split)
+    if stored is None or not stored.limit(1).count():
+        write_results(compute().withColumns({"model": F.lit(model), "split": F.lit(split)}), path)
+    return read_results(spark, path, model, split)
+
+
+def comparison_outputs(spark: SparkSession, path: str, base: str, tuned: str, summary: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Stored metrics of two models: ``base``, ``tuned`` and their aggregate ``table``, whose values are the summary's where it has
+    them. A model without stored results raises FileNotFoundError."""
+    from annospark.operators import evaluate as ev
+
+    found = {side: read_results(spark, path, model) for side, model in (("base", base), ("tuned", tuned))}
+    missing = [m for (side, rows), m in zip(found.items(), (base, tuned)) if rows is None or not rows.limit(1).count()]
+    if missing:
+        raise FileNotFoundError(f"no stored results of {missing} in {path}")
+    table = ev.aggregate_metrics(read_results(spark, path).filter(F.col("model").isin(base, tuned)), "model", "split")
+    return found | {"table": ev.with_summary(table, summary, [c for c in table.columns if c not in ("model", "split")])}
+
+
 def expand_archives(archives: DataFrame) -> DataFrame:
     """Members of zip and tar archives (path, content): archive, member, target, content, error. Equal targets get ``_1``, ``_2`` ... in
     order of archive; a single top folder named like the archive is dropped. One archive is one task's row."""
@@ -219,9 +309,11 @@ def expand_archives(archives: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["archive", "member", "target", "content", "error"])
 
     rows = archives.select("path", "content").mapInPandas(run, "archive string, member string, target string, content binary, error string")
+    rows = written(rows, "members")  # names are ranked without the contents
     k = F.row_number().over(Window.partitionBy("target").orderBy("archive", "member")) - 1
-    renamed = F.when((k == 0) | F.col("target").isNull(), F.col("target")).otherwise(F.concat(F.regexp_extract("target", r"^(.*?)(\.[^./]*)?$", 1), F.lit("_"), k.cast("string"), F.regexp_extract("target", r"(\.[^./]*)?$", 1)))
-    return rows.withColumn("target", renamed)
+    named = rows.filter("target is not null").select("archive", "member", "target").distinct().withColumn("_k", k).filter("_k > 0")
+    renamed = F.when(F.col("_k").isNull(), F.col("target")).otherwise(F.concat(F.regexp_extract("target", r"^(.*?)(\.[^./]*)?$", 1), F.lit("_"), F.col("_k").cast("string"), F.regexp_extract("target", r"(\.[^./]*)?$", 1)))
+    return rows.join(named, ["archive", "member", "target"], "left").withColumn("target", renamed).select("archive", "member", "target", "content", "error")
 
 
 def image_sizes(files: DataFrame) -> DataFrame:
