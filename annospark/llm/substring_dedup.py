@@ -1,4 +1,4 @@
-"""Sub-document de-duplication: repeated sentences and passages go, the earliest ranked occurrence stays."""
+"""Sub-document de-duplication: repeated lines, paragraphs, sentences and passages go, the earliest ranked occurrence stays."""
 
 from __future__ import annotations
 
@@ -9,17 +9,18 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annospark.llm.common import bounds, byte_texts, text_slices
+from annospark.llm.common import ROW, bounds, byte_texts, row_keyed, staged, text_slices
 
-#: A unit is a run of characters up to full stops, question marks and line ends, with the blanks behind them.
-UNIT = rb"[^.?\n]+[.?\n ]*|[.?\n ]+"
+#: Units: a line with its end; a paragraph with the empty lines behind it; a sentence, which is a run of characters up to full
+#: stops, question marks and line ends, with the blanks behind them.
+UNITS = {"line": rb"[^\n]*\n|[^\n]+", "paragraph": rb"(?s).+?(?:\n[ \t\r]*\n\s*|\Z)", "sentence": rb"[^.?\n]+[.?\n ]*|[.?\n ]+"}
 #: A unit of fewer words is compared together with its neighbours.
 MIN_WORDS = 8
-_UNIT = re.compile(UNIT)
 #: Passages: runs of so many words are compared wherever they start. Of any ``WINDOW`` neighbouring runs one at least is
 #: picked, by its hash, so that a repeated passage of ``RUN + WINDOW - 1`` words is always found.
 RUN = WINDOW = 10
@@ -30,11 +31,14 @@ _POINT = re.compile(f"[{_POINTS}]")
 _TOKEN = re.compile(f"[{_POINTS}]|[^ \t-\r{_POINTS}]+")
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _MAX_WORDS = 300_000
+#: Bits of ``digest_bits`` at most (64 MB), and of a stretch that is put together in one place.
+MAX_BITS = 1 << 29
+_STRETCH = 1 << 16
 
 
-def _keys(text: bytes, min_words: int) -> list[tuple[int, bytes]]:
+def _keys(text: bytes, min_words: int, unit: re.Pattern) -> list[tuple[int, bytes]]:
     """(number, normalised text) of each compared unit: A-Z in lower case, white space as one blank."""
-    words = [u.split() for u in _UNIT.findall(text.lower())]
+    words = [u.split() for u in unit.findall(text.lower())]
     plain = [b" ".join(w) for w in words]
     found = []
     for i, w in enumerate(words):
@@ -103,23 +107,32 @@ def _tokens(texts: list[bytes]) -> list[list[str]]:
     return [_TOKEN.findall(t) if _POINT.search(t) else [] for t in decoded]
 
 
-def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = False) -> DataFrame:
+def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = False, unit: str = "sentence", among: Broadcast | None = None) -> DataFrame:
     """One row per compared unit: doc_id, unit (its number in the text), a 128-bit digest in two halves, and ``again`` if
     the same digest stands earlier in that text. A short unit's digest spans its neighbours, so that it counts as repeated
     only where they repeat with it.
 
     With ``passages`` also one row per picked run of words: unit is -1 - 2 w for the run from word w, -2 - 2 w in texts of
-    scripts without blanks, hi its 64-bit hash and lo the kind (0 or 1)."""
+    scripts without blanks, hi its 64-bit hash and lo the kind (0 or 1).
+
+    With ``among``, bits of ``digest_bits``, only rows that may have one of those digests, and all with ``again``."""
+
+    def wanted(hi: np.ndarray, again: np.ndarray) -> np.ndarray:
+        if among is None:
+            return np.ones(len(hi), bool)
+        bits = among.value
+        a, b = _places(hi.view(np.uint64), 8 * len(bits))
+        return again | ((bits[a >> 3] >> (a & 7)) & (bits[b >> 3] >> (b & 7)) & 1).astype(bool)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes, pattern = _Hashes(), re.compile(UNITS[unit])
         for batch in batches:
             for part in text_slices(batch):
                 units, digests, again, per_text = [], [], [], []
                 texts = byte_texts(part)
                 for text in texts:
                     seen = set()
-                    keys = _keys(text, min_words)
+                    keys = _keys(text, min_words, pattern)
                     for i, key in keys:
                         digest = xxhash.xxh3_128_digest(key)
                         units.append(i)
@@ -127,11 +140,15 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                         again.append(digest in seen)
                         seen.add(digest)
                     per_text.append(len(keys))
-                halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-                ids = part.column("doc_id").take(pa.array(np.repeat(np.arange(len(per_text)), per_text)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(units, pa.int32()), pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(again, pa.bool_())], names)
+                hi, lo = np.ascontiguousarray(np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T)
+                again = np.array(again, bool)
+                keep = wanted(hi, again)
+                ids = part.column("doc_id").take(pa.array(np.repeat(np.arange(len(per_text)), per_text)[keep]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(units, np.int32)[keep]), pa.array(hi[keep]), pa.array(lo[keep]), pa.array(again[keep])], names)
                 for kind, cut, size, window in kinds:
                     own, first, h, repeated = _picked_runs(cut(texts), hashes, size, window)
+                    keep = wanted(h, repeated)
+                    own, first, h, repeated = own[keep], first[keep], h[keep], repeated[keep]
                     ids = part.column("doc_id").take(pa.array(own))
                     yield pa.RecordBatch.from_arrays([ids, pa.array(-1 - kind - 2 * first).cast(pa.int32()), pa.array(h.view(np.int64)), pa.array(np.full(len(h), kind)), pa.array(repeated)], names)
 
@@ -141,21 +158,59 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, unit int, hi long, lo long, again boolean")
 
 
-def repeated_units(units: DataFrame) -> DataFrame:
+def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of each 64-bit digest."""
+    mask = np.uint64(bits - 1)
+    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
+
+
+def digest_bits(digests: DataFrame) -> np.ndarray:
+    """Two bits for each of the digests (column hi), about 16 bits in all per digest and ``MAX_BITS`` at most: however many there
+    are, a broadcast has that bound. With more digests than that it lets more others through, never fewer of its own.
+
+    Each stretch of bits is put together in one place, and the driver joins the stretches."""
+    n = digests.count()
+    bits = min(MAX_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.concatenate(_places(batch.column("hi").to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays([pa.array((at // _STRETCH).astype(np.int32)), pa.array((at % _STRETCH).astype(np.int32))], ["stretch", "place"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, np.ndarray] = {}
+        for batch in batches:
+            stretch, place = batch.column("stretch").to_numpy(), batch.column("place").to_numpy()
+            for k in np.unique(stretch).tolist():
+                found.setdefault(k, np.zeros(_STRETCH, np.uint8))[place[stretch == k]] = 1
+        if found:
+            packed = [np.packbits(x, bitorder="little").tobytes() for x in found.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(packed, pa.binary())], ["stretch", "bits"])
+
+    spread = digests.select("hi").mapInArrow(places, "stretch int, place int").repartition(min(64, bits // _STRETCH), "stretch")
+    found = np.zeros(bits // 8, np.uint8)
+    for row in spread.mapInArrow(joined, "stretch int, bits binary").collect():
+        found[row.stretch * _STRETCH // 8 : (row.stretch + 1) * _STRETCH // 8] = np.frombuffer(row.bits, np.uint8)
+    return found
+
+
+def repeated_units(docs: DataFrame, id_col: str, text_col: str, *options) -> DataFrame:
     """(doc_id, units): the units of each document that stand elsewhere in an earlier ranked place, sorted.
 
-    Digests are counted with map-side aggregation; only those in several documents are joined back, and Spark splits
-    the partitions of very common ones.
+    Digests are counted with map-side aggregation. Only rows that may have a digest of several documents are then joined with
+    those digests; the others don't leave their task. Spark splits the partitions of very common digests.
     """
+    units = unit_digests(docs, id_col, text_col, *options)
     first = units.filter("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n")).filter("n > 1")
-    marked = units.join(first.select("hi", "lo", "first_doc"), ["hi", "lo"], "left")
-    gone = marked.filter(F.col("again") | (F.col("doc_id") > F.col("first_doc")) | (F.col("doc_id").isNull() & F.col("first_doc").isNotNull()))
+    first = staged(first.select("hi", "lo", "first_doc"), "digests")
+    units = unit_digests(docs, id_col, text_col, *options, docs.sparkSession.sparkContext.broadcast(digest_bits(first)))
+    gone = units.join(first, ["hi", "lo"], "left").filter(F.col("again") | (F.col("doc_id") > F.col("first_doc")))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("unit")).alias("units"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = True) -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = True, unit: str = "sentence") -> DataFrame:
     """``docs`` with repeated units taken out of the text, and ``removed``: array of (start, end) in code points of the
-    original text, adjacent units joined.
+    original text, adjacent units joined. ``unit`` is one of ``UNITS``.
 
     With ``passages`` also repeated runs of words that start or end inside a unit, runs of short units, and runs of code
     points of scripts without blanks: all of ``RUN + WINDOW - 1`` words (``POINT_RUN + POINT_WINDOW - 1`` code points) are
@@ -163,22 +218,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     stays, and so does a unit under ``MIN_WORDS`` words there.
 
     Of equal units the one in the smallest doc_id stays, and in that document the first; null ids rank last. Rows that
-    repeat an id are taken as one document, each treated alike. Null texts stay null, and they and empty ones have nothing
-    removed. All other columns are kept; a column named ``removed`` is replaced.
+    repeat an id, or have none, are documents of their own, in the order in which they are read. Null texts stay null, and they
+    and empty ones have nothing removed. All other columns are kept; a column named ``removed`` is replaced.
     """
-    plan = repeated_units(unit_digests(docs, id_col, text_col, min_words, passages)).withColumnsRenamed({"doc_id": "__id", "units": "__units"})
     docs = docs.drop("removed") if id_col != "removed" and text_col != "removed" else docs
-    joined = docs.join(plan, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left").drop("__id")
+    names = docs.columns
+    docs, _ = row_keyed(docs, id_col)
+    plan = repeated_units(docs, ROW, text_col, min_words, passages, unit).withColumnsRenamed({"doc_id": ROW, "units": "__units"})
+    joined = docs.join(plan, ROW, "left").select(*names, "__units")
+    docs = docs.select(names)
     span = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("removed", span)])
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pattern = re.compile(UNITS[unit])
         for batch in batches:
             for part in text_slices(batch, text_col):
                 texts, spans = [], []
                 for text, units in zip(part.column(text_col).cast(pa.binary()).to_pylist(), part.column("__units").to_pylist()):
-                    kept, gone = _cut(text, units) if text and units else (text, [])
+                    kept, gone = _cut(text, units, pattern) if text and units else (text, [])
                     texts.append(kept)
                     spans.append(gone)
                 at = part.schema.get_field_index(text_col)
@@ -216,10 +275,10 @@ def _parts(starts: np.ndarray, edges: np.ndarray, whole: np.ndarray, runs: np.nd
     return starts[first[goes]], starts[behind[goes]]
 
 
-def _cut(text: bytes, units: list[int]) -> tuple[bytes, list[tuple[int, int]]]:
+def _cut(text: bytes, units: list[int], unit: re.Pattern) -> tuple[bytes, list[tuple[int, int]]]:
     """The text without these units and runs, and their spans in code points."""
     found = np.array(units)
-    edges = np.array([0, *(m.end() for m in _UNIT.finditer(text))])
+    edges = np.array([0, *(m.end() for m in unit.finditer(text))])
     own = found[found >= 0]
     first, last = [edges[own]], [edges[own + 1]]
     for kind in (0, 1):
@@ -249,7 +308,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP2_SQL = f"""
 WITH u AS (
   SELECT doc_id, unnest(l) AS raw, generate_subscripts(l, 1) AS unit
-  FROM (SELECT doc_id, regexp_extract_all(text, '{UNIT.decode()}') AS l FROM documents)
+  FROM (SELECT doc_id, regexp_extract_all(text, '{UNITS['sentence'].decode()}') AS l FROM documents)
 ), p AS (
   SELECT doc_id, unit, raw, regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM u
