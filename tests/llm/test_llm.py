@@ -62,9 +62,48 @@ def test_bpe_round_trip(spark):
     assert sorted((r.doc_id, list(r.ids)) for r in equal_blocks) == sorted((i, list(r.ids)) for i, r in found.items() for _ in "ab")
     assert [(r.doc_id, list(r.ids)) for r in bpe.encode(df.filter("doc_id = 0").withColumn("doc_id", F.lit(None).cast("long"))).collect()] == [(None, [])]
     assert bpe.encode(df.limit(0)).count() == 0
+    shuffled = bpe.encode(df.repartition(3, F.rand())).collect()  # another order at each reading
+    assert sorted((r.doc_id, list(r.ids)) for r in shuffled) == sorted((i, list(r.ids)) for i, r in found.items())
     assert bpe.decode(spark.createDataFrame([(1, None)], "doc_id long, ids array<int>")).first().text == ""
 
 
+RUNS = ["a" + " " * 10**6 + "b", "a" + "\n" * 10**6 + "b", "\t" * 10**6, " \n\t" * 300_000 + "c", "." * 10**5, "x" * 10**5]
+
+
+def test_long_runs_are_encoded_as_the_library_does(spark):
+    library = Tokenizer.from_file(bpe.BYTE_BPE)
+    expected = {i: library.encode(t, add_special_tokens=False).ids for i, t in enumerate(RUNS)}
+    df = docs(spark, RUNS)
+    for r in bpe.decode(bpe.encode(df)).collect():
+        assert list(r.ids) == expected[r.doc_id] and r.text == RUNS[r.doc_id]
+    pieces = defaultdict(list)
+    for r in packing.pack(df).collect():
+        pieces[r.doc_id].append(r)
+    for i, ids in expected.items():
+        assert [x for r in sorted(pieces[i], key=lambda r: r.start) for x in r.ids] == [*ids, 0]
+
+
+def test_a_failed_call_leaves_no_row_without_ids(monkeypatch):
+    from annospark.llm import word_table
+
+    table = word_table.WordTable(word_table.vocabulary(bpe.BYTE_BPE))
+    expected = table.encode(["one two"])[0].tolist()
+    with monkeypatch.context() as m:
+        m.setattr(word_table.ByteVocabulary, "encode", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.encode(["three four"])
+    assert table.encode(["one two"])[0].tolist() == expected and len(table.encode(["three four"])[0]) == 2
+
+
+def test_decoding_of_odd_ids(spark):
+    rows = spark.createDataFrame([(1, [50256, 0, 1]), (None, [220]), (2, None), (3, []), (1, [162])], "doc_id long, ids array<int>")
+    library = Tokenizer.from_file(bpe.BYTE_BPE)
+    found = sorted(((r.doc_id or 0, list(r.ids), r.text) for r in bpe.decode(rows.withColumn("piece", F.lit(1))).collect()), key=str)
+    assert found == sorted(((i, ids, library.decode(ids, skip_special_tokens=False)) for i, ids in [(1, [50256, 0, 1]), (0, [220]), (2, []), (3, []), (1, [162])]), key=str)
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        bpe.decode(rows.select("doc_id", F.array(F.lit(60_000)).alias("ids"))).collect()
+
+
 def test_token_files(spark, tmp_path):
     library = Tokenizer.from_file(token_files.WORD_BPE)
     df = docs(spark, ODD).repartition(5)
@@ -78,7 +117,18 @@ def test_token_files(spark, tmp_path):
     with_null = docs(spark, ["a"]).unionAll(docs(spark, ["b"]).withColumn("doc_id", F.lit(None).cast("long")))
     token_files.write_token_files(with_null, str(tmp_path / "n"))
     assert [r.doc_id for r in token_files.read_token_files(spark, str(tmp_path / "n")).orderBy("start").collect()] == [None, 0]
+    wanted = spark.createDataFrame([(3,), (7,), (7,), (None,), (99,)], "doc_id long")
+    some = {r.doc_id: r for r in token_files.read_documents(spark, str(tmp_path / "t"), wanted).collect()}
+    assert sorted(some) == [3, 7] and all((some[i].start, some[i].ids) == (rows[i].start, rows[i].ids) for i in some)
+    twice = docs(spark, ["a", "b c"]).unionAll(docs(spark, ["d"])).unionAll(with_null)
+    token_files.write_token_files(twice, str(tmp_path / "r"), partitions=1)
+    found = token_files.with_ids_crc32(token_files.read_token_files(spark, str(tmp_path / "r"))).orderBy("start").collect()
+    assert [r.doc_id for r in found] == [None, 0, 0, 0, 1] and [r.start for r in found] == np.cumsum([0, *(r.n_tokens for r in found)])[:-1].tolist()
+    sums = Counter(zlib.crc32(np.array(library.encode(t, add_special_tokens=False).ids + [1], "<u4").tobytes()) for t in ("a", "b c", "d", "a", "b"))
+    assert Counter(r.ids_crc32 for r in found) == sums
+    assert token_files.read_documents(spark, str(tmp_path / "r"), spark.createDataFrame([(0,)], "doc_id long")).count() == 3
     token_files.write_token_files(df.limit(0), str(tmp_path / "e"))
+    assert token_files.read_documents(spark, str(tmp_path / "e"), wanted).count() == 0
     assert token_files.read_token_files(spark, str(tmp_path / "e")).count() == 0
 
 
@@ -107,6 +157,21 @@ def test_packing(spark):
         own.sort(key=lambda r: r.offset)
         assert [r.offset for r in own] == np.cumsum([0, *(r.length for r in own)])[:-1].tolist() and sum(r.length for r in own) <= 64
     assert packing.pack(docs(spark, ODD).limit(0)).count() == 0
+    twice = docs(spark, ["a b", None]).unionAll(docs(spark, ["a b"])).unionAll(docs(spark, ["c"]).withColumn("doc_id", F.lit(None).cast("long")))
+    found = packing.pack(twice, window=8).collect()
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.length) for r in found) == [(-1, 2), (0, 3), (0, 3), (1, 1)]
+
+
+def test_how_full_sequences_get_does_not_depend_on_the_partitions(spark, monkeypatch):
+    rng = random.Random(9)
+    df = spark.createDataFrame([(i, "word " * rng.randint(1, 90)) for i in range(3000)], "doc_id long, text string")
+    fills = []
+    for n in (1, 150):
+        rows = packing.pack(df.repartition(n), window=64)
+        fills.append(rows.agg(F.sum("length") / F.count_distinct("sequence_id") / 64).first()[0])
+    assert min(fills) > 0.995
+    monkeypatch.setattr(packing, "BLOCK_IDS", 200)
+    assert packing.pack(df.limit(50), window=64).agg(F.sum("length")).first()[0] == packing.pieces(df.limit(50), window=64).agg(F.sum(F.length("ids")) / 2).first()[0]
 
 
 def test_best_fit_takes_the_tightest_window():
@@ -139,6 +204,13 @@ def test_exact_dedup(spark):
     twice = docs(spark, ["q"]).unionAll(docs(spark, ["q"]))
     assert sorted(r.kept for r in exact_dedup.exact_dedup(twice).collect()) == [False, True]
     assert exact_dedup.drop_exact_copies(df).count() == len(groups) + 1
+    rows = [(1, "x", "p"), (1, "X", "q"), (1, "y", "r"), (2, "y", "s"), (None, "x", "t"), (None, "z", "u"), (None, "Z", "v"), (3, None, "w"), (4, "", "a")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, digest string").coalesce(1)
+    assert sorted(exact_dedup.drop_exact_copies(odd).toPandas()["digest"]) == ["a", "q", "s", "v"]
+    assert sorted(exact_dedup.drop_exact_copies(odd, prefer="smallest").toPandas()["digest"]) == ["p", "r", "u", "w"]
+    for partitions in (2, 3, 40):
+        groups_ = exact_dedup.merge_tree(exact_dedup.digests(df.repartition(5)), partitions).filter("n > 1").count()
+        assert groups_ == sum(len(v) > 1 for v in groups.values())
     assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
 
 
@@ -180,6 +252,10 @@ def test_near_duplicates(spark, monkeypatch, light):
         monkeypatch.setattr(jaccard_join, "boundary", lambda *a, **k: light)
         monkeypatch.setattr(jaccard_join, "BLOCK", 4)
         monkeypatch.setattr(jaccard_join, "STAR", 2)
+        monkeypatch.setattr(jaccard_join, "HOT", -3)  # salts for every key
+        monkeypatch.setattr(jaccard_join, "_MAX_SALT", 3)
+        monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+        monkeypatch.setattr(jaccard_join, "_PIECE", 64)
     texts = near_texts()
     sets, comp = brute_components(texts)
     found = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.near_duplicates(docs(spark, texts)).collect()}
@@ -191,6 +267,66 @@ def test_near_duplicates(spark, monkeypatch, light):
         assert tuple(jaccard_join.near_duplicates(null).first()) == (None, 2, None)
 
 
+def test_near_duplicates_of_repeated_and_null_ids(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b + " more"), (9, a + " tail"), (None, c), (None, c + " d"), (7, None), (7, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rep", F.lit(1)).withColumn("key", F.lit("x"))
+    found = Counter(map(tuple, jaccard_join.near_duplicates(df).collect()))
+    assert found == Counter([(5, 26, 5), (5, 26, 3), (3, 27, 3), (9, 27, 5), (None, 26, None), (None, 27, None), (7, 0, 7), (7, 0, 7)])
+    kept = jaccard_join.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == sorted([(5, a), (3, b + " more"), (-1, c), (7, ""), (7, "")])
+
+
+def edited_copies(k, n_words, edits):
+    """Copies of a text, each with words of its own at places of its own, and last the text itself."""
+    rng = random.Random(k)
+    base = [f"w{i}" for i in range(n_words)]
+    texts = []
+    for c in range(k):
+        words = list(base)
+        for at in rng.sample(range(0, n_words - 4, 6), edits):
+            words[at] = f"own{c}x{at}"
+        texts.append(" ".join(words))
+    return [*texts, " ".join(base)]
+
+
+def test_copies_that_link_with_their_base_alone(spark, monkeypatch):
+    """The base has the largest id and 3,000 shingles; its copies link to it and not to each other. Few pairs are compared."""
+    counts = []
+    for k in (30, 60):
+        texts = edited_copies(k, 3004, 55)
+        sets, comp = brute_components(texts)
+        assert set(comp) == {0} and 100 * len(sets[0] & sets[1]) < 80 * len(sets[0] | sets[1])
+        seen = []
+        monkeypatch.setattr(jaccard_join, "verified", lambda pairs, *a, f=verified, **b: (seen.append(pairs.count()), f(pairs, *a, **b))[1])
+        found = jaccard_join.near_duplicates(docs(spark, texts)).collect()
+        assert {r.component_id for r in found} == {0}
+        counts.append(sum(seen))
+    assert counts[1] <= 2.5 * counts[0] and counts[1] <= 4 * 60
+
+
+verified = jaccard_join.verified
+
+
+def test_signatures_keep_every_pair_that_links():
+    rng = random.Random(3)
+    for size in (20, 300, 2500, 9000):
+        base = np.unique(np.array([rng.getrandbits(64) for _ in range(size)], np.uint64))
+        sets = [base]
+        for share in (0.02, 0.1, 0.12, 0.3):
+            sets.append(np.unique(np.concatenate([base[int(size * share) :], np.array([rng.getrandbits(64) for _ in range(int(size * share))], np.uint64)])))
+        sets.append(base[: int(0.8 * size)])
+        n, sig = np.array([len(s) for s in sets]), [jaccard_join.signature(s) for s in sets]
+        left, right = np.triu_indices(len(sets), 1)
+        ok = jaccard_join._may_link(left, right, n, sig, 80)
+        for i, j, found in zip(left, right, ok):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            jaccard = both / (n[i] + n[j] - both)
+            assert found or jaccard < 0.8
+            assert not found or jaccard > 0.7 or size < 100
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.boundary({n: 100 for n in range(1, 31)}) > jaccard_join.boundary({n: 100 for n in range(1, 31)}, scan_cost=1)
     assert jaccard_join.boundary({}) == 0
@@ -218,6 +354,34 @@ def test_substring_dedup(spark):
     assert substring_dedup.substring_dedup(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_substring_dedup_of_repeated_and_null_ids(spark):
+    one, two = ("Here stands sentence number %s with more than eight words in it. " % k for k in ("one", "two"))
+    rows = [(5, one), (5, one + "Own words here. "), (None, one + two), (None, two), (3, two), (7, None), (7, None), (9, "word " * 200_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"__units": F.lit(1), "units": F.lit(2), "first_doc": F.lit("z")}).drop("__units").coalesce(1)
+    found = substring_dedup.substring_dedup(df, passages=False)
+    assert found.columns == [*df.columns, "removed"]
+    got = Counter((r.doc_id, r.text) for r in found.collect())
+    assert got == Counter([(5, one), (5, "Own words here. "), (None, ""), (None, ""), (3, two), (7, None), (7, None), (9, "word " * 200_000)])
+    assert substring_dedup.substring_dedup(df).filter("doc_id = 9").first().text == "word " * substring_dedup.RUN
+
+
+def test_substring_dedup_of_lines_and_paragraphs(spark):
+    lines = ["All rights reserved", "own %d", "Home | News | About", ""]
+    texts = ["\n".join(line % i if "%" in line else line for line in lines) + f"Tail {i}" for i in range(3)]
+    found = {r.doc_id: r.text for r in substring_dedup.substring_dedup(docs(spark, texts), min_words=1, passages=False, unit="line").collect()}
+    assert found == {0: texts[0], 1: "own 1\nTail 1", 2: "own 2\nTail 2"}
+    block = "first line of a block\nsecond line of that block"
+    texts = [f"Head\n\n{block}\n \n\nEnd.", f"{block}\nand more\n\n{block.upper()}\n\nLast", block]
+    found = {r.doc_id: (r.text, [tuple(s) for s in r.removed]) for r in substring_dedup.substring_dedup(docs(spark, texts), passages=False, unit="paragraph").collect()}
+    a = len(block) + len("\nand more\n\n")
+    assert found[0] == (texts[0], []) and found[1] == (texts[1][:a] + "Last", [(a, a + len(block) + 2)]) and found[2] == ("", [(0, len(block))])
+    for name, pattern in substring_dedup.UNITS.items():
+        import re
+
+        for text in [t.encode() for t in ODD if t] + [b"\n\na\n\n\n b\n", b" \n \n", b"a\n\n"]:
+            assert b"".join(re.findall(pattern, text)) == text, name
+
+
 def test_substring_dedup_of_passages(spark):
     words = [f"w{k}x" for k in range(400)]
     mid = " ".join(words[:60])
@@ -241,24 +405,63 @@ def test_substring_dedup_of_passages(spark):
     assert all(units[i] == texts[i] for i in (1, 3, 5))
 
 
-def test_token_counts(spark):
-    scores = token_counts.unigram_scores()
+def brute_segmentation(word, scores, longest):
+    """(tokens, pieces used) of the best path, longest pieces first among equals."""
+    word = token_counts.MARK + word
+    best = [(0.0, 0, 0)]
+    for j in range(1, len(word) + 1):
+        size = len(word[j - 1].encode())
+        options = [(best[i][0] + scores[word[i:j]], -best[i][1] - 1, -i, word[i:j]) for i in range(max(0, j - longest), j) if word[i:j] in scores]
+        options.append((best[j - 1][0] + token_counts.BYTE_SCORE * size, -best[j - 1][1] - size, -j, None))
+        value, n, _, piece = max(options, key=lambda o: o[:3])
+        best.append((value, -n, (j - len(piece or "x"), piece)))
+    used, at = [], len(word)
+    while at:
+        at, piece = best[at][2]
+        used.append(piece)
+    return best[-1][1], [p for p in used if p]
+
+
+def test_token_counts(spark, monkeypatch):
+    pieces = token_counts.vocabulary()
+    longest = max(map(len, pieces))
+    df = docs(spark, ODD)
+    words = Counter(w.decode() for t in ODD for w in (t or "").encode().split())
+    assert {r.word.decode(): r.n for r in token_counts.word_counts(df).withColumn("word", F.col("word")).collect()} == dict(words)
+    scores = token_counts.rank_scores()
+    for _ in range(2):  # expectation and maximisation by plain loops
+        uses = Counter()
+        for w, n in words.items():
+            for p in brute_segmentation(w, dict(zip(pieces, scores)), longest)[1]:
+                uses[p] += n
+        total = np.array([uses[p] for p in pieces]) + token_counts.SMOOTHING
+        scores = np.log(total / total.sum())
+    found = token_counts.estimate_scores(df)
+    assert np.allclose(found, scores)
+    assert np.allclose(token_counts.estimate_scores(df.limit(0)), token_counts.rank_scores())
+    by_piece = dict(zip(pieces, found))
+    for limit in (4, token_counts.MAX_TRIE):  # words one by one, and in the trie
+        segment = token_counts.Segmenter(found)
+        monkeypatch.setattr(token_counts, "MAX_TRIE", limit)
+        expected = [brute_segmentation(w, by_piece, longest) for w in words]
+        assert segment.count(list(words)).tolist() == [n for n, _ in expected]
+        uses = Counter(p for (_, used), n in zip(expected, words.values()) for p in used for _ in range(n))
+        assert segment.uses(list(words), np.array(list(words.values()), float)).tolist() == [uses[p] for p in pieces]
+    rows = {r.doc_id: r for r in token_counts.token_counts(df, found).collect()}
+    for i, text in enumerate(ODD):
+        own = Counter(w.decode() for w in (text or "").encode().split())
+        assert (rows[i].n_words, rows[i].n_tokens) == (own.total(), sum(n * brute_segmentation(w, by_piece, longest)[0] for w, n in own.items()))
+    assert token_counts.token_counts(df.limit(0), found).count() == 0
+
 
-    def brute(word):
-        word = token_counts.MARK + word
-        best = [(0.0, 0)]
-        for j in range(1, len(word) + 1):
-            size = len(word[j - 1].encode())
-            options = [(best[j - 1][0] + token_counts.BYTE_SCORE * size, best[j - 1][1] + size)]
-            options += [(best[i][0] + scores[word[i:j]], best[i][1] + 1) for i in range(max(0, j - 20), j) if word[i:j] in scores]
-            best.append(max(options, key=lambda o: (o[0], -o[1])))
-        return best[-1][1]
+def test_a_word_of_a_million_characters_is_counted_in_seconds():
+    import time
 
-    found = {r.doc_id: r for r in token_counts.token_counts(docs(spark, ODD)).collect()}
-    for i, text in enumerate(ODD):
-        words = token_counts.WORD.findall(text or "")
-        assert (found[i].n_words, found[i].n_tokens) == (len(words), sum(n * brute(w) for w, n in Counter(words).items()))
-    assert token_counts.token_counts(docs(spark, ODD).limit(0)).count() == 0
+    rng = random.Random(1)
+    word = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789+/", k=10**6))
+    start = time.time()
+    assert 300_000 < token_counts.Segmenter(token_counts.rank_scores()).count([word, "a"])[0] < 10**6
+    assert time.time() - start < 30
 
 
 def test_language_id(spark):
@@ -276,6 +479,54 @@ def test_language_id(spark):
     assert language_id.keep_known(docs(spark, [mixed, None, "--"]), model).count() == 1 and language_id.keep_known(docs(spark, ["a", "1"]), none).count() == 1
 
 
+def test_letters_are_those_of_unicode(spark):
+    find = language_id.find_words
+    assert find("½ ² ①② Ⅷ x½y 12_a٣b") == ["x", "y", "a", "b"]
+    assert find("😀 ab½ 𐌰𐌱1 𠀀") == ["ab", "𐌰𐌱", "𠀀"]
+    assert find("हिन्दी में é e\u0301a 一二 ꙮ") == ["हिन्दी", "में", "é", "e\u0301a", "一二", "ꙮ"]
+    train = spark.createDataFrame([(k, "हिन्दी में लिखा वाक्य" if k % 2 else "an english sentence", "hi" if k % 2 else "en") for k in range(40)], "doc_id long, text string, lang string")
+    model = language_id.train(train)
+    found = {r.doc_id: r for r in language_id.identify(docs(spark, ["½ ²", "①② Ⅷ", "वाक्य लिखा", "sentence ½"]), model).collect()}
+    assert [(found[i].lang_pred, found[i].score) for i in range(2)] == [("und", 0.0)] * 2
+    assert (found[2].lang_pred, found[3].lang_pred) == ("hi", "en") and len(found[2].spans) == 1
+    assert language_id.keep_known(docs(spark, ["½ ²", "①"]), model).count() == language_id.keep_known(docs(spark, ["½ ²", "①"]), language_id.train(train.limit(0))).count() == 0
+
+
+def test_language_scores_by_plain_loops(spark):
+    rows = [(0, "Die Straße ist lang", "de"), (1, "the street is long", "en"), (2, "улица ulica", "ru"), (3, "the the", "en"), (None, "is is", "en")]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+
+    def bucket(gram):
+        h, wrap = 0, (1 << 64) - 1
+        for n, c in enumerate(gram, 1):
+            h = (h * 0x9E3779B97F4A7C15 + ord(c) + n) & wrap
+        return (((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & wrap) >> 48
+
+    grams = lambda word: [f" {word} "[i : i + n] for n in range(1, 5) for i in range(len(word) + 3 - n)]
+    counts, letters = {k: Counter() for k in ("de", "en", "ru")}, {k: Counter() for k in ("de", "en", "ru")}
+    for _, text, lang in rows:
+        for word in text.lower().split():
+            counts[lang].update(bucket(g) for g in grams(word))
+            letters[lang]["cyrillic" if word[0] > "\u0400" else "latin"] += len(word)
+    words = ["straße", "street", "улица", "is", "ελ"]
+    expected = []
+    for word in words:
+        log_p = [sum(np.log((c[bucket(g)] + 0.5) / (c.total() + 0.5 * language_id.BUCKETS)) for g in grams(word)) for c in counts.values()]
+        script = "cyrillic" if word[0] > "\u0400" else "greek" if word[0] > "\u0370" else "latin"
+        used = [own[script] >= 0.01 * own.total() for own in letters.values()]
+        expected.append([p - max(log_p) + (0 if u or not any(used) else -40) for p, u in zip(log_p, used)])
+    assert np.allclose(model.score(words), expected, atol=1e-3)
+
+
+def test_rare_languages_are_learned_under_a_bound(spark):
+    rows = [(k, "the house of people", "en") for k in range(3000)] + [(9000 + k, "das haus der leute", "de") for k in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df, max_rows=100)
+    twice = docs(spark, ["das haus der leute", None]).unionAll(docs(spark, ["das haus der leute"]))
+    assert [(r.doc_id, r.lang_pred) for r in language_id.identify(twice, model).orderBy("doc_id").collect()] == [(0, "de"), (0, "de"), (1, "und")]
+    assert language_id.identify(twice.limit(0), model).count() == 0
+
+
 def test_keep_known_by_evidence(spark):
     rng = random.Random(5)
     words = {
@@ -322,6 +573,57 @@ def test_toxicity(spark):
     assert toxicity.score(df, empty).filter("predicted = 1").count() == 0
 
 
+def test_risk_of_positive_and_unlabelled_rows_by_plain_loops():
+    import math
+
+    rng = random.Random(4)
+    for trial in range(20):
+        n, prior = 40, rng.choice([0.05, 0.3, 0.9])
+        z = np.array([rng.gauss(0, 3) for _ in range(n)])
+        positive = np.array([rng.random() < 0.5 for _ in range(n)])
+        unlabelled = np.array([rng.random() < 0.6 for _ in range(n)]) | ~positive
+        positive[0] = unlabelled[1] = True
+        loss = lambda m: math.log(1 + math.exp(-m))
+
+        def terms(z):
+            mean = lambda rows, sign: sum(loss(sign * z[i]) for i in rows) / len(rows)  # noqa: E731, B023
+            p, u = np.flatnonzero(positive).tolist(), np.flatnonzero(unlabelled).tolist()  # noqa: B023
+            return prior * mean(p, 1), mean(u, -1) - prior * mean(p, -1)  # noqa: B023
+
+        first, second, g = toxicity.pu_risk(z, positive, unlabelled, prior)
+        assert (first, second) == pytest.approx(terms(z))
+        for i in range(n):
+            up, down = z.copy(), z.copy()
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            change = [(a - b) / 2e-5 for a, b in zip(terms(up), terms(down))]
+            assert g[i] == pytest.approx(sum(change) if second >= 0 else -change[1], abs=1e-6)
+
+
+def test_toxicity_of_odd_rows(spark):
+    texts = [f"w{k % 7} w{k % 11} " + ("nasty vile " if k % 5 == 0 else "kind ") * 3 for k in range(200)]
+    rows = [(k if k % 50 else None, t) for k, t in enumerate(texts)] + [(7, "kind again"), (7, "kind again"), (8, "nasty vile " * 200_000), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"features": F.lit("x"), "flags": F.lit(1), "u": F.lit(2)})
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(0, 200, 2)] + [(4, None), (None, 1), (6, 0), (6, 0)], "doc_id long, toxic int")
+    found = [toxicity.score(df, toxicity.train(df.repartition(n), labels, F.lit(True))).collect() for n in (1, 5)]
+    assert [tuple(r) for r in found[0]] == [tuple(r) for r in found[1]] and len(found[0]) == len(rows)
+    assert all(r.predicted == int("nasty" in (t or "")) for r, (_, t) in zip(found[0], rows))
+    small = toxicity.train(df, labels, F.lit(True), max_positive=5, max_unlabelled=20)
+    assert toxicity.score(df, small).count() == len(rows)
+    assert toxicity.score(df.limit(0), toxicity.train(df.limit(0), labels, F.lit(True))).count() == 0
+    spark.createDataFrame(rows, "doc_id long, text string")
+
+
+def test_queries_of_tables_with_null_ids(spark, tmp_path):
+    rows = [(k if k % 9 else None, "the house of people" if k % 2 else "das haus der leute", "en" if k % 2 else "de") for k in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(k, k % 2) for k in range(60)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for query, modulus, rest in ((language_id.op5_language_id, 3, 1), (toxicity.op3_toxicity, 4, 2)):
+        found = query(spark, str(tmp_path)).collect()
+        assert len(found) == 60
+        assert all(r.held_out == (r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % modulus == rest) for r in found)
+
+
 def test_quality(spark):
     clean = " ".join(f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in range(90)) + "."
     texts = [clean, None, "", "too short", " ".join(["a b c d e f g h i"] * 6), "x %%% $$$ | | " * 30, clean.upper(), clean + "\n" + clean]
