@@ -637,6 +637,17 @@ def test_quality(spark):
     assert quality.quality(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_quality_of_repeated_and_long_rows(spark):
+    clean = " ".join(f"word{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10]}" for k in range(90)) + "."
+    long = " ".join(f"term{'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{k // 100}" for k in range(60_000))
+    rows = [(1, clean), (1, clean), (1, "too short"), (None, clean), (2, long), (3, "word " * 50_000), (4, "x" * 300_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"words": F.lit(1), "n_words": F.lit("z"), "kept": F.lit(None).cast("int")})
+    found = quality.quality(df).collect()
+    assert len(found) == len(rows)
+    by = Counter((r.doc_id, r.n_words, r.base_failed) for r in found)
+    assert by[1, 90, False] == 2 and by[1, 2, True] == 1 and by[None, 90, False] == 1 and by[2, 60_000, False] == 1 and by[3, 50_000, True] == 1 and by[4, 1, True] == 1
+
+
 def test_expectation_maximisation_finds_the_noisy_group():
     good, bad = (1, 1, 1, 1, 1, 1, 1), (1, 1, -1, -1, 1, 1, 1)
     model = quality.fit([(good, 900), (bad, 90), ((1, 1, 1, 1, 1, 0, 1), 10)])

@@ -3,7 +3,7 @@
 import random
 import re
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -97,3 +97,22 @@ def test_run_over_files_and_over_nothing(spark, tmp_path):
     assert cp.run(spark, str(tmp_path / "a")).count() > 20
     spark.createDataFrame([], SCHEMA).write.parquet(str(tmp_path / "b" / "documents.parquet"))
     assert cp.run(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_stages_over_repeated_and_null_ids(spark):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choices(["th", "an", "er", "on", "it", "es"], k=4))
+    texts = ["".join(" ".join(word() for _ in range(11)).capitalize() + ". " for _ in range(4)) for _ in range(6)]
+    rows = [(1, texts[0]), (1, texts[0]), (1, texts[1]), (None, texts[1]), (None, texts[2]), (2, texts[2] + "More."), (3, texts[3].upper()), (3, texts[3]), (None, None), (4, ""), (5, texts[4] + texts[5]), (6, texts[5])]
+    docs = spark.createDataFrame([(i, t, "en", None, 0) for i, t in rows], SCHEMA)
+    kept = []
+    for _, stage in cp.STAGES[:-1]:
+        docs = staged(stage(spark, docs, ""), "stage")
+        assert docs.columns == cp.COLUMNS
+        kept.append(Counter((r.doc_id, r.text) for r in docs.collect()))
+    language, exact, near, substring = kept
+    assert language.total() == 10 and language[1, texts[0]] == 2
+    assert exact == Counter([(1, texts[0]), (1, texts[1]), (None, texts[2]), (2, texts[2] + "More."), (3, texts[3]), (5, texts[4] + texts[5]), (6, texts[5])])
+    assert near == Counter([(1, texts[0]), (1, texts[1]), (2, texts[2] + "More."), (3, texts[3]), (5, texts[4] + texts[5]), (6, texts[5])])
+    assert substring == near - Counter([(6, texts[5])])
+    assert cp.STAGES[-1][1](spark, docs, "").select("doc_id", "doc_tokens").distinct().count() == 5
