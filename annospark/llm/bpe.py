@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounds, gather, list_array, packed, shuffle_partitions, stored, text_slices, unpacked
+from annospark.llm.common import bounds, gather, list_array, packed, partitions_for, stored, text_slices, unpacked
 from annospark.llm.word_table import WordTable, byte_of, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,8 +21,8 @@ BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Bytes of text that share one list of distinct words.
 BLOCK_BYTES = 12 << 20
-#: Ids that are decoded together.
-DECODE_IDS = 1 << 20
+#: Words that are put back, and ids that are decoded, at a time.
+PLACES = DECODE_IDS = 1 << 18
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[tuple[bytes, pa.RecordBatch, dict[str, int], list[np.ndarray]]]:
@@ -58,7 +58,8 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
     Null and empty texts have no ids; repeated rows are encoded each; a null id stays null. Strings of special tokens
     inside a text become their ids, as in the library.
     """
-    buckets = shuffle_partitions(docs.sparkSession)
+    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "texts")
+    buckets = partitions_for(rows)
 
     def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, _, words, _ in _blocks(batches, path):
@@ -86,19 +87,21 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
         found, first = np.unique(words.column("bucket").to_numpy(), return_index=True)  # equal blocks bring equal rows
         words = words.take(first)
         ids, lengths = (np.concatenate([np.empty(0, np.int64), *map(unpacked, words.column(c).to_pylist())]) for c in ("ids", "lengths"))
-        parts = []
+        starts, parts = bounds(lengths), []
         for block in places.to_batches(max_chunksize=1):
             counts, bucket, at = (unpacked(block.column(c)[0].as_py()) for c in ("counts", "buckets", "places"))
             if len(bucket) != len(lengths) or not np.array_equal(np.unique(bucket), found):
                 raise ValueError("documents were read twice and differed")
-            number = np.empty(len(bucket), np.int64)
+            number = np.empty(len(bucket), np.int32)
             number[np.argsort(bucket, kind="stable")] = np.arange(len(bucket))  # a word's place among those of all buckets
-            at = number[at]
-            per_text = np.diff(bounds(lengths[at])[bounds(counts)])
-            parts.append(pa.table([block.column("doc_ids").flatten(), list_array(gather(ids, bounds(lengths)[at], lengths[at]), per_text, pa.int32())], ["doc_id", "ids"]))
+            names, edges = block.column("doc_ids").flatten(), bounds(counts)
+            cuts = [0, *(np.flatnonzero(np.diff(edges[1:] // PLACES)) + 1).tolist(), len(counts)]
+            for a, b in zip(cuts, cuts[1:]):  # runs of texts
+                own = number[at[edges[a] : edges[b]]]
+                per_text = np.diff(bounds(lengths[own])[edges[a : b + 1] - edges[a]])
+                parts.append(pa.table([names.slice(a, b - a), list_array(gather(ids, starts[own], lengths[own]).astype(np.int32), per_text, pa.int32())], ["doc_id", "ids"]))
         return pa.concat_tables(parts) if parts else pa.table([pa.array([], pa.int64()), pa.array([], pa.list_(pa.int32()))], ["doc_id", "ids"])
 
-    rows = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), "texts")
     places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts binary, buckets binary, places binary")
     words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
     encoded = words.mapInArrow(table, "block binary, bucket int, ids binary, lengths binary")
