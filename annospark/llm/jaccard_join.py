@@ -15,10 +15,11 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import ROW, byte_texts, row_keyed, staged, text_slices, unstage
+from annospark.llm.common import ROW, byte_texts, id_bits, likely_rows, may_hold, only_ids, row_keyed, staged, text_slices, unstage
 
 WORDS = 5
 PERCENT = 80
@@ -39,8 +40,6 @@ _SIGNATURE_BYTES = 16 << 20
 #: Rows of a very common key that one task gets, about.
 HOT = 1 << 12
 _MAX_SALT = (1 << 15) - 2
-#: Digests of sets by which a task knows copies among its rows.
-_SEEN = 500_000
 #: Rounds in which the lists' heads are verified, at most.
 ROUNDS = 3
 #: Bytes of text whose words are hashed at a time.
@@ -175,16 +174,16 @@ def boundary(sizes: dict[int, int], percent: int = PERCENT, max_light: int = MAX
 def signature(s: np.ndarray) -> bytes:
     """The parity of how many elements fall on each bit; bits in proportion to the set's size, a power of two. Two sets differ
     in at least as many elements as their signatures in bits; the one of half as many bits is the two halves' exclusive or."""
-    bits = max(MIN_BITS, min(MAX_BITS, 1 << (4 * len(s) - 1).bit_length()))
+    bits = max(MIN_BITS, min(MAX_BITS, 1 << (2 * len(s) - 1).bit_length()))
     return np.packbits((np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
 
-def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PERCENT) -> DataFrame:
+def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PERCENT, skip: Broadcast | None = None) -> DataFrame:
     """(key, doc_id, n, kind, rank, salt): the subsets of light sets (kind 1) and the listed shingles of heavy ones (kind 0).
 
     ``rank`` is lower the more of a set's shingles are common: a text that others were copied from has a lower one than
-    those copies, whatever its id. Keys that the sketch takes for very common are dealt out by ``salt`` (1 and up, else 0). Of
-    equal sets in a task the first is listed.
+    those copies, whatever its id. Keys that the sketch takes for very common are dealt out by ``salt`` (1 and up, else 0). Rows
+    whose id may be one of ``skip`` (of ``id_bits``) are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(sketch)  # 4 MB
 
@@ -199,22 +198,19 @@ def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PE
                     yield xxhash.xxh3_64_intdigest(s[at].tobytes() + bytes([min(n, m), max(n, m)])), int(over[at].min())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
         mean = shared.value.mean()
         noise = mean + 6 * np.sqrt(mean)
         for batch in batches:
+            batch = batch if skip is None else batch.filter(pa.array(~may_hold(skip.value, batch.column("h").to_numpy())))
             for part in text_slices(batch):
                 sets = shingle_sets(byte_texts(part))
                 ids = part.column("doc_id").to_numpy()
                 keys, owner, kind, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int64)]
                 rank = np.zeros(len(sets), np.int16)
-                if len(seen) > _SEEN:
-                    seen.clear()
-                for i, (s, digest) in enumerate(zip(sets, map(tuple, _digests(sets).tolist()))):
+                for i, s in enumerate(sets):
                     n = len(s)
-                    if not n or digest in seen:
+                    if not n:
                         continue
-                    seen.add(digest)
                     common = shared.value[(s & np.uint64(SKETCH - 1)).astype(np.int64)]
                     rank[i] = -round(1024 * np.log2(1 + np.maximum(common - mean, 0)).mean())
                     if n <= light and (found := list(subsets(s, common))):
@@ -236,41 +232,62 @@ def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PE
                 columns = [np.concatenate(keys).view(np.int64), ids[owner], size[owner].astype(np.int32), np.concatenate(kind), rank[owner], salt]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "n", "kind", "rank", "salt"])
 
-    return docs.mapInArrow(run, "key long, doc_id long, n int, kind byte, rank short, salt short")
+    rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
+    return rows.mapInArrow(run, "key long, doc_id long, n int, kind byte, rank short, salt short")
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
-    """(key, kind, doc_id, n, rank, head, head_n): the rows of each list but its head, the row of the lowest rank.
+    """(key, kind, doc_id, n, rank, head, head_n, many): the rows of each list but its head, the row of the lowest rank;
+    ``many`` where a list has two such rows or more.
 
-    Rows are dealt by key and salt and sorted in each partition; a task holds one row of a list at a time, whatever its
+    Rows are dealt by key and salt and sorted in each partition; a task holds two rows of a list at a time, whatever its
     length. The parts of a salted list each have a head of their own; the best of these becomes the list's.
     """
     names = ["key", "kind", "salt", "doc_id", "n", "rank"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [batch.column(c).to_numpy() for c in names]
-            fresh = np.ones(batch.num_rows, bool)
-            if last is not None:
-                rows = [np.append(v, x) for v, x in zip(last, rows)]
-                fresh = np.append(False, fresh)  # the row before was seen
+        held: tuple | None = None  # the head of the list at hand and the last row read, which may be the same; the row's place
+
+        def made(rows: list[np.ndarray], place_before: int, end: bool) -> tuple[pa.RecordBatch | None, tuple]:
+            """The batch of all rows but the last (unless this is the end). With a place above 0, the first row is a head that
+            was seen before, and the second one the row that was held back, at that place of its list."""
             key, kind, salt, doc, n, rank = rows
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (salt[1:] != salt[:-1])
             head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
-            keep = fresh & ((head != np.arange(len(head))) | (salt > 0))
-            if keep.any():
-                columns = (key, kind, salt, doc, n, rank, doc[head], n[head], rank[head])
-                yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [*names, "head", "head_n", "head_rank"])
-            last = tuple(c[head[-1]] for c in rows)  # the next rows may belong to its list
+            place = np.arange(len(new)) - head
+            many = (place > 1) | np.append((place[1:] > 1), False) | (salt > 0)
+            keep = (place > 0) | (salt > 0)
+            if place_before:
+                keep[0] = False
+                many[1] |= place_before > 1
+            last = tuple((x[head[-1]], x[-1]) for x in rows), int(place[-1]) + (place_before - 1 if place_before and head[-1] == 0 else 0)
+            if not end:
+                keep[-1] = False
+            columns = (key, kind, salt, doc, n, rank, doc[head], n[head], rank[head], many)
+            batch = pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [*names, "head", "head_n", "head_rank", "many"]) if keep.any() else None
+            return batch, last
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows, place = [batch.column(c).to_numpy() for c in names], 0
+            if held is not None:
+                ends, place = held
+                rows = [np.concatenate([x if place else x[1:], v]).astype(v.dtype) for x, v in zip(ends, rows)]
+            found, held = made(rows, place, False)
+            if found is not None:
+                yield found
+        if held is not None:
+            ends, place = held
+            found, _ = made([np.array(x if place else x[1:]) for x in ends], place, True)
+            if found is not None:
+                yield found
 
     dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "kind", "salt", "rank", "doc_id")
-    schema = "key long, kind byte, salt short, doc_id long, n int, rank short, head long, head_n int, head_rank short"
+    schema = "key long, kind byte, salt short, doc_id long, n int, rank short, head long, head_n int, head_rank short, many boolean"
     found = staged(dealt.mapInArrow(run, schema), "lists")
-    columns = ["key", "kind", "doc_id", "n", "rank", "head", "head_n"]
+    columns = ["key", "kind", "doc_id", "n", "rank", "head", "head_n", "many"]
     salted = found.filter("salt > 0")
     if not salted.limit(1).count():
         return found.select(columns)
@@ -354,14 +371,8 @@ def _folded(sig: bytes, size: int) -> np.ndarray:
     return bits
 
 
-def next_heads(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of each open list's next head with its members of other components that it may link with. The head
-    is the member of the lowest rank outside the component that has most members."""
-    most = rows.groupBy("key", "kind", "comp").agg(F.count("*").alias("k")).groupBy("key", "kind").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"))
-    heads = rows.join(most, ["key", "kind"]).filter("comp <> most").groupBy("key", "kind").agg(F.min(F.struct("rank", "doc_id", "n", "comp")).alias("h"))
-    pairs = rows.join(heads, ["key", "kind"]).filter(F.col("h.comp") != F.col("comp"))
-    pairs = pairs.select(F.col("h.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("h.n").alias("n"), F.col("n").alias("m"))
-    pairs = pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct()
+def likely_pairs(pairs: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """Of the pairs (a, b, and their sets' sizes n, m) those (a, b) that can link by size and signature."""
     for end in ("a", "b"):
         pairs = pairs.join(sigs.withColumnsRenamed({"doc_id": end, "sig": f"sig_{end}"}), end)
 
@@ -375,6 +386,16 @@ def next_heads(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> Data
     return pairs.mapInArrow(run, "a long, b long")
 
 
+def next_heads(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (a, b) of each open list's next head with its members of other components that it may link with. The head
+    is the member of the lowest rank outside the component that has most members."""
+    most = rows.groupBy("key", "kind", "comp").agg(F.count("*").alias("k")).groupBy("key", "kind").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"))
+    heads = rows.join(most, ["key", "kind"]).filter("comp <> most").groupBy("key", "kind").agg(F.min(F.struct("rank", "doc_id", "n", "comp")).alias("h"))
+    pairs = rows.join(heads, ["key", "kind"]).filter(F.col("h.comp") != F.col("comp"))
+    pairs = pairs.select(F.col("h.doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("h.n").alias("n"), F.col("n").alias("m"))
+    return likely_pairs(pairs.filter(100 * F.least("n", "m") >= percent * F.greatest("n", "m")).distinct(), sigs, percent)
+
+
 def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of documents that share a list, lie in different components, and can still link by size and signature.
 
@@ -382,7 +403,7 @@ def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) ->
     dealt out as pairs of blocks.
     """
     sized = rows.groupBy("key", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(sized, ["key", "kind"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(sigs, "doc_id")
+    rows = rows.join(sized, ["key", "kind"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(sigs.hint("merge"), "doc_id")
     rows = rows.select("key", "kind", "doc_id", "comp", "n", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     rows = rows.select("key", "kind", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "comp", "n", "sig")
     groups = ["key", "kind", "i", "j"]
@@ -433,9 +454,9 @@ def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) ->
 
 def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Of the lists with members in several components (as ``labels`` has them): key, kind, doc_id, n, rank, comp."""
-    rows = rows.select("key", "kind", "doc_id", "n", "rank").join(labels.withColumnRenamed("v", "doc_id"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    rows = rows.select("key", "kind", "doc_id", "n", "rank").join(labels.withColumnRenamed("v", "doc_id").hint("merge"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     several = rows.groupBy("key", "kind").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key", "kind")
-    return rows.join(several, ["key", "kind"], "left_semi")
+    return rows.join(several.hint("merge"), ["key", "kind"], "left_semi")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -459,10 +480,10 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     """``near_duplicates`` of (doc_id, text) with distinct ids.
 
     Equal sets form one class, stood for by its smallest id. Candidates come from the lists that light and heavy sets share.
-    First each list's head is verified against its members, which joins a dense group by stars instead of all its pairs;
-    in lists whose members are still apart the next head is one outside the component of the most members, for ``ROUNDS`` rounds
-    or until a round joins nothing. Then the pairs of a list that are still in different components are compared. No candidate
-    is capped, so no link between components is lost.
+    First each list's head is compared with its members by signature and verified against the likely ones, which joins a dense
+    group by stars instead of all its pairs; in lists whose members are still apart the next head is one outside the component of
+    the most members, for ``ROUNDS`` rounds or until a round joins nothing. Then the pairs of a list that are still in different
+    components are compared. No candidate is capped, so no link between components is lost.
     """
     sets, sketch = summaries(docs)
     classes = sets.filter("n > 0").groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows"))
@@ -470,23 +491,29 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     small = sets.filter(F.col("n") <= int(1.25 * MAX_LIGHT)).select("n", "hi", "lo").distinct().groupBy("n").count().collect()  # a row per small size
     light = boundary({int(r["n"]): r["count"] for r in small}, percent)
 
-    def represented(rows: DataFrame, column: str) -> DataFrame:
-        of = copies.select(F.col("doc_id").alias(column), "rep")
-        return rows.join(of, column, "left").withColumn(column, F.coalesce("rep", column)).drop("rep")
-
-    lists = represented(represented(shared_lists(list_rows(docs, sketch, light, percent)), "doc_id"), "head").filter("head <> doc_id").distinct()
-    lists = staged(lists, "lists")
+    # rows that are surely no copy are listed where they are read; of the others, copies are taken out by a join
+    maybe = id_bits(copies)
+    rest = likely_rows(docs, maybe).join(copies.select("doc_id").hint("merge"), "doc_id", "left_anti")
+    lists = shared_lists(list_rows(docs, sketch, light, percent, maybe).unionAll(list_rows(rest, sketch, light, percent)))
     fits = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
-    pairs = lists.filter(fits).select(F.col("head").alias("a"), F.col("doc_id").alias("b")).distinct()
-    several = lists.groupBy("key", "kind").agg(F.count("*").alias("rows")).filter("rows > 1")
-    rows = lists.join(several, ["key", "kind"], "left_semi")
-    read = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(rows.select("doc_id")).distinct()
-    texts = staged(docs.join(read, "doc_id", "left_semi"), "texts")
-    done = staged(pairs, "pairs")
-    links = staged(verified(done, texts, percent), "links")
+    done = staged(lists.filter(fits).select(F.col("head").alias("a"), F.col("doc_id").alias("b"), F.col("head_n").alias("n"), F.col("n").alias("m")).distinct(), "pairs")
+    rows = lists.filter("many").select("key", "kind", "doc_id", "n", "rank")
+    listed = done.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(rows.select("doc_id")).distinct()
+    sigs = staged(sets.select("doc_id", "sig").join(listed.hint("merge"), "doc_id", "left_semi"), "signatures")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the staged pairs that link; only their texts are read again."""
+        if not pairs.limit(1).count():
+            return pairs
+        texts = staged(only_ids(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), "texts")
+        found = staged(verified(pairs, texts, percent), "links")
+        unstage(texts)
+        return found
+
+    links = linked(staged(likely_pairs(done, sigs, percent), "pairs"))
+    done = done.select("a", "b")
     labels = components(links)
     rows = staged(_open_rows(rows, labels), "rows")
-    sigs = staged(sets.select("doc_id", "sig").join(rows.select("doc_id").distinct(), "doc_id", "left_semi"), "signatures")
 
     def fresh(pairs: DataFrame) -> DataFrame:
         for ends in (["a", "b"], ["b", "a"]):
@@ -495,18 +522,17 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
 
     for _ in range(1, ROUNDS):
         pairs = staged(fresh(next_heads(rows, sigs, percent)), "pairs")
-        more = staged(verified(pairs, texts, percent), "links")
+        more = linked(pairs)
         done = done.unionAll(pairs)
         if not more.limit(1).count():
             break
         links = links.unionAll(more)
         labels = components(links)
         rows = staged(_open_rows(rows, labels), "rows")
-    more = staged(verified(staged(fresh(straggler_pairs(rows, sigs, percent)), "pairs"), texts, percent), "links")
+    more = linked(staged(fresh(straggler_pairs(rows, sigs, percent)), "pairs"))
     if more.limit(1).count():
         labels = components(links.unionAll(more))
-    unstage(lists, texts)
-    members = represented(sets.select("doc_id", "n", F.col("doc_id").alias("v")), "v")
+    members = sets.join(copies, "doc_id", "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("v"))
     return members.join(labels, "v", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "v").alias("component_id"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from annospark.llm.common import ROW, bounds, byte_texts, row_keyed, staged, text_slices
+from annospark.llm.common import ROW, bit_set, bounds, byte_texts, may_hold, row_keyed, staged, text_slices
 
 #: Units: a line with its end; a paragraph with the empty lines behind it; a sentence, which is a run of characters up to full
 #: stops, question marks and line ends, with the blanks behind them.
@@ -31,9 +31,6 @@ _POINT = re.compile(f"[{_POINTS}]")
 _TOKEN = re.compile(f"[{_POINTS}]|[^ \t-\r{_POINTS}]+")
 _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _MAX_WORDS = 300_000
-#: Bits of ``digest_bits`` at most (64 MB), and of a stretch that is put together in one place.
-MAX_BITS = 1 << 29
-_STRETCH = 1 << 16
 
 
 def _keys(text: bytes, min_words: int, unit: re.Pattern) -> list[tuple[int, bytes]]:
@@ -115,14 +112,12 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     With ``passages`` also one row per picked run of words: unit is -1 - 2 w for the run from word w, -2 - 2 w in texts of
     scripts without blanks, hi its 64-bit hash and lo the kind (0 or 1).
 
-    With ``among``, bits of ``digest_bits``, only rows that may have one of those digests, and all with ``again``."""
+    With ``among``, bits of ``bit_set``, only rows that may have one of those digests, and all with ``again``."""
 
     def wanted(hi: np.ndarray, again: np.ndarray) -> np.ndarray:
         if among is None:
             return np.ones(len(hi), bool)
-        bits = among.value
-        a, b = _places(hi.view(np.uint64), 8 * len(bits))
-        return again | ((bits[a >> 3] >> (a & 7)) & (bits[b >> 3] >> (b & 7)) & 1).astype(bool)
+        return again | may_hold(among.value, hi)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, pattern = _Hashes(), re.compile(UNITS[unit])
@@ -158,42 +153,6 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return rows.mapInArrow(run, "doc_id long, unit int, hi long, lo long, again boolean")
 
 
-def _places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two bits of each 64-bit digest."""
-    mask = np.uint64(bits - 1)
-    return (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64)
-
-
-def digest_bits(digests: DataFrame) -> np.ndarray:
-    """Two bits for each of the digests (column hi), about 16 bits in all per digest and ``MAX_BITS`` at most: however many there
-    are, a broadcast has that bound. With more digests than that it lets more others through, never fewer of its own.
-
-    Each stretch of bits is put together in one place, and the driver joins the stretches."""
-    n = digests.count()
-    bits = min(MAX_BITS, max(1 << 16, 1 << (16 * n).bit_length()))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.concatenate(_places(batch.column("hi").to_numpy().view(np.uint64), bits))
-            yield pa.RecordBatch.from_arrays([pa.array((at // _STRETCH).astype(np.int32)), pa.array((at % _STRETCH).astype(np.int32))], ["stretch", "place"])
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[int, np.ndarray] = {}
-        for batch in batches:
-            stretch, place = batch.column("stretch").to_numpy(), batch.column("place").to_numpy()
-            for k in np.unique(stretch).tolist():
-                found.setdefault(k, np.zeros(_STRETCH, np.uint8))[place[stretch == k]] = 1
-        if found:
-            packed = [np.packbits(x, bitorder="little").tobytes() for x in found.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int32()), pa.array(packed, pa.binary())], ["stretch", "bits"])
-
-    spread = digests.select("hi").mapInArrow(places, "stretch int, place int").repartition(min(64, bits // _STRETCH), "stretch")
-    found = np.zeros(bits // 8, np.uint8)
-    for row in spread.mapInArrow(joined, "stretch int, bits binary").collect():
-        found[row.stretch * _STRETCH // 8 : (row.stretch + 1) * _STRETCH // 8] = np.frombuffer(row.bits, np.uint8)
-    return found
-
-
 def repeated_units(docs: DataFrame, id_col: str, text_col: str, *options) -> DataFrame:
     """(doc_id, units): the units of each document that stand elsewhere in an earlier ranked place, sorted.
 
@@ -203,7 +162,7 @@ def repeated_units(docs: DataFrame, id_col: str, text_col: str, *options) -> Dat
     units = unit_digests(docs, id_col, text_col, *options)
     first = units.filter("not again").groupBy("hi", "lo").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("n")).filter("n > 1")
     first = staged(first.select("hi", "lo", "first_doc"), "digests")
-    units = unit_digests(docs, id_col, text_col, *options, docs.sparkSession.sparkContext.broadcast(digest_bits(first)))
+    units = unit_digests(docs, id_col, text_col, *options, docs.sparkSession.sparkContext.broadcast(bit_set(first, "hi")))
     gone = units.join(first, ["hi", "lo"], "left").filter(F.col("again") | (F.col("doc_id") > F.col("first_doc")))
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("unit")).alias("units"))
 
