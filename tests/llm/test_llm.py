@@ -267,6 +267,29 @@ def test_near_duplicates(spark, monkeypatch, light):
         assert tuple(jaccard_join.near_duplicates(null).first()) == (None, 2, None)
 
 
+def test_lists_in_small_batches(spark):
+    """Heads and flags by plain loops, however the rows of a list fall into batches."""
+    rng = random.Random(7)
+    rows = []
+    for key in range(60):
+        salted = key % 10 == 0
+        for doc in range(rng.choice([1, 1, 2, 2, 3, 9])):
+            rows.append((key, 1000 * key + doc, 10 + doc % 3, 0, rng.randint(-5, 0), rng.randint(1, 3) if salted else 0))
+    df = spark.createDataFrame(rows, "key long, doc_id long, n int, kind byte, rank short, salt short")
+    expected = Counter()
+    for key in range(60):
+        own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[4], r[1]))
+        for r in own[1:]:
+            expected[key, r[1], own[0][1], own[0][2], len(own) > 2 or r[5] > 0] += 1
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for size in (1, 2, 3, 7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        found = Counter((r.key, r.doc_id, r.head, r.head_n, r.many) for r in jaccard_join.shared_lists(df).collect())
+        assert found == expected, size
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert jaccard_join.shared_lists(df.limit(0)).count() == 0
+
+
 def test_near_duplicates_of_repeated_and_null_ids(spark):
     a, b, c = (" ".join(f"{x}{k}" for k in range(30)) for x in "abc")
     rows = [(5, a), (5, b), (3, b + " more"), (9, a + " tail"), (None, c), (None, c + " d"), (7, None), (7, "")]
