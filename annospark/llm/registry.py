@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from annospark.llm import bpe, exact_dedup, jaccard_join, language_id, packing, quality, substring_dedup, token_counts, token_files, toxicity
+from annospark.llm import bpe, divergence, exact_dedup, hilbert_shards, jaccard_join, language_id, packing, quality, substring_dedup, token_counts, token_files, toxicity, whitening
 
 QUERIES = {
     "op1_quality": quality.op1_quality,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_bpe": bpe.op8_bpe,
     "op9_token_files": token_files.op9_token_files,
     "op10_packing": packing.op10_packing,
+    "op11_whitening": whitening.op11_whitening,
+    "op12_sharding": hilbert_shards.op12_sharding,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,6 @@ ORACLE_SQL = {
     "op2_substring_dedup": substring_dedup.OP2_SQL,
     "op4_exact_dedup": exact_dedup.OP4_SQL,
     "op7_jaccard_join": jaccard_join.OP7_SQL,
+    "op12_sharding": hilbert_shards.OP12_SQL,
+    "op13_source_divergence": divergence.OP13_SQL,
 }
