@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.sources.shared import written
@@ -59,6 +59,22 @@ def group_rank(df: DataFrame, group: list[str], *order: str) -> DataFrame:
     return ranked.join(first, group).withColumn("rank", F.col("rank") - F.col("_first")).drop("_first")
 
 
+def running_weight(df: DataFrame, weight: str, *order: str) -> DataFrame:
+    """``df`` in this order with ``before``, the sum of column ``weight`` (whole numbers) over all rows ahead: a range sort, written once
+    to the shared folder, a running sum in each range, and one sum per range on the driver. No task sees more than its range."""
+    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    marked = written(rows.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}), "weighed")
+    sums = {r["_p"]: r["w"] for r in marked.groupBy("_p").agg(F.sum(weight).alias("w")).collect()}
+    starts, start = [], 0
+    for part in sorted(sums):
+        starts.append((part, start))
+        start += sums[part] or 0
+    offsets = df.sparkSession.createDataFrame(starts, "_p int, _start long")
+    ahead = F.sum(weight).over(Window.partitionBy("_p").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1))
+    found = marked.join(F.broadcast(offsets), "_p")  # a row per range
+    return found.withColumn("before", F.col("_start") + F.coalesce(ahead, F.lit(0))).drop("_p", "_i", "_start")
+
+
 def split_images(keys: DataFrame, ratio: str = "8:1:1", order: Column | None = None, key: str = "image_key") -> DataFrame:
     """(key, split) by position in the order of ``order`` (the key itself, a seeded hash, ...): the first floor(n * train), the next
     floor(n * val), the rest test; without a test share, the rest is val."""

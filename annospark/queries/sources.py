@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+import warnings
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from annospark import fixtures as fx
@@ -13,7 +19,7 @@ from annospark.queries import validation as val
 from annospark.queries.evaluation import _arrays
 from annospark.queries.records import _USABLE
 from annospark.queries.work import _GPU
-from annospark.sources import files
+from annospark.sources import archives, files
 from annospark.sources.shared import shared_folder
 
 
@@ -45,10 +51,60 @@ def _listed(spark, sf):
 
 
 def filter_copies(spark, sf):
-    """Copies of listed files and their images under flat names; equal names of the two folders get numbers."""
-    plan = _listed(spark, sf)
-    images = plan.select("file", F.when(F.length("file") % 2 == 0, F.regexp_replace("file", "json$", "jpg")).alias("image"))
-    return files.filter_copies(plan, "/out", images)
+    """Copies of listed files of three folders and their images under flat names; names of the third look like numbered ones."""
+    i = F.col("image_id")
+    name = F.concat(F.lit("/set"), (i % 3).cast("string"), F.lit("/"), F.floor(i / 3).cast("string"), F.when(i % 3 == 2, "_1").otherwise(""), F.lit(".json"))
+    listed = fx.shapes(spark, sf).select(name.alias("file"))
+    plan = files.filter_copy_plan(listed, fx.images(spark, sf).filter("image_id % 7 <> 0").select(name.alias("path")))
+    return files.filter_copies(plan, "/out", plan.select("file", F.when(F.length("file") % 2 == 0, F.regexp_replace("file", "json$", "jpg")).alias("image")))
+
+
+def keyed_exports(spark, sf):
+    """Payloads of both models' detections, written as a file each and read back; rows without an image path fail."""
+    d = _arrays(fx.detections(spark, sf), "image_id", "model").join(fx.images(spark, sf), "image_id")
+    i = F.col("image_id")
+    rows = d.select(
+        i.alias("index"), F.when(i % 9 != 0, F.concat(F.lit("/data/"), "stem", F.lit(".png"))).alias("image_path"), "width", "height", F.col("boxes").alias("detections"), F.col("model").alias("model_type"),
+    )
+    out = [records.export_payload(rows.filter(F.col("model_type") == m)).select(F.concat(F.lit(f"{m}/"), "file").alias("file"), "payload") for m in "AB"]
+    path = shared_folder(spark, "exports")
+    counts = files.write_keyed(out[0].unionAll(out[1]), path).first()
+    back = files.read_keyed(spark, path).withColumn("a", validate.parse(F.col("payload")))
+    corner = lambda k, c: F.aggregate("a.shapes", F.lit(0.0), lambda s, x: s + F.get(F.get(x["points"], k), c))
+    return back.select(
+        "file", F.col("a.imagePath").alias("image"), F.col("a.imageWidth").cast("int").alias("width"), F.size("a.shapes").alias("shapes"), F.array_join(F.array_sort("a.shapes.label"), "|").alias("labels"),
+        corner(0, 0).alias("x1"), corner(0, 1).alias("y1"), corner(1, 0).alias("x2"), corner(1, 1).alias("y2"), F.lit(counts["written"]).alias("written"), F.lit(counts["failed"]).alias("failed"),
+    )
+
+
+def _archive(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """A block of pages as one archive: zip, tar or compressed tar in turn."""
+    block, body = int(key[0]), io.BytesIO()
+    rows = rows.sort_values("page_id")
+    if block % 3 == 0:
+        with zipfile.ZipFile(body, "w", zipfile.ZIP_DEFLATED) as z, warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # names repeat on purpose
+            for name, html in zip(rows["name"], rows["html"]):
+                z.writestr(zipfile.ZipInfo(name), (html or "").encode(), zipfile.ZIP_DEFLATED)
+    else:
+        with tarfile.open(fileobj=body, mode="w:" if block % 3 == 1 else "w:gz") as t:
+            for name, html in zip(rows["name"], rows["html"]):
+                info, raw = tarfile.TarInfo(name), (html or "").encode()
+                info.size = len(raw)
+                t.addfile(info, io.BytesIO(raw))
+    return pd.DataFrame({"file": [f"arch_{block:08d}." + ("zip", "tar", "tar.gz")[block % 3]], "payload": [body.getvalue()]})
+
+
+def archive_members(spark, sf):
+    """Pages in archives of 64, read back member by member under free names: pages of all archives share names, some of which look like
+    numbered ones."""
+    path = shared_folder(spark, "archives")
+    name = F.concat(F.lit("p"), (F.col("page_id") % 16).cast("string"), F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("_"), (F.col("page_id") % 7).cast("string"))).otherwise(""), F.lit(".html"))
+    pages = fx.table(spark, sf, "pages").select("page_id", "html", name.alias("name"), F.floor(F.col("page_id") / 64).alias("block"))
+    files.write_keyed(pages.groupBy("block").applyInPandas(_archive, "file string, payload binary"), path)
+    found = archives.read_members(archives.members(spark, path, nested=False))
+    block = F.regexp_extract("archive", r"arch_([0-9]+)", 1).cast("long")
+    return found.select(block.alias("block"), "no", "target", "piece", F.md5("content").alias("content_md5"), F.length("content").alias("bytes"), "error")
 
 
 def missing_files(spark, sf):
@@ -217,7 +273,7 @@ def selected_files(spark, sf):
     return class_matrix(rows)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, missing_files, gpu_log_csv, result_store, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, size_lookup, training_messages, record_stats, selected_files)}
+QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, keyed_exports, archive_members, missing_files, gpu_log_csv, result_store, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, size_lookup, training_messages, record_stats, selected_files)}
 
 _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOIN images i USING (image_id)), recs AS (SELECT image_id, image_key, count(*) AS k FROM uk GROUP BY ALL),
   lab AS (SELECT DISTINCT image_id, image_key, label FROM uk), tot AS (SELECT label, count(*) AS total FROM lab GROUP BY 1),
@@ -225,12 +281,28 @@ _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOI
   pos AS (SELECT image_key, stratum, count(*) OVER (PARTITION BY stratum) AS n, row_number() OVER (PARTITION BY stratum ORDER BY (image_key * 7919) % 10007, image_key) - 1 AS r FROM strata),
   cut AS (SELECT *, greatest(3, floor(n * 0.8)) AS a, greatest(1, floor(n * 0.1)) AS v FROM pos),
   st AS (SELECT image_key, CASE WHEN n < 9 OR r < a THEN 'train' WHEN r < a + v THEN 'valid' WHEN r < a + v + v THEN 'test' ELSE 'train' END AS split FROM cut)"""
+
+
+def _free(order: str) -> str:
+    """Tables from m (name, stem, ext): the first row of a name keeps it, and others get the numbers that no row's name has."""
+    return f"""j AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY {order}) - 1 AS j FROM m),
+      k AS (SELECT root, k, row_number() OVER (PARTITION BY root ORDER BY k) AS i FROM (SELECT DISTINCT regexp_replace(stem, '_[1-9][0-9]*$', '') || ext AS root, regexp_extract(stem, '_([1-9][0-9]*)$', 1)::BIGINT AS k FROM m WHERE regexp_matches(stem, '_[1-9][0-9]*$'))),
+      ahead AS (SELECT name, j, count(*) AS a FROM (SELECT DISTINCT name, j FROM j WHERE j > 0) JOIN k ON name = root AND k - i < j GROUP BY ALL),
+      free AS (SELECT j.*, CASE WHEN j = 0 THEN name ELSE stem || '_' || (j + coalesce(a, 0)) || ext END AS target FROM j LEFT JOIN ahead USING (name, j))"""
+
+
 ORACLE_SQL = {
     "jsonl_records": "SELECT event_type, count(*) AS n, round(sum(value), 2) AS value, count(*) AS places FROM events WHERE event_id % 5 <> 0 AND event_id % 7 <> 0 GROUP BY 1",
     "statistics_file": f"WITH {fx.SHAPES_SQL} SELECT CASE WHEN image_id % 6 <> 0 THEN 'copied' ELSE 'missing' END AS status, count(DISTINCT image_id) AS files FROM shapes GROUP BY 1",
-    "filter_copies": f"""WITH {fx.SHAPES_SQL}, l AS (SELECT DISTINCT '/set' || image_id % 2 || '/' || image_id // 2 || '.json' AS file FROM shapes WHERE image_id % 6 <> 0),
-      c AS (SELECT file AS src, 'annotation' AS kind FROM l UNION ALL SELECT regexp_replace(file, 'json$', 'jpg'), 'image' FROM l WHERE length(file) % 2 = 0), n AS (SELECT *, regexp_extract(src, '[^/]*$') AS name, row_number() OVER (PARTITION BY regexp_extract(src, '[^/]*$') ORDER BY src) - 1 AS k FROM c)
-      SELECT src, '/out/' || CASE WHEN k = 0 THEN name ELSE regexp_extract(name, '^[^.]*') || '_' || k || regexp_extract(name, '\\..*$') END AS dst, kind FROM n""",
+    "filter_copies": f"""WITH {fx.SHAPES_SQL}, l AS (SELECT DISTINCT '/set' || image_id % 3 || '/' || image_id // 3 || CASE WHEN image_id % 3 = 2 THEN '_1' ELSE '' END || '.json' AS file FROM shapes WHERE image_id % 7 <> 0),
+      c AS (SELECT file AS src, 'annotation' AS kind FROM l UNION ALL SELECT regexp_replace(file, 'json$', 'jpg'), 'image' FROM l WHERE length(file) % 2 = 0),
+      m AS (SELECT *, regexp_extract(src, '[^/]*$') AS name, split_part(regexp_extract(src, '[^/]*$'), '.', 1) AS stem, regexp_extract(src, '\\.[^.]*$') AS ext FROM c), {_free('src, kind')}
+      SELECT src, '/out/' || target AS dst, kind FROM free""",
+    "keyed_exports": f"""WITH {fx.DETECTIONS_SQL}, d AS (SELECT image_id, model, count(*)::INT AS shapes, string_agg(label, '|' ORDER BY label) AS labels, sum(x1)::DOUBLE AS x1, sum(y1)::DOUBLE AS y1, sum(x2)::DOUBLE AS x2, sum(y2)::DOUBLE AS y2 FROM detections GROUP BY ALL)
+      SELECT model || '/' || lpad(image_id::VARCHAR, greatest(6, length(image_id::VARCHAR))::INT, '0') || '_' || stem || '.json' AS file, stem || '.png' AS image, width, shapes, labels, x1, y1, x2, y2,
+        (SELECT count(*) FROM d WHERE image_id % 9 <> 0)::INT AS written, (SELECT count(*) FROM d WHERE image_id % 9 = 0)::INT AS failed FROM d JOIN images USING (image_id) WHERE image_id % 9 <> 0""",
+    "archive_members": f"""WITH m AS (SELECT page_id, coalesce(html, '') AS html, page_id // 64 AS block, 'p' || page_id % 16 || CASE WHEN page_id % 5 = 0 THEN '_' || page_id % 7 ELSE '' END AS stem, '.html' AS ext, stem || ext AS name FROM pages), {_free('block, page_id')}
+      SELECT block, row_number() OVER (PARTITION BY block ORDER BY page_id) - 1 AS no, target, 0 AS piece, md5(html) AS content_md5, strlen(html)::INT AS bytes, NULL::VARCHAR AS error FROM free""",
     "missing_files": f"WITH {fx.SHAPES_SQL} SELECT DISTINCT '/set' || image_id % 2 || '/' || image_id // 2 || '.json' AS file, 'missing' AS status FROM shapes WHERE image_id % 6 = 0 ORDER BY file LIMIT 10",
     "export_payloads": f"""WITH {fx.DETECTIONS_SQL}, d AS (SELECT image_id, count(*) AS n, arg_min(struct_pack(x2 := x2, c := confidence), (x1, y1, x2, y2, label, confidence)) AS f FROM detections WHERE model = 'B' GROUP BY 1),
       s AS (SELECT *, image_id % 4 <> 0 AS own, image_id % 3 = 0 AS loaded FROM d JOIN images USING (image_id) WHERE image_id % 9 <> 0)

@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-import io
 import json
 import re
 import struct
-import tarfile
-import zipfile
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from annospark.operators import validate as v
-from annospark.sources.shared import written
+from annospark.operators.names import free_names
+from annospark.operators.split import numbered
+from annospark.sources.keyed_files import KeyedFiles, read_report
+from annospark.sources.shared import shared_folder
 
 STATISTICS = "struct<source_dir:string,statistics_info:struct<source_dir:string>,label_counts:map<string,map<string,array<string>>>>"
 MESSAGES = "array<struct<role:string,content:array<struct<type:string,text:string>>>>"
@@ -71,8 +71,6 @@ def read_jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def with_index(records: DataFrame) -> DataFrame:
     """``records`` with ``index``: the place in load order, from 0 without gaps."""
-    from annospark.operators.split import numbered
-
     return numbered(records).withColumnRenamed("rank", "index")
 
 
@@ -165,24 +163,31 @@ def filter_copy_plan(listed: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def filter_copies(plan: DataFrame, target: str, images: DataFrame | None = None) -> DataFrame:
     """(src, dst, kind) of the plan's files that are there, and with ``images`` (file, image) of their images, under flat names in
-    ``target``. Of equal names the first source keeps it, and others get ``_1``, ``_2``, ..."""
+    ``target``. Of equal names the first source keeps it, and others get free ones (``names.free_names``)."""
     there = plan.filter("status = 'copied'").select("file")
     rows = there.select(F.col("file").alias("src"), F.lit("annotation").alias("kind"))
     if images is not None:
         found = there.join(images.filter("image is not null"), "file").select(F.col("image").alias("src"), F.lit("image").alias("kind")).distinct()
         rows = rows.unionAll(found)
-    rows = rows.withColumn("_name", F.regexp_extract("src", r"([^/]*)$", 1))
-    k = F.row_number().over(Window.partitionBy("_name").orderBy("src")) - 1
-    parts = (F.regexp_extract("_name", r"^(.*?)(\.[^./]*)?$", 1), F.regexp_extract("_name", r"(\.[^./]*)?$", 1))
-    name = F.when(k == 0, F.col("_name")).otherwise(F.concat(parts[0], F.lit("_"), k.cast("string"), parts[1]))
-    return rows.select("src", F.concat(F.lit(target.rstrip("/") + "/"), name).alias("dst"), "kind")
+    rows = free_names(rows.withColumn("name", F.regexp_extract("src", r"([^/]*)$", 1)), "name", "src", "kind")
+    return rows.select("src", F.concat(F.lit(target.rstrip("/") + "/"), "target").alias("dst"), "kind")
 
 
 def write_keyed(exported: DataFrame, path: str) -> DataFrame:
-    """Write each payload of (file, payload) under its file's name (``path/file=<name>/``); returns the counts written and failed.
-    A row with a null payload fails and doesn't stop the others."""
-    exported.filter("payload is not null").select("file", "payload").write.mode("overwrite").partitionBy("file").text(path)
-    return exported.agg(F.count("payload").alias("written"), F.count_if(F.col("payload").isNull()).alias("failed"))
+    """Write each payload of (file, payload) to ``path/<file>``; returns one row of the counts written and failed, from the tasks' own
+    messages. A row with a null payload or name fails and doesn't stop the others; a task that fails leaves no file."""
+    spark = exported.sparkSession
+    spark.dataSource.register(KeyedFiles)
+    report = f"{shared_folder(spark, 'report')}/counts.json"
+    exported.select("file", "payload").write.format("keyed_files").mode("append").option("path", path).option("report", report).save()
+    counts = read_report(report)
+    return spark.createDataFrame([(counts["written"], counts["failed"])], "written long, failed long")
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame:
+    """(file, payload) of the files of a folder, as ``write_keyed`` wrote them. Spark's readers pass over empty files."""
+    rows = scan(spark, path, recursive=True, content=True)
+    return rows.select(v.relative_path(F.col("path"), re.sub("^file:/+", "/", path)).alias("file"), F.col("content").cast("string").alias("payload"))
 
 
 def export_messages(records: DataFrame, path: str) -> None:
@@ -279,43 +284,6 @@ def comparison_outputs(spark: SparkSession, path: str, base: str, tuned: str, su
     return found | {"table": ev.with_summary(table, summary, [c for c in table.columns if c not in ("model", "split")])}
 
 
-def expand_archives(archives: DataFrame) -> DataFrame:
-    """Members of zip and tar archives (path, content): archive, member, target, content, error. Equal targets get ``_1``, ``_2`` ... in
-    order of archive; a single top folder named like the archive is dropped. One archive is one task's row."""
-
-    def members(name: str, body: bytes) -> list[tuple[str, bytes]]:
-        if zipfile.is_zipfile(io.BytesIO(body)):
-            with zipfile.ZipFile(io.BytesIO(body)) as z:
-                return [(i.filename, z.read(i)) for i in z.infolist() if not i.is_dir()]
-        with tarfile.open(fileobj=io.BytesIO(body)) as t:
-            return [(m.name, t.extractfile(m).read()) for m in t.getmembers() if m.isfile()]
-
-    def flat(stem: str, names: list[str]) -> list[str]:
-        tops = {n.split("/", 1)[0] for n in names}
-        same = lambda s: re.sub(r"[_ ]", "", s).lower()
-        one = len(tops) == 1 and all("/" in n for n in names) and same(next(iter(tops))) == same(stem)
-        return [n.split("/", 1)[1] if one else n for n in names]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = []
-            for path, body in zip(frame["path"], frame["content"]):
-                stem = re.sub(r"(\.tar)?\.[^.]*$", "", path.rsplit("/", 1)[-1])
-                try:
-                    found = members(path, body)
-                    rows += [(path, n, t, b, None) for (n, b), t in zip(found, flat(stem, [n for n, _ in found]))]
-                except Exception as e:  # a broken archive is listed, not fatal
-                    rows.append((path, None, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=["archive", "member", "target", "content", "error"])
-
-    rows = archives.select("path", "content").mapInPandas(run, "archive string, member string, target string, content binary, error string")
-    rows = written(rows, "members")  # names are ranked without the contents
-    k = F.row_number().over(Window.partitionBy("target").orderBy("archive", "member")) - 1
-    named = rows.filter("target is not null").select("archive", "member", "target").distinct().withColumn("_k", k).filter("_k > 0")
-    renamed = F.when(F.col("_k").isNull(), F.col("target")).otherwise(F.concat(F.regexp_extract("target", r"^(.*?)(\.[^./]*)?$", 1), F.lit("_"), F.col("_k").cast("string"), F.regexp_extract("target", r"(\.[^./]*)?$", 1)))
-    return rows.join(named, ["archive", "member", "target"], "left").withColumn("target", renamed).select("archive", "member", "target", "content", "error")
-
-
 def image_sizes(files: DataFrame) -> DataFrame:
     """(path, width, height) from the headers of PNG, GIF, BMP and JPEG files (path, content); null where unknown. A JPEG is
     walked through to its size marker, however much metadata stands before it."""

@@ -78,15 +78,7 @@ def test_gbk(spark, tmp_path):
     assert "图" not in (files.read_annotations(spark, str(tmp_path), gbk=False).filter("stem = 'g'").first().raw or "")
 
 
-def test_archives_and_headers(spark):
-    body = io.BytesIO()
-    with zipfile.ZipFile(body, "w") as z:
-        z.writestr("my_set/a.txt", "1")
-        z.writestr("my_set/b.txt", "2")
-    rows = spark.createDataFrame([("/x/my set.zip", body.getvalue()), ("/x/my_set.zip", body.getvalue()), ("/x/broken.zip", b"no")], "path string, content binary")
-    found = files.expand_archives(rows).collect()
-    assert sorted(r.target for r in found if r.target) == ["a.txt", "a_1.txt", "b.txt", "b_1.txt"]
-    assert [r.archive for r in found if r.error] == ["/x/broken.zip"]
+def test_headers(spark):
     png = b"\x89PNG\r\n\x1a\n" + b"\0\0\0\rIHDR" + struct.pack(">II", 64, 48) + b"\0" * 20
     sizes = {r.path: (r.width, r.height) for r in files.image_sizes(spark.createDataFrame([("a", png), ("b", b"??")], "path string, content binary")).collect()}
     assert sizes == {"a": (64, 48), "b": (None, None)}
@@ -222,7 +214,7 @@ def test_directory_conversion_and_format_check(spark, tmp_path):
     (tmp_path / "src" / "broken.json").write_text("{bad")
     counts = pipelines.convert_directory(spark, src, str(tmp_path / "boxes")).first()
     assert (counts.total_files, counts.converted, counts.failed) == (6, 5, 1)
-    first = spark.read.text(str(tmp_path / "boxes")).filter("file = 'img_0_boxes.json'").first()
+    first = files.read_keyed(spark, str(tmp_path / "boxes")).filter("file = 'img_0_boxes.json'").withColumnRenamed("payload", "value").first()
     assert json.loads(first.value)[0] == {"box_2d": [42, 16, 458, 172], "label": "cat"}
     path = tmp_path / "r.jsonl"
     path.write_text('{"messages":[{"role":"user"}],"images":[]}\n\n{"messages":[],"images":[]}\n')
