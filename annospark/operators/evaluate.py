@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annospark.functions import geometry as g
+from annospark.functions import overlaps
 from annospark.operators.validate import normalized_label
 
 METRICS = ("precision", "recall", "f1", "num_det", "num_gt", "num_match", "mean_match_iou")
@@ -14,20 +14,10 @@ SPLITS = ("train", "valid", "test")
 
 def greedy_match(dets: Column, gts: Column, threshold: float = 0.5, same_label: bool = True) -> Column:
     """IoUs of matched pairs: each detection in turn takes the free ground-truth box with the largest IoU, of at least
-    ``threshold``; of equal ones the first. dets and gts: array<struct<bbox, label>>. One fold over an image's detections."""
-    zero = F.struct(F.array().cast("array<int>").alias("used"), F.array().cast("array<double>").alias("ious"))
-
-    def step(acc: Column, d: Column) -> Column:
-        def candidate(b: Column, j: Column) -> Column:
-            free = ~F.array_contains(acc["used"], j)
-            if same_label:
-                free = free & (normalized_label(b["label"]) == normalized_label(d["label"]))
-            return F.when(free, F.struct(g.iou(d["bbox"], b["bbox"]).alias("v"), (-j).alias("nj")))
-
-        best = F.array_max(F.transform(gts, candidate))
-        return g.let(best, lambda b: F.when(b.isNotNull() & (b["v"] > 0) & (b["v"] >= threshold), F.struct(F.array_append(acc["used"], -b["nj"]).alias("used"), F.array_append(acc["ious"], b["v"]).alias("ious"))).otherwise(acc))
-
-    return F.aggregate(dets, zero, step, lambda acc: acc["ious"])
+    ``threshold``; of equal ones the first. dets and gts: array<struct<bbox, label>>; null counts as empty. Only boxes that share an area
+    are looked at (``overlaps``), so an image of n boxes costs about n log n and its overlaps."""
+    side = lambda boxes: F.transform(boxes, lambda b: F.struct(b["bbox"].alias("bbox"), normalized_label(b["label"]).alias("label")))
+    return overlaps.greedy_ious(side(dets), side(gts), threshold, same_label)
 
 
 def sample_metrics(samples: DataFrame, threshold: float = 0.5, dialect: str = "distributed") -> DataFrame:
@@ -65,8 +55,9 @@ def threshold_sweep(samples: DataFrame, thresholds=(0.5, 0.7, 0.85, 0.95)) -> Da
 
 def cross_iou(pairs: DataFrame) -> DataFrame:
     """(keys, label, v) of each detection of ``d1``: its best IoU with any of ``d2``, if above 0."""
-    best = F.transform("d1", lambda a: F.struct(a["label"].alias("label"), F.array_max(F.transform("d2", lambda b: g.iou(a["bbox"], b["bbox"]))).alias("v")))
-    return pairs.withColumn("x", F.explode(best)).filter("x.v > 0").select(*[c for c in pairs.columns if c not in ("d1", "d2")], "x.label", "x.v")
+    keys = [c for c in pairs.columns if c not in ("d1", "d2")]
+    rows = pairs.withColumn("x", F.explode(F.arrays_zip(F.col("d1.label").alias("label"), overlaps.best_ious(F.col("d1"), F.col("d2")).alias("v"))))
+    return rows.filter("x.v > 0").select(*keys, "x.label", "x.v")
 
 
 def cross_iou_summary(overlaps: DataFrame, *keys: str) -> DataFrame:

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from annospark.operators.names import free_names
 from annospark.operators.split import running_weight
-from annospark.sources import files
 from annospark.sources.keyed_files import filesystem
+from annospark.sources.listing import scan
 from annospark.sources.shared import written
 
 #: Bytes of a piece of a member, and of members that a task reads, about.
@@ -93,7 +93,7 @@ def members(spark: SparkSession, folder: str, pattern: str = _PATTERN, nested: b
                 if rows:
                     yield pd.DataFrame(rows, columns=names).astype({c: "Int64" for c in ("no", "start", "packed", "size")})
 
-    found = files.scan(spark, folder, pattern).select("path")
+    found = scan(spark, folder, pattern).select("path")
     rows = written(found.repartition(max(1, min(found.count(), 4096))).mapInPandas(run, _MEMBER), "members")
     out = F.col("member").startswith("/") | F.exists(F.split("member", "/"), lambda p: p == "..")
     rows = rows.withColumn("error", F.coalesce("error", F.when(out, "leads out of the folder")))

@@ -13,36 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from annospark.operators import evaluate as ev
 from annospark.operators import validate as v
 from annospark.operators.names import free_names
-from annospark.operators.split import numbered
+from annospark.operators.records import strip_answers
+from annospark.operators.runs import unpivot_gpus
+from annospark.operators.split import class_matrix, numbered, split_stats
+from annospark.sources.json_ranges import ANY, EACH, json_values
 from annospark.sources.keyed_files import KeyedFiles, read_report
+from annospark.sources.listing import scan
 from annospark.sources.shared import shared_folder
 
-STATISTICS = "struct<source_dir:string,statistics_info:struct<source_dir:string>,label_counts:map<string,map<string,array<string>>>>"
 MESSAGES = "array<struct<role:string,content:array<struct<type:string,text:string>>>>"
 RESULT = "struct<gpu_id:int,model_type:string,index:bigint,image_path:string,image_width:int,image_height:int,query:string,detections:array<struct<bbox:array<int>,label:string,confidence:double>>,raw_response:string,inference_success:boolean,inference_error:string,sample_wall_time_seconds:double>"
 
 
-def _empty(spark: SparkSession, schema: str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
-def scan(spark: SparkSession, folder: str, pattern: str = "*", recursive: bool = True, content: bool = False) -> DataFrame:
-    """A manifest of files: path, dir, name, stem, ext, length (and content, which is only read if asked for). A missing
-    folder has none."""
-    schema = "path string, dir string, name string, stem string, ext string, length long" + (", content binary" if content else "")
-    try:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", str(recursive).lower()).load(folder)
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return _empty(spark, schema)
-        raise
-    path = F.regexp_replace("path", "^file:/+", "/")
-    parts = [F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("dir"), F.regexp_extract(path, r"([^/]*)$", 1).alias("name"), v.stem(path).alias("stem"), F.lower(F.regexp_extract(path, r"(\.[^./]*)$", 1)).alias("ext")]
-    return files.select(path.alias("path"), *parts, "length", *(["content"] if content else []))
-
-
 @F.pandas_udf(T.StringType())
 def _gbk(content: pd.Series) -> pd.Series:
     return content.map(lambda b: None if b is None else bytes(b).decode("gbk", "replace"))
@@ -87,23 +72,20 @@ def jsonl_preflight(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
 
 
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
-    """(source_dir, label, cnt, file) of a label statistics file; a missing or broken file has no rows. The source folder falls
-    back to that of ``statistics_info``."""
-    schema = "source_dir string, label string, cnt int, file string"
-    try:
-        text = spark.read.option("wholetext", True).text(path)
-    except AnalysisException:
-        return _empty(spark, schema)
-    rows = text.select(F.from_json("value", STATISTICS).alias("s"))
-    source = F.coalesce(F.nullif(F.col("s.source_dir"), F.lit("")), F.nullif(F.col("s.statistics_info.source_dir"), F.lit("")))
-    rows = rows.select(source.alias("source_dir"), F.explode("s.label_counts").alias("label", "m")).select("source_dir", "label", F.explode("m").alias("cnt", "files"))
-    return rows.select("source_dir", "label", F.col("cnt").cast("int").alias("cnt"), F.explode("files").alias("file"))
+    """(source_dir, label, cnt, file) of label statistics files; a missing or broken file has no rows. The source folder falls
+    back to that of ``statistics_info``. A file is read by ranges, however large it is."""
+    found = json_values(spark, path, ["source_dir"], ["statistics_info", "source_dir"], ["label_counts", ANY, ANY, EACH])
+    text = F.get(F.from_json(F.concat(F.lit("["), "value", F.lit("]")), "array<string>"), 0)
+    sources = found.filter("place < 2").withColumn("_s", F.nullif(text, F.lit(""))).filter("_s is not null")
+    sources = sources.groupBy("path").agg(F.min_by("_s", F.struct("place", -F.col("start"))).alias("source_dir"))  # a row per file
+    rows = found.filter("place = 2").join(sources, "path", "left")
+    return rows.select("source_dir", F.get("keys", 0).alias("label"), F.get("keys", 1).cast("int").alias("cnt"), text.alias("file"))
 
 
 def read_partial_results(spark: SparkSession, pattern: str) -> DataFrame:
-    """Results of all workers' files ({"results": [...]}); ``by_index`` orders them where that is wanted."""
-    rows = spark.read.option("wholetext", True).text(pattern).select(F.explode(F.from_json("value", f"struct<results:array<{RESULT}>>")["results"]).alias("r"))
-    return rows.select("r.*")
+    """Results of all workers' files ({"results": [...]}), which are read by ranges; ``by_index`` orders them where that is wanted."""
+    rows = json_values(spark, pattern, ["results", EACH])
+    return rows.select(F.from_json("value", RESULT).alias("r")).select("r.*")
 
 
 def by_index(results: DataFrame) -> DataFrame:
@@ -112,8 +94,6 @@ def by_index(results: DataFrame) -> DataFrame:
 
 
 def read_gpu_log(spark: SparkSession, path: str) -> DataFrame:
-    from annospark.operators.runs import unpivot_gpus
-
     wide = spark.read.option("header", True).csv(path)
     return unpivot_gpus(wide.withColumns({"timestamp": F.col("timestamp").cast("timestamp"), "step": F.col("step").cast("int")}))
 
@@ -128,8 +108,6 @@ def write_splits(records: DataFrame, path: str, schema: str = "openai") -> None:
     """JSON lines in a folder per split; ``val`` is written as ``valid``. Records with messages lose their answers in splits for
     testing (``records.strip_answers``)."""
     if "messages" in records.columns:
-        from annospark.operators.records import strip_answers
-
         records = strip_answers(records, schema)
     name = F.when(F.col("split") == "val", "valid").otherwise(F.col("split"))
     body = F.to_json(F.struct(*[c for c in records.columns if c != "split"]))
@@ -138,8 +116,6 @@ def write_splits(records: DataFrame, path: str, schema: str = "openai") -> None:
 
 def write_dataset_info(records: DataFrame, labels: DataFrame, path: str) -> None:
     """A one-row JSON of split statistics and the class matrix."""
-    from annospark.operators.split import class_matrix, split_stats
-
     splits = split_stats(records).agg(F.collect_list(F.struct("*")).alias("splits"))
     classes = class_matrix(labels).agg(F.sort_array(F.collect_list(F.struct("*"))).alias("classes"))
     both = splits.withColumn("_k", F.lit(0)).join(classes.withColumn("_k", F.lit(0)), "_k").drop("_k")  # one row each
@@ -274,8 +250,6 @@ def load_or_compute(spark: SparkSession, path: str, model: str, split: str, comp
 def comparison_outputs(spark: SparkSession, path: str, base: str, tuned: str, summary: DataFrame | None = None) -> dict[str, DataFrame]:
     """Stored metrics of two models: ``base``, ``tuned`` and their aggregate ``table``, whose values are the summary's where it has
     them. A model without stored results raises FileNotFoundError."""
-    from annospark.operators import evaluate as ev
-
     found = {side: read_results(spark, path, model) for side, model in (("base", base), ("tuned", tuned))}
     missing = [m for (side, rows), m in zip(found.items(), (base, tuned)) if rows is None or not rows.limit(1).count()]
     if missing:
