@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.functions import overlaps
+from annospark.operators.quantiles import quantiles
 from annospark.operators.validate import normalized_label
 
 METRICS = ("precision", "recall", "f1", "num_det", "num_gt", "num_match", "mean_match_iou")
@@ -68,9 +69,9 @@ def cross_iou_summary(overlaps: DataFrame, *keys: str) -> DataFrame:
 
 def iou_distribution(metrics: DataFrame, *keys: str) -> DataFrame:
     """Least, quartiles and largest mean matched IoU per group, of samples that have a match."""
-    q = F.percentile("mean_match_iou", F.array(*[F.lit(x) for x in (0.0, 0.25, 0.5, 0.75, 1.0)]))
-    found = metrics.filter("mean_match_iou > 0").groupBy(*keys).agg(q.alias("q"), F.count("*").alias("n"))
-    return found.select(*keys, "n", *[F.round(F.get("q", i), 6).alias(k) for i, k in enumerate(("low", "q1", "median", "q3", "high"))])
+    shares = {"low": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "high": 1.0}
+    found = quantiles(metrics.filter("mean_match_iou > 0"), list(keys), "mean_match_iou", shares)
+    return found.select(*keys, "n", *[F.round(k, 6).alias(k) for k in shares])
 
 
 def join_occurrences(records: DataFrame, first: DataFrame, second: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.operators.quantiles import elements
+
 
 def unpivot_gpus(wide: DataFrame) -> DataFrame:
     """(timestamp, step, gpu, metric columns) of a log with columns gpu{i}_{metric}; each GPU's metrics side by side."""
@@ -27,17 +29,16 @@ def utilisation(summary: DataFrame) -> DataFrame:
 
 def step_times(steps: DataFrame) -> DataFrame:
     """Per run (run, step, seconds): first, mean, median, p95 (the element at min(n - 1, floor(0.95 n)) of the sorted list), and the
-    mean of the last five steps. Windows hold one run's steps."""
-    by_time = Window.partitionBy("run").orderBy("seconds", "step")
-    rows = steps.withColumns({"_r": F.row_number().over(by_time) - 1, "_back": F.row_number().over(Window.partitionBy("run").orderBy(F.desc("step"))), "_n": F.count("*").over(Window.partitionBy("run"))})
-    p95 = F.least(F.col("_n") - 1, F.floor(F.col("_n") * 0.95))
-    return rows.groupBy("run").agg(
-        F.min_by("seconds", "step").alias("first"),
-        F.round(F.avg("seconds"), 6).alias("mean"),
-        F.round(F.percentile("seconds", F.lit(0.5)), 6).alias("median"),
-        F.max(F.when(F.col("_r") == p95, F.col("seconds"))).alias("p95"),
-        F.round(F.avg(F.when(F.col("_back") <= 5, F.col("seconds"))), 6).alias("last_five"),
-    )
+    mean of the last five steps. A run of any length is spread over tasks: order statistics by ``quantiles``, and five rows per run and task
+    for the last steps."""
+    steps = steps.select("run", "step", "seconds")
+    n = F.col("n")
+    at = {"_low": F.floor((n - 1) / 2), "_high": F.ceil((n - 1) / 2), "p95": F.least(n - 1, F.floor(n * 0.95))}
+    order = elements(steps, ["run"], "seconds", at).select("run", F.round((F.col("_low") + F.col("_high")) / 2, 6).alias("median"), "p95")
+    back = steps.withColumn("_back", F.row_number().over(Window.partitionBy("run").orderBy(F.desc("step")))).filter("_back <= 5")
+    last = back.groupBy("run").agg(F.round(F.avg("seconds"), 6).alias("last_five"))
+    whole = steps.groupBy("run").agg(F.min_by("seconds", "step").alias("first"), F.round(F.avg("seconds"), 6).alias("mean"))
+    return whole.join(order, "run", "left").join(last, "run", "left").select("run", "first", "mean", "median", "p95", "last_five")
 
 
 def latest(artefacts: DataFrame, key: str, name: str, payload: str) -> DataFrame:

@@ -32,9 +32,10 @@ def structured_export(counts: DataFrame, file: str = "image_id", most: int = 100
     return found.orderBy("_l", "label", "cnt", "chunk").drop("_l")
 
 
-def statistics_json(counts: DataFrame, source_dir: str, file: str = "image_id", chunks: int = 16) -> DataFrame:
-    """(value): label statistics as JSON texts, ``chunks`` of them per label, each with a share of its files by hash."""
-    per = counts.groupBy("label", "cnt", F.pmod(F.xxhash64(file), F.lit(chunks)).alias("c")).agg(F.sort_array(F.collect_list(F.col(file).cast("string"))).alias("f"))
+def statistics_json(counts: DataFrame, source_dir: str, file: str = "image_id", most: int = 100_000) -> DataFrame:
+    """(value): label statistics as JSON texts, each with ``most`` files of a label at most, so that no row grows with the data."""
+    ranked = group_rank(counts.select("label", "cnt", F.col(file).cast("string").alias("_f")), ["label"], "cnt", "_f")
+    per = ranked.groupBy("label", F.floor(F.col("rank") / most).alias("c"), "cnt").agg(F.sort_array(F.collect_list("_f")).alias("f"))
     one = per.groupBy("label", "c").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("cnt").cast("string").alias("k"), "f")))).alias("m"))
     return one.select(F.to_json(F.struct(F.lit("").alias("source_dir"), F.struct(F.lit(source_dir).alias("source_dir")).alias("statistics_info"), F.create_map("label", "m").alias("label_counts"))).alias("value"))
 
