@@ -153,6 +153,11 @@ def _prefix(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
 
+def _index_prefix(n: int, percent: int) -> int:
+    """How many of them a linked set of at least its size shares one of: equal sizes need the larger overlap."""
+    return n - int(needed(n, n, percent)) + 1
+
+
 def _partners(n: int, percent: int) -> range:
     return range(-(-percent * n // 100), n * 100 // percent + 1)
 
@@ -179,7 +184,10 @@ def signature(s: np.ndarray) -> bytes:
 
 
 def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PERCENT, skip: Broadcast | None = None) -> DataFrame:
-    """(key, doc_id, n, kind, rank, salt): the subsets of light sets (kind 1) and the listed shingles of heavy ones (kind 0).
+    """(key, doc_id, n, kind, rank, salt, index): the subsets of light sets (kind 1) and the listed shingles of heavy ones (kind 0).
+
+    ``index`` marks subsets and the rarest of the listed shingles, by which a set meets those of its size or larger: of two linked heavy
+    sets the smaller one lists a shingle with ``index`` that the larger one lists too. So two rows of a list without it are no candidates.
 
     ``rank`` is lower the more of a set's shingles are common: a text that others were copied from has a lower one than
     those copies, whatever its id. Keys that the sketch takes for very common are dealt out by ``salt`` (1 and up, else 0). Rows
@@ -205,7 +213,7 @@ def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PE
             for part in text_slices(batch):
                 sets = shingle_sets(byte_texts(part))
                 ids = part.column("doc_id").to_numpy()
-                keys, owner, kind, counts = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int64)]
+                keys, owner, kind, counts, index = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int8)], [np.empty(0, np.int64)], [np.empty(0, np.int8)]
                 rank = np.zeros(len(sets), np.int16)
                 for i, s in enumerate(sets):
                     n = len(s)
@@ -217,6 +225,7 @@ def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PE
                         keys.append(np.array([k for k, _ in found], np.uint64))
                         counts.append(np.array([c for _, c in found], np.int64))
                         kind.append(np.ones(len(found), np.int8))
+                        index.append(kind[-1])
                         owner.append(np.full(len(found), i))
                     if 100 * n >= percent * (light + 1):
                         k = _prefix(n, percent)
@@ -224,26 +233,27 @@ def list_rows(docs: DataFrame, sketch: np.ndarray, light: int, percent: int = PE
                         keys.append(s[order])
                         counts.append(common[order])
                         kind.append(np.zeros(len(order), np.int8))
+                        index.append((np.arange(len(order)) < _index_prefix(n, percent)).astype(np.int8))
                         owner.append(np.full(len(order), i))
                 owner = np.concatenate(owner)
                 size = np.array([len(s) for s in sets], np.int64)
                 salts = np.clip(np.ceil((np.concatenate(counts) - noise) / HOT), 1, _MAX_SALT).astype(np.int64)
                 salt = np.where(salts > 1, 1 + _mix(ids[owner].view(np.uint64)).astype(np.uint64) % salts.astype(np.uint64), 0).astype(np.int16)
-                columns = [np.concatenate(keys).view(np.int64), ids[owner], size[owner].astype(np.int32), np.concatenate(kind), rank[owner], salt]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "n", "kind", "rank", "salt"])
+                columns = [np.concatenate(keys).view(np.int64), ids[owner], size[owner].astype(np.int32), np.concatenate(kind), rank[owner], salt, np.concatenate(index)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "doc_id", "n", "kind", "rank", "salt", "index"])
 
     rows = docs.select("doc_id", "text", F.xxhash64("doc_id").alias("h"))
-    return rows.mapInArrow(run, "key long, doc_id long, n int, kind byte, rank short, salt short")
+    return rows.mapInArrow(run, "key long, doc_id long, n int, kind byte, rank short, salt short, index byte")
 
 
 def shared_lists(rows: DataFrame) -> DataFrame:
-    """(key, kind, doc_id, n, rank, head, head_n, many): the rows of each list but its head, the row of the lowest rank;
+    """(key, kind, doc_id, n, rank, index, head, head_n, many): the rows of each list but its head, the row of the lowest rank;
     ``many`` where a list has two such rows or more.
 
     Rows are dealt by key and salt and sorted in each partition; a task holds two rows of a list at a time, whatever its
     length. The parts of a salted list each have a head of their own; the best of these becomes the list's.
     """
-    names = ["key", "kind", "salt", "doc_id", "n", "rank"]
+    names = ["key", "kind", "salt", "doc_id", "n", "rank", "index"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # the head of the list at hand and the last row read, which may be the same; the row's place
@@ -251,7 +261,7 @@ def shared_lists(rows: DataFrame) -> DataFrame:
         def made(rows: list[np.ndarray], place_before: int, end: bool) -> tuple[pa.RecordBatch | None, tuple]:
             """The batch of all rows but the last (unless this is the end). With a place above 0, the first row is a head that
             was seen before, and the second one the row that was held back, at that place of its list."""
-            key, kind, salt, doc, n, rank = rows
+            key, kind, salt, doc, n, rank, index = rows
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (kind[1:] != kind[:-1]) | (salt[1:] != salt[:-1])
             head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
@@ -264,7 +274,7 @@ def shared_lists(rows: DataFrame) -> DataFrame:
             last = tuple((x[head[-1]], x[-1]) for x in rows), int(place[-1]) + (place_before - 1 if place_before and head[-1] == 0 else 0)
             if not end:
                 keep[-1] = False
-            columns = (key, kind, salt, doc, n, rank, doc[head], n[head], rank[head], many)
+            columns = (key, kind, salt, doc, n, rank, index, doc[head], n[head], rank[head], many)
             batch = pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], [*names, "head", "head_n", "head_rank", "many"]) if keep.any() else None
             return batch, last
 
@@ -285,9 +295,9 @@ def shared_lists(rows: DataFrame) -> DataFrame:
                 yield found
 
     dealt = rows.repartition("key", "salt").sortWithinPartitions("key", "kind", "salt", "rank", "doc_id")
-    schema = "key long, kind byte, salt short, doc_id long, n int, rank short, head long, head_n int, head_rank short, many boolean"
+    schema = "key long, kind byte, salt short, doc_id long, n int, rank short, index byte, head long, head_n int, head_rank short, many boolean"
     found = staged(dealt.mapInArrow(run, schema), "lists")
-    columns = ["key", "kind", "doc_id", "n", "rank", "head", "head_n", "many"]
+    columns = ["key", "kind", "doc_id", "n", "rank", "index", "head", "head_n", "many"]
     salted = found.filter("salt > 0")
     if not salted.limit(1).count():
         return found.select(columns)
@@ -399,31 +409,39 @@ def next_heads(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> Data
 def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of documents that share a list, lie in different components, and can still link by size and signature.
 
-    ``rows`` (key, kind, doc_id, n, comp) are the lists with members of several components. Lists longer than ``BLOCK`` are
-    dealt out as pairs of blocks.
+    ``rows`` (key, kind, doc_id, n, index, comp) are the lists with members of several components. Rows with ``index`` (sources) are compared
+    with all rows (targets) of their size or larger, and with no others; the lists' sources and targets are dealt out as pairs
+    of blocks. So a list of many members costs its sources times its length.
     """
-    sized = rows.groupBy("key", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(sized, ["key", "kind"]).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).join(sigs.hint("merge"), "doc_id")
-    rows = rows.select("key", "kind", "doc_id", "comp", "n", "sig", "own", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select("key", "kind", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "doc_id", "comp", "n", "sig")
+    sized = rows.groupBy("key", "kind").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.ceil(F.sum(F.col("index").cast("int")) / BLOCK).cast("int").alias("source_blocks"))
+    rows = rows.join(sized.filter("source_blocks > 0"), ["key", "kind"]).join(sigs.hint("merge"), "doc_id")
+    block = lambda count: F.pmod(F.xxhash64("doc_id"), F.col(count)).cast("int")
+    each = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    columns = ["key", "kind", "doc_id", "comp", "n", "index", "sig"]
+    sources = rows.filter("index = 1").select(*columns, F.lit(1).alias("source"), block("source_blocks").alias("i"), each("blocks").alias("j"))
+    targets = rows.select(*columns, F.lit(0).alias("source"), block("blocks").alias("j"), each("source_blocks").alias("i"))
+    rows = sources.unionByName(targets)
     groups = ["key", "kind", "i", "j"]
 
     def compare(table: pa.Table) -> pa.RecordBatch:
-        """The pairs of whole groups, each at most about 2 * ``BLOCK`` rows."""
+        """The pairs of whole groups, each at most about ``BLOCK`` sources and as many targets."""
         at = np.stack([table.column(c).to_numpy().astype(np.int64) for c in groups])
-        doc, comp, n, own = (table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "comp", "n", "own"))
+        doc, comp, n, index, source = (table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "comp", "n", "index", "source"))
         sig = table.column("sig").to_pylist()
         cuts = [0, *(np.flatnonzero((at[:, 1:] != at[:, :-1]).any(axis=0)) + 1).tolist(), len(doc)]
         found, left, right, waiting = [], [], [], 0
         for x, y in zip(cuts, cuts[1:]):
-            if at[2, x] == at[3, x]:
-                first, second = (x + k for k in np.triu_indices(y - x, 1))
-            else:
-                i, j = x + np.flatnonzero(own[x:y] == at[2, x]), x + np.flatnonzero(own[x:y] == at[3, x])
-                first, second = np.repeat(i, len(j)), np.tile(j, len(i))
+            i, j = x + np.flatnonzero(source[x:y] == 1), x + np.flatnonzero(source[x:y] == 0)
+            first, second = np.repeat(i, len(j)), np.tile(j, len(i))
             apart = comp[first] != comp[second]
-            left.append(first[apart])
-            right.append(second[apart])
+            if at[1, x] == 0:
+                larger = n[second] > n[first]
+                same = n[second] == n[first]
+            else:  # subsets tell nothing of sizes
+                larger, same = np.zeros(len(first), bool), np.ones(len(first), bool)
+            once = larger | (same & ((index[second] == 0) | (doc[first] < doc[second])))  # two sources of one size meet twice
+            left.append(first[apart & once])
+            right.append(second[apart & once])
             waiting += len(left[-1])
             if waiting > _PAIRS or y == len(doc):
                 first, second = np.concatenate(left), np.concatenate(right)
@@ -453,9 +471,10 @@ def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) ->
 
 
 def _open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Of the lists with members in several components (as ``labels`` has them): key, kind, doc_id, n, rank, comp."""
-    rows = rows.select("key", "kind", "doc_id", "n", "rank").join(labels.withColumnRenamed("v", "doc_id").hint("merge"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
-    several = rows.groupBy("key", "kind").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("key", "kind")
+    """Of the lists with members in several components (as ``labels`` has them), one of them with ``index``: key, kind, doc_id, n, rank, index,
+    comp. Lists of common shingles that no member has among its rarest go here, however many members they have."""
+    rows = rows.select("key", "kind", "doc_id", "n", "rank", "index").join(labels.withColumnRenamed("v", "doc_id").hint("merge"), "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    several = rows.groupBy("key", "kind").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.max("index").alias("i")).filter("x <> y and i = 1").select("key", "kind")
     return rows.join(several.hint("merge"), ["key", "kind"], "left_semi")
 
 
@@ -497,7 +516,7 @@ def _components(docs: DataFrame, percent: int) -> DataFrame:
     lists = shared_lists(list_rows(docs, sketch, light, percent, maybe).unionAll(list_rows(rest, sketch, light, percent)))
     fits = 100 * F.least("n", "head_n") >= percent * F.greatest("n", "head_n")
     done = staged(lists.filter(fits).select(F.col("head").alias("a"), F.col("doc_id").alias("b"), F.col("head_n").alias("n"), F.col("n").alias("m")).distinct(), "pairs")
-    rows = lists.filter("many").select("key", "kind", "doc_id", "n", "rank")
+    rows = lists.filter("many").select("key", "kind", "doc_id", "n", "rank", "index")
     listed = done.select(F.explode(F.array("a", "b")).alias("doc_id")).unionAll(rows.select("doc_id")).distinct()
     sigs = staged(sets.select("doc_id", "sig").join(listed.hint("merge"), "doc_id", "left_semi"), "signatures")
 

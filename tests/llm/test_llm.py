@@ -274,17 +274,17 @@ def test_lists_in_small_batches(spark):
     for key in range(60):
         salted = key % 10 == 0
         for doc in range(rng.choice([1, 1, 2, 2, 3, 9])):
-            rows.append((key, 1000 * key + doc, 10 + doc % 3, 0, rng.randint(-5, 0), rng.randint(1, 3) if salted else 0))
-    df = spark.createDataFrame(rows, "key long, doc_id long, n int, kind byte, rank short, salt short")
+            rows.append((key, 1000 * key + doc, 10 + doc % 3, 0, rng.randint(-5, 0), rng.randint(1, 3) if salted else 0, doc % 2))
+    df = spark.createDataFrame(rows, "key long, doc_id long, n int, kind byte, rank short, salt short, index byte")
     expected = Counter()
     for key in range(60):
         own = sorted((r for r in rows if r[0] == key), key=lambda r: (r[4], r[1]))
         for r in own[1:]:
-            expected[key, r[1], own[0][1], own[0][2], len(own) > 2 or r[5] > 0] += 1
+            expected[key, r[1], own[0][1], own[0][2], len(own) > 2 or r[5] > 0, r[6]] += 1
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     for size in (1, 2, 3, 7, 10_000):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-        found = Counter((r.key, r.doc_id, r.head, r.head_n, r.many) for r in jaccard_join.shared_lists(df).collect())
+        found = Counter((r.key, r.doc_id, r.head, r.head_n, r.many, r["index"]) for r in jaccard_join.shared_lists(df).collect())
         assert found == expected, size
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert jaccard_join.shared_lists(df.limit(0)).count() == 0
@@ -301,6 +301,60 @@ def test_near_duplicates_of_repeated_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == sorted([(5, a), (3, b + " more"), (-1, c), (7, ""), (7, "")])
 
 
+def template_pages(k, n_words, own, seed=11):
+    """Pages of a template, each with as many words of its own at the same places; of some of them another page has most."""
+    rng = random.Random(seed)
+    base, texts = [f"t{i}" for i in range(n_words)], []
+    for c in range(k):
+        words = list(base)
+        for w in range(own if isinstance(own, int) else rng.choice(own)):
+            words[5 + (n_words - 8) // 14 * w] = f"own{c // 3 if rng.random() < 0.3 else -c}x{w}"
+        texts.append(" ".join(words[: n_words - rng.choice([0, 0, 7, 20])] if not isinstance(own, int) else words))
+    return texts
+
+
+def test_pages_of_a_template_leave_no_pairs_to_compare(spark, monkeypatch):
+    """Every page shares 72 % with every other: its rarest shingles are its own, so no list of the template's is compared."""
+    seen = []
+    stragglers = jaccard_join.straggler_pairs
+    monkeypatch.setattr(jaccard_join, "straggler_pairs", lambda rows, *a: (seen.append(rows.count()), stragglers(rows, *a))[1])
+    for k in (60, 240):
+        texts = [" ".join(f"own{c}x{w}" if w % 33 == 10 and w < 300 else f"t{w}" for w in range(300)) for c in range(k)]
+        assert all(r.component_id == r.doc_id for r in jaccard_join.near_duplicates(docs(spark, texts)).collect())
+    assert seen == [0, 0]
+
+
+@pytest.mark.parametrize(("n_words", "own"), [(150, (2, 3, 4, 5)), (90, (1, 2, 3)), (300, (4, 5, 6, 7, 8))])
+def test_pages_of_a_template_around_the_bound(spark, monkeypatch, n_words, own):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 8)
+    monkeypatch.setattr(jaccard_join, "ROUNDS", 1)
+    texts = template_pages(90, n_words, own)
+    sets, comp = brute_components(texts)
+    assert 1 < len(set(comp)) < len(texts)
+    found = {r.doc_id: r.component_id for r in jaccard_join.near_duplicates(docs(spark, texts)).collect()}
+    assert found == dict(enumerate(comp))
+
+
+def test_a_linked_pair_shares_a_rarest_shingle_of_the_smaller_set():
+    """Whatever the order of shingles: the smaller set's index prefix meets what the larger one lists."""
+    rng = random.Random(12)
+    for _ in range(3000):
+        n = rng.randint(1, 60)
+        m = rng.randint(n, n * 100 // 80)
+        low = int(jaccard_join.needed(n, m))
+        if low > n:
+            continue
+        both = rng.randint(low, n)
+        order = list(range(n + m - both))
+        rng.shuffle(order)
+        small = sorted(rng.sample(order, n))
+        common = set(rng.sample(small, both))
+        rest = [x for x in order if x not in small][: m - both]
+        large = sorted(common | set(rest))
+        assert len(large) == m
+        assert set(small[: jaccard_join._index_prefix(n, 80)]) & set(large[: jaccard_join._prefix(m, 80)])
+
+
 def edited_copies(k, n_words, edits):
     """Copies of a text, each with words of its own at places of its own, and last the text itself."""
     rng = random.Random(k)
