@@ -282,10 +282,11 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, te
         rows: dict[str, int] = {}
         scores, evidence = np.empty((0, n_lang), np.float32), np.empty((0, n_lang + 1), np.float32)
         for batch in batches:
-            for part in text_slices(batch, text_col, _SLICE):
+            for part in text_slices(batch, text_col, _SLICE // 4):
                 words = [find_words(t or "") for t in part.column(text_col).to_pylist()]
                 flat = [w for ws in words for w in ws]
-                lengths = np.fromiter(map(len, words), np.int64, len(words))
+                lengths, n_texts = np.fromiter(map(len, words), np.int64, len(words)), len(words)
+                del words
                 if len(rows) > _MAX_WORDS:
                     rows, scores, evidence = {}, scores[:0], evidence[:0]
                 if new := [w for w in set(flat) if w not in rows]:
@@ -294,12 +295,13 @@ def keep_known(docs: DataFrame, model: LanguageModel, min_share: float = 0.5, te
                     scores = np.concatenate([scores, *(f[0] for f in found)])
                     evidence = np.concatenate([evidence, *(f[1] for f in found)])
                 at = np.fromiter(map(rows.__getitem__, flat), np.int64, len(flat))
-                labels = viterbi(scores[at], lengths, SWITCH_PENALTY)
                 letters = np.fromiter(map(len, flat), np.int64, len(flat))
-                key = np.repeat(np.arange(len(words)), lengths) * n_lang + labels
-                sums = lambda x: np.bincount(key, x, len(words) * n_lang).reshape(len(words), n_lang)  # noqa: B023, E731
+                del flat
+                labels = viterbi(scores[at], lengths, SWITCH_PENALTY)
+                key = np.repeat(np.arange(n_texts), lengths) * n_lang + labels
+                sums = lambda x: np.bincount(key, x, n_texts * n_lang).reshape(n_texts, n_lang)  # noqa: B023, E731
                 share, above = sums(letters * evidence[at, n_lang]), sums(evidence[at, labels])
-                own, best = np.arange(len(words)), share.argmax(axis=1)
+                own, best = np.arange(n_texts), share.argmax(axis=1)
                 total = sums(letters).sum(axis=1)
                 keep = (share[own, best] > 0) & (share[own, best] >= min_share * total) & (above[own, best] >= 0)
                 yield part.filter(pa.array(keep, pa.bool_()))
