@@ -432,16 +432,13 @@ def straggler_pairs(rows: DataFrame, sigs: DataFrame, percent: int = PERCENT) ->
         found, left, right, waiting = [], [], [], 0
         for x, y in zip(cuts, cuts[1:]):
             i, j = x + np.flatnonzero(source[x:y] == 1), x + np.flatnonzero(source[x:y] == 0)
-            first, second = np.repeat(i, len(j)), np.tile(j, len(i))
-            apart = comp[first] != comp[second]
-            if at[1, x] == 0:
-                larger = n[second] > n[first]
-                same = n[second] == n[first]
-            else:  # subsets tell nothing of sizes
-                larger, same = np.zeros(len(first), bool), np.ones(len(first), bool)
-            once = larger | (same & ((index[second] == 0) | (doc[first] < doc[second])))  # two sources of one size meet twice
-            left.append(first[apart & once])
-            right.append(second[apart & once])
+            p, q = n[i][:, None], n[j][None, :]
+            # two sources of one size meet twice; subsets (kind 1) tell nothing of sizes
+            once = (index[j] == 0)[None, :] | (doc[i][:, None] < doc[j][None, :])
+            wanted = (once if at[1, x] else (q > p) | ((q == p) & once)) & (comp[i][:, None] != comp[j][None, :])
+            first, second = np.nonzero(wanted)
+            left.append(i[first])
+            right.append(j[second])
             waiting += len(left[-1])
             if waiting > _PAIRS or y == len(doc):
                 first, second = np.concatenate(left), np.concatenate(right)
