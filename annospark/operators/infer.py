@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from annospark.functions import text as t
 from annospark.operators import evaluate as e
+from annospark.operators import predictors  # by module: a pool named in a task's function would be sent as a copy
 from annospark.sources import files
 from annospark.sources.shared import written
 
@@ -21,18 +22,16 @@ from annospark.sources.shared import written
 Predictor = Callable[[list[tuple[str, str]]], list[str]]
 
 
-#: Predictors of this Python worker, by the call of ``predict`` they belong to.
-_MODELS: dict[str, Predictor] = {}
-
-
-def predict(records: DataFrame, make: Callable[[], Predictor], batch: int = 8, partitions: int | None = None) -> DataFrame:
+def predict(records: DataFrame, make: Callable[[], Predictor], batch: int = 8, partitions: int | None = None, key: str | None = None, most: int = 1, gpus: float = 1.0) -> DataFrame:
     """``records`` (index, image_path, query, ...) with raw_response, success, error and seconds.
 
-    ``make`` builds the predictor once per Python worker, which keeps it from task to task. A batch that fails is tried row by row;
-    a row that fails is kept with its error. Rows are dealt over ``partitions`` by index; Spark's task retry stands for a worker's
-    restart. All other columns go along.
+    ``make`` builds the predictor once per Python worker, which keeps it from task to task, and for all calls with the same ``key``.
+    A worker holds ``most`` predictors; one that another needs the place of is let go, after its ``close()`` if it has one. Where executors
+    have GPUs, each task holds ``gpus`` of them. A batch that fails is tried row by row; a row that fails is kept with its error,
+    as is one without image or query, which no predictor sees. Rows are dealt over ``partitions`` by index; Spark's task retry stands for
+    a worker's restart. All other columns go along.
     """
-    call = uuid.uuid4().hex
+    call = key or uuid.uuid4().hex
 
     def answers(model: Predictor, part: list[tuple[str, str]]) -> list[tuple[str | None, bool, str | None]]:
         try:
@@ -50,22 +49,24 @@ def predict(records: DataFrame, make: Callable[[], Predictor], batch: int = 8, p
             return single
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if call not in _MODELS:
-            _MODELS[call] = make()
+        model = predictors.POOL.get(call, make, most)
         for rows in batches:
             pairs = list(zip(rows.column("image_path").to_pylist(), rows.column("query").to_pylist()))
-            found, seconds = [], []
-            for k in range(0, len(pairs), batch):
-                part, began = pairs[k : k + batch], time.perf_counter()
-                found += answers(_MODELS[call], part)
-                seconds += [(time.perf_counter() - began) / len(part)] * len(part)
+            fit = [k for k, (image, query) in enumerate(pairs) if image is not None and query]
+            found, seconds = [(None, False, "no image or no query")] * len(pairs), [0.0] * len(pairs)
+            for at in range(0, len(fit), batch):
+                part, began = fit[at : at + batch], time.perf_counter()
+                given = answers(model, [pairs[k] for k in part])
+                each = (time.perf_counter() - began) / len(part)
+                for k, answer in zip(part, given):
+                    found[k], seconds[k] = answer, each
             columns = [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.string(), pa.bool_(), pa.string()))]
             yield pa.RecordBatch.from_arrays([*rows.columns, *columns, pa.array(seconds, pa.float64())], [*rows.schema.names, "raw_response", "success", "error", "seconds"])
 
     records = records.drop("raw_response", "success", "error", "seconds")
     more = T.StructType().add("raw_response", "string").add("success", "boolean").add("error", "string").add("seconds", "double")
     dealt = records.repartition(partitions, "index") if partitions else records
-    return dealt.mapInArrow(run, T.StructType([*records.schema.fields, *more.fields]))
+    return dealt.mapInArrow(run, T.StructType([*records.schema.fields, *more.fields]), profile=predictors.session_profile(records.sparkSession, gpus))
 
 
 def with_detections(results: DataFrame, width: Column, height: Column, **options) -> DataFrame:
@@ -78,11 +79,13 @@ def evaluate_models(records: DataFrame, models: dict[str, Callable[[], Predictor
     """Several models over the same records (index, split, image_path, query, gts): ``samples`` (their detections), ``metrics``,
     ``aggregates``, and with two models ``cross_iou`` (per split, of the first one's detections with the second one's).
 
-    With ``store``, a folder of results by model and split, a model's split that is there is not inferred again.
+    With ``store``, a folder of results by model and split, a model's split that is there is not inferred again. Models run one after the
+    other, and a Python worker makes one once for all its splits and closes it before the next.
     """
     spark, rows = records.sparkSession, []
     for name, make in models.items():
-        infer = lambda part, make=make: with_detections(predict(part, make), width, height).select("index", "split", "dets", "gts")
+        key = f"{name}-{uuid.uuid4().hex}"
+        infer = lambda part, make=make, key=key: with_detections(predict(part, make, key=key), width, height).select("index", "split", "dets", "gts")
         if store is None:
             rows.append(written(infer(records), "samples").withColumn("model", F.lit(name)))
             continue

@@ -133,11 +133,9 @@ def sharded_inference(rows: DataFrame, models: dict[str, Callable[[], infer.Pred
 
     ``rows``: index, split, image_path, query, gts. Stored results are read back, so that scores don't run the models again.
     """
-    found = None
-    for name, make in models.items():
-        one = infer.with_detections(infer.predict(rows, make, partitions=workers), width, height).withColumn("model", F.lit(name))
-        found = one if found is None else found.unionByName(one)
-    files.write_results(found.withColumn("worker", work.round_robin(F.col("index"), workers)), target)
+    for name, make in models.items():  # a round each, so that a worker holds one model at a time
+        found = infer.with_detections(infer.predict(rows, make, partitions=workers), width, height).withColumn("model", F.lit(name))
+        files.write_results(found.withColumn("worker", work.round_robin(F.col("index"), workers)), target)
     stored = files.read_results(rows.sparkSession, target)
     scored = ev.sample_metrics(stored.select("model", "split", "index", "dets", "gts"))
     load = work.load_report(stored.select("worker", F.col("seconds").alias("cost")))

@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from annospark import fixtures as fx
 from annospark.functions import geometry as g
 from annospark.functions import text as t
-from annospark.operators import evaluate, infer, records, runs, stats, validate
+from annospark.operators import evaluate, infer, records, runs, stats, validate, work
 from annospark.operators.split import class_matrix
 from annospark.queries import validation as val
 from annospark.queries.evaluation import _arrays
 from annospark.queries.records import _USABLE
 from annospark.queries.work import _GPU
-from annospark.sources import archives, files
+from annospark.sources import archives, files, snapshots
 from annospark.sources.shared import shared_folder
 
 
@@ -127,6 +127,18 @@ def result_store(spark, sf):
     return files.read_results(spark, path).groupBy("model", "split").agg(F.count("*").alias("n"), F.countDistinct("image_id").alias("images"))
 
 
+def result_snapshots(spark, sf):
+    """Two snapshots of a store side by side: one split is written again and one is cleared after the first, which still reads as it was."""
+    path = shared_folder(spark, "store")
+    d = fx.detections(spark, sf).withColumn("split", F.when(F.col("image_id") % 10 < 6, "train").otherwise("test"))
+    files.write_results(d, path)
+    first = snapshots.read(spark, path)
+    files.write_results(d.filter("model = 'A' and split = 'test' and image_id % 2 = 0"), path)
+    snapshots.remove(spark, path, lambda values: values == {"model": "B", "split": "train"})
+    counts = [rows.groupBy("model", "split").agg(F.count("*").alias(name)) for name, rows in (("before", first), ("after", snapshots.read(spark, path)))]
+    return counts[0].join(counts[1], ["model", "split"], "full").na.fill(0)
+
+
 def partial_results(spark, sf):
     """Results in one file per worker, merged by index."""
     path = shared_folder(spark, "partial")
@@ -224,27 +236,40 @@ def split_files(spark, sf):
     return back.groupBy("split").agg(F.count("*").alias("records"), F.sum("r.num_objects").alias("objects"))
 
 
-def predicted(spark, sf):
-    """A predictor that answers from the query; some batches and rows fail, and failed rows are scored as empty."""
+def _answered(spark, sf):
+    """Answers of a predictor that gives its query back; images that end in 7 fail, alone or with their batch."""
     gt = _arrays(fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1"), "image_id", confidence=False)
     text = F.concat(F.lit("["), F.array_join(F.transform("boxes", lambda b: F.concat(F.lit('{"bbox": ['), F.array_join(b["bbox"].cast("array<string>"), ", "), F.lit('], "label": "'), b["label"], F.lit('"}'))), ", "), F.lit("]"))
     rows = gt.select(F.col("image_id").alias("index"), F.lit("all").alias("split"), F.concat(F.lit("i"), F.col("image_id").cast("string")).alias("image_path"), text.alias("query"), F.col("boxes").alias("gts"))
 
     def make():
         def model(pairs):
-            if any(p.endswith("7") for p, _ in pairs):
+            if any(p is not None and p.endswith("7") for p, _ in pairs):
                 raise RuntimeError("no image")
             return [q for _, q in pairs]
 
         return model
 
-    found = infer.predict(rows, make)
+    return rows, make
+
+
+def predicted(spark, sf):
+    """A predictor that answers from the query; some batches and rows fail, and failed rows are scored as empty."""
+    found = infer.predict(*_answered(spark, sf))
     dets = t.parse_detections(F.col("raw_response"), F.lit(100000), F.lit(100000), "raw")
     found = found.withColumn("dets", F.when(F.col("success"), dets).otherwise(F.array().cast(t.DETECTIONS)))
     m = evaluate.sample_metrics(found.select("index", "success", "dets", "gts"))
     return m.select("index", "success", "num_det", "num_match", F.round("f1", 6).alias("f1"))
 
 
+def inference_round(spark, sf):
+    """A round over eight workers, in which every eleventh record has no image and every thirteenth no query: counts per worker."""
+    rows, make = _answered(spark, sf)
+    odd = rows.withColumns({"image_path": F.when(F.col("index") % 11 != 0, F.col("image_path")), "query": F.when(F.col("index") % 13 != 0, F.col("query"))})
+    found = infer.predict(odd, make, partitions=8).withColumn("worker", work.round_robin(F.col("index"), 8))
+    return infer.shard_stats(found).select("worker", "samples", "unprepared", "failed", "processed")
+
+
 def size_lookup(spark, sf):
     """Sizes of a manifest override those of the annotation; 1024 where neither has one."""
     i = fx.images(spark, sf).select("image_id", F.when(F.col("image_id") % 3 == 0, F.col("width")).alias("stated"))
@@ -273,7 +298,7 @@ def selected_files(spark, sf):
     return class_matrix(rows)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, keyed_exports, archive_members, missing_files, gpu_log_csv, result_store, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, size_lookup, training_messages, record_stats, selected_files)}
+QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, keyed_exports, archive_members, missing_files, gpu_log_csv, result_store, result_snapshots, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, inference_round, size_lookup, training_messages, record_stats, selected_files)}
 
 _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOIN images i USING (image_id)), recs AS (SELECT image_id, image_key, count(*) AS k FROM uk GROUP BY ALL),
   lab AS (SELECT DISTINCT image_id, image_key, label FROM uk), tot AS (SELECT label, count(*) AS total FROM lab GROUP BY 1),
@@ -313,6 +338,10 @@ ORACLE_SQL = {
     "message_export": "SELECT role, count(*) AS turns, sum(length(coalesce(text, '')))::BIGINT AS characters FROM conversations GROUP BY role",
     "gpu_log_csv": f"{_GPU} SELECT * FROM s",
     "result_store": f"WITH {fx.DETECTIONS_SQL}, d AS (SELECT *, CASE WHEN image_id % 10 < 6 THEN 'train' ELSE 'test' END AS split FROM detections) SELECT model, split, count(*) AS n, count(DISTINCT image_id) AS images FROM d WHERE NOT (model = 'A' AND split = 'test' AND image_id % 2 <> 0) GROUP BY ALL",
+    "result_snapshots": f"""WITH {fx.DETECTIONS_SQL}, d AS (SELECT *, CASE WHEN image_id % 10 < 6 THEN 'train' ELSE 'test' END AS split FROM detections)
+      SELECT model, split, count(*) AS before, count(*) FILTER (NOT (model = 'A' AND split = 'test' AND image_id % 2 <> 0) AND NOT (model = 'B' AND split = 'train')) AS after FROM d GROUP BY ALL""",
+    "inference_round": f"""WITH {fx.SHAPES_SQL}, g AS (SELECT DISTINCT image_id FROM shapes WHERE x2 > x1 AND y2 > y1), p AS (SELECT image_id % 8 AS worker, image_id % 11 = 0 OR image_id % 13 = 0 AS odd, image_id % 10 = 7 AND image_id % 11 <> 0 AS bad FROM g)
+      SELECT worker::INT AS worker, count(*) AS samples, count(*) FILTER (odd) AS unprepared, count(*) FILTER (bad AND NOT odd) AS failed, count(*) FILTER (NOT bad AND NOT odd) AS processed FROM p GROUP BY 1""",
     "partial_results": f"WITH {fx.DETECTIONS_SQL} SELECT image_id AS index, '/i/' || image_id AS image_path, count(*)::INT AS n, arg_min(label, (x1, y1, x2, y2, label)) AS label FROM detections WHERE model = 'A' GROUP BY image_id",
     "export_files": f"""WITH {fx.DETECTIONS_SQL}, d AS (SELECT image_id, count(*) AS n FROM detections WHERE model = 'B' GROUP BY 1)
       SELECT image_id AS index, CASE WHEN image_id % 9 <> 0 THEN lpad(image_id::VARCHAR, greatest(6, length(image_id::VARCHAR))::INT, '0') || '_' || stem || '.json' END AS file, image_id % 9 <> 0 AS written,

@@ -11,7 +11,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.utils import AnalysisException
 
 from annospark.operators import evaluate as ev
 from annospark.operators import validate as v
@@ -19,6 +18,7 @@ from annospark.operators.names import free_names
 from annospark.operators.records import strip_answers
 from annospark.operators.runs import unpivot_gpus
 from annospark.operators.split import class_matrix, numbered, split_stats
+from annospark.sources import snapshots
 from annospark.sources.json_ranges import ANY, EACH, json_values
 from annospark.sources.keyed_files import KeyedFiles, read_report
 from annospark.sources.listing import scan
@@ -206,52 +206,50 @@ def prefer_split(files: DataFrame, order=("test", "valid", "val"), by: str | Non
 
 
 def write_results(samples: DataFrame, path: str) -> None:
-    """Per-sample results by model and split; a model's split that is written again replaces its old rows only."""
-    samples.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").partitionBy("model", "split").parquet(path)
+    """Per-sample results by model and split; a model's split that is written again replaces its old rows only. Readers see all of it or
+    nothing: a failed write leaves the old rows."""
+    snapshots.write(samples, path, "model", "split")
 
 
 def read_results(spark: SparkSession, path: str, model: str | None = None, split: str | None = None) -> DataFrame | None:
     """Stored results, or None where there are none yet; filters reach the partition folders."""
-    try:
-        rows = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    rows = snapshots.read(spark, path)
     for column, value in (("model", model), ("split", split)):
-        rows = rows.filter(F.col(column) == value) if value else rows
+        rows = rows.filter(F.col(column) == value) if rows is not None and value else rows
     return rows
 
 
-def _delete(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+def _wanted(model: str | None, split: str | None) -> Callable[[dict[str, str]], bool]:
+    return lambda values: (not model or values["model"] == model) and (not split or values["split"] == split)
+
+
+def has_results(spark: SparkSession, path: str, model: str | None = None, split: str | None = None) -> bool:
+    """Whether rows are stored: any, a model's, a split's, or a model's split. Only the manifest is read."""
+    return any(_wanted(model, split)(snapshots.values(f)) for f in snapshots.current(spark, path).folders)
 
 
 def clear_results(spark: SparkSession, path: str, model: str | None = None, split: str | None = None) -> None:
-    """Delete stored results: all of them, a model's, a split's of all models, or a model's split."""
-    stored = read_results(spark, path, model, split)
-    if stored is None:
-        return
-    if not model and not split:
-        _delete(spark, path)
-        return
-    for row in stored.select("model", "split").distinct().collect():  # a row per stored model and split
-        _delete(spark, f"{path.rstrip('/')}/model={row['model']}/split={row['split']}")
-    spark.catalog.refreshByPath(path)
+    """Delete stored results: all of them, a model's, a split's of all models, or a model's split. Readers that have begun may fail."""
+    if has_results(spark, path, model, split):
+        snapshots.remove(spark, path, _wanted(model, split))
+        snapshots.vacuum(spark, path, keep=1)
 
 
 def load_or_compute(spark: SparkSession, path: str, model: str, split: str, compute: Callable[[], DataFrame]) -> DataFrame:
     """A model's results of a split: the stored ones where there are any, else those of ``compute``, which are stored."""
-    stored = read_results(spark, path, model, split)
-    if stored is None or not stored.limit(1).count():
-        write_results(compute().withColumns({"model": F.lit(model), "split": F.lit(split)}), path)
-    return read_results(spark, path, model, split)
+    if has_results(spark, path, model, split):
+        return read_results(spark, path, model, split)
+    computed = compute().withColumns({"model": F.lit(model), "split": F.lit(split)})
+    write_results(computed, path)
+    found = read_results(spark, path, model, split)
+    return computed.limit(0) if found is None else found
 
 
 def comparison_outputs(spark: SparkSession, path: str, base: str, tuned: str, summary: DataFrame | None = None) -> dict[str, DataFrame]:
     """Stored metrics of two models: ``base``, ``tuned`` and their aggregate ``table``, whose values are the summary's where it has
     them. A model without stored results raises FileNotFoundError."""
     found = {side: read_results(spark, path, model) for side, model in (("base", base), ("tuned", tuned))}
-    missing = [m for (side, rows), m in zip(found.items(), (base, tuned)) if rows is None or not rows.limit(1).count()]
+    missing = [m for m in (base, tuned) if not has_results(spark, path, m)]
     if missing:
         raise FileNotFoundError(f"no stored results of {missing} in {path}")
     table = ev.aggregate_metrics(read_results(spark, path).filter(F.col("model").isin(base, tuned)), "model", "split")
