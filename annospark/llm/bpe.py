@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,7 +106,8 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
     places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts binary, buckets binary, places binary")
     words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
     encoded = words.mapInArrow(table, "block binary, bucket int, ids binary, lengths binary")
-    return places.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
+    blocks, encoded = (side.repartition(buckets, "block") for side in (places, encoded))
+    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
@@ -123,21 +125,24 @@ def _id_slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarr
     part = np.cumsum(counts) // DECODE_IDS
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else []
     for a, b in zip(cuts, cuts[1:]):
-        yield batch.slice(a, b - a), ids.slice(a, b - a).flatten().to_numpy(zero_copy_only=False), counts[a:b]
+        yield batch.slice(a, b - a), ids.slice(a, b - a).flatten().fill_null(-1).to_numpy(zero_copy_only=False), counts[a:b]
 
 
 def _with_pieces(encoded_docs: DataFrame, path: str, schema: str, made: Callable[[pa.Array, np.ndarray, np.ndarray, list[str]], list[pa.Array]]) -> DataFrame:
     """Rows that ``made`` builds of doc ids, flat ids, counts and texts, by a join of ids with the vocabulary's pieces.
 
     Each slice of rows sends one row per distinct id through a broadcast join with the pieces (a vocabulary: tens of thousands of
-    rows, whatever the input), and one row, without id, with the slice itself behind them. The join streams, so each slice's rows
-    arrive together and in order: what the join found is put in place by position.
+    rows, whatever the input), and one row, without id, with the slice itself behind them. A broadcast join streams, so a slice's rows
+    arrive together and in order, and what the join found is put in place by position. Each row says its slice and its place there: were
+    the join to run in another way, which mixes rows, this fails.
     """
     spark = encoded_docs.sparkSession
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId() << 32
         for batch in batches:
             for rows, ids, counts in _id_slices(batch):
+                part += 1
                 found, at = np.unique(ids, return_inverse=True)
                 k = len(found)
                 doc_ids = rows.column("doc_id")
@@ -145,18 +150,29 @@ def _with_pieces(encoded_docs: DataFrame, path: str, schema: str, made: Callable
                     [list_array(doc_ids, np.array([len(doc_ids)]), pa.int64()), pa.array([packed(counts)], pa.binary()), pa.array([packed(at.ravel())], pa.binary())],
                     ["doc_ids", "counts", "places"],
                 )
-                yield pa.RecordBatch.from_arrays(
-                    [pa.concat_arrays([pa.array(found.astype(np.int32)), pa.nulls(1, pa.int32())]), pa.concat_arrays([pa.nulls(k, body.type), body])], ["id", "body"]
-                )
+                columns = [
+                    pa.array(np.full(k + 1, part, np.int64)),
+                    pa.array(np.arange(k + 1, dtype=np.int32)),
+                    pa.concat_arrays([pa.array(found.astype(np.int32)), pa.nulls(1, pa.int32())]),
+                    pa.concat_arrays([pa.nulls(k, body.type), body]),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["slice", "place", "id", "body"])
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, pieces = [np.empty(0, np.int64)], []
+        ids, pieces, part, place = [np.empty(0, np.int64)], [], None, 0
         for batch in batches:
+            slices, places = (batch.column(c).to_numpy() for c in ("slice", "place"))
             bodies = np.flatnonzero(batch.column("body").is_valid().to_numpy(zero_copy_only=False)).tolist()
             last = 0
             for k in [*bodies, batch.num_rows]:
                 ids.append(batch.column("id").slice(last, k - last).to_numpy(zero_copy_only=False).astype(np.int64))
                 pieces += batch.column("piece").slice(last, k - last).to_pylist()
+                run = slice(last, k + 1)  # the last run of a batch has no body yet
+                if len(slices[run]):
+                    part = slices[last] if part is None else part
+                    if (slices[run] != part).any() or not np.array_equal(places[run], np.arange(place, place + len(places[run]))):
+                        raise ValueError("the rows of a slice came apart")
+                    place += len(places[run])
                 if k == batch.num_rows:
                     break
                 body = batch.column("body")[k]
@@ -168,18 +184,18 @@ def _with_pieces(encoded_docs: DataFrame, path: str, schema: str, made: Callable
                 edge = bounds(counts).tolist()
                 texts = [b"".join(raw[a:b]).decode("utf-8", "replace") for a, b in zip(edge, edge[1:])]
                 yield pa.RecordBatch.from_arrays(made(body["doc_ids"].values, ids[at], counts, texts), columns)
-                ids, pieces, last = [np.empty(0, np.int64)], [], k + 1
+                ids, pieces, part, place, last = [np.empty(0, np.int64)], [], None, 0, k + 1
 
     columns = [field.split()[0] for field in schema.split(", ")]
-    kind = "id int, body struct<doc_ids:array<bigint>,counts:binary,places:binary>"
+    kind = "slice long, place int, id int, body struct<doc_ids:array<bigint>,counts:binary,places:binary>"
     rows = encoded_docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(distinct, kind)
     joined = rows.join(F.broadcast(piece_table(spark, path)), "id", "left")
-    return joined.select("id", "piece", "body").mapInArrow(put, schema)
+    return joined.select("slice", "place", "id", "piece", "body").mapInArrow(put, schema)
 
 
 def decode(encoded_docs: DataFrame, path: str = BYTE_BPE) -> DataFrame:
     """(doc_id, ids, text): the text of each row's ids, special tokens included. Null or empty ids give an empty text, and no
-    ids; bytes that are no UTF-8 become U+FFFD. An id outside the vocabulary fails."""
+    ids; bytes that are no UTF-8 become U+FFFD. An id outside the vocabulary fails, as a null inside an array does."""
 
     def made(doc_ids: pa.Array, ids: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[pa.Array]:
         return [doc_ids, list_array(ids.astype(np.int32), counts, pa.int32()), pa.array(texts, pa.string())]
