@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounds, crc_bucket, list_array, text_slices
+from annospark.llm.common import bounds, crc_bucket, gather, list_array, text_slices
 
 WORD = re.compile(r"[^\W\d_]+")
 #: A word's feature is its hash modulo this.
@@ -92,11 +92,12 @@ def _nonnegative_pu(flat: np.ndarray, edge: np.ndarray, positive: np.ndarray, pr
     return w, b
 
 
-def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> Toxicity:
+def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_used: int = MAX_USED) -> Toxicity:
     """Fit on training rows: confirmed toxic texts (label 1) against unlabelled text (all training rows, labels hidden).
 
     The class prior is the share of label 1 among the labelled training rows. Rows beyond ``max_positive`` and
-    ``max_unlabelled`` are sampled by a hash of the id; the driver gets the hashed words of those rows only. With no
+    ``max_unlabelled`` are sampled by a hash of id and text; the driver gets the hashed words of at most
+    ``max_positive + max_unlabelled`` rows, however often ids and texts repeat, and the ``max_used`` words that tell most are used. With no
     confirmed or no unlabelled row every score is the prior (0 without labels). Null labels count as none; of an id's labels the
     largest counts. Rows that repeat an id are rows of their own under its label; rows with a null id have no label.
     """
@@ -108,17 +109,23 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str =
     n_rows = rows.select("doc_id").count()
     if not n_pos or n_pos == n or not n_rows:
         return nothing
-    mille = lambda most, of: min(1_000_000, int(1_000_000 * most / of) + 1)
-    lot = lambda seed: F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1_000_000))
-    positives = known.filter((F.col("y") == 1) & (lot("p") < mille(max_positive, n_pos))).select("doc_id", F.lit(True).alias("p"))
+    below = lambda most, of: -(1 << 63) + min((1 << 64) - 1, (most << 64) // of)
+    lot = lambda seed, *columns: F.xxhash64(F.lit(seed), *columns)
+    positives = known.filter((F.col("y") == 1) & (lot("p", "doc_id") <= below(max_positive, n_pos))).select("doc_id", F.lit(True).alias("p"))
     picked = rows.join(F.broadcast(positives), "doc_id", "left").withColumn("p", F.coalesce("p", F.lit(False)))  # about max_positive ids
-    picked = picked.withColumn("u", lot("u") < mille(max_unlabelled, n_rows)).filter("p or u")
-    flags = F.shiftleft(F.col("p").cast("int"), 1) + F.col("u").cast("int")  # in a column of the id's kind, for ``features``
-    table = features(picked.withColumn("flags", flags), "flags").withColumnRenamed("doc_id", "flags").orderBy("flags", "features").toArrow()
+    picked = picked.withColumn("u", lot("u", "doc_id", "text") <= below(max_unlabelled, n_rows)).filter("p or u")
+    flags = F.shiftleft(F.col("p").cast("int"), 1) + F.col("u").cast("int")
+    key = lot("order", "doc_id", "text").bitwiseAND(-4).bitwiseOR(flags.cast("long"))  # the order of the draw, with the flags in its last bits
+    drawn_rows = features(picked.withColumn("key", key), "key").orderBy("doc_id", "features").limit(max_positive + max_unlabelled)
+    table = drawn_rows.withColumnRenamed("doc_id", "key").toArrow()
     column = table.column("features").combine_chunks()
     flat, edge = column.flatten().to_numpy(), column.offsets.to_numpy().astype(np.int64)
     edge = edge - edge[0]
-    flags = table.column("flags").to_numpy()
+    flags = table.column("key").to_numpy() & 3
+    raw, ends = flat.astype(">i4").tobytes(), (4 * edge).tolist()
+    order = np.array(sorted(range(len(flags)), key=lambda k: (flags[k], raw[ends[k] : ends[k + 1]])), np.int64)  # whatever rows were drawn, and in which order
+    lengths = np.diff(edge)[order]
+    flags, flat, edge = flags[order], gather(flat, edge[order], lengths), bounds(lengths)
     positive, drawn = flags >= 2, flags % 2 == 1
     if not positive.any() or not drawn.any():
         return nothing
@@ -127,7 +134,7 @@ def train(docs: DataFrame, labels: DataFrame, is_train: Column, label_col: str =
     in_u = np.bincount(flat[drawn[owner]], minlength=FEATURES)
     lift = ((in_p + 0.5) / (positive.sum() + 1)) / ((in_u + 0.5) / (drawn.sum() + 1))
     good = np.flatnonzero((in_p >= MIN_POSITIVE_ROWS) & (lift >= MIN_LIFT))
-    good = np.sort(good[np.argsort(-(np.log(lift[good]) * np.sqrt(in_p[good])), kind="stable")][:MAX_USED])
+    good = np.sort(good[np.argsort(-(np.log(lift[good]) * np.sqrt(in_p[good])), kind="stable")][:max_used])
     place = np.full(FEATURES, -1)
     place[good] = np.arange(len(good))
     used = place[flat] >= 0
