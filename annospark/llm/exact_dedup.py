@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import ROW, byte_texts, row_keyed, shuffle_partitions, staged
+from annospark.llm.common import ROW, byte_texts, partitions_for, row_keyed, shuffle_partitions, staged
 
 #: Bits of the digest that one merge round resolves at most: 2^4 partitions exchange runs in a round.
 ROUND_BITS = 4
@@ -100,7 +100,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     An empty input gives no rows. Other columns of ``docs`` are never read.
     """
     rows = staged(digests(docs, id_col, text_col, prefer), "digests")
-    groups = merge_tree(rows).filter("n > 1").select("digest", "n_bytes", F.col("row_no").alias("keep_row"), F.col("rank").alias("keep_rank"), "n")
+    groups = merge_tree(rows, partitions_for(rows)).filter("n > 1").select("digest", "n_bytes", F.col("row_no").alias("keep_row"), F.col("rank").alias("keep_rank"), "n")
     keep = F.bitwise_not("keep_rank") if prefer == "largest" else F.col("keep_rank")
     lost = _NO_ID if prefer == "largest" else (1 << 63) - 1
     return rows.join(groups, ["digest", "n_bytes"], "left").select(

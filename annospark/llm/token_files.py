@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounds, shuffle_partitions, staged_path
+from annospark.llm.common import bounds, partitions_for, staged_path
 from annospark.llm.word_table import encoded, tokenizer
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -138,7 +138,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = WORD_BPE, en
             yield shard()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange(partitions or shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")
+    rows = rows.repartitionByRange(partitions or partitions_for(rows), "doc_id").sortWithinPartitions("doc_id")
     shards = rows.mapInArrow(run, _SHARD)
     shards.write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(f"{path}/shards")
     spark = docs.sparkSession

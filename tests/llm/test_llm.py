@@ -102,6 +102,24 @@ def test_decoding_of_odd_ids(spark):
     assert found == sorted(((i, ids, library.decode(ids, skip_special_tokens=False)) for i, ids in [(1, [50256, 0, 1]), (0, [220]), (2, []), (3, []), (1, [162])]), key=str)
     with pytest.raises(Exception, match="outside the vocabulary"):
         bpe.decode(rows.select("doc_id", F.array(F.lit(60_000)).alias("ids"))).collect()
+    with pytest.raises(Exception, match="outside the vocabulary"):
+        bpe.decode(rows.select("doc_id", F.array(F.lit(1), F.lit(None).cast("int")).alias("ids"))).collect()
+
+
+def test_decoding_by_slices_of_a_task(spark):
+    library = Tokenizer.from_file(bpe.BYTE_BPE)
+    arrays = [np.random.default_rng(k).integers(0, 50257, n).tolist() for k, n in enumerate((1, 0, 300_000, 5, 270_000, 140_000, 140_000, 2))]
+    rows = spark.createDataFrame(list(enumerate(arrays)), "doc_id long, ids array<int>").coalesce(1)
+    for found in bpe.decode(rows).collect():
+        assert list(found.ids) == arrays[found.doc_id] and found.text == library.decode(arrays[found.doc_id], skip_special_tokens=False)
+    spark.conf.set("spark.sql.optimizer.disableHints", "true")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # a join that mixes rows doesn't go by unseen
+        with pytest.raises(Exception, match="came apart|outside the vocabulary"):
+            bpe.decode(rows.repartition(3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.disableHints")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_token_files(spark, tmp_path):
@@ -677,6 +695,19 @@ def test_risk_of_positive_and_unlabelled_rows_by_plain_loops():
             assert g[i] == pytest.approx(sum(change) if second >= 0 else -change[1], abs=1e-6)
 
 
+def test_toxicity_draw_is_bounded_where_ids_repeat(spark, monkeypatch):
+    rows = [(1, "foul words here"), *[(2, f"clean text {k % 7}") for k in range(500)], *[(1, "foul words here")] * 500, *[(k, f"plain page {k}") for k in range(3, 60)]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity._nonnegative_pu
+    monkeypatch.setattr(toxicity, "_nonnegative_pu", lambda flat, edge, positive, *rest: seen.append(len(positive)) or fit(flat, edge, positive, *rest))
+    for most in (3, 10):
+        model = toxicity.train(df, labels, F.lit(True), max_positive=most, max_unlabelled=20, max_used=5)
+        assert toxicity.score(df, model).count() == len(rows)
+    assert all(n <= 30 for n in seen)
+
+
 def test_toxicity_of_odd_rows(spark):
     texts = [f"w{k % 7} w{k % 11} " + ("nasty vile " if k % 5 == 0 else "kind ") * 3 for k in range(200)]
     rows = [(k if k % 50 else None, t) for k, t in enumerate(texts)] + [(7, "kind again"), (7, "kind again"), (8, "nasty vile " * 200_000), (9, None)]
