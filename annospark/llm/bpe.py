@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm.common import bounds, gather, list_array, packed, partitions_for, stored, text_slices, unpacked
+from annospark.llm.common import bounds, gather, list_array, packed, partitions_for, shuffle_partitions, stored, text_slices, unpacked
 from annospark.llm.word_table import WordTable, byte_of, tokenizer, vocabulary
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -106,8 +106,9 @@ def encode(docs: DataFrame, path: str = BYTE_BPE, id_col: str = "doc_id", text_c
     places = rows.mapInArrow(places_of, "block binary, doc_ids array<long>, counts binary, buckets binary, places binary")
     words = rows.mapInArrow(words_of, "block binary, bucket int, words array<string>").repartitionById(buckets, "bucket")
     encoded = words.mapInArrow(table, "block binary, bucket int, ids binary, lengths binary")
-    blocks, encoded = (side.repartition(buckets, "block") for side in (places, encoded))
-    return blocks.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
+    if buckets > shuffle_partitions(rows.sparkSession):  # else adaptive execution joins small partitions
+        places, encoded = (side.repartition(buckets, "block") for side in (places, encoded))
+    return places.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(put_back, "doc_id long, ids array<int>")
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
