@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ from annospark.llm.common import ROW, bit_set, bounds, byte_texts, may_hold, row
 
 #: Units: a line with its end; a paragraph with the empty lines behind it; a sentence, which is a run of characters up to full
 #: stops, question marks and line ends, with the blanks behind them.
-UNITS = {"line": rb"[^\n]*\n|[^\n]+", "paragraph": rb"(?s).+?(?:\n[ \t\r]*\n\s*|\Z)", "sentence": rb"[^.?\n]+[.?\n ]*|[.?\n ]+"}
+UNITS = {"line": rb"[^\n]*\n|[^\n]+", "paragraph": rb"(?s).+?(?:\n[ \t\r]*\n[ \t-\r]*|\Z)", "sentence": rb"[^.?\n]+[.?\n ]*|[.?\n ]+"}
 #: A unit of fewer words is compared together with its neighbours.
 MIN_WORDS = 8
 #: Passages: runs of so many words are compared wherever they start. Of any ``WINDOW`` neighbouring runs one at least is
@@ -33,19 +33,28 @@ _BLANK = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
 _MAX_WORDS = 300_000
 
 
-def _keys(text: bytes, min_words: int, unit: re.Pattern) -> list[tuple[int, bytes]]:
-    """(number, normalised text) of each compared unit: A-Z in lower case, white space as one blank."""
-    words = [u.split() for u in unit.findall(text.lower())]
-    plain = [b" ".join(w) for w in words]
+def _patterns(unit: str | Sequence[str]) -> list[re.Pattern]:
+    return [re.compile(UNITS[name]) for name in ([unit] if isinstance(unit, str) else unit)]
+
+
+def _keys(text: bytes, min_words: int, levels: list[re.Pattern]) -> list[tuple[int, int, int, bytes]]:
+    """(first byte of its words, level, number, normalised text) of each compared unit, by place: A-Z in lower case, white
+    space as one blank."""
+    text = text.lower()
     found = []
-    for i, w in enumerate(words):
-        if len(w) >= min_words:
-            found.append((i, plain[i]))
-        elif w:
-            before, behind = (i - 1, i) if i else (0, 0), (i + 1, i + 2)
-            if len(w) + sum(map(len, words[slice(*before)])) + sum(map(len, words[slice(*behind)])) >= min_words:
-                found.append((i, b"\n".join([b"".join(plain[slice(*before)]), plain[i], b"".join(plain[slice(*behind)])])))
-    return found
+    for level, pattern in enumerate(levels):
+        raw = pattern.findall(text)
+        words = [u.split() for u in raw]
+        plain = [b" ".join(w) for w in words]
+        for i, (w, end) in enumerate(zip(words, accumulate(map(len, raw)))):
+            start = end - len(raw[i].lstrip())
+            if len(w) >= min_words:
+                found.append((start, level, i, plain[i]))
+            elif w:
+                before, behind = slice(i - 1, i) if i else slice(0), slice(i + 1, i + 2)
+                if len(w) + sum(map(len, words[before])) + sum(map(len, words[behind])) >= min_words:
+                    found.append((start, level, i, b"\n".join([b"".join(plain[before]), plain[i], b"".join(plain[behind])])))
+    return sorted(found) if len(levels) > 1 else found
 
 
 class _Hashes(dict):
@@ -104,10 +113,11 @@ def _tokens(texts: list[bytes]) -> list[list[str]]:
     return [_TOKEN.findall(t) if _POINT.search(t) else [] for t in decoded]
 
 
-def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = False, unit: str = "sentence", among: Broadcast | None = None) -> DataFrame:
+def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = False, unit: str | Sequence[str] = "sentence", among: Broadcast | None = None) -> DataFrame:
     """One row per compared unit: doc_id, unit (its number in the text), a 128-bit digest in two halves, and ``again`` if
     the same digest stands earlier in that text. A short unit's digest spans its neighbours, so that it counts as repeated
-    only where they repeat with it.
+    only where they repeat with it. With several kinds of units (coarse ones first) all of them give rows, unit k of the j-th of m kinds as
+    m k + j; where a coarse unit has no words but those of one finer unit, only the coarse one does.
 
     With ``passages`` also one row per picked run of words: unit is -1 - 2 w for the run from word w, -2 - 2 w in texts of
     scripts without blanks, hi its 64-bit hash and lo the kind (0 or 1).
@@ -120,21 +130,21 @@ def unit_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return again | may_hold(among.value, hi)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, pattern = _Hashes(), re.compile(UNITS[unit])
+        hashes, levels = _Hashes(), _patterns(unit)
         for batch in batches:
             for part in text_slices(batch):
                 units, digests, again, per_text = [], [], [], []
                 texts = byte_texts(part)
                 for text in texts:
-                    seen = set()
-                    keys = _keys(text, min_words, pattern)
-                    for i, key in keys:
+                    seen, before = {}, len(units)
+                    for start, level, i, key in _keys(text, min_words, levels):
                         digest = xxhash.xxh3_128_digest(key)
-                        units.append(i)
-                        digests.append(digest)
-                        again.append(digest in seen)
-                        seen.add(digest)
-                    per_text.append(len(keys))
+                        if seen.get(digest) != start:
+                            units.append(len(levels) * i + level)
+                            digests.append(digest)
+                            again.append(digest in seen)
+                            seen[digest] = start
+                    per_text.append(len(units) - before)
                 hi, lo = np.ascontiguousarray(np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2).T)
                 again = np.array(again, bool)
                 keep = wanted(hi, again)
@@ -167,9 +177,10 @@ def repeated_units(docs: DataFrame, id_col: str, text_col: str, *options) -> Dat
     return gone.groupBy("doc_id").agg(F.sort_array(F.collect_list("unit")).alias("units"))
 
 
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = True, unit: str = "sentence") -> DataFrame:
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, passages: bool = True, unit: str | Sequence[str] = "sentence") -> DataFrame:
     """``docs`` with repeated units taken out of the text, and ``removed``: array of (start, end) in code points of the
-    original text, adjacent units joined. ``unit`` is one of ``UNITS``.
+    original text, adjacent units joined. ``unit`` is one of ``UNITS``, or several, coarse ones first: then what repeats as a unit of
+    any kind goes, a line also where it stands elsewhere as a paragraph.
 
     With ``passages`` also repeated runs of words that start or end inside a unit, runs of short units, and runs of code
     points of scripts without blanks: all of ``RUN + WINDOW - 1`` words (``POINT_RUN + POINT_WINDOW - 1`` code points) are
@@ -191,12 +202,12 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pattern = re.compile(UNITS[unit])
+        levels = _patterns(unit)
         for batch in batches:
             for part in text_slices(batch, text_col):
                 texts, spans = [], []
                 for text, units in zip(part.column(text_col).cast(pa.binary()).to_pylist(), part.column("__units").to_pylist()):
-                    kept, gone = _cut(text, units, pattern) if text and units else (text, [])
+                    kept, gone = _cut(text, units, levels) if text and units else (text, [])
                     texts.append(kept)
                     spans.append(gone)
                 at = part.schema.get_field_index(text_col)
@@ -234,12 +245,15 @@ def _parts(starts: np.ndarray, edges: np.ndarray, whole: np.ndarray, runs: np.nd
     return starts[first[goes]], starts[behind[goes]]
 
 
-def _cut(text: bytes, units: list[int], unit: re.Pattern) -> tuple[bytes, list[tuple[int, int]]]:
+def _cut(text: bytes, units: list[int], levels: list[re.Pattern]) -> tuple[bytes, list[tuple[int, int]]]:
     """The text without these units and runs, and their spans in code points."""
     found = np.array(units)
-    edges = np.array([0, *(m.end() for m in unit.finditer(text))])
-    own = found[found >= 0]
-    first, last = [edges[own]], [edges[own + 1]]
+    first, last = [], []
+    for level, pattern in enumerate(levels):
+        edges = np.array([0, *(m.end() for m in pattern.finditer(text))])
+        own = found[(found >= 0) & (found % len(levels) == level)] // len(levels)
+        first.append(edges[own])
+        last.append(edges[own + 1])
     for kind in (0, 1):
         if len(runs := (-1 - kind - found[(found < 0) & ((-1 - found) % 2 == kind)]) // 2):
             starts = _starts(text, kind)
@@ -258,38 +272,56 @@ def _cut(text: bytes, units: list[int], unit: re.Pattern) -> tuple[bytes, list[t
     return kept, list(zip(points[first].tolist(), points[last].tolist()))
 
 
+#: The units of the query.
+LEVELS = ("paragraph", "line", "sentence")
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without repeated units, as ``OP2_SQL`` has them, and what was removed."""
-    found = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), passages=False)
+    """Every document's text without repeated paragraphs, lines and sentences, as ``OP2_SQL`` has them, and what was removed."""
+    found = substring_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), passages=False, unit=LEVELS)
     return found.select("doc_id", "text", F.size("removed").cast("long").alias("n_removed"), F.to_json("removed").alias("removed"))
 
 
+def _units_sql(level: int, name: str) -> str:
+    pattern = UNITS[name].decode().replace("\\Z", "\\z")
+    return f"""
+  SELECT {level} AS level, doc_id, unnest(l) AS raw, generate_subscripts(l, 1) AS unit
+  FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}') AS l FROM documents)"""
+
+
 OP2_SQL = f"""
-WITH u AS (
-  SELECT doc_id, unnest(l) AS raw, generate_subscripts(l, 1) AS unit
-  FROM (SELECT doc_id, regexp_extract_all(text, '{UNITS['sentence'].decode()}') AS l FROM documents)
+WITH u AS ({" UNION ALL ".join(_units_sql(*named) for named in enumerate(LEVELS))}
 ), p AS (
-  SELECT doc_id, unit, raw, regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  SELECT level, doc_id, unit, raw, regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
   FROM u
 ), q AS (
-  SELECT doc_id, unit, raw, len(w) AS n, array_to_string(w, ' ') AS t,
+  SELECT level, doc_id, raw, len(w) AS n, array_to_string(w, ' ') AS t,
          sum(length(raw)) OVER d AS stop,
          coalesce(lag(len(w)) OVER d, 0) + len(w) + coalesce(lead(len(w)) OVER d, 0) AS near,
          coalesce(lag(array_to_string(w, ' ')) OVER d, '') || chr(10) || array_to_string(w, ' ') || chr(10) || coalesce(lead(array_to_string(w, ' ')) OVER d, '') AS with_near
-  FROM p WINDOW d AS (PARTITION BY doc_id ORDER BY unit)
+  FROM p WINDOW d AS (PARTITION BY level, doc_id ORDER BY unit)
 ), k AS (
-  SELECT *, CASE WHEN n >= {MIN_WORDS} THEN t WHEN n > 0 AND near >= {MIN_WORDS} THEN with_near END AS key FROM q
+  SELECT level, doc_id, stop - length(raw) AS a, stop AS b,
+         stop - length(regexp_replace(raw, '^[\\x20\\x09-\\x0D]+', '')) AS place,
+         CASE WHEN n >= {MIN_WORDS} THEN t WHEN n > 0 AND near >= {MIN_WORDS} THEN with_near END AS key
+  FROM q
+), c AS (
+  SELECT * FROM k WHERE key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY key, doc_id, place ORDER BY level) = 1
 ), g AS (
-  SELECT *, key IS NOT NULL AND row_number() OVER (PARTITION BY key ORDER BY doc_id, unit) > 1 AS gone FROM k
+  SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY key ORDER BY doc_id, place) > 1
+), e AS (
+  SELECT doc_id, a, b, coalesce(a > max(b) OVER (PARTITION BY doc_id ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM g
 ), s AS (
-  SELECT *, sum(CASE WHEN gone THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY unit) AS block FROM g
+  SELECT doc_id, a, b, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY a, b) AS block FROM e
 ), r AS (
-  SELECT doc_id, min(stop - length(raw))::BIGINT AS a, max(stop)::BIGINT AS b FROM s WHERE gone GROUP BY doc_id, block
+  SELECT doc_id, min(a)::BIGINT AS a, max(b)::BIGINT AS b FROM s GROUP BY doc_id, block
+), f AS (
+  SELECT r.*, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS kept FROM r
 ), j AS (
-  SELECT doc_id, count(*) AS n_removed, '[' || string_agg('{{"start":' || a || ',"end":' || b || '}}', ',' ORDER BY a) || ']' AS removed FROM r GROUP BY doc_id
-), x AS (
-  SELECT doc_id, coalesce(string_agg(raw, '' ORDER BY unit) FILTER (NOT gone), '') AS text FROM g GROUP BY doc_id
+  SELECT doc_id, count(*) AS n_removed, '[' || string_agg('{{"start":' || a || ',"end":' || b || '}}', ',' ORDER BY a) || ']' AS removed,
+         string_agg(substr(d.text, kept + 1, a - kept), '' ORDER BY a) || substr(any_value(d.text), max(b) + 1) AS text
+  FROM f JOIN documents d USING (doc_id) GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(x.text, d.text) AS text, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '[]') AS removed
-FROM documents d LEFT JOIN x USING (doc_id) LEFT JOIN j USING (doc_id)
+SELECT d.doc_id, coalesce(j.text, d.text) AS text, coalesce(n_removed, 0) AS n_removed, coalesce(removed, '[]') AS removed
+FROM documents d LEFT JOIN j USING (doc_id)
 """

@@ -477,6 +477,52 @@ def test_substring_dedup_of_lines_and_paragraphs(spark):
             assert b"".join(re.findall(pattern, text)) == text, name
 
 
+def brute_levels(texts, levels, least):
+    """Texts without what stands earlier as a paragraph, line or sentence, and the spans that go."""
+    import re
+
+    found = []
+    for rank, text in enumerate(texts):
+        for level, name in enumerate(levels):
+            at, units = 0, []
+            for raw in re.findall(substring_dedup.UNITS[name].decode(), text, re.ASCII):
+                words = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), raw))
+                units.append((at, at + len(raw), at + len(raw) - len(raw.lstrip(" \t\n\r\v\f")), words))
+                at += len(raw)
+            for k, (a, b, place, words) in enumerate(units):
+                near = [units[j][3] if 0 <= j < len(units) else [] for j in (k - 1, k, k + 1)]
+                if len(words) >= least:
+                    found.append((" ".join(words), rank, place, level, a, b))
+                elif words and sum(map(len, near)) >= least:
+                    found.append(("\n".join(map(" ".join, near)), rank, place, level, a, b))
+    earliest, marks, seen = {}, [set() for _ in texts], set()
+    for key, rank, place, level, a, b in sorted(found):
+        earliest.setdefault(key, (rank, place))
+        if (key, rank, place) not in seen and earliest[key] != (rank, place):
+            marks[rank] |= set(range(a, b))
+        seen.add((key, rank, place))
+    return ["".join(c for i, c in enumerate(t) if i not in m) for t, m in zip(texts, marks)], marks
+
+
+def test_substring_dedup_of_several_units_together(spark):
+    rng = random.Random(7)
+    texts = ["", "One line of words\n\nOne line of words\nand more. and more.", "and more.", "One line of words", "Own. One  LINE of words \n \nOwn"]
+    for _ in range(150):
+        texts.append("".join(rng.choice(["aa ", "Bb ", "é ", "cc. ", "dd? ", "e\n", "\n", "\n \n", " ", "\t", "\v"]) for _ in range(rng.randint(1, 24))))
+    for least in (2, 4):
+        rows = substring_dedup.substring_dedup(docs(spark, [*texts, None]), min_words=least, passages=False, unit=substring_dedup.LEVELS).collect()
+        found = {r.doc_id: r for r in rows}
+        kept, marks = brute_levels(texts, substring_dedup.LEVELS, least)
+        assert [found[i].text for i in range(len(texts))] == kept and sum(map(len, marks)) > 100
+        assert all({i for s in found[k].removed for i in range(s.start, s.end)} == m for k, m in enumerate(marks))
+        assert found[len(texts)].text is None and found[len(texts)].removed == []
+        assert all(a.end < b.start for r in rows for a, b in zip(r.removed, r.removed[1:]))
+    # a line of three short sentences repeats at both its ends, which the sentences with their neighbours do not
+    line = "Short one. Nothing else. All rights of it reserved"
+    rows = substring_dedup.substring_dedup(docs(spark, [f"Head\n{line}\nTail", f"Others before\n{line}\nbehind"]), passages=False, unit=substring_dedup.LEVELS).collect()
+    assert {r.doc_id: r.text for r in rows}[1] == "Others before\nbehind"
+
+
 def test_substring_dedup_of_passages(spark):
     words = [f"w{k}x" for k in range(400)]
     mid = " ".join(words[:60])
