@@ -91,25 +91,25 @@ def built_prompts(spark, sf):
     """Records whose question a caller's function makes and whose answer is a list."""
     rows = r.convert(fx.annotations(spark, sf), "per_class", prompt=lambda labels: F.concat(F.lit("Where is "), F.get(labels, 0), F.lit("?")), output="list", norm="raw", lang="zh")
     text = t.role_text(F.col("messages"), "assistant")
-    return rows.select("record_id", t.first_query(F.col("messages")).alias("prompt"), F.split(text, "\n", 2)[0].alias("head"), (F.size(F.split(text, "\n")) - 1).alias("lines"))
+    return rows.select("record_id", t.first_query(F.col("messages")).alias("prompt"), text.alias("answer"))
 
 
 def list_responses(spark, sf):
-    """List answers of each language and strategy to each image: their head and how many lines follow."""
+    """List answers of each language and strategy to each image."""
     a = fx.annotations(spark, sf).withColumn("b", F.filter(r.usable_boxes(F.col("shapes"), F.col("width"), F.col("height"), norm="raw"), lambda b: b["reason"].isNull()))
     made = [(lang, strategy, t.list_response(F.col("b"), strategy, "raw", lang)) for lang in ("en", "zh") for strategy in ("all_in_one", "per_class")]
     one = F.explode(F.array(*[F.struct(F.lit(x).alias("lang"), F.lit(y).alias("strategy"), z.alias("text")) for x, y, z in made]))
-    rows = a.select("image_id", one.alias("x")).select("image_id", "x.*")
-    return rows.select("image_id", "lang", "strategy", F.split("text", "\n", 2)[0].alias("head"), F.length("text").alias("length"))
+    return a.select("image_id", one.alias("x")).select("image_id", "x.*")
 
 
 def legacy_responses(spark, sf):
-    """The older answer for each image; labels have quotes to be escaped."""
+    """Every box that the older answer for each image holds; labels have quotes to be escaped."""
     shapes = F.transform("shapes", lambda s: s.withField("label", F.concat(F.lit('"'), s["label"], F.lit('"\\'))))
     a = fx.annotations(spark, sf).withColumn("b", F.filter(r.usable_boxes(shapes, F.col("width"), F.col("height")), lambda b: b["reason"].isNull())).filter(F.size("b") > 0)
-    text = t.legacy_response(F.slice(F.array_sort("b"), 1, 1))
-    v = F.try_parse_json(text)
-    return a.select("image_id", F.try_variant_get(v, "$[0].label", "string").alias("label"), F.try_variant_get(v, "$[0].bbox[0]", "double").alias("x"), F.try_variant_get(v, "$[0].confidence", "double").alias("confidence"))
+    text = t.legacy_response(F.array_sort("b"))
+    back = F.from_json(text, "array<struct<label:string,bbox:array<double>,confidence:double>>")
+    rows = a.select("image_id", F.posexplode(back).alias("pos", "d"))
+    return rows.select("image_id", "pos", "d.label", *[F.get("d.bbox", i).alias(f"p{i}") for i in range(4)], "d.confidence")
 
 
 def parsed_layouts(spark, sf):
@@ -135,8 +135,8 @@ def image_references(spark, sf):
 
 def text_columns(spark, sf):
     """The text of rows that have it in one of several columns."""
-    e = fx.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("content"), "props", F.col("value").alias("input"))
-    return e.select("event_id", F.when(F.col("event_id") % 3 == 0, t.first_text(e)).alias("text"), F.length(t.first_text(e, ("text", "props"))).alias("props_length"), t.first_text(e, ("text",)).alias("none"))
+    e = fx.table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("content"), "props", F.floor("value").alias("input"))
+    return e.select("event_id", t.first_text(e).alias("text"), t.first_text(e, ("text", "props")).alias("props"), t.first_text(e, ("text",)).alias("none"))
 
 
 def stripped_splits(spark, sf):
@@ -176,6 +176,7 @@ _USABLE = VALID_SQL + """, u AS (SELECT image_id, width, height, label, x_min, y
    FROM valid WHERE shape_type IN ('rectangle', 'polygon'))"""
 _ITEM = """'{"box_2d": [' || concat_ws(', ', a, b, c, d) || '], "label": "' || label || '"' """
 _HEAD = """', "coord_format": "xyxy", "coord_norm": "norm_1000"' """
+_LINE = "'- [' || concat_ws(', ', x_min::BIGINT, y_min::BIGINT, x_max::BIGINT, y_max::BIGINT) || ']'"
 _TURNS = "t AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role) - 1 AS pos, coalesce(text, '') AS x FROM conversations)"
 ORACLE_SQL = {
     "record_prompts": f"""WITH {_USABLE} SELECT 'img_' || image_id AS record_id, count(*)::INT AS num_objects, string_agg(DISTINCT label, '|' ORDER BY label) AS labels,
@@ -187,18 +188,21 @@ ORACLE_SQL = {
     "prompt_styles": f"""WITH {_USABLE}, n AS (SELECT image_id, string_agg(DISTINCT label, ', ' ORDER BY label) AS en, string_agg(DISTINCT label, '、' ORDER BY label) AS zh FROM u GROUP BY 1),
       t(style, lang, strategy, text) AS (VALUES {", ".join(f"('{a}', '{b}', '{c}', '{x}')" for (b, a, c), x in t.PROMPTS.items())}, {", ".join(f"('other', '{b}', '{c}', 'Detect: {{class_list}}')" for b in ("en", "zh") for c in ("all_in_one", "per_class"))}, ('custom', 'en', 'all_in_one', 'Any {{class_list}}?'))
       SELECT 'img_' || image_id AS record_id, style, lang, strategy, replace(text, '{{class_list}}', CASE WHEN lang = 'zh' THEN zh ELSE en END) AS prompt FROM n, t""",
-    "built_prompts": f"WITH {_USABLE} SELECT 'img_' || image_id || '_' || label AS record_id, 'Where is ' || label || '?' AS prompt, label || '共' || count(*) || '个：' AS head, count(*)::INT AS lines FROM u GROUP BY image_id, label",
-    "list_responses": f"""WITH {_USABLE}, c AS (SELECT image_id, count(*) AS n, string_agg(DISTINCT label, ', ' ORDER BY label) AS en, string_agg(DISTINCT label, '、' ORDER BY label) AS zh, sum(length('- [' || concat_ws(', ', x_min::BIGINT, y_min::BIGINT, x_max::BIGINT, y_max::BIGINT) || ']')) AS k, sum(length(label) + 2) AS l FROM u GROUP BY 1),
-      h AS (SELECT image_id, lang, strategy, n, CASE WHEN lang = 'en' THEN CASE WHEN strategy = 'all_in_one' THEN 'Detected ' || n || ' objects:' ELSE n || ' of class ' || en || ':' END ELSE CASE WHEN strategy = 'all_in_one' THEN '共有' || n || '个目标：' ELSE zh || '共' || n || '个：' END END AS head, k + CASE WHEN strategy = 'all_in_one' THEN l ELSE 0 END + n AS body
+    "built_prompts": f"WITH {_USABLE} SELECT 'img_' || image_id || '_' || label AS record_id, 'Where is ' || label || '?' AS prompt, label || '共' || count(*) || '个：' || string_agg(chr(10) || {_LINE}, '' ORDER BY x_min, y_min, x_max, y_max) AS answer FROM u GROUP BY image_id, label",
+    "list_responses": f"""WITH {_USABLE}, c AS (SELECT image_id, count(*) AS n, string_agg(DISTINCT label, ', ' ORDER BY label) AS en, string_agg(DISTINCT label, '、' ORDER BY label) AS zh,
+        string_agg(chr(10) || {_LINE}, '' ORDER BY x_min, y_min, x_max, y_max, label) AS plain, string_agg(chr(10) || replace({_LINE}, '- ', '- ' || label || ': '), '' ORDER BY x_min, y_min, x_max, y_max, label) AS named FROM u GROUP BY 1),
+      h AS (SELECT image_id, lang, strategy, CASE WHEN lang = 'en' THEN CASE WHEN strategy = 'all_in_one' THEN 'Detected ' || n || ' objects:' ELSE n || ' of class ' || en || ':' END ELSE CASE WHEN strategy = 'all_in_one' THEN '共有' || n || '个目标：' ELSE zh || '共' || n || '个：' END END
+          || CASE WHEN strategy = 'all_in_one' THEN named ELSE plain END AS text
         FROM c, (VALUES ('en'), ('zh')) a(lang), (VALUES ('all_in_one'), ('per_class')) b(strategy))
-      SELECT i.image_id, a.lang, b.strategy, coalesce(head, 'No objects detected.') AS head, coalesce(length(head) + body, 20)::INT AS length FROM images i CROSS JOIN (VALUES ('en'), ('zh')) a(lang) CROSS JOIN (VALUES ('all_in_one'), ('per_class')) b(strategy) LEFT JOIN h ON h.image_id = i.image_id AND h.lang = a.lang AND h.strategy = b.strategy""",
-    "legacy_responses": f"""WITH {_USABLE}, m AS (SELECT image_id, arg_min(label, (a, b, c, d, label)) AS label, min(a) AS x FROM u GROUP BY 1) SELECT image_id, '"' || label || '"\\' AS label, x::DOUBLE AS x, 1.0::DOUBLE AS confidence FROM m""",
+      SELECT i.image_id, a.lang, b.strategy, coalesce(text, 'No objects detected.') AS text FROM images i CROSS JOIN (VALUES ('en'), ('zh')) a(lang) CROSS JOIN (VALUES ('all_in_one'), ('per_class')) b(strategy) LEFT JOIN h ON h.image_id = i.image_id AND h.lang = a.lang AND h.strategy = b.strategy""",
+    "legacy_responses": f"""WITH {_USABLE} SELECT image_id, (row_number() OVER (PARTITION BY image_id ORDER BY a, b, c, d, label) - 1)::INT AS pos, '"' || label || '"\\' AS label,
+      a::DOUBLE AS p0, b::DOUBLE AS p1, c::DOUBLE AS p2, d::DOUBLE AS p3, 1.0::DOUBLE AS confidence FROM u""",
     "parsed_layouts": """WITH n AS (SELECT event_id, (floor(value)::BIGINT % 300)::INT AS n FROM events)
       SELECT event_id, 'xyxy' AS layout, concat_ws(',', n + 20, n + 40, 40, 60) AS bbox FROM n UNION ALL SELECT event_id, 'yxyx', concat_ws(',', n, n + 10, 40, 60) FROM n
       UNION ALL SELECT event_id, 'xywh', concat_ws(',', n + 10, n, n + 70, n + 40) FROM n UNION ALL SELECT event_id, 'cxcywh', concat_ws(',', n, n + 10, n + 40, n + 70) FROM n""",
     "image_references": """SELECT page_id, page_id || '.png' AS relative, '/data/' || page_id || '.png' AS absolute, 'images/' || page_id || '.png' AS copy, md5(base64(encode(html))) AS base64, page_id || '.png' AS outside,
       '/data/' || page_id || CASE WHEN page_id % 2 = 0 THEN '.png' ELSE '.png.json' END AS own FROM pages""",
-    "text_columns": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type END AS text, length(props)::INT AS props_length, NULL::VARCHAR AS none FROM events",
+    "text_columns": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN event_type ELSE floor(value)::BIGINT::VARCHAR END AS text, props, NULL::VARCHAR AS none FROM events",
     "stripped_splits": """WITH c AS (SELECT ['train', 'val', 'test'][conv_id % 3 + 1] AS split, role FROM conversations) SELECT schema, split, role, count(*) AS turns FROM c, (VALUES ('openai'), ('sharegpt')) s(schema)
       WHERE role = 'user' OR split = 'train' OR (schema = 'openai' AND split = 'val') GROUP BY ALL""",
     "conversion_counters": f"""WITH {_USABLE}, n AS (SELECT image_id, count(*) AS k FROM u GROUP BY 1)

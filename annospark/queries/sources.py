@@ -15,9 +15,10 @@ from annospark.functions import geometry as g
 from annospark.functions import text as t
 from annospark.operators import evaluate, infer, records, runs, stats, validate, work
 from annospark.operators.split import class_matrix
+from annospark.plans import pipelines
 from annospark.queries import validation as val
 from annospark.queries.evaluation import _arrays
-from annospark.queries.records import _USABLE
+from annospark.queries.records import _HEAD, _ITEM, _USABLE
 from annospark.queries.work import _GPU
 from annospark.sources import archives, files, snapshots
 from annospark.sources.shared import shared_folder
@@ -236,6 +237,22 @@ def split_files(spark, sf):
     return back.groupBy("split").agg(F.count("*").alias("records"), F.sum("r.num_objects").alias("objects"))
 
 
+def dataset_job(spark, sf):
+    """The whole conversion with both strategies: every record as the files of its split have it; test records keep no answer."""
+    path = shared_folder(spark, "dataset")
+    pipelines.convert(fx.annotations(spark, sf), path, order=(F.col("image_key") * 7919) % 10007, strategy="both")
+    rows = None
+    for name in ("all_in_one", "per_class"):
+        body = F.from_json("value", "struct<record_id:string,labels:array<string>,messages:array<struct<role:string,content:array<struct<type:string,text:string>>>>>")
+        one = spark.read.text(f"{path}/{name}/data").select(F.lit(name).alias("strategy"), "split", body.alias("r")).select("strategy", "split", "r.*")
+        rows = one if rows is None else rows.unionAll(one)
+    turns = F.filter("messages", lambda m: m["role"] == "assistant")
+    return rows.select(
+        "strategy", "split", "record_id", F.array_join("labels", "|").alias("labels"), F.size("messages").alias("turns"), t.first_query(F.col("messages")).alias("prompt"),
+        F.when(F.size(turns) > 0, t.role_text(F.col("messages"), "assistant")).alias("answer"),
+    )
+
+
 def _answered(spark, sf):
     """Answers of a predictor that gives its query back; images that end in 7 fail, alone or with their batch."""
     gt = _arrays(fx.shapes(spark, sf).filter("x2 > x1 and y2 > y1"), "image_id", confidence=False)
@@ -298,7 +315,7 @@ def selected_files(spark, sf):
     return class_matrix(rows)
 
 
-QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, keyed_exports, archive_members, missing_files, gpu_log_csv, result_store, result_snapshots, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, predicted, inference_round, size_lookup, training_messages, record_stats, selected_files)}
+QUERIES = {f.__name__: f for f in (jsonl_records, statistics_file, filter_copies, keyed_exports, archive_members, missing_files, gpu_log_csv, result_store, result_snapshots, partial_results, export_files, export_payloads, export_counts, message_export, copy_plan, fetch_plan, preferred_split, annotation_files, split_files, dataset_job, predicted, inference_round, size_lookup, training_messages, record_stats, selected_files)}
 
 _KEYS = _USABLE + """, uk AS (SELECT u.image_id, u.label, i.image_key FROM u JOIN images i USING (image_id)), recs AS (SELECT image_id, image_key, count(*) AS k FROM uk GROUP BY ALL),
   lab AS (SELECT DISTINCT image_id, image_key, label FROM uk), tot AS (SELECT label, count(*) AS total FROM lab GROUP BY 1),
@@ -354,6 +371,13 @@ ORACLE_SQL = {
       SELECT dir, path, stem FROM (SELECT *, row_number() OVER (PARTITION BY dir ORDER BY CASE stem WHEN 'test' THEN 1 WHEN 'valid' THEN 2 WHEN 'val' THEN 3 ELSE 4 END, path) AS r FROM g) WHERE r = 1""",
     "annotation_files": f"WITH {val.RAW_SQL} SELECT status, count(*) AS n FROM raw GROUP BY status",
     "split_files": f"WITH {_KEYS} SELECT split, count(*) AS records, sum(k)::BIGINT AS objects FROM recs JOIN st USING (image_key) GROUP BY split",
+    "dataset_job": f"""WITH {_KEYS}, w AS (SELECT u.*, image_key, unnest(['all_in_one', 'per_class']) AS strategy FROM u JOIN images i USING (image_id)),
+      r AS (SELECT *, 'img_' || image_id || CASE WHEN strategy = 'per_class' THEN '_' || label ELSE '' END AS record_id FROM w),
+      k AS (SELECT *, row_number() OVER (PARTITION BY strategy, record_id ORDER BY x_min, y_min, x_max, y_max, label) AS k FROM r)
+      SELECT strategy, split, record_id, string_agg(DISTINCT label, '|' ORDER BY label) AS labels, CASE WHEN split = 'test' THEN 1 ELSE 2 END::INT AS turns,
+        CASE strategy WHEN 'per_class' THEN 'Find every ' || any_value(label) || ' in the image.' ELSE 'Find every object of these classes in the image: ' || string_agg(DISTINCT label, ', ' ORDER BY label) || '.' END || ' Answer with a JSON list.' AS prompt,
+        CASE WHEN split <> 'test' THEN '[' || string_agg({_ITEM} || CASE WHEN k = 1 THEN {_HEAD} ELSE '' END || '}}', ', ' ORDER BY k) || ']' END AS answer
+      FROM k JOIN st USING (image_key) GROUP BY strategy, split, record_id""",
     "predicted": f"WITH {fx.SHAPES_SQL}, g AS (SELECT image_id, count(*) AS n FROM shapes WHERE x2 > x1 AND y2 > y1 GROUP BY 1), p AS (SELECT *, image_id % 10 <> 7 AS ok FROM g) SELECT image_id AS index, ok AS success, CASE WHEN ok THEN n ELSE 0 END::INT AS num_det, CASE WHEN ok THEN n ELSE 0 END::INT AS num_match, CASE WHEN ok THEN 1.0 ELSE 0.0 END::DOUBLE AS f1 FROM p",
     "size_lookup": f"WITH {fx.IMAGES_SQL} SELECT image_id, CASE WHEN image_id % 2 = 0 THEN width + 1 WHEN image_id % 3 = 0 THEN width ELSE 1024 END::INT AS width FROM images",
     "training_messages": "WITH q AS (SELECT page_id, 'Find in the image: ' || url || '. Answer with a JSON list.' AS query FROM pages) SELECT page_id, md5('<user>' || page_id || '.png' || query || '</user>' || chr(10) || '<assistant>[]</assistant>' || chr(10)) AS chat_md5, query FROM q",
