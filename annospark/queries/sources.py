@@ -8,6 +8,7 @@ import warnings
 import zipfile
 
 import pandas as pd
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from annospark import fixtures as fx
@@ -141,12 +142,18 @@ def result_snapshots(spark, sf):
 
 
 def partial_results(spark, sf):
-    """Results in one file per worker, merged by index."""
+    """Results of eight workers, merged: a worker has one file ({"results": [...]}) for each stretch of 65,536 images."""
     path = shared_folder(spark, "partial")
     d = _arrays(fx.detections(spark, sf).filter("model = 'A'"), "image_id")
     dets = F.transform("boxes", lambda b: F.struct(b["bbox"].alias("bbox"), b["label"].alias("label"), b["confidence"].cast("double").alias("confidence")))
-    rows = d.select((F.col("image_id") % 8).cast("int").alias("gpu_id"), F.struct(F.col("image_id").alias("index"), F.lit("A").alias("model_type"), F.concat(F.lit("/i/"), F.col("image_id").cast("string")).alias("image_path"), dets.alias("detections")).alias("r"), F.floor(F.col("image_id") / 64).alias("block"))
-    rows.groupBy("gpu_id", "block").agg(F.to_json(F.struct(F.collect_list("r").alias("results"))).alias("value")).repartition(16).select("value").write.option("maxRecordsPerFile", 1).text(path)
+    i = F.col("image_id")
+    result = F.struct(i.alias("index"), F.lit("A").alias("model_type"), F.concat(F.lit("/i/"), i.cast("string")).alias("image_path"), dets.alias("detections"))
+    rows = d.select((i % 8).cast("int").alias("gpu_id"), F.floor(i / 65536).alias("stretch"), i.alias("index"), F.to_json(result).alias("value"))
+    file = Window.partitionBy("gpu_id", "stretch").orderBy("index")
+    head = F.when(F.lag("index").over(file).isNull(), '{"results": [').otherwise("")
+    tail = F.when(F.lead("index").over(file).isNull(), "]}").otherwise(",")
+    lines = rows.withColumn("value", F.concat(head, "value", tail)).sortWithinPartitions("gpu_id", "stretch", "index").drop("index")
+    lines.write.partitionBy("gpu_id", "stretch").text(path)
     found = files.read_partial_results(spark, path)
     return found.select("index", "image_path", F.size("detections").alias("n"), F.get("detections", 0)["label"].alias("label"))
 

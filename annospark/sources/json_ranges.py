@@ -213,7 +213,7 @@ def json_values(spark: SparkSession, path: str, *places: list[str]) -> DataFrame
     A place is a list of keys, ``ANY`` for any key and ``EACH`` for the elements of an array: ``["label_counts", ANY, ANY, EACH]``. Files are
     looked at in stretches of ``RANGE`` bytes, whichever task has them, in three passes: quotes per stretch tell which begin inside a string; the
     brackets that each stretch leaves open or closes tell what is open where it begins; and then each finds the values that start in it, reading
-    on where one ends beyond. A task holds one stretch and the value at its end. A file whose brackets or strings don't close has no values; a
+    on where one ends beyond. A file of one stretch needs the last pass only. A task holds one stretch and the value at its end. A file whose brackets or strings don't close has no values; a
     missing path has none. Several documents in a file count as one after the other.
     """
     listed = scan(spark, path).select("path", "length")
@@ -222,24 +222,28 @@ def json_values(spark: SparkSession, path: str, *places: list[str]) -> DataFrame
     size = each.agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bytes")).first()
     parts = max(1, min(size["n"], 20_000, (size["bytes"] or 0) // RANGE + spark.sparkContext.defaultParallelism))
     schema = "path string, start long, end long, length long"
-    quoted = written(each.repartition(parts).mapInPandas(_quotes, f"{schema}, quotes long"), "quotes")
+    alone = (F.col("start") == 0) & (F.col("end") == F.col("length"))
+    whole = each.filter(alone).withColumns({"inside": F.lit(False), "stack": F.lit(None).cast("string")})
+    quoted = written(each.filter(~alone).repartition(parts).mapInPandas(_quotes, f"{schema}, quotes long"), "quotes")
     ahead = Window.partitionBy("path").orderBy("start")  # the stretches of one file: a row for each
     inside = F.coalesce(F.sum("quotes").over(ahead.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2 == 1
     known = quoted.select("path", "start", "end", "length", inside.alias("inside"), (F.sum("quotes").over(ahead) % 2 == 1).alias("odd"))
     effects = known.repartition(parts).mapInPandas(_effects, f"{schema}, inside boolean, odd boolean, closed int, moved string, opened string")
     effects = written(effects, "effects")
-    alone = (F.col("start") == 0) & (F.col("end") == F.col("length"))
-    whole = effects.filter(alone).select("path", "start", "end", "length", "inside", F.lit("[]").alias("stack"), ((F.col("closed") == 0) & (F.col("opened") == "[]") & ~F.col("odd")).alias("fine"))
-    cut = effects.filter(~alone).groupBy("path").applyInPandas(_composed, f"{schema}, inside boolean, stack string, fine boolean")
-    begun = written(whole.unionAll(cut), "stretches")
+    cut = effects.groupBy("path").applyInPandas(_composed, f"{schema}, inside boolean, stack string, fine boolean")
+    begun = whole.unionByName(written(cut, "stretches").filter("fine").drop("fine"))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows() -> Iterator[tuple]:
             for row, part in _stretches(frames):
                 found: list[tuple] = []
-                _walk(part, row.inside, json.loads(row.stack), [list(p) for p in places], found)
+                whole = pd.isna(row.stack)  # a file of one stretch
+                stack = [] if whole else json.loads(row.stack)
+                closed, _ = _walk(part, row.inside, stack, [list(p) for p in places], found)
+                if whole and (closed or stack or part.quotes() % 2):
+                    continue  # its brackets or strings don't close
                 yield from ((row.path, *f) for f in found)
 
         return _framed(rows(), ["path", "start", "place", "keys", "value"])
 
-    return begun.filter("fine").repartition(parts).mapInPandas(run, "path string, start long, place int, keys array<string>, value string")
+    return begun.repartition(parts).mapInPandas(run, "path string, start long, place int, keys array<string>, value string")
