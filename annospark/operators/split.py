@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.operators.spread import by_range
 from annospark.sources.shared import written
 
 SPLITS = ("train", "val", "test")
@@ -40,7 +41,7 @@ def numbered(rows: DataFrame) -> DataFrame:
 def global_rank(df: DataFrame, *order: str) -> DataFrame:
     """``df`` in this order with ``rank`` from 0 and no gap: a range sort, whose partitions are written once to the shared folder, and
     a rank in each. No task sees more than its range."""
-    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    rows = by_range(df, *order)
     marked = written(rows.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}), "ranked")
     sizes = {r["_p"]: r["count"] for r in marked.groupBy("_p").count().collect()}
     starts, start = [], 0
@@ -62,7 +63,7 @@ def group_rank(df: DataFrame, group: list[str], *order: str) -> DataFrame:
 def running_weight(df: DataFrame, weight: str, *order: str) -> DataFrame:
     """``df`` in this order with ``before``, the sum of column ``weight`` (whole numbers) over all rows ahead: a range sort, written once
     to the shared folder, a running sum in each range, and one sum per range on the driver. No task sees more than its range."""
-    rows = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    rows = by_range(df, *order)
     marked = written(rows.withColumns({"_p": F.spark_partition_id(), "_i": F.monotonically_increasing_id()}), "weighed")
     sums = {r["_p"]: r["w"] for r in marked.groupBy("_p").agg(F.sum(weight).alias("w")).collect()}
     starts, start = [], 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from annospark import fixtures as fx
 from annospark.operators import records, stats
 from annospark.operators import validate as v
+from annospark.operators.spread import once, spread_for_join
 
 
 def _raw(spark, sf):
@@ -27,7 +28,7 @@ def _raw(spark, sf):
         .when(i % 20 == 4, made(shapes=F.col("shapes")))
         .otherwise(made(imagePath=name, imageUrl=url, shapes=F.col("shapes")))
     )
-    return a.select("image_id", "image_key", "stem", "width", "height", path.alias("path"), raw.alias("raw"))
+    return once(a.select("image_id", "image_key", "stem", "width", "height", path.alias("path"), raw.alias("_raw")), raw=F.col("_raw")).drop("_raw")
 
 
 _HAS = "(SELECT image_id, count(*) AS n FROM shapes GROUP BY 1)"
@@ -49,7 +50,7 @@ def cleaning_summary(spark, sf):
 
 
 def _parsed(spark, sf):
-    return _raw(spark, sf).withColumns({"a": v.parse(F.col("raw")), "ok": v.is_object(F.col("raw"))})
+    return once(_raw(spark, sf), a=v.parse(F.col("raw")), ok=v.is_object(F.col("raw")))
 
 
 def image_source(spark, sf):
@@ -89,8 +90,8 @@ def _manifest(spark, sf):
 
 def _located(spark, sf, strict=True):
     rows = _parsed(spark, sf).filter("ok").filter(F.col("a.imagePath").isNotNull())
-    rows = rows.withColumns({"dir": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), "image_path": F.col("a.imagePath")})
-    return v.find_images(rows.select("image_id", "path", "dir", "stem", "image_path", "a"), _manifest(spark, sf), strict)
+    rows = rows.withColumns({"dir": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), "image_path": F.col("a.imagePath"), "found": v.annotation_issues(F.col("a"))})
+    return v.find_images(rows.select("image_id", "path", "dir", "stem", "image_path", "found"), _manifest(spark, sf), strict)
 
 
 def image_lookup(spark, sf):
@@ -99,14 +100,15 @@ def image_lookup(spark, sf):
 
 def integrity(spark, sf):
     m = _manifest(spark, sf).select(F.col("path").alias("image"), "length")
-    rows = _located(spark, sf).join(m, "image", "left")
-    found = v.integrity(F.col("a"), F.col("length"))
+    rows = _located(spark, sf)
+    rows = spread_for_join(rows, m, "image").join(m, "image", "left")
+    found = v.with_image_issues(F.col("found"), F.col("length"))
     return rows.select("image_id", found["status"].alias("status"), F.array_join(found["issues"], ";").alias("issues"))
 
 
 def primary_annotation(spark, sf):
     """Annotations that share an image key compete for its image."""
-    rows = _raw(spark, sf).withColumn("s", v.structure(F.col("raw"))).filter("s.status = 'valid'").withColumn("shapes_count", F.col("s.shapes_count"))
+    rows = once(_raw(spark, sf), s=v.structure(F.col("raw"))).filter("s.status = 'valid'").withColumn("shapes_count", F.col("s.shapes_count"))
     rows = rows.withColumn("image", F.concat(F.lit("/data/img_"), F.col("image_key").cast("string"), F.lit(".jpg")))
     return v.primary_annotation(rows.select("image_id", "path", "stem", "image", "shapes_count")).select("image_id", "image", "rank", "status")
 
