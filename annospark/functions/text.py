@@ -192,9 +192,11 @@ def record_image(images: Column, json_path: Column) -> Column:
 
 def ground_truth(messages: Column, width: Column, height: Column, norm: str = "auto", layout: str = "xyxy") -> Column:
     """Boxes of a record's assistant texts: JSON first, else list lines."""
-    text = role_text(messages, "assistant")
-    found = parse_detections(text, width, height, norm, layout)
-    return g.let(found, lambda d: F.when(F.size(d) > 0, d).otherwise(parse_list_text(text, width, height)))
+    def read(text: Column) -> Column:
+        found = parse_detections(text, width, height, norm, layout)
+        return g.let(found, lambda d: F.when(F.size(d) > 0, d).otherwise(parse_list_text(text, width, height)))
+
+    return g.let(role_text(messages, "assistant"), read)
 
 
 def chat_text(messages: Column, template: str = "<{role}>{text}</{role}>\n") -> Column:
