@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.operators.spread import once, spread, spread_for_join
+from annospark.operators.spread import once, small, spread, spread_for_join
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,12 +34,14 @@ IMAGES_SQL = """images AS (
   FROM orders)"""
 
 
-def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per line item: a shape's label, type and corners in its image. Some lie outside it or are flat."""
+def shapes(spark: SparkSession, sf_dir: str, every_image: bool = False) -> DataFrame:
+    """One row per line item: a shape's label, type and corners in its image. Some lie outside it or are flat. With ``every_image`` an image
+    without shapes has a row of its size with nulls."""
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_type")
-    named = spread_for_join(line, part, "l_partkey").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    joined = spread(named, "l_orderkey").join(images(spark, sf_dir), F.col("l_orderkey") == F.col("image_id"))
+    hashed = part if small(part) else part.hint("shuffle_hash")  # a part's share of a partition is small, line items need no sort
+    named = spread_for_join(line, part, "l_partkey").join(hashed, F.col("l_partkey") == F.col("p_partkey"))
+    joined = spread(named, "l_orderkey").join(images(spark, sf_dir), F.col("l_orderkey") == F.col("image_id"), "right" if every_image else "inner")
     n = F.col("l_linenumber")
     return joined.select(
         "image_id", "image_key", "width", "height",
@@ -87,18 +89,20 @@ def annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return once(full, shapes=F.coalesce(F.transform("_c", lambda c: _shape(lambda name: c[name])), none)).drop("_c")
 
 
+def found_by(model: str) -> Column:
+    """The box that a model makes of a shape, jittered; null for a flat shape and for those that it doesn't find."""
+    dx, dy, most = {"A": ("supp", "part", 0.06), "B": ("part", "supp", 0.04)}[model]
+    box = F.struct(
+        F.lit(model).alias("model"), "label",
+        (F.col("x1") + F.col(dx) % 5).alias("x1"), (F.col("y1") + F.col(dy) % 7).alias("y1"), (F.col("x2") + F.col(dx) % 5).alias("x2"), (F.col("y2") + F.col(dy) % 7).alias("y2"),
+        F.round(1 - F.col("discount"), 2).alias("confidence"),
+    )
+    return F.when((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")) & (F.col("tax") <= most), box)
+
+
 def detections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Boxes that two models, A and B, find: jittered and thinned shapes."""
-    s = shapes(spark, sf_dir).filter((F.col("x2") > F.col("x1")) & (F.col("y2") > F.col("y1")))
-    rows = None
-    for model, dx, dy, most in (("A", "supp", "part", 0.06), ("B", "part", "supp", 0.04)):
-        one = s.filter(F.col("tax") <= most).select(
-            "image_id", "image_key", F.lit(model).alias("model"), "label",
-            (F.col("x1") + F.col(dx) % 5).alias("x1"), (F.col("y1") + F.col(dy) % 7).alias("y1"), (F.col("x2") + F.col(dx) % 5).alias("x2"), (F.col("y2") + F.col(dy) % 7).alias("y2"),
-            F.round(1 - F.col("discount"), 2).alias("confidence"),
-        )
-        rows = one if rows is None else rows.unionAll(one)
-    return rows
+    return shapes(spark, sf_dir).select("image_id", "image_key", F.inline(F.array_compact(F.array(found_by("A"), found_by("B")))))
 
 
 DETECTIONS_SQL = SHAPES_SQL + ", detections AS (" + " UNION ALL ".join(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 #: Boxes of both sides whose candidates are sought together, about.
 _BATCH = 1 << 18
+#: Pairs of boxes of an image up to which all of them are compared.
+_FEW = 256
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -107,14 +109,46 @@ def _parts(n: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(edges, edges[1:]) if b > a]
 
 
-def _greedy(dets: pa.Array, gts: pa.Array, threshold: float, same_label: bool) -> pa.Array:
-    out: list[list[float]] = []
+def _near(n: np.ndarray, a: np.ndarray, m: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``overlapping`` for boxes in a row, n and m to an image. Images of few pairs are compared box by box, others by the grid."""
+    image_a, image_b = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)
+    few = n * m <= _FEW
+    each = np.where(few[image_a], m[image_a], 0)
+    x = np.repeat(np.arange(len(a)), each)
+    y = np.arange(len(x)) - np.repeat(np.cumsum(each) - each, each) + (np.cumsum(m) - m)[image_a[x]]
+    meet = (np.maximum(a[x, :2], b[y, :2]) < np.minimum(a[x, 2:], b[y, 2:])).all(axis=1) & np.isfinite(a).all(axis=1)[x] & np.isfinite(b).all(axis=1)[y]
+    x, y = x[meet], y[meet]
+    if few.all():
+        return x, y
+    left, right = np.flatnonzero(~few[image_a]), np.flatnonzero(~few[image_b])
+    i, j = overlapping(image_a[left], a[left], image_b[right], b[right])
+    return np.concatenate([x, left[i]]), np.concatenate([y, right[j]])
+
+
+def _taken(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which candidate pairs match, of detections x in turn with their best box y first. Who has a box to itself that is its best takes it
+    without a look at the others; the rest goes pair by pair."""
+    best = np.diff(x, prepend=-1) != 0
+    taken = best & (np.bincount(y, minlength=1)[y] == 1)
+    rest = np.flatnonzero(~np.isin(x, x[taken]))
+    used, last = set(), -1
+    for at, i, j in zip(rest.tolist(), x[rest].tolist(), y[rest].tolist()):
+        if i != last and j not in used:
+            used.add(j)
+            last = i
+            taken[at] = True
+    return taken
+
+
+def _greedy(dets: pa.Array, gts: pa.Array, threshold: float, same_label: bool, confidences: tuple[float, ...] | None = None) -> pa.Array:
+    """IoUs of matched pairs of each image; with ``confidences``, for each of them (confidence, detections that reach it, their IoUs)."""
+    out = []
     sizes = [pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False) for x in (dets, gts)]
     for start, end in _parts(sizes[0] + sizes[1]):
         n, a, left = _boxes(dets.slice(start, end - start))
         m, b, right = _boxes(gts.slice(start, end - start))
-        image_a, image_b = np.repeat(np.arange(len(n)), n), np.repeat(np.arange(len(m)), m)
-        x, y = overlapping(image_a, a, image_b, b)
+        image = np.repeat(np.arange(len(n)), n)
+        x, y = _near(n, a, m, b)
         v = ious(a[x], b[y])
         keep = (v > 0) & (v >= threshold)
         if same_label:
@@ -122,15 +156,30 @@ def _greedy(dets: pa.Array, gts: pa.Array, threshold: float, same_label: bool) -
             keep &= label_a[x] == label_b[y]
         x, y, v = x[keep], y[keep], v[keep]
         order = np.lexsort((y, -v, x))  # detections in turn, each with its best candidate first
-        found: list[list[float]] = [[] for _ in range(len(n))]
-        used, last = set(), -1
-        for i, j, iou in zip(x[order].tolist(), y[order].tolist(), v[order].tolist()):
-            if i != last and j not in used:
-                used.add(j)
-                last = i
-                found[image_a[i]].append(iou)
-        out += found
-    return pa.array(out, pa.list_(pa.float64()))
+        x, y, v = x[order], y[order], v[order]
+        own = None
+        if confidences is not None and len(left):
+            own = pc.fill_null(left.field("confidence"), 0.0).to_numpy(zero_copy_only=False).astype(np.float64)
+        counts, rows, values = [], [], []  # per confidence: detections, and the image and IoU of each match
+        for least in confidences or (None,):
+            reach = np.ones(len(image), bool) if own is None else (own >= least) | np.isnan(own)  # NaN is above all, as in Spark
+            at = np.flatnonzero(reach[x])
+            at = at[_taken(x[at], y[at])]
+            counts.append(np.bincount(image[reach], minlength=len(n)))
+            rows.append(image[x[at]])
+            values.append(v[at])
+        k = len(counts)
+        place = np.concatenate([r * k + i for i, r in enumerate(rows)])  # images in turn, and their confidences in turn
+        matched = np.concatenate(values)[np.argsort(place, kind="stable")]
+        offsets = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=len(n) * k))]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(matched))
+        if confidences is not None:
+            steps = pa.array(np.tile(np.array(confidences, np.float64), len(n)))
+            found = pa.array(np.stack(counts, axis=1).reshape(-1).astype(np.int32))
+            lists = pa.ListArray.from_arrays(pa.array((np.arange(len(n) + 1) * k).astype(np.int32)), pa.StructArray.from_arrays([steps, found, lists], ["threshold", "num_det", "ious"]))
+        out.append(lists)
+    kind = pa.list_(pa.float64())
+    return pa.concat_arrays(out) if out else pa.array([], kind if confidences is None else pa.list_(pa.struct([("threshold", pa.float64()), ("num_det", pa.int32()), ("ious", kind)])))
 
 
 def _best(first: pa.Array, second: pa.Array) -> pa.Array:
@@ -139,7 +188,7 @@ def _best(first: pa.Array, second: pa.Array) -> pa.Array:
     for start, end in _parts(sizes[0] + sizes[1]):
         n, a, _ = _boxes(first.slice(start, end - start))
         m, b, _ = _boxes(second.slice(start, end - start))
-        x, y = overlapping(np.repeat(np.arange(len(n)), n), a, np.repeat(np.arange(len(m)), m), b)
+        x, y = _near(n, a, m, b)
         best = np.zeros(len(a))
         np.maximum.at(best, x, ious(a[x], b[y]))
         out.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(best)))
@@ -156,6 +205,16 @@ def greedy_ious(dets: Column, gts: Column, threshold: float, same_label: bool) -
     return F.arrow_udf(run, "array<double>")(dets, gts)
 
 
+def sweep_ious(dets: Column, gts: Column, confidences: tuple[float, ...], threshold: float, same_label: bool) -> Column:
+    """For each least confidence in turn, (threshold, num_det, ious): the detections that reach it, and ``greedy_ious`` of them. Missing
+    confidence counts as 0. Overlaps are looked for once. dets: array of structs (bbox, label, confidence)."""
+
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        return _greedy(left, right, threshold, same_label, confidences)
+
+    return F.arrow_udf(run, "array<struct<threshold:double,num_det:int,ious:array<double>>>")(dets, gts)
+
+
 def best_ious(first: Column, second: Column) -> Column:
     """For each box of the first array, its largest IoU with any of the second; 0 without overlap."""
 

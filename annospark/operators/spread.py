@@ -24,11 +24,15 @@ def spread(rows: DataFrame, *keys: Column | str) -> DataFrame:
     return rows.repartition(n, *keys) if n > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else rows
 
 
+def small(rows: DataFrame) -> bool:
+    """Whether Spark will broadcast ``rows`` in a join."""
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= int(rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def spread_for_join(rows: DataFrame, other: DataFrame, *keys: Column | str) -> DataFrame:
     """``spread`` unless Spark will broadcast ``other``, to which ``rows`` are joined by ``keys``."""
-    size = int(str(other._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    small = size <= int(rows.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
-    return rows if small else spread(rows, *keys)
+    return rows if small(other) else spread(rows, *keys)
 
 
 def by_range(rows: DataFrame, *order: str) -> DataFrame:
