@@ -71,7 +71,8 @@ def normalize(b: Column, width: Column, height: Column, norm: str = "norm_1000")
     if norm == "raw":
         return b
     times, places = {"norm_1": (1, 4), "norm_100": (100, 0), "norm_1000": (1000, 0)}[norm]
-    scale = lambda v, size: F.bround(v / size * times, places)
+    whole = lambda v: F.rint(v) + F.lit(0.0)  # bround without decimal numbers; the sum makes -0.0 a 0.0
+    scale = lambda v, size: F.bround(v / size * times, places) if places else whole(v / size * times)
     made = F.struct(scale(b["x_min"], width).alias("x_min"), scale(b["y_min"], height).alias("y_min"), scale(b["x_max"], width).alias("x_max"), scale(b["y_max"], height).alias("y_max"))
     return F.when(b.isNotNull() & (width > 0) & (height > 0), made)
 

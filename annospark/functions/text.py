@@ -61,7 +61,7 @@ def list_response(boxes: Column, strategy: str = "all_in_one", norm: str = "norm
 
 def _quoted(label: Column) -> Column:
     """A label as a JSON string."""
-    return F.to_json(F.struct(label.alias("x"))).substr(F.lit(6), F.length(F.to_json(F.struct(label.alias("x")))) - 6)
+    return g.let(F.to_json(F.struct(label.alias("x"))), lambda j: j.substr(F.lit(6), F.length(j) - 6))
 
 
 def _number(v: Column, norm: str) -> Column:
@@ -70,13 +70,19 @@ def _number(v: Column, norm: str) -> Column:
 
 def json_response(boxes: Column, norm: str = "norm_1000", layout: str = "xyxy") -> Column:
     """``[{"box_2d": [..], "label": ".."}]`` with blanks after commas and colons; the first item also names norm and layout."""
-    head = f', "coord_format": "{layout}", "coord_norm": "{norm}"'
+    return joined_items(F.transform(boxes, lambda b: json_item(b["coords"], b["label"], norm)), norm, layout)
 
-    def item(b: Column, i: Column) -> Column:
-        coords = F.array_join(F.transform(b["coords"], lambda v: _number(v, norm)), ", ")
-        return F.concat(F.lit('{"box_2d": ['), coords, F.lit('], "label": '), _quoted(b["label"]), F.when(i == 0, head).otherwise(""), F.lit("}"))
 
-    return F.concat(F.lit("["), F.array_join(F.transform(boxes, item), ", "), F.lit("]"))
+def json_item(coords: Column, label: Column, norm: str = "norm_1000") -> Column:
+    """A box as ``json_response`` has it, up to its closing brace; null without coordinates."""
+    numbers = F.array_join(F.transform(coords, lambda v: _number(v, norm)), ", ")
+    return F.concat(F.lit('{"box_2d": ['), numbers, F.lit('], "label": '), _quoted(label))
+
+
+def joined_items(items: Column, norm: str = "norm_1000", layout: str = "xyxy") -> Column:
+    """The response that items of ``json_item`` make."""
+    head = f', "coord_format": "{layout}", "coord_norm": "{norm}"'
+    return F.concat(F.lit("["), F.array_join(F.transform(items, lambda s, i: F.concat(s, F.when(i == 0, head + "}").otherwise("}"))), ", "), F.lit("]"))
 
 
 def legacy_response(boxes: Column) -> Column:

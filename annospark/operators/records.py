@@ -38,28 +38,43 @@ def convert(annotations: DataFrame, strategy: str = "all_in_one", lang: str = "e
     ``prompt`` makes the question of an array of labels; without one, the template of language, style and strategy does. ``output``
     is ``json`` or ``list``.
     """
-    if output not in ("json", "list"):
-        raise ValueError(f"unknown output: {output}")
+    return from_boxes(with_boxes(annotations, keep_empty, norm, layout, **filters), strategy, lang, norm, layout, style, custom, prompt, output)
+
+
+def with_boxes(annotations: DataFrame, keep_empty: bool = False, norm: str = "norm_1000", layout: str = "xyxy", items: bool = False, **filters) -> DataFrame:
+    """What the records of both strategies are made of, per image: its columns, n_invalid, labels (sorted, distinct) and boxes
+    (coords, label; with ``items`` item, the box's text in an answer, in place of coords). Images without usable boxes go unless ``keep_empty``."""
     found = usable_boxes(F.col("shapes"), F.col("width"), F.col("height"), norm=norm, layout=layout, **filters)
-    rows = once(annotations, _b=found)
-    rows = once(rows, boxes=F.filter("_b", lambda b: b["reason"].isNull()), n_invalid=F.size(F.filter("_b", lambda b: b["reason"].isNotNull())))
-    rows = rows.withColumn("labels", F.array_sort(F.array_distinct(F.transform("boxes", lambda b: b["label"]))))
+    rows = once(annotations.select("image_id", "image_key", "stem", "width", "height", "shapes"), _b=found)
+    made = lambda b: t.json_item(b["coords"], b["label"], norm).alias("item") if items else b["coords"].alias("coords")
+    usable = F.transform(F.filter("_b", lambda b: b["reason"].isNull()), lambda b: F.struct(made(b), b["label"].alias("label")))
+    rows = once(rows, boxes=usable, n_invalid=F.size(F.filter("_b", lambda b: b["reason"].isNotNull()))).drop("_b", "shapes")
     if not keep_empty:
         rows = rows.filter(F.size("boxes") > 0)
+    return rows.withColumn("labels", F.array_sort(F.array_distinct(F.col("boxes.label"))))
+
+
+def from_boxes(rows: DataFrame, strategy: str = "all_in_one", lang: str = "en", norm: str = "norm_1000", layout: str = "xyxy", style: str = "simple", custom: dict[str, str] | None = None, prompt: Callable[[Column], Column] | None = None, output: str = "json") -> DataFrame:
+    """The records that ``convert`` makes, of images from ``with_boxes`` (with the same norm and layout). Further columns stay."""
+    if output not in ("json", "list"):
+        raise ValueError(f"unknown output: {output}")
+    items = "item" in rows.schema["boxes"].dataType.elementType.names
+    more = [c for c in rows.columns if c not in ("image_id", "image_key", "stem", "width", "height", "boxes", "n_invalid", "labels")]
     if strategy == "per_class":
         rows = rows.withColumn("label", F.explode_outer("labels"))
-        rows = rows.withColumns({"boxes": F.filter("boxes", lambda b: b["label"] == F.col("label")), "record_id": F.concat_ws("_", "stem", "label")})
+        rows = once(rows, boxes=F.filter("boxes", lambda b: b["label"] == F.col("label"))).withColumn("record_id", F.concat_ws("_", "stem", "label"))
         names = F.when(F.col("label").isNotNull(), F.array("label")).otherwise(F.array().cast("array<string>"))
     else:
         rows, names = rows.withColumn("record_id", F.col("stem")), F.col("labels")
     message = lambda role, text: F.struct(F.lit(role).alias("role"), F.array(F.struct(F.lit("text").alias("type"), text.alias("text"))).alias("content"))
     question = prompt(names) if prompt else t.detection_prompt(names, strategy, lang, custom, style)
     category = F.get(names, 0) if strategy == "per_class" else None
-    answer = t.json_response(F.col("boxes"), norm, layout) if output == "json" else t.list_response(F.col("boxes"), strategy, norm, lang, category)
+    json = t.joined_items(F.col("boxes.item"), norm, layout) if items else t.json_response(F.col("boxes"), norm, layout)
+    answer = json if output == "json" else t.list_response(F.col("boxes"), strategy, norm, lang, category)
     messages = F.array(message("user", question), message("assistant", answer))
     return rows.select(
         "record_id", "image_id", "image_key", "stem", "width", "height", F.when(F.size("boxes") > 0, "converted").otherwise("empty").alias("outcome"),
-        names.alias("labels"), F.size("boxes").alias("num_objects"), "n_invalid", messages.alias("messages"),
+        names.alias("labels"), F.size("boxes").alias("num_objects"), "n_invalid", messages.alias("messages"), *more,
     )
 
 

@@ -94,9 +94,8 @@ def stratified_split(labels: DataFrame, ratio: str = "8:1:1", order: Column | No
     and test the next max(1, floor(n * share)) if their share is above 0, and train the remainder.
     """
     train, val, test = parse_ratio(ratio)
-    pairs = labels.select(key, "label").distinct()
     totals = labels.groupBy("label").agg(F.count("*").alias("total"))
-    strata = pairs.join(totals, "label").groupBy(key).agg(F.min(F.struct("total", "label")).alias("s")).select(key, F.col("s.label").alias("stratum"))
+    strata = labels.select(key, "label").join(totals, "label").groupBy(key).agg(F.min(F.struct("total", "label")).alias("s")).select(key, F.col("s.label").alias("stratum"))
     strata = strata.withColumn("_o", F.col(key) if order is None else order)
     rows = group_rank(strata, ["stratum"], "_o", key).withColumnRenamed("rank", "r")
     most = lambda share, least: F.greatest(F.lit(least), F.floor(F.col("n") * share)) if share > 0 else F.lit(0)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from annospark.operators import evaluate as ev
 from annospark.operators import infer, records, runs, sample, split, stats, validate, work
+from annospark.operators.spread import small, spread
 from annospark.sources import files
 from annospark.sources.shared import written
 
@@ -84,17 +85,19 @@ def balanced_sample(spark: SparkSession, source: str, n: int, mode: str = "image
 def convert(annotations: DataFrame, target: str, ratio: str = "8:1:1", order: Column | None = None, stratified: bool = True, strategy: str = "all_in_one", schema: str = "openai", shared_split: bool = False, **options) -> DataFrame:
     """Records of annotations, split by image without leaks, written as JSON lines; the records with their split and strategy.
 
-    ``both`` makes the records of both strategies, each split by itself and written to a folder of its own with its own
-    ``dataset_info``; with ``shared_split`` an image has the same split in both.
+    ``both`` makes the records of both strategies, each written to a folder of its own with its own ``dataset_info``. Usable boxes
+    are found and written once, with their texts. Records of both strategies have the same images and labels, so an image has the same
+    split in both, which is made once too, with and without ``shared_split``.
     """
-    done, parts = None, None
+    made = {k: options.pop(k) for k in ("lang", "style", "custom", "prompt", "output") if k in options}
+    asked = {k: options[k] for k in ("norm", "layout") if k in options}
+    boxes = written(records.with_boxes(annotations, items=made.get("output", "json") == "json", **options), "boxes")
+    labels = boxes.select("image_key", F.explode("labels").alias("label"))
+    parts = split.stratified_split(labels, ratio, order).select("image_key", "split") if stratified else split.split_images(boxes, ratio, order)
+    placed = written(_placed(boxes, written(parts, "splits")), "placed")
+    done = None
     for name in ("all_in_one", "per_class") if strategy == "both" else (strategy,):
-        rows = written(records.convert(annotations, name, **options), "records")
-        if parts is None or not shared_split:
-            labels = rows.select("image_key", F.explode("labels").alias("label"))
-            parts = split.stratified_split(labels, ratio, order).select("image_key", "split") if stratified else split.split_images(rows, ratio, order)
-            parts = written(parts, "splits")
-        one = rows.join(parts, "image_key", "left").withColumns({"split": F.coalesce("split", F.lit("train")), "strategy": F.lit(name)})
+        one = records.from_boxes(placed, name, **made, **asked).withColumn("strategy", F.lit(name))
         folder = f"{target.rstrip('/')}/{name}" if strategy == "both" else target.rstrip("/")
         files.write_splits(one.select("split", "record_id", "messages", "labels"), f"{folder}/data", schema)
         files.write_dataset_info(one, one.select("split", F.explode("labels").alias("label")), f"{folder}/dataset_info")
@@ -102,6 +105,16 @@ def convert(annotations: DataFrame, target: str, ratio: str = "8:1:1", order: Co
     return done
 
 
+def _placed(boxes: DataFrame, parts: DataFrame) -> DataFrame:
+    """``boxes`` with the split of their image, train without one. An image has one row in ``parts``, whose share of a partition is hashed
+    rather than both sides sorted."""
+    if small(parts):
+        found = boxes.join(parts, "image_key", "left")
+    else:
+        found = spread(boxes, "image_key").join(parts.hint("shuffle_hash"), "image_key", "left")
+    return found.withColumn("split", F.coalesce("split", F.lit("train")))
+
+
 def convert_directory(spark: SparkSession, source: str, target: str, sizes: DataFrame | None = None) -> DataFrame:
     """Box lists of a folder's annotation files, written under ``target``; the counts of files converted and failed."""
     found = written(records.convert_directory(files.read_annotations(spark, source, recursive=False), sizes), "boxes")
